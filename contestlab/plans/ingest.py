@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab import functions as fn
-from contestlab.operators.frames import blank_to_null, same_keys, seed_first_row
+from contestlab.operators.frames import blank_to_null, same_keys
 from contestlab.operators.scans import locf
 from contestlab.schemas import BIOGRAPHY, FIXTURE, LINEUP, PLAYER_SEASON
 from contestlab.sources import html
@@ -41,7 +41,7 @@ def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date |
     rows = html.tables_by_shape(html.html_tables(pages), min_rows=2)
     named = blank_to_null(html.name_columns(rows, FIXTURE_COLUMNS))
     at = ["page_id", "table_no"]
-    seeded = seed_first_row(named, "round", FIRST_ROUND, at, ["row_no"])
+    seeded = named.withColumn("round", F.when(F.col("row_no") == 1, FIRST_ROUND).otherwise(F.col("round")))
     parsed = seeded.withColumns({
         "day": fn.parse_date("day"),
         "round_no": F.when(F.col("round").contains(". Round"),
@@ -93,12 +93,11 @@ def biographies_from_pages(pages: DataFrame, lineups: DataFrame, *, base: str =
     """One row per player, team and season with what the player's page tells; NULL where it does not."""
     rows = html.tables_by_shape(html.html_tables(pages), min_rows=6, max_rows=10, n_cols=2)
     named = html.name_columns(rows, ["label", "info"])
-    shape = named.groupBy("page_id", "table_no").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("label") == BORN, F.col("row_no"))).alias("born"))
-    usable = shape.filter((F.col("born") == 1) | ((F.col("n") >= 9) & F.col("born").isNotNull()))
-    named = named.join(usable.select("page_id", "table_no"), ["page_id", "table_no"], "left_semi")
+    is_born = F.col("label") == BORN
+    named = named.withColumn("_born", html.marker_row(is_born)).filter(
+        (F.col("_born") == 1) | ((F.col("n_rows") >= 9) & F.col("_born").isNotNull()))
     info = fn.strip_punct(fn.strip_control("info"))
-    sliced = html.slice_after_marker(named, F.col("label") == BORN, info, BIOGRAPHY_POSITIONS)
+    sliced = html.slice_after_marker(named, is_born, info, BIOGRAPHY_POSITIONS)
     facts = (
         sliced.join(pages.select("page_id", "url"), "page_id")
         .groupBy("url").agg(F.min_by(F.struct(*BIOGRAPHY_POSITIONS), F.struct("page_id", "table_no")).alias("b"))

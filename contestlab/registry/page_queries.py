@@ -27,9 +27,15 @@ def row_of(*cells: Column | str, tag: str = "td") -> Column:
     return F.concat(F.lit("<tr>"), *parts, F.lit("</tr>"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """As many partitions as the session shuffles into: parsing costs far more than its few bytes suggest."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def page_of(df: DataFrame, page_id: Column, order: str, row: Column, url: Column | None = None) -> DataFrame:
     """One page with one table per block of rows; a block holds at most ROWS_PER_PAGE of them."""
     rows = df.select(page_id.cast("long").alias("page_id"), F.struct(F.col(order).alias("o"), row.alias("r")).alias("x"))
+    rows = spread(rows, "page_id")
     body = F.concat_ws("", F.transform(F.sort_array(F.collect_list("x")), lambda x: x["r"]))
     out = rows.groupBy("page_id").agg(
         F.concat(F.lit("<html><body><p>a < b</p><table>"), body, F.lit("</table></body></html>")).alias("html"))
@@ -58,12 +64,12 @@ PAGE_ROWS_SQL = f"""page_rows AS (SELECT o_orderkey // {ROWS_PER_PAGE} AS page_i
       OVER (PARTITION BY page_id) AS width FROM page_rows)
     SELECT page_id, table_no, row_no, CASE WHEN width = 3 THEN [key, priority, status] ELSE [key, priority] END AS cells FROM w""")
 def _tables(spark, sf_dir):
-    return html.html_tables(order_pages(spark, sf_dir))
+    return html.html_tables(order_pages(spark, sf_dir)).drop("n_rows")
 
 
 @query("name_columns", f"WITH {PAGE_ROWS_SQL} SELECT page_id, table_no, row_no, key, status FROM page_rows")
 def _named(spark, sf_dir):
-    return html.name_columns(html.html_tables(order_pages(spark, sf_dir)), ["key", None, "status"])
+    return html.name_columns(html.html_tables(order_pages(spark, sf_dir)), ["key", None, "status"]).drop("n_rows")
 
 
 def sized_pages(spark, sf_dir):
@@ -71,7 +77,7 @@ def sized_pages(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumns({
         "p": F.floor(F.col("o_orderkey") / ROWS_PER_PAGE), "t": (F.col("o_custkey") % 4).cast("int")})
     row = F.struct(F.col("o_orderkey").alias("o"), row_of(F.col("o_orderkey"), F.col("o_orderstatus")).alias("r"))
-    one = orders.groupBy("p", "t").agg(F.concat(F.lit("<table>"), F.concat_ws(
+    one = spread(orders, "p").groupBy("p", "t").agg(F.concat(F.lit("<table>"), F.concat_ws(
         "", F.transform(F.sort_array(F.collect_list(row)), lambda x: x["r"])), F.lit("</table>")).alias("html"))
     return one.groupBy(F.col("p").alias("page_id")).agg(F.concat_ws("", F.transform(
         F.sort_array(F.collect_list(F.struct("t", "html"))), lambda x: x["html"])).alias("html")).select(
@@ -89,14 +95,14 @@ SIZED_SQL = f"""base AS (SELECT o_orderkey // {ROWS_PER_PAGE} AS page_id, o_cust
 @query("tables_by_shape", f"WITH {SIZED_SQL} SELECT page_id, table_no, row_no, key FROM fit")
 def _by_shape(spark, sf_dir):
     rows = html.tables_by_shape(html.html_tables(sized_pages(spark, sf_dir)), 11, 21, n_cols=2)
-    return html.name_columns(rows, ["key"])
+    return html.name_columns(rows, ["key"]).drop("n_rows")
 
 
 @query("require_tables", f"""WITH {SIZED_SQL} SELECT page_id, table_no, row_no, key, nth FROM fit
     WHERE page_id IN (SELECT page_id FROM fit GROUP BY page_id HAVING MAX(nth) = 2)""")
 def _required(spark, sf_dir):
     rows = html.tables_by_shape(html.html_tables(sized_pages(spark, sf_dir)), 11, 21, n_cols=2)
-    return html.name_columns(html.require_tables(rows, 2), ["key"])
+    return html.name_columns(html.require_tables(rows, 2), ["key"]).drop("n_rows")
 
 
 # Season pages. Days and rounds are written once, before the rows they hold for.
@@ -159,19 +165,19 @@ def fixtures(spark, sf_dir):
         fixture_pages(spark, sf_dir), fixture_worklist(spark, sf_dir), as_of=date(2004, 1, 1))
 
 
-# Match pages: 15 players a side, the last four on the bench, names and times made of the order.
+# Match pages: 12 players a side, the last one on the bench, names and times made of the order.
 
 def match_pages(spark, sf_dir):
-    games = views.ledger(spark, sf_dir).select("contest_id", "home", "away", "season")
+    games = spread(views.ledger(spark, sf_dir).select("contest_id", "home", "away", "season"), "contest_id")
 
     def squad(side: str) -> Column:
         def line(i: Column) -> Column:
-            name = F.concat(F.lit("O'Player "), F.col(side).cast("string"), F.lit("-No"), F.substring(F.lit("ABCDEFGHIJKLMNO"), i, F.lit(1)))
+            name = F.concat(F.lit("O'Player "), F.col(side).cast("string"), F.lit("-No"), F.substring(F.lit("ABCDEFGHIJKL"), i, F.lit(1)))
             time = F.when((F.col("contest_id") + i) % 3 == 0, F.concat((i + 60).cast("string"), F.lit("'")))
             bench = F.when(i == 12, '<tr><td colspan="3">Substitutes</td></tr>').otherwise("")
             return F.concat(bench, row_of(i.cast("string"), name, time))
 
-        numbers = F.sequence(F.lit(1), F.lit(15))
+        numbers = F.sequence(F.lit(1), F.lit(12))
         return F.concat(F.lit("<table>"), F.concat_ws("", F.transform(numbers, line)), F.lit("</table>"))
 
     other = F.lit("<table><tr><td>Referee</td><td>X</td></tr></table>")
@@ -191,14 +197,14 @@ LINEUPS = views.LEDGER + """,
 squads AS (SELECT contest_id, season, home AS side, 1 AS is_home FROM ledger
   UNION ALL SELECT contest_id, season, away, 0 FROM ledger),
 lineups AS (
-  SELECT CAST(i AS VARCHAR) AS number, 'OPlayer No' || SUBSTR('ABCDEFGHIJKLMNO', CAST(i AS INTEGER), 1) AS player0,
-    side, i, contest_id, season, is_home FROM squads, (SELECT UNNEST(RANGE(1, 16)) AS i) AS n),
+  SELECT CAST(i AS VARCHAR) AS number, 'OPlayer No' || SUBSTR('ABCDEFGHIJKL', CAST(i AS INTEGER), 1) AS player0,
+    side, i, contest_id, season, is_home FROM squads, (SELECT UNNEST(RANGE(1, 13)) AS i) AS n),
 lineup_rows AS (
-  SELECT number, 'OPlayer ' || 'No' || SUBSTR('ABCDEFGHIJKLMNO', CAST(i AS INTEGER), 1) AS player,
+  SELECT number, 'OPlayer ' || 'No' || SUBSTR('ABCDEFGHIJKL', CAST(i AS INTEGER), 1) AS player,
     CASE WHEN (contest_id + i) % 3 = 0 THEN (i + 60) || '''' ELSE '' END AS subbed_time,
     CASE WHEN i < 12 THEN 1 ELSE 0 END AS is_starting, 'Team ' || side AS team, is_home,
     'https://example.org/report/' || contest_id AS match_id, season || '/' || (season + 1) AS season_id,
-    'https://example.org/player_summary/O''Player-' || side || '-No' || SUBSTR('ABCDEFGHIJKLMNO', CAST(i AS INTEGER), 1) || '/2/' AS player_link
+    'https://example.org/player_summary/O''Player-' || side || '-No' || SUBSTR('ABCDEFGHIJKL', CAST(i AS INTEGER), 1) || '/2/' AS player_link
   FROM lineups)"""
 
 

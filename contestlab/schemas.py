@@ -29,4 +29,4 @@ PLAYER_SEASON = _schema(
 
 PAGES = _schema("page_id:l url:s html:s")
 
-PAGE_ROWS = _schema("page_id:l table_no:i row_no:i cells:a")
+PAGE_ROWS = _schema("page_id:l table_no:i row_no:i cells:a n_rows:i")

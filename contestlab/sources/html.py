@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contestlab.operators.frames import same_keys
 from contestlab.schemas import PAGE_ROWS
 
 
 def _reader():
-    """Batch function for `mapInPandas`. Everything it needs is defined inside, so that workers
+    """Batch function for `mapInArrow`. Everything it needs is defined inside, so that workers
     need no copy of this package."""
     from html.parser import HTMLParser
 
@@ -61,7 +60,7 @@ def _reader():
             if self.open and self.open[-1]["cell"] is not None:
                 self.open[-1]["cell"].append(data)
 
-    def rows_of(html):
+    def tables_of(html):
         parser = Tables()
         parser.feed(html or "")
         parser.close()
@@ -72,46 +71,57 @@ def _reader():
             if rows and not rows[0]["data"]:
                 rows = rows[1:]  # a first row of header cells names the columns
             width = max((len(r["cells"]) for r in rows), default=0)
-            for row_no, row in enumerate(rows, 1):
-                yield table_no, row_no, row["cells"] + [None] * (width - len(row["cells"]))
+            yield table_no, [r["cells"] + [None] * (width - len(r["cells"])) for r in rows]
 
     def read(batches):
-        import pandas as pd
+        import pyarrow as pa
 
+        cells_type = pa.list_(pa.string())
         for batch in batches:
-            found = [(page, *row) for page, html in zip(batch["page_id"], batch["html"]) for row in rows_of(html)]
-            yield pd.DataFrame(found, columns=["page_id", "table_no", "row_no", "cells"])
+            pages, tables, numbers, sizes, cells = [], [], [], [], []
+            for page, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for table_no, rows in tables_of(html):
+                    pages += [page] * len(rows)
+                    tables += [table_no] * len(rows)
+                    numbers += range(1, len(rows) + 1)
+                    sizes += [len(rows)] * len(rows)
+                    cells += rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pages, pa.int64()), pa.array(tables, pa.int32()), pa.array(numbers, pa.int32()),
+                 pa.array(cells, cells_type), pa.array(sizes, pa.int32())],
+                names=["page_id", "table_no", "row_no", "cells", "n_rows"])
 
     return read
 
 
 def html_tables(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html) to (page_id, table_no, row_no, cells). Spanning cells are repeated and
-    short rows padded to the width of their table."""
-    return pages.select("page_id", "html").mapInPandas(_reader(), PAGE_ROWS)
+    """(page_id, url, html) to (page_id, table_no, row_no, cells, n_rows). Spanning cells are
+    repeated and short rows padded to the width of their table; n_rows is the table's size."""
+    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(_reader(), PAGE_ROWS)
 
 
 def tables_by_shape(rows: DataFrame, min_rows: int = 1, max_rows: int | None = None,
                     n_cols: int | None = None) -> DataFrame:
     """Rows of the tables with min_rows..max_rows rows and, if given, n_cols columns."""
-    shapes = rows.groupBy("page_id", "table_no").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("cells")).alias("w"))
-    fits = F.col("n") >= min_rows
+    fits = F.col("n_rows") >= min_rows
     if max_rows is not None:
-        fits = fits & (F.col("n") <= max_rows)
+        fits = fits & (F.col("n_rows") <= max_rows)
     if n_cols is not None:
-        fits = fits & (F.col("w") == n_cols)
-    return rows.join(shapes.filter(fits).select("page_id", "table_no"), ["page_id", "table_no"], "left_semi")
+        fits = fits & (F.size("cells") == n_cols)
+    return rows.filter(fits)
+
+
+# The windows below run over the rows of one page. A page is one text that one task has parsed, so
+# its rows fit one task; all of them share one shuffle on page_id.
 
 
 def require_tables(rows: DataFrame, k: int) -> DataFrame:
     """Keep the pages with exactly k tables and number these 1..k in `nth` (1 = home, 2 = away)."""
-    tables = rows.select("page_id", "table_no").distinct()
-    on_page = Window.partitionBy("page_id")  # the tables of one page, which one task has parsed
-    numbered = tables.select(
-        "page_id", "table_no", F.dense_rank().over(on_page.orderBy("table_no")).alias("nth"),
-        F.count(F.lit(1)).over(on_page).alias("k")).filter(F.col("k") == k).drop("k")
-    return rows.join(numbered, ["page_id", "table_no"])
+    on_page = Window.partitionBy("page_id")
+    return (
+        rows.withColumn("nth", F.dense_rank().over(on_page.orderBy("table_no")))
+        .withColumn("_k", F.max("nth").over(on_page)).filter(F.col("_k") == k).drop("_k")
+    )
 
 
 def name_columns(rows: DataFrame, names: Sequence[str | None]) -> DataFrame:
@@ -121,21 +131,20 @@ def name_columns(rows: DataFrame, names: Sequence[str | None]) -> DataFrame:
         *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names) if n is not None])
 
 
+def marker_row(marker: Column, group: Sequence[str] = ("page_id", "table_no")) -> Column:
+    """Number of the first row of the table that meets the condition."""
+    return F.min(F.when(marker, F.col("row_no"))).over(Window.partitionBy(*group))
+
+
 def slice_after_marker(rows: DataFrame, marker: Column, value: Column, positions: dict[str, int],
                        group: Sequence[str] = ("page_id", "table_no")) -> DataFrame:
     """Values at given positions counted from the first marker row (1 = the marker row itself),
     one row per group that has a marker; NULL past the end."""
-    found = (
-        rows.filter(F.coalesce(marker, F.lit(False))).groupBy(*group).agg(F.min("row_no").alias("_mark"))
-    )
-    placed = rows.withColumn("_value", value).alias("l").join(found.alias("r"), same_keys("l", "r", group)).select(
-        *[F.col(f"l.{g}") for g in group], "l._value", (F.col("l.row_no") - F.col("r._mark") + 1).alias("_at"))
-    return placed.groupBy(*group).agg(
+    placed = rows.withColumns({"_at": F.col("row_no") - marker_row(marker, group) + 1, "_value": value})
+    return placed.filter(F.col("_at").isNotNull()).groupBy(*group).agg(
         *[F.max(F.when(F.col("_at") == at, F.col("_value"))).alias(n) for n, at in positions.items()])
 
 
 def flag_after_marker(rows: DataFrame, marker: Column, flag: str, group: Sequence[str] = ("page_id", "table_no")) -> DataFrame:
     """Set `flag` to 1 before the first marker row and to 0 from it on."""
-    found = rows.filter(F.coalesce(marker, F.lit(False))).groupBy(*group).agg(F.min("row_no").alias("_mark"))
-    return rows.alias("l").join(found.alias("r"), same_keys("l", "r", group), "left").select(
-        "l.*", F.when(F.col("l.row_no") >= F.col("r._mark"), 0).otherwise(1).alias(flag))
+    return rows.withColumn(flag, F.when(F.col("row_no") >= marker_row(marker, group), 0).otherwise(1))
