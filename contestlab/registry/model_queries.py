@@ -1 +1,149 @@
-"""To come."""
+"""Queries for splitting, training, scoring and evaluation."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from contestlab.operators.frames import fill_missing
+from contestlab.plans import matches, modelling
+from contestlab.registry import query, views
+from contestlab.session import pinned, scratch_path
+from contestlab.sources import tables
+
+LEVELS = ["Away", "Draw", "Home"]
+FEATURES = [c for c in matches.TRAINING_COLUMNS if c != "winner"]
+
+# A fixed rule as the prediction, so that the evaluation queries have an exact answer.
+RULE = """CASE WHEN (home + season) % 3 = 0 THEN 'Home' WHEN (home + season) % 3 = 1 THEN 'Away' ELSE 'Draw' END"""
+PRED = views.LEDGER + f", pred AS (SELECT contest_id, winner, {RULE} AS predicted FROM ledger WHERE winner IS NOT NULL)"
+
+
+def predictions(spark, sf_dir):
+    turn = (F.col("home") + F.col("season")) % 3
+    rule = F.when(turn == 0, "Home").when(turn == 1, "Away").otherwise("Draw")
+    return views.ledger(spark, sf_dir).filter(F.col("winner").isNotNull()).select(
+        "contest_id", "winner", rule.alias("predicted"))
+
+
+@query("split_exact", f"""WITH {views.LEDGER}, ranked AS (SELECT contest_id, ROW_NUMBER() OVER
+      (ORDER BY MD5('456|' || contest_id), contest_id) AS r, COUNT(*) OVER () AS n FROM ledger)
+    SELECT contest_id, r <= CAST(ROUND_EVEN(n * 0.9, 0) AS BIGINT) AS is_train FROM ranked""")
+def _split(spark, sf_dir):
+    return modelling.split_exact(views.ledger(spark, sf_dir).select("contest_id"), 0.9, "contest_id", 456)
+
+
+@query("split_hash", f"""WITH {views.LEDGER} SELECT contest_id,
+    CAST('0x' || SUBSTR(MD5('456|' || contest_id), 1, 8) AS BIGINT) < CAST(FLOOR(0.8 * 4294967296) AS BIGINT) AS is_train FROM ledger""")
+def _split_hash(spark, sf_dir):
+    return modelling.split_hash(views.ledger(spark, sf_dir).select("contest_id"), 0.8, "contest_id", 456)
+
+
+@query("label_index", f"""WITH {views.LEDGER} SELECT contest_id, winner, CAST(DENSE_RANK() OVER (ORDER BY winner) - 1 AS DOUBLE) AS label
+    FROM ledger WHERE winner IS NOT NULL""")
+def _label(spark, sf_dir):
+    games = views.ledger(spark, sf_dir).filter(F.col("winner").isNotNull()).select("contest_id", "winner")
+    return modelling.label_index(games, "winner")[0]
+
+
+@query("class_weights", f"""WITH {views.LEDGER}, p AS (SELECT contest_id, winner FROM ledger WHERE winner IS NOT NULL)
+    SELECT contest_id, winner, (SELECT COUNT(*) FROM p) * 1.0::DOUBLE / (COUNT(*) OVER (PARTITION BY winner) * 3) AS weight FROM p""")
+def _weights(spark, sf_dir):
+    games = views.ledger(spark, sf_dir).filter(F.col("winner").isNotNull()).select("contest_id", "winner")
+    return modelling.class_weights(games, "winner")
+
+
+@query("confusion_matrix", f"WITH {PRED} SELECT winner, " + ", ".join(
+    f"""COUNT(CASE WHEN predicted = '{v}' THEN 1 END) AS "{v}" """ for v in LEVELS) + "FROM pred GROUP BY winner")
+def _confusion(spark, sf_dir):
+    return modelling.confusion_matrix(predictions(spark, sf_dir), LEVELS)
+
+
+@query("accuracy", f"WITH {PRED} SELECT AVG(CAST(winner = predicted AS INTEGER)) AS accuracy FROM pred")
+def _accuracy(spark, sf_dir):
+    return modelling.accuracy(predictions(spark, sf_dir))
+
+
+@query("accuracy_literal", f"""WITH {PRED}, c AS (SELECT winner, predicted, COUNT(*) AS n FROM pred WHERE predicted <> 'Draw'
+      OR winner <> 'Draw' GROUP BY winner, predicted),
+    r AS (SELECT *, DENSE_RANK() OVER (ORDER BY winner) AS i, DENSE_RANK() OVER (ORDER BY predicted) AS j FROM c)
+    SELECT CAST(SUM(CASE WHEN i = j THEN n ELSE 0 END) AS DOUBLE) / SUM(n) AS accuracy FROM r""")
+def _accuracy_literal(spark, sf_dir):
+    pred = predictions(spark, sf_dir).filter((F.col("predicted") != "Draw") | (F.col("winner") != "Draw"))
+    return modelling.accuracy(pred, mode="literal")
+
+
+@query("mean_per_class_error", f"""WITH {PRED} SELECT 1 - AVG(recall) AS mean_per_class_error FROM
+    (SELECT AVG(CAST(winner = predicted AS INTEGER)) AS recall FROM pred GROUP BY winner) AS t""")
+def _error(spark, sf_dir):
+    return modelling.mean_per_class_error(predictions(spark, sf_dir))
+
+
+@query("review", f"""WITH {PRED} SELECT l.*, predicted FROM ledger l JOIN pred p ON p.contest_id = l.contest_id""")
+def _review(spark, sf_dir):
+    return modelling.review(predictions(spark, sf_dir), views.ledger(spark, sf_dir))
+
+
+@query("log_result", f"""WITH {PRED}, a AS (SELECT AVG(CAST(winner = predicted AS INTEGER)) AS result FROM pred)
+    SELECT 'rule' AS approach, result, '2020-02-01' AS time_run FROM a
+    UNION ALL SELECT 'rule', result, '2020-02-02' FROM a""")
+def _log(spark, sf_dir):
+    target = scratch_path(spark, "runs")
+    result = modelling.accuracy(predictions(spark, sf_dir))
+    for day in (date(2020, 2, 1), date(2020, 2, 1), date(2020, 2, 2)):
+        tables.log_result(result, target, "rule", day)
+    return tables.read_table(spark, target, tables.MODEL_RESULT)
+
+
+def training(spark, sf_dir):
+    """Training rows with a split mark, written once because fitting reads them many times."""
+    features = matches.match_features(views.ledger(spark, sf_dir))
+    rows = fill_missing(matches.training_set(features, drop_seasons=[1995]))
+    return pinned(modelling.split_exact(rows, 0.9, "contest_id", 456))
+
+
+def _halves(spark, sf_dir):
+    rows = training(spark, sf_dir)
+    return rows.filter("is_train").drop("is_train"), rows.filter("NOT is_train").drop("is_train")
+
+
+def _logistic(train):
+    indexed, labels = modelling.label_index(train, "winner")
+    weighted = modelling.class_weights(indexed, "label")
+    plan = modelling.pipeline(
+        LogisticRegression(featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=20), FEATURES)
+    return plan.fit(weighted), labels
+
+
+@query("model_leaderboard")
+def _leaderboard(spark, sf_dir):
+    train, _ = _halves(spark, sf_dir)
+    return modelling.search_models(
+        train, "winner", FEATURES, "contest_id", metric="mean_per_class_error", budget_seconds=90, balance=True).leaderboard
+
+
+@query("perceptron")
+def _perceptron(spark, sf_dir):
+    train, test = _halves(spark, sf_dir)
+    indexed, labels = modelling.label_index(train, "winner")
+    model = modelling.pipeline(modelling.perceptron(len(FEATURES), len(labels)), FEATURES).fit(indexed)
+    return modelling.score(model, test, labels).select("contest_id", "winner", "predicted")
+
+
+@query("score")
+def _score(spark, sf_dir):
+    train, test = _halves(spark, sf_dir)
+    model, labels = _logistic(train)
+    return modelling.score(model, test, labels).select("contest_id", "winner", "predicted")
+
+
+@query("score_probabilities")
+def _probabilities(spark, sf_dir):
+    train, _ = _halves(spark, sf_dir)
+    model, labels = _logistic(train)
+    scored = modelling.score(model, train, labels, probabilities=True).select(
+        "contest_id", "predicted", *[F.col(v.lower()).alias(f"p_{v.lower()}") for v in labels])
+    games = views.ledger(spark, sf_dir).select("contest_id", "day", "home", "away", "winner")
+    return games.join(scored, "contest_id")
