@@ -149,37 +149,37 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     if mode == "literal":
         return dense_rank_in(scanned, ["season", "day"], "running_points", "standing", block_rows=block_rows)
 
-    daily = scanned.groupBy("team", "season", "day").agg(F.sum(_known("pts")).alias("_won"))
+    own = "_after" if as_of == "after" else "_before"
+    shift = 0 if as_of == "after" else 1
+    daily = scanned.groupBy("team", "season", "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
     by_day = Window.partitionBy("team", "season").orderBy("day")  # at most one row per day of a season
-    through = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    history = daily.select(
-        "team", "season", "day",
-        F.sum("_won").over(through).cast("int").alias("_after"),
-        (F.sum("_won").over(through) - F.col("_won")).cast("int").alias("_before"),
-        F.lead("day").over(by_day).alias("_next"),
-        F.row_number().over(by_day).alias("_nth"),
-    )
+    history = daily.withColumns({
+        "_after": F.sum("_won").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).cast("int"),
+        "_previous": F.lag("day").over(by_day),
+        "_next": F.lead("day").over(by_day),
+    }).withColumn("_before", F.col("_after") - F.col("_won"))
     spans = scanned.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    seasonal = history.join(spans, "season")
-    # Stretches of days over which a side's total stands still, at the end of each day.
-    held = seasonal.select("season", F.col("_after").alias("_value"), F.col("day").alias("_from"),
-                           F.coalesce(F.date_sub("_next", 1), F.col("_last")).alias("_to"))
-    opening = seasonal.filter((F.col("_nth") == 1) & (F.col("_first") < F.col("day"))).select(
-        "season", F.lit(0).alias("_value"), F.col("_first").alias("_from"), F.date_sub("day", 1).alias("_to"))
-    stretches = held.unionByName(opening).filter(F.col("_from") <= F.col("_to")).distinct()
-    shift = 0 if as_of == "after" else 1
+    # Stretches of days over which a side's total stands still: from a match day on, and with 0
+    # points from the first day of the season to the day before the side's first match.
+    held = F.struct(
+        F.col("_after").alias("_value"), F.col("day").alias("_from"),
+        F.coalesce(F.date_sub("_next", 1), F.col("_last")).alias("_to"))
+    opening = F.struct(
+        F.lit(0).alias("_value"), F.date_sub("_first", shift).alias("_from"), F.date_sub("day", 1).alias("_to"))
+    stretch = F.array(held, F.when(F.col("_previous").isNull(), opening))
     taken = (
-        stretches.select("season", "_value", F.explode(F.sequence("_from", "_to")).alias("day"))
-        .withColumn("day", F.date_add("day", shift))
-        .distinct()
+        history.join(spans, "season")
+        .select("season", F.explode(stretch).alias("_s"))
+        .filter(F.col("_s._from") <= F.col("_s._to"))
+        .select("season", "_s.*").distinct()
+        .select("season", "_value", F.explode(F.sequence("_from", "_to")).alias("_day"))
+        .select("season", "_value", F.date_add("_day", shift).alias("day")).distinct()
     )
-    if as_of != "after":
-        start = spans.select("season", F.lit(0).alias("_value"), F.col("_first").alias("day"))
-        taken = taken.unionByName(start)
-    ranked = dense_rank_in(taken, ["season", "day"], "_value", "standing", descending=True, block_rows=block_rows)
-    own = "_after" if as_of == "after" else "_before"
+    # v distinct totals take about v * v / 6 games, so a day has at most sqrt(6 * rows) of them:
+    # some two million in 10^12 rows, which one task can rank.
+    ranked = dense_rank_in(taken, ["season", "day"], "_value", "standing", descending=True, block_rows=None)
     places = history.select("team", "season", "day", F.col(own).alias("_value")).join(
-        ranked, ["season", "day", "_value"], "left").select("team", "season", "day", "standing")
+        ranked, ["season", "day", "_value"]).select("team", "season", "day", "standing")
     return (
         scanned.alias("l").join(places.alias("r"), same_keys("l", "r", ["team", "season", "day"]), "left")
         .select("l.*", "r.standing")

@@ -11,11 +11,7 @@ from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
     DEFAULT_PRIOR_POINTS, FORM_GAMES, GROUP, game_order, prior_season_points, race_flags, side_scan, sides, standing)
 
-FEATURES = {
-    "points_before": "points_before", "form": "form", "in_title_race": "in_title_race",
-    "in_relegation_race": "in_relegation_race", "standing": "standing",
-    "prior_year": "prior_year", "was_promo": "was_promo",
-}
+FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
 
 def ledger_of(fixtures: DataFrame) -> DataFrame:
@@ -33,7 +29,7 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     standing include the match itself)."""
     literal = mode == "literal"
     as_of = as_of or ("after" if literal else "before")
-    rows = sides(ledger)
+    rows = sides(ledger, keep=["home", "away"])
     order = game_order(rows)
     scanned = side_scan(rows, games=games, mode=mode, order=order, block_rows=block_rows)
     prior = prior_season_points(scanned if literal else rows, mode, order)
@@ -46,18 +42,15 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     )
     if literal:
         featured = featured.na.fill(0, ["points_before", "standing"])
+    # Fold both sides to one row. The columns of the match are grouping keys, so that the
+    # aggregate holds numbers only and stays a hash aggregate.
     at_home = F.col("is_home") == 1
-    whole = {
-        "day": F.first("day"), "season": F.first("season"), "winner": F.first("winner"),
-        "round_no": F.max(F.when(at_home, F.col("round_no" if "round_no" in rows.columns else "seq"))),
-        "home": F.max(F.when(at_home, F.col("team"))), "away": F.max(F.when(~at_home, F.col("team"))),
-    }
+    parts = [F.max(F.when(at_home, F.col("round_no" if "round_no" in rows.columns else "seq"))).alias("round_no")]
     long_names = ("prior_year", "was_promo")
-    parts = []
     for prefix, short, cond in (("ht_", "h_", at_home), ("at_", "a_", ~at_home)):
-        for c, n in FEATURES.items():
-            parts.append(F.max(F.when(cond, F.col(c))).alias((short if c in long_names else prefix) + n))
-    return featured.groupBy("contest_id").agg(*[v.alias(k) for k, v in whole.items()], *parts)
+        for c in FEATURES:
+            parts.append(F.max(F.when(cond, F.col(c))).alias((short if c in long_names else prefix) + c))
+    return featured.groupBy("contest_id", "day", "season", "winner", "home", "away").agg(*parts)
 
 
 TRAINING_COLUMNS = [

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every expression costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
