@@ -85,17 +85,18 @@ def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = Non
     writer.parquet(target)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
-    """Delimited text with a header, one part file per task. Empty texts stay apart from missing ones."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("emptyValue", '""').option(
-        "escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", missing: str = "NA") -> None:
+    """Delimited text with a header, one part file per task. Missing values are written as
+    `missing`; name another marker where a text may read like it."""
+    df.write.mode(mode).option("header", True).option("sep", sep).option("nullValue", missing).option(
+        "emptyValue", '""').option("escape", '"').csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", missing: str = "NA",
              multi_line: bool = False) -> DataFrame:
     """Delimited text as written by `write_csv`. With `multi_line` fields may hold line breaks, at
     the price of one task per file."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).option(
+    return spark.read.schema(schema).option("header", True).option("sep", sep).option("nullValue", missing).option(
         "multiLine", multi_line).option("escape", '"').csv(path)
 
 
