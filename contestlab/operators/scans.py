@@ -154,6 +154,7 @@ def ordered_scan(
     compute: Callable[[WindowSpec], Mapping[str, Column]] | None = None,
     leads: Sequence[Column] | None = None,
     block_rows: int | None = BLOCK_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values to every row.
 
@@ -172,7 +173,8 @@ def ordered_scan(
     taken = {f"_s_{k}": v for k, v in prefix.items()} | {f"_l_{k}": v for k, v in carry_last.items()}
     work = work.withColumns(taken)
 
-    whole = block_rows is None or largest_group(work.select(*group), group) <= block_rows
+    counted = work if sized_by is None else sized_by
+    whole = block_rows is None or largest_group(counted.select(*group), group) <= block_rows
     if whole:
         window = Window.partitionBy(*group).orderBy(*order)
     else:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contestlab.functions import points, rate
-from contestlab.operators.frames import prior_period, same_keys
+from contestlab.operators.frames import prior_period
 from contestlab.operators.scans import BLOCK_ROWS, dense_rank_in, ordered_scan
 
 # Points per round of a title contender and of a relegation candidate, points
@@ -44,12 +44,18 @@ def game_order(df: DataFrame) -> list[str]:
     return ["round_no"] if "round_no" in df.columns else ["day", "contest_id"]
 
 
+def _same_side(left: str, right: str) -> Column:
+    """Plain equality, so that the join uses the shuffle of the side windows. Sides have a name."""
+    return (F.col(f"{left}.team") == F.col(f"{right}.team")) & (F.col(f"{left}.season") == F.col(f"{right}.season"))
+
+
 def _known(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
 def side_scan(df: DataFrame, *, games: int = FORM_GAMES, mode: str = "intended",
-              order: Sequence[str] | None = None, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+              order: Sequence[str] | None = None, block_rows: int | None = BLOCK_ROWS,
+              sized_by: DataFrame | None = None) -> DataFrame:
     """Add seq, running_points, points_before and form to every side row, in one ordered scan.
 
     Intended: an unplayed match leaves the total unchanged, form is the sum of the last `games`
@@ -65,7 +71,8 @@ def side_scan(df: DataFrame, *, games: int = FORM_GAMES, mode: str = "intended",
     scanned = ordered_scan(
         df, GROUP, order or game_order(df),
         prefix={"seq": F.lit(1), "_total": F.col("pts"), "_missing": F.col("pts").isNull().cast("int")},
-        reach=max(games, LITERAL_FORM_LAG), compute=recent, block_rows=block_rows)
+        reach=max(games, LITERAL_FORM_LAG), compute=recent, block_rows=block_rows,
+        sized_by=sized_by)
     total_before = F.col("_total") - _known("pts")
     known_before = F.col("_missing") - F.col("pts").isNull().cast("int") == 0
     if literal:
@@ -130,7 +137,7 @@ def season_end(scanned: DataFrame, mode: str = "intended", order: Sequence[str]
     entered with as many points as the last one, and leaves unknown totals unmarked."""
     order = list(order or game_order(scanned))
     ends = season_totals(scanned, order)
-    joined = scanned.alias("l").join(ends.alias("r"), same_keys("l", "r", GROUP), "left")
+    joined = scanned.alias("l").join(ends.alias("r"), _same_side("l", "r"), "left")
     if mode == "literal":
         flag = (F.col("l.points_before") == F.col("r.before_last")).cast("int")
     else:
@@ -149,16 +156,26 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     if mode == "literal":
         return dense_rank_in(scanned, ["season", "day"], "running_points", "standing", block_rows=block_rows)
 
+    places = side_places(scanned, as_of)
+    return scanned.alias("l").join(places.alias("r"), _same_side("l", "r"), "left").select(
+        "l.*", F.try_element_at("r.places", F.col("l.day")).alias("standing"))
+
+
+def side_places(df: DataFrame, as_of: str = "before") -> DataFrame:
+    """League places per side and season: team, season, places (match day -> place).
+
+    A map holds at most one entry per day of a season, and keeps the table joinable with the side
+    rows on (team, season) alone."""
     own = "_after" if as_of == "after" else "_before"
     shift = 0 if as_of == "after" else 1
-    daily = scanned.groupBy("team", "season", "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
+    daily = df.groupBy("team", "season", "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
     by_day = Window.partitionBy("team", "season").orderBy("day")  # at most one row per day of a season
     history = daily.withColumns({
         "_after": F.sum("_won").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).cast("int"),
         "_previous": F.lag("day").over(by_day),
         "_next": F.lead("day").over(by_day),
     }).withColumn("_before", F.col("_after") - F.col("_won"))
-    spans = scanned.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
+    spans = df.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
     # Stretches of days over which a side's total stands still: from a match day on, and with 0
     # points from the first day of the season to the day before the side's first match.
     held = F.struct(
@@ -178,12 +195,10 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     # v distinct totals take about v * v / 6 games, so a day has at most sqrt(6 * rows) of them:
     # some two million in 10^12 rows, which one task can rank.
     ranked = dense_rank_in(taken, ["season", "day"], "_value", "standing", descending=True, block_rows=None)
-    places = history.select("team", "season", "day", F.col(own).alias("_value")).join(
-        ranked, ["season", "day", "_value"]).select("team", "season", "day", "standing")
-    return (
-        scanned.alias("l").join(places.alias("r"), same_keys("l", "r", ["team", "season", "day"]), "left")
-        .select("l.*", "r.standing")
-    )
+    placed = history.select("team", "season", "day", F.col(own).alias("_value")).join(
+        ranked, ["season", "day", "_value"])
+    return placed.groupBy("team", "season").agg(
+        F.map_from_entries(F.collect_list(F.struct("day", "standing"))).alias("places"))
 
 
 def prior_season_points(scanned: DataFrame, mode: str = "intended", order: Sequence[str] | None = None) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from contestlab.operators.frames import same_keys
 from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
-    DEFAULT_PRIOR_POINTS, FORM_GAMES, GROUP, game_order, prior_season_points, race_flags, side_scan, sides, standing)
+    DEFAULT_PRIOR_POINTS, FORM_GAMES, GROUP, game_order, prior_season_points, race_flags, side_places, side_scan, sides,
+    standing)
 
 FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
@@ -31,15 +31,19 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     as_of = as_of or ("after" if literal else "before")
     rows = sides(ledger, keep=["home", "away"])
     order = game_order(rows)
-    scanned = side_scan(rows, games=games, mode=mode, order=order, block_rows=block_rows)
-    prior = prior_season_points(scanned if literal else rows, mode, order)
-    featured = race_flags(scanned, as_of=as_of)
-    featured = standing(featured, mode, as_of, block_rows=block_rows)
-    featured = (
-        featured.alias("l").join(prior.alias("r"), same_keys("l", "r", GROUP), "left").select("l.*", "r.prior_year")
-        .withColumn("was_promo", F.col("prior_year").isNull().cast("int"))
-        .withColumn("prior_year", F.coalesce("prior_year", F.lit(DEFAULT_PRIOR_POINTS)))
-    )
+    options = {"games": games, "mode": mode, "order": order, "block_rows": block_rows}
+    # Facts per side and season are joined on the keys of the side windows: one shuffle serves both.
+    if literal:
+        scanned = side_scan(rows, **options)
+        scanned = scanned.join(prior_season_points(scanned, mode, order), GROUP, "left")
+        featured = standing(race_flags(scanned, as_of=as_of), mode, block_rows=block_rows)
+    else:
+        facts = side_places(rows, as_of).join(prior_season_points(rows, mode, order), GROUP, "left")
+        placed = rows.join(facts, GROUP, "left").withColumn(
+            "standing", F.try_element_at("places", F.col("day"))).drop("places")
+        featured = race_flags(side_scan(placed, sized_by=rows, **options), as_of=as_of)
+    featured = featured.withColumn("was_promo", F.col("prior_year").isNull().cast("int")).withColumn(
+        "prior_year", F.coalesce("prior_year", F.lit(DEFAULT_PRIOR_POINTS)))
     if literal:
         featured = featured.na.fill(0, ["points_before", "standing"])
     # Fold both sides to one row. The columns of the match are grouping keys, so that the

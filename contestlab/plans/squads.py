@@ -7,13 +7,11 @@ pass instead of a second scan and a join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab.functions import (
     count_where, mean_where, minutes_played, n_distinct, per_period, points, ratio_of_sums, replace_first)
-from contestlab.operators.frames import prefix_columns
 
 SUMMARY_KEY = ["player", "season", "team"]
 LINEUP_FEATURES = ["avg_teams", "avg_mins", "avg_pl_mins", "sum_gls", "sum_pl_gls", "avg_lgs", "pl_ratio"]
@@ -182,15 +180,21 @@ def lineup_features(lineup: DataFrame, windows: DataFrame, on: str = "season", *
 
 
 def join_sides(games: DataFrame, feats: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner join of one feature row per (contest_id, team) to both sides of a match."""
-    out = games
-    for side in ("home", "away"):
-        named = prefix_columns(feats.select("contest_id", "team", *cols), cols, f"{side}_")
-        cond = reduce(lambda a, b: a & b, [
-            F.col("g.contest_id") == F.col("f.contest_id"), F.col(f"g.{side}") == F.col("f.team")])
-        out = out.alias("g").join(named.alias("f"), cond, "inner").select(
-            "g.*", *[f"f.{side}_{c}" for c in cols])
-    return out
+    """Inner join of one feature row per (contest_id, team) to both sides of a match.
+
+    Both feature rows of a match meet it in one join on contest_id, and an aggregate over the same
+    partitioning folds them: the matches are shuffled once, not once per side."""
+    joined = games.alias("g").join(
+        feats.select("contest_id", "team", *cols).alias("f"), F.col("g.contest_id") == F.col("f.contest_id")
+    ).select("g.*", "f.team", *[F.col(f"f.{c}").alias(f"_{c}") for c in cols])
+    folded = [
+        F.max(F.when(F.col("team") == F.col(side), F.col(f"_{c}"))).alias(f"{side}_{c}")
+        for side in ("home", "away") for c in cols]
+    present = [F.count_if(F.col("team") == F.col(side)).alias(f"_{side}") for side in ("home", "away")]
+    return (
+        joined.groupBy(*games.columns).agg(*folded, *present)
+        .filter((F.col("_home") > 0) & (F.col("_away") > 0)).drop("_home", "_away")
+    )
 
 
 def match_model_table(ledger: DataFrame, feats: DataFrame, keep: Sequence[str] = ("contest_id", "winner")) -> DataFrame:
