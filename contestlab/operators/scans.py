@@ -75,7 +75,8 @@ def _cut(df: DataFrame, group: Sequence[str], leads: Sequence[Column], block_row
     for level in range(_MAX_ROUNDS):
         keys = [*group, *blocks]
         spans = [f for n in names for f in (F.min(n).alias(f"{n}_lo"), F.max(n).alias(f"{n}_hi"))]
-        sizes = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *spans)
+        candidates = work.filter(F.col(blocks[-1]) > 0) if blocks else work
+        sizes = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *spans)
         pick = width_of = low = None
         for n in names:
             lo, hi = F.col(f"{n}_lo"), F.col(f"{n}_hi")
@@ -105,8 +106,11 @@ def _cut(df: DataFrame, group: Sequence[str], leads: Sequence[Column], block_row
         cuts = pinned(
             staged.filter(F.col("_cell").isNotNull())
             .groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("_block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / F.lit(block_rows)) + 1)
-            .drop("n")
+            .withColumn("_upto", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            # even numbers for merged cells, the odd one after them for a cell too large by itself
+            .withColumn("_block", 2 * (F.floor(F.col("_upto") / F.lit(block_rows)) + 1)
+                        + (F.col("n") > block_rows).cast("int"))
+            .drop("n", "_upto")
         )
         if cuts.count() <= BROADCAST_ROWS:
             cuts = F.broadcast(cuts)
