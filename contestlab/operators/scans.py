@@ -247,12 +247,14 @@ def locf(df: DataFrame, cols: Sequence[str], partition: Sequence[str], order: Se
 
 
 def dense_rank_in(df: DataFrame, group: Sequence[str], value: str, name: str, *,
-                  descending: bool = False, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+                  descending: bool = False, block_rows: int | None = BLOCK_ROWS,
+                  sized_by: DataFrame | None = None) -> DataFrame:
     """Dense rank of `value` within the group; a missing value has no rank.
 
     A group too large for one task is ranked on its distinct values, which are joined back."""
     known = F.col(value).isNotNull()
-    if block_rows is None or largest_group(df.select(*group), group) <= block_rows:
+    counted = df if sized_by is None else sized_by
+    if block_rows is None or largest_group(counted.select(*group), group) <= block_rows:
         by = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
         rank = F.dense_rank().over(Window.partitionBy(*group).orderBy(by))
         return df.withColumn(name, F.when(known, rank))

@@ -146,7 +146,7 @@ def season_end(scanned: DataFrame, mode: str = "intended", order: Sequence[str]
 
 
 def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
-             block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+             block_rows: int | None = BLOCK_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
     """Dense rank of the side by points.
 
     Literal: ascending, among the sides playing on that day, this game included.
@@ -154,7 +154,8 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     ("after") or before it ("before"). Every side holds a place from the first day, with 0 points.
     """
     if mode == "literal":
-        return dense_rank_in(scanned, ["season", "day"], "running_points", "standing", block_rows=block_rows)
+        return dense_rank_in(scanned, ["season", "day"], "running_points", "standing", block_rows=block_rows,
+                             sized_by=sized_by)
 
     places = side_places(scanned, as_of)
     return scanned.alias("l").join(places.alias("r"), _same_side("l", "r"), "left").select(

@@ -31,11 +31,11 @@ BASE = "https://example.org"
 
 
 def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date | Column | None = None,
-                        base: str = BASE, mode: str = "intended") -> DataFrame:
+                        base: str = BASE, mode: str = "intended", literal_path: str = "first-league") -> DataFrame:
     """Fixture table of season pages; `worklist` names season and title of each address.
 
     Day and round are given once for the rows that follow. Literal mode compares days as texts,
-    reads scores by position and gives all leagues the path of the first."""
+    reads scores by position and puts `literal_path` into the report address of every league."""
     of_page = pages.select("page_id", "url").join(
         worklist.select("url", "season_start", "season_end", "title", "path"), "url")
     rows = html.tables_by_shape(html.html_tables(pages), min_rows=2)
@@ -50,7 +50,7 @@ def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date |
     filled = locf(parsed, ["day", "round_no"], at, ["row_no"], block_rows=None)
     goals = filled.filter(F.col("dash") == "-").withColumn("_s", fn.parse_score("score", mode))
     joined = goals.join(of_page, "page_id")
-    path = F.lit("first-league") if mode == "literal" else F.col("path")
+    path = F.lit(literal_path) if mode == "literal" else F.col("path")
     out = joined.select(
         "day", "kickoff", "home_team", "dash", "away_team", "score",
         fn.has_finished("day", as_of, mode).alias("has_finished"), "round_no", "_s.*",

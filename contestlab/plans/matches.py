@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
@@ -14,6 +14,10 @@ from contestlab.operators.sides import (
 FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
 
+# Fixed value: result of an unplayed match after the literal fill.
+UNPLAYED = "0"
+
+
 def ledger_of(fixtures: DataFrame) -> DataFrame:
     """Ledger columns of a fixture table."""
     return fixtures.select(
@@ -36,7 +40,7 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     if literal:
         scanned = side_scan(rows, **options)
         scanned = scanned.join(prior_season_points(scanned, mode, order), GROUP, "left")
-        featured = standing(race_flags(scanned, as_of=as_of), mode, block_rows=block_rows)
+        featured = standing(race_flags(scanned, as_of=as_of), mode, block_rows=block_rows, sized_by=rows)
     else:
         facts = side_places(rows, as_of).join(prior_season_points(rows, mode, order), GROUP, "left")
         placed = rows.join(facts, GROUP, "left").withColumn(
@@ -45,7 +49,7 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     featured = featured.withColumn("was_promo", F.col("prior_year").isNull().cast("int")).withColumn(
         "prior_year", F.coalesce("prior_year", F.lit(DEFAULT_PRIOR_POINTS)))
     if literal:
-        featured = featured.na.fill(0, ["points_before", "standing"])
+        featured = featured.na.fill(0, ["points_before", "standing"]).na.fill(UNPLAYED, ["winner"])
     # Fold both sides to one row. The columns of the match are grouping keys, so that the
     # aggregate holds numbers only and stays a hash aggregate.
     at_home = F.col("is_home") == 1
@@ -64,18 +68,23 @@ TRAINING_COLUMNS = [
 ]
 
 
+def _played() -> Column:
+    """Whether the match has a result, in features of either mode."""
+    return F.col("winner").isNotNull() & (F.col("winner") != UNPLAYED)
+
+
 def training_set(features: DataFrame, drop_seasons: Sequence[int] = ()) -> DataFrame:
     """Label and features of the played matches, one row per match. The dropped seasons only
     served the prior-season lookup."""
     kept = features.filter(~F.col("season").isin(*drop_seasons)) if drop_seasons else features
-    return kept.filter(F.col("winner").isNotNull()).select("contest_id", *TRAINING_COLUMNS)
+    return kept.filter(_played()).select("contest_id", *TRAINING_COLUMNS)
 
 
 def next_round(features: DataFrame, round_no: int, drop_seasons: Sequence[int] = ()) -> DataFrame:
     """Unplayed matches of one round whose home side already has points."""
     kept = features.filter(~F.col("season").isin(*drop_seasons)) if drop_seasons else features
     return kept.filter(
-        F.col("winner").isNull() & (F.col("ht_points_before") != 0) & (F.col("round_no") == round_no)
+        ~_played() & (F.col("ht_points_before") != 0) & (F.col("round_no") == round_no)
     ).select("contest_id", *[c for c in TRAINING_COLUMNS if c != "winner"])
 
 

@@ -163,15 +163,16 @@ def features_sql(mode: str) -> str:
         title, relegation = "s.running_points >= 1.808 * s.seq", "s.running_points <= 0.972 * s.seq"
         place = "p.contest_id = s.contest_id AND p.team = s.team"
         before, rank = "COALESCE(s.points_before, 0)", "COALESCE(p.standing, 0)"
+        winner = "COALESCE(s.winner, '0') AS winner"
     else:
         parts = [standing_sql("before"), PRIOR]
         title = "s.seq > 1 AND s.points_before >= 1.808 * (s.seq - 1)"
         relegation = "s.seq > 1 AND s.points_before <= 0.972 * (s.seq - 1)"
         place = "p.season = s.season AND p.day = s.day AND p.team = s.team"
-        before, rank = "s.points_before", "p.standing"
+        before, rank, winner = "s.points_before", "p.standing", "s.winner"
     return ", ".join(parts) + f""",
 featured AS (
-  SELECT s.contest_id, s.day, s.season, s.team, s.is_home, s.winner, s.seq, {before} AS points_before, s.form,
+  SELECT s.contest_id, s.day, s.season, s.team, s.is_home, {winner}, s.seq, {before} AS points_before, s.form,
     CASE WHEN {title} THEN 1 ELSE 0 END AS in_title_race,
     CASE WHEN {relegation} THEN 1 ELSE 0 END AS in_relegation_race,
     {rank} AS standing, COALESCE(y.prior_year, 40) AS prior_year,
@@ -209,3 +210,9 @@ def _training(spark, sf_dir):
     FROM features WHERE season <> 1995 AND winner IS NULL AND ht_points_before <> 0 AND round_no = 19""")
 def _next_round(spark, sf_dir):
     return matches.next_round(matches.match_features(views.ledger(spark, sf_dir)), 19, drop_seasons=[1995])
+
+
+@query("training_set_literal", f"""WITH {features_sql('literal')} SELECT contest_id, {', '.join(matches.TRAINING_COLUMNS)}
+    FROM features WHERE season <> 1995 AND winner <> '0'""")
+def _training_literal(spark, sf_dir):
+    return matches.training_set(matches.match_features(views.ledger(spark, sf_dir), "literal"), drop_seasons=[1995])

@@ -66,13 +66,11 @@ def _accuracy(spark, sf_dir):
     return modelling.accuracy(predictions(spark, sf_dir))
 
 
-@query("accuracy_literal", f"""WITH {PRED}, c AS (SELECT winner, predicted, COUNT(*) AS n FROM pred WHERE predicted <> 'Draw'
-      OR winner <> 'Draw' GROUP BY winner, predicted),
+@query("accuracy_literal", f"""WITH {PRED}, c AS (SELECT winner, predicted, COUNT(*) AS n FROM pred GROUP BY winner, predicted),
     r AS (SELECT *, DENSE_RANK() OVER (ORDER BY winner) AS i, DENSE_RANK() OVER (ORDER BY predicted) AS j FROM c)
     SELECT CAST(SUM(CASE WHEN i = j THEN n ELSE 0 END) AS DOUBLE) / SUM(n) AS accuracy FROM r""")
 def _accuracy_literal(spark, sf_dir):
-    pred = predictions(spark, sf_dir).filter((F.col("predicted") != "Draw") | (F.col("winner") != "Draw"))
-    return modelling.accuracy(pred, mode="literal")
+    return modelling.accuracy(predictions(spark, sf_dir), mode="literal")
 
 
 @query("mean_per_class_error", f"""WITH {PRED} SELECT 1 - AVG(recall) AS mean_per_class_error FROM
@@ -121,7 +119,8 @@ def _logistic(train):
 def _leaderboard(spark, sf_dir):
     train, _ = _halves(spark, sf_dir)
     return modelling.search_models(
-        train, "winner", FEATURES, "contest_id", metric="mean_per_class_error", budget_seconds=90, balance=True).leaderboard
+        train, "winner", FEATURES, "contest_id", metric="mean_per_class_error", folds=2, budget_seconds=90,
+        balance=True).leaderboard
 
 
 @query("perceptron")

@@ -62,9 +62,12 @@ PAGE_ROWS_SQL = f"""page_rows AS (SELECT o_orderkey // {ROWS_PER_PAGE} AS page_i
 
 @query("html_tables", f"""WITH {PAGE_ROWS_SQL}, w AS (SELECT *, MAX(CASE WHEN status IS NULL THEN 2 ELSE 3 END)
       OVER (PARTITION BY page_id) AS width FROM page_rows)
-    SELECT page_id, table_no, row_no, CASE WHEN width = 3 THEN [key, priority, status] ELSE [key, priority] END AS cells FROM w""")
+    SELECT page_id, table_no, row_no, CAST(width AS INTEGER) AS width, key || '|' || priority ||
+      CASE WHEN width = 3 THEN '|' || COALESCE(status, 'none') ELSE '' END AS cells,
+      CAST(COUNT(*) OVER (PARTITION BY page_id) AS INTEGER) AS n_rows FROM w""")
 def _tables(spark, sf_dir):
-    return html.html_tables(order_pages(spark, sf_dir)).drop("n_rows")
+    rows = html.html_tables(order_pages(spark, sf_dir))
+    return rows.withColumns({"width": F.size("cells"), "cells": F.array_join("cells", "|", "none")})
 
 
 @query("name_columns", f"WITH {PAGE_ROWS_SQL} SELECT page_id, table_no, row_no, key, status FROM page_rows")

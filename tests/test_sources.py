@@ -5,7 +5,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from contestlab import schemas
-from contestlab.plans import ingest, modelling
+from contestlab.plans import ingest, matches, modelling, squads
 from contestlab.session import scratch_path
 from contestlab.sources import html, tables
 from tests.conftest import rows
@@ -147,6 +147,39 @@ def test_biographies_and_statistics(spark):
     assert (s.league, s.season, s.matches, s.red, s.player_name) == ("Cup", "2017/2018", 3, None, "Al-Bo")
 
 
+def test_pages_to_model_table(spark):
+    """From stored pages of one season to the table a model is trained on."""
+    season = table(["18/08/2017", "", "A", "-", "B", "2:1 (1:0)", "", ""])[:-8] + table(
+        ["2. Round"] * 8, ["25/08/2017", "", "B", "-", "A", "", "", ""])[7:]
+    base = "https://example.org"
+    report = f"{base}/report/one-2017-2018-A-B/"
+    stats = table(*[["", c, s, "T", "3", "1", "2", "1", "0", "0", "0", "0"]
+                    for c, s in (("Cup", "2016/2017"), ("Pr League", "2016/2017"), ("Pr League", "2017/2018"))])
+    names = [f"{base}/player_summary/Ann-Ó'Dea-{i}/2/" for i in range(1, 14)]
+    pages = spark.createDataFrame(
+        [(1, "s", season), (2, report, squad(13, 11) + squad(12, 11))], schemas.PAGES)
+    work = spark.createDataFrame([("s", 2017, 2018, "First", "one")],
+                                 "url string, season_start int, season_end int, title string, path string")
+    fixtures = ingest.fixtures_from_pages(pages, work, as_of=date(2018, 1, 1))
+    lineups = ingest.lineups_from_pages(pages, fixtures)
+    people = lineups.select("player", "team", "season_id").distinct()
+    link = ingest.BASE + "/player_summary/Ann-ÓDea/2/"
+    statistics = ingest.season_stats_from_pages(
+        spark.createDataFrame([(3, link, stats), (4, names[0], stats)], schemas.PAGES), people)
+    summary = squads.player_summary(squads.player_season_of(statistics), {"pl": "Pr League", "cl": "Ch League"})
+    windows = squads.player_windows(summary, 2, 2016, 2018)
+    ledger = matches.ledger_of(fixtures)
+    feats = squads.lineup_features(squads.lineup_of(lineups), windows)
+    got = squads.match_model_table(ledger, feats).collect()
+    assert [(r.contest_id, r.winner, r.home_avg_teams) for r in got] == [(report, "Home", 1.0)]
+    rows_ = matches.match_features(ledger).orderBy("round_no").collect()
+    assert [(r.round_no, r.winner, r.ht_points_before, r.at_points_before) for r in rows_] == [
+        (1, "Home", None, None), (2, None, 0, 3)]
+    literal = matches.match_features(ledger, "literal")
+    assert rows(literal.select("round_no", "winner")) == [(1, "Home"), (2, "0")]
+    assert matches.training_set(literal).count() == 1
+
+
 def test_split_exact_and_hash(spark):
     df = spark.range(1003).withColumnRenamed("id", "k")
     split = modelling.split_exact(df, 0.9, "k", 456).cache()
