@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contestlab.functions import points, rate
 from contestlab.operators.frames import prior_period
-from contestlab.operators.scans import BLOCK_ROWS, dense_rank_in, ordered_scan
+from contestlab.operators.scans import BLOCK_ROWS, BROADCAST_ROWS, dense_rank_in, ordered_scan
+from contestlab.session import pinned
 
 # Points per round of a title contender and of a relegation candidate, points
 # credited to a side without a previous season, games in the recent form, games the literal
@@ -176,7 +177,11 @@ def side_places(df: DataFrame, as_of: str = "before") -> DataFrame:
         "_previous": F.lag("day").over(by_day),
         "_next": F.lead("day").over(by_day),
     }).withColumn("_before", F.col("_after") - F.col("_won"))
-    spans = df.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
+    spans = pinned(df.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last")))
+    if spans.count() <= BROADCAST_ROWS:
+        seasonal = history.join(F.broadcast(spans), "season")
+    else:  # the repartitioning keeps the steps below from running on one task per season
+        seasonal = history.join(spans, "season").repartition("season", "team")
     # Stretches of days over which a side's total stands still: from a match day on, and with 0
     # points from the first day of the season to the day before the side's first match.
     held = F.struct(
@@ -186,8 +191,7 @@ def side_places(df: DataFrame, as_of: str = "before") -> DataFrame:
         F.lit(0).alias("_value"), F.date_sub("_first", shift).alias("_from"), F.date_sub("day", 1).alias("_to"))
     stretch = F.array(held, F.when(F.col("_previous").isNull(), opening))
     taken = (
-        history.join(spans, "season")
-        .select("season", F.explode(stretch).alias("_s"))
+        seasonal.select("season", F.explode(stretch).alias("_s"))
         .filter(F.col("_s._from") <= F.col("_s._to"))
         .select("season", "_s.*").distinct()
         .select("season", "_value", F.explode(F.sequence("_from", "_to")).alias("_day"))
