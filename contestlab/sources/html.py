@@ -12,66 +12,63 @@ from contestlab.schemas import PAGE_ROWS
 def _reader():
     """Batch function for `mapInArrow`. Everything it needs is defined inside, so that workers
     need no copy of this package."""
-    from html.parser import HTMLParser
-
-    class Tables(HTMLParser):
-        """Rows of cell texts per table, numbered in order of their opening tags. A nested table
-        is a table of its own."""
-
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.tables, self.open = [], []
-
-        def _end_cell(self, table):
-            if table["cell"] is not None:
-                text = "".join(table["cell"]).strip()
-                table["rows"][-1]["cells"] += [text] * table["span"]
-                table["cell"] = None
-
-        def handle_starttag(self, tag, attrs):
-            if tag == "table":
-                table = {"rows": [], "cell": None, "span": 1}
-                self.tables.append(table)
-                self.open.append(table)
-            elif self.open and tag == "tr":
-                self._end_cell(self.open[-1])
-                self.open[-1]["rows"].append({"cells": [], "data": 0})
-            elif self.open and tag in ("td", "th"):
-                table = self.open[-1]
-                self._end_cell(table)
-                if not table["rows"]:
-                    table["rows"].append({"cells": [], "data": 0})
-                span = dict(attrs).get("colspan") or "1"
-                table["span"] = max(1, int(span)) if span.isdigit() else 1
-                table["cell"] = []
-                table["rows"][-1]["data"] += tag == "td"
-            elif self.open and tag == "br" and self.open[-1]["cell"] is not None:
-                self.open[-1]["cell"].append("\n")
-
-        def handle_endtag(self, tag):
-            if not self.open:
-                return
-            if tag in ("td", "th", "tr"):
-                self._end_cell(self.open[-1])
-            elif tag == "table":
-                self._end_cell(self.open.pop())
-
-        def handle_data(self, data):
-            if self.open and self.open[-1]["cell"] is not None:
-                self.open[-1]["cell"].append(data)
-
-    def tables_of(html):
-        parser = Tables()
-        parser.feed(html or "")
-        parser.close()
-        while parser.open:
-            parser._end_cell(parser.open.pop())
-        for table_no, table in enumerate(parser.tables, 1):
+    import re
+    from html import unescape
+
+    inside = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+>"""
+    hidden = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+    table_tag = re.compile(rf"<(/?)(table|tr|td|th|br)\b({inside})", re.I)
+    any_tag = re.compile(rf"<[/!a-z]{inside}", re.I)
+    span = re.compile(r"""\bcolspan\s*=\s*["']?\s*(\d+)""", re.I)
+
+    def end_cell(table):
+        if table["cell"] is not None:
+            text = unescape(any_tag.sub("", "".join(table["cell"]))).strip()
+            table["rows"][-1]["cells"] += [text] * table["span"]
+            table["cell"] = None
+
+    def tables_of(page):
+        """Tables in order of their opening tags, each a list of rows of cell texts. A nested table
+        is a table of its own; end tags of cells and rows may be missing."""
+        page = hidden.sub("", page or "")
+        tables, unclosed, at = [], [], 0
+        for tag in table_tag.finditer(page):
+            table = unclosed[-1] if unclosed else None
+            if table and table["cell"] is not None:
+                table["cell"].append(page[at:tag.start()])
+            at = tag.end()
+            closing, name = tag[1], tag[2].lower()
+            if name == "table" and not closing:
+                unclosed.append({"rows": [], "cell": None, "span": 1})
+                tables.append(unclosed[-1])
+            elif table is None:
+                continue
+            elif closing and name != "br":
+                end_cell(table)
+                if name == "table":
+                    unclosed.pop()
+            elif name == "br":
+                if table["cell"] is not None:
+                    table["cell"].append("\n")
+            else:
+                end_cell(table)
+                if name == "tr" or not table["rows"]:
+                    table["rows"].append({"cells": [], "data": False})
+                if name != "tr":
+                    wide = span.search(tag[3])
+                    table["span"] = max(1, int(wide[1])) if wide else 1
+                    table["cell"] = []
+                    table["rows"][-1]["data"] |= name == "td"
+        if unclosed and unclosed[-1]["cell"] is not None:
+            unclosed[-1]["cell"].append(page[at:])
+        for table in unclosed:
+            end_cell(table)
+        for number, table in enumerate(tables, 1):
             rows = [r for r in table["rows"] if r["cells"]]
             if rows and not rows[0]["data"]:
                 rows = rows[1:]  # a first row of header cells names the columns
             width = max((len(r["cells"]) for r in rows), default=0)
-            yield table_no, [r["cells"] + [None] * (width - len(r["cells"])) for r in rows]
+            yield number, [r["cells"] + [None] * (width - len(r["cells"])) for r in rows]
 
     def read(batches):
         import pyarrow as pa

@@ -82,6 +82,14 @@ def test_html_tables(spark):
         (1, 3, 1, ["inner"], 1), (1, 5, 1, ["open"], 1)]
 
 
+def test_html_tables_odd_markup(spark):
+    page = """<!-- <table><tr><td>no</td></tr></table> --><script>"<table><tr><td>no"</script>
+      <TABLE class='a>b'><tr><td title="x > y" colspan = '2'>a &lt; b &amp;c <b>bold</b> 1 < 2</td><td>z</TD></tr>
+      <tr><th>h<td 5">q<!-- gone --></tr></TABLE></table>"""
+    got = rows(html.html_tables(spark.createDataFrame([(1, "u", page)], schemas.PAGES)), "row_no")
+    assert got == [(1, 1, 1, ["a < b &c bold 1 < 2"] * 2 + ["z"], 2), (1, 1, 2, ["h", "q", None], 2)]
+
+
 def table(*lines):
     return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in lines) + "</table>"
 
