@@ -30,11 +30,11 @@ s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM s0),
 s2 AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS weight,
          coalesce(sum(3 * source_size) OVER before, 0) AS capped, coalesce(sum(w) OVER before, 0) AS gone,
-         row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS at
+         row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS pos
        FROM s1 WINDOW before AS (ORDER BY 3 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-edge AS (SELECT capped, gone, total, weight, at FROM s2 WHERE w * (total - capped) <= 3 * source_size * (weight - gone) ORDER BY at LIMIT 1),
+edge AS (SELECT capped, gone, total, weight, pos FROM s2 WHERE w * (total - capped) <= 3 * source_size * (weight - gone) ORDER BY pos LIMIT 1),
 s3 AS (SELECT s.source, s.source_size,
-         CASE WHEN s.at < e.at THEN (3 * s.source_size)::DOUBLE
+         CASE WHEN s.pos < e.pos THEN (3 * s.source_size)::DOUBLE
               ELSE (s.w * (e.total - e.capped))::DOUBLE / (e.weight - e.gone)::DOUBLE END AS target
        FROM s2 s, edge e),
 q AS (SELECT *, floor(target)::BIGINT // greatest(source_size, 1) AS passes, floor(target)::BIGINT % greatest(source_size, 1) AS rest FROM s3),
