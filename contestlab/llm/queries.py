@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import mixing
+from contestlab.llm import lines, mixing
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -48,3 +48,20 @@ def mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(docs, "doc_id", F.regexp_count(whole(F.col("text")), F.lit(WORD)), F.array("source"))
     by_source = mix.rows.join(mixing.facts(spark, mix), F.col("pattern")[0].eqNullSafe(F.col("name")), "left")
     return by_source.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op5_line_dedup", r"""
+WITH l AS MATERIALIZED (
+  SELECT doc_id, unnest(generate_series(1, len(a))) AS pos, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT doc_id, pos, line,
+        translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (first < doc_id)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (first IS NULL OR first = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY doc_id
+""")
+def lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(documents(spark, sf_dir))
+    return out.select(F.col("key").alias("doc_id"), "n_lines", "n_dropped", sha256(F.col("kept")).alias("kept_sha256"))
