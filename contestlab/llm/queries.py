@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing
+from contestlab.llm import lines, mixing, sharding
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -65,3 +65,14 @@ FROM k LEFT JOIN f USING (key) GROUP BY doc_id
 def lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(documents(spark, sf_dir))
     return out.select(F.col("key").alias("doc_id"), "n_lines", "n_dropped", sha256(F.col("kept")).alias("kept_sha256"))
+
+
+@query("op6_shard_documents")
+def shard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = whole(F.col("text"))
+    out = sharding.shard_documents(
+        documents(spark, sf_dir), F.col("doc_id"), F.octet_length(text).cast("long") + 1, F.crc32(text), F.md5(text))
+    return out.select(
+        F.col("key").alias("doc_id"), F.col("size").cast("long").alias("size"), F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
