@@ -134,26 +134,25 @@ def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, wei
     targets = targets_of(sizes, weights, limit)
     load = route(capacity, {s: int(t) for s, t in targets.items()}, limit)
 
-    plan = spark.createDataFrame(
-        [(list(p), load[p] // c if c else 0, load[p] % c if c else 0) for p, c in capacity.items()],
-        "match array<string>, passes long, rest long")
-    dealt = rows.join(plan, F.col("pattern").eqNullSafe(F.col("match")), "left").drop("match")
-
-    def cut(df: DataFrame, at: str, by: list[str], out: str) -> DataFrame:
-        """The cell in which the words run out, per pattern, and the words left when it begins."""
-        cells = df.groupBy(*by, at, "rest").agg(F.sum("size").alias("words"))
-        upto = F.sum("words").over(Window.partitionBy(*by).orderBy(at))
-        return (cells.withColumn("upto", upto).where("upto - words <= rest AND rest < upto")
-                .select(*[F.col(c).alias(f"{c}_{out}") for c in by], F.col(at).alias(out),
-                        (F.col("rest") - F.col("upto") + F.col("words")).alias(f"left_{out}")))
-
-    first = cut(dealt, "c1", ["pattern"], "e1")
-    inner = dealt.join(first, F.col("pattern").eqNullSafe(F.col("pattern_e1")) & (F.col("c1") == F.col("e1")))
-    second = cut(inner.drop("rest").withColumnRenamed("left_e1", "rest"), "c2", ["pattern"], "e2")
-    edges = (first.join(second, F.col("pattern_e1").eqNullSafe(F.col("pattern_e2")), "left")
-             .select(F.col("pattern_e1").alias("match"), "e1", "e2", "left_e2"))
-    edges = stored(edges, "mix-edges")
-    placed = dealt.join(edges, F.col("pattern").eqNullSafe(F.col("match")), "left")
+    def cut(df: DataFrame, at: str) -> list[tuple]:
+        """Per pattern the cell in which the words run out and the words left when it begins."""
+        cells = df.groupBy("pattern", at, "rest").agg(F.sum("size").alias("words"))
+        upto = F.sum("words").over(Window.partitionBy("pattern").orderBy(at))
+        edge = cells.withColumn("upto", upto).where("upto - words <= rest AND rest < upto")
+        return [tuple(r) for r in edge.selectExpr("pattern", at, "rest - upto + words").collect()]
+
+    def beside(df: DataFrame, facts: list[tuple], schema: str) -> DataFrame:
+        """Facts of the patterns, one row each and already on the driver, joined by Spark's choice of their size."""
+        small = spark.createDataFrame(facts, f"match array<string>, {schema}")
+        return df.join(small, F.col("pattern").eqNullSafe(F.col("match")), "left").drop("match")
+
+    dealt = beside(rows, [(list(p), load[p] // c if c else 0, load[p] % c if c else 0) for p, c in capacity.items()],
+                   "passes long, rest long")
+    first = cut(dealt, "c1")
+    inner = beside(dealt.drop("rest"), first, "e1 int, rest long").where("c1 = e1")
+    left = {tuple(p): (e, n) for p, e, n in cut(inner, "c2")}
+    edges = [(p, e1, *left[tuple(p)]) for p, e1, _ in first]
+    placed = beside(dealt, edges, "e1 int, e2 int, left_e2 long")
     at_edge = F.coalesce((F.col("c1") == F.col("e1")) & (F.col("c2") == F.col("e2")), F.lit(False))
     before = (F.col("c1") < F.col("e1")) | ((F.col("c1") == F.col("e1")) & (F.col("c2") < F.col("e2")))
     w = (Window.partitionBy("pattern").orderBy("seeded", "key", "size")
