@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing, sharding
+from contestlab.llm import lines, mixing, quality_rules, sharding
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -76,3 +76,10 @@ def shard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), F.col("size").cast("long").alias("size"), F.col("crc").alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op7_quality_rules")
+def rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).select(
+        F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "class_distance", "word_distance")
