@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing, quality_rules, sharding
+from contestlab.llm import lines, mixing, quality_model, quality_rules, sharding
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -83,3 +83,9 @@ def rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(
         F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "class_distance", "word_distance")
+
+
+@query("op10_quality_classifier")
+def classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.classify(documents(spark, sf_dir), labels).withColumnRenamed("key", "doc_id")
