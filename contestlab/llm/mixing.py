@@ -142,9 +142,9 @@ def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, wei
         return [tuple(r) for r in edge.selectExpr("pattern", at, "rest - upto + words").collect()]
 
     def beside(df: DataFrame, facts: list[tuple], schema: str) -> DataFrame:
-        """Facts of the patterns, one row each and already on the driver, joined by Spark's choice of their size."""
+        """Facts of the patterns: one short row each, and already on the driver, so they are sent whole to every task."""
         small = spark.createDataFrame(facts, f"match array<string>, {schema}")
-        return df.join(small, F.col("pattern").eqNullSafe(F.col("match")), "left").drop("match")
+        return df.join(F.broadcast(small), F.col("pattern").eqNullSafe(F.col("match")), "left").drop("match")
 
     dealt = beside(rows, [(list(p), load[p] // c if c else 0, load[p] % c if c else 0) for p, c in capacity.items()],
                    "passes long, rest long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing, quality_model, quality_rules, sharding
+from contestlab.llm import lines, mixing, quality_model, quality_rules, secrets, sharding
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -46,7 +46,7 @@ FROM t JOIN q ON t.source IS NOT DISTINCT FROM q.source
 def mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mix = mixing.mix_sources(docs, "doc_id", F.regexp_count(whole(F.col("text")), F.lit(WORD)), F.array("source"))
-    by_source = mix.rows.join(mixing.facts(spark, mix), F.col("pattern")[0].eqNullSafe(F.col("name")), "left")
+    by_source = mix.rows.join(F.broadcast(mixing.facts(spark, mix)), F.col("pattern")[0].eqNullSafe(F.col("name")), "left")
     return by_source.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
@@ -89,3 +89,13 @@ def rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_model.classify(documents(spark, sf_dir), labels).withColumnRenamed("key", "doc_id")
+
+
+@query("op3_secret_scan")
+def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda x: x.kind < 3)
+    kinds = F.transform("spans", lambda x: x["name"])
+    counts = [F.size(F.filter(kinds, F.lit(name).__eq__)).cast("long").alias(f"n_{name}") for name in secrets.KINDS]
+    return out.select(F.col("key").alias("doc_id"), *counts, sha256(secrets.listed(base)).alias("base_sha256"),
+                      secrets.listed(F.col("spans")).alias("spans"))
