@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing, quality_model, quality_rules, secrets, sharding
+from contestlab.llm import lines, mixing, quality_model, quality_rules, secrets, sharding, spans
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -99,3 +99,10 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter(kinds, F.lit(name).__eq__)).cast("long").alias(f"n_{name}") for name in secrets.KINDS]
     return out.select(F.col("key").alias("doc_id"), *counts, sha256(secrets.listed(base)).alias("base_sha256"),
                       secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query("op9_span_dedup")
+def spans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spans.remove_repeats(documents(spark, sf_dir))
+    return out.select(F.col("key").alias("doc_id"), "n_sentences", "n_removed", sha256(F.col("kept")).alias("kept_sha256"),
+                      F.col("kept").alias("kept_text"))
