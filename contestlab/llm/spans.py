@@ -22,7 +22,7 @@ SENTENCES = 2   # of a run, at least
 WORDS = 20      # of a run, at least
 LONE = 40       # a sentence of so many words is a run of its own
 LONG = 24       # words; longer sentences are cut further
-_CUT = re.compile(r"[.!?]+[\x20\t]+|\n+")
+_CUT = re.compile(r"[.!?,;:]+[\x20\t]+|\n+")
 _WORD = re.compile(r"\S+\s*")
 _BATCH = 20_000  # rows of one output batch
 
@@ -30,8 +30,8 @@ _BATCH = 20_000  # rows of one output batch
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence, with the blanks that follow it; they cover the whole text.
 
-    A sentence of more than `LONG` words is cut further, after commas and the like and after words
-    picked by their hash, so that equal passages inside two long sentences are cut alike.
+    Clauses count as sentences, so that a passage inside longer sentences is found too. One of more than
+    `LONG` words is cut further, after words picked by their hash: equal passages are cut alike.
     """
     out, start = [], 0
     for end in [m.end() for m in _CUT.finditer(text)] + [len(text)]:
@@ -39,7 +39,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
             if text.count(" ", start, end) >= LONG:
                 for m in _WORD.finditer(text, start, end):
                     word = m[0].rstrip()
-                    if m.end() < end and (word[-1] in ",;:" or xxhash.xxh32_intdigest(word.lower()) % 8 == 0):
+                    if m.end() < end and xxhash.xxh32_intdigest(word.lower()) % 8 == 0:
                         out.append((start, m.end()))
                         start = m.end()
             out.append((start, end))
@@ -127,8 +127,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     """One row per input row: key (long), t1, n_sentences, n_removed (long) and kept, the text that stays.
 
     A run stays in the document with the smallest key that holds it, there at its first place. Sentences
-    end at a full stop, question or exclamation mark followed by a blank, or at a line break; they are
-    compared in lower case with single blanks. A missing key sorts first; rows that share a key count as
+    (and clauses) end at a mark of .!?,;: followed by a blank, or at a line break; they are compared in lower case with single blanks. A missing key sorts first; rows that share a key count as
     one document, equal rows get equal results. A missing or empty text has no sentences. An empty table
     gives no rows; other columns are not read.
 
