@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import lines, mixing, quality_model, quality_rules, secrets, sharding, spans
+from contestlab.llm import digest, lines, mixing, quality_model, quality_rules, secrets, sharding, spans
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -106,3 +106,8 @@ def spans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spans.remove_repeats(documents(spark, sf_dir))
     return out.select(F.col("key").alias("doc_id"), "n_sentences", "n_removed", sha256(F.col("kept")).alias("kept_sha256"),
                       F.col("kept").alias("kept_text"))
+
+
+@query("op4_fingerprints")
+def digest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.fingerprints(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
