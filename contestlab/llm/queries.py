@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import digest, lines, mixing, quality_model, quality_rules, secrets, sharding, spans
+from contestlab.llm import bpe, digest, lines, mixing, quality_model, quality_rules, secrets, sharding, spans
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -111,3 +111,14 @@ def spans_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_fingerprints")
 def digest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.fingerprints(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
+def vocabulary(path: str | None = None) -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary.read(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op2_byte_bpe")
+def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(documents(spark, sf_dir), vocabulary()).withColumnRenamed("key", "doc_id")
