@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import bpe, digest, lines, mixing, quality_model, quality_rules, secrets, sharding, spans
+from contestlab.llm import bpe, digest, lines, mixing, near, quality_model, quality_rules, secrets, sharding, spans
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -122,3 +122,8 @@ def vocabulary(path: str | None = None) -> bpe.Vocabulary:
 @query("op2_byte_bpe")
 def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), vocabulary()).withColumnRenamed("key", "doc_id")
+
+
+@query("op8_near_duplicates")
+def near_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir)).select(F.col("key").alias("doc_id"), "class_id", "n_links", "n_copies")
