@@ -23,7 +23,7 @@ WIDTH = 5          # words of a shingle
 TENTHS = 8         # least similarity, in tenths
 TREES, DEPTH = 21, 6
 LEAST_DEPTH = 3
-RECALL = 0.9999
+RECALL = 0.99999
 PLAUSIBLE = 0.6    # estimated similarity under which a candidate is not a link: over five deviations below 0.8
 BLOCK = 500        # nodes compared with as many others in one step
 _PORTION = 1 << 18  # words whose signatures are computed together
