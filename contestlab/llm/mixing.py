@@ -104,7 +104,7 @@ class Mix:
 
 
 def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, weights: Mapping | None = None,
-                limit: int = LIMIT, seed: str = "mix") -> Mix:
+                limit: int = LIMIT, seed: str = "mix", carry: Sequence[str] = ()) -> Mix:
     """Words to take of every document so that the sources meet their targets.
 
     `sources` is an array of names (a missing array: the one missing source; order and repeats do not
@@ -112,7 +112,8 @@ def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, wei
     pattern get the same number of whole passes; the rest of the pattern's words goes to documents in
     the order of md5(seed, key), and the one document at the edge gives only the words still missing.
     Equal keys are taken in order of size, equal rows are interchangeable; a missing key is a key of
-    its own. Empty documents give nothing; an empty table gives no rows. Other columns are not read.
+    its own. Empty documents give nothing; an empty table gives no rows. Other columns are not read,
+    but for those named in `carry`, which come with the rows.
 
     The driver holds one number per source and pattern. Documents are cut by two histograms of the
     seeded order, 2 ** 12 cells per pattern each, so that only the last cell is ordered by a window.
@@ -123,7 +124,7 @@ def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, wei
     cell = lambda at: F.conv(F.substring(order, at, 3), 16, 10).cast("int")
     rows = stored(docs.select(
         F.col(key).alias("key"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"), members.alias("pattern"),
-        order.alias("seeded"), cell(1).alias("c1"), cell(4).alias("c2")), "mix-rows")
+        order.alias("seeded"), cell(1).alias("c1"), cell(4).alias("c2"), *carry), "mix-rows")
 
     capacity = {tuple(r.pattern): r.size for r in rows.groupBy("pattern").agg(F.sum("size").alias("size")).collect()}
     sizes: dict = defaultdict(int)
@@ -161,7 +162,7 @@ def mix_sources(docs: DataFrame, key: str, size: Column, sources: Column, *, wei
         "more", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left_e2") - F.col("upto") + F.col("size"))))
     rest = placed.where(~at_edge).withColumn("more", F.when(before, F.col("size")).otherwise(0))
     out = edge.drop("upto").unionByName(rest).select(
-        "key", "size", "pattern", (F.col("passes") * F.col("size") + F.col("more")).cast("long").alias("taken"))
+        "key", "size", "pattern", *carry, (F.col("passes") * F.col("size") + F.col("more")).cast("long").alias("taken"))
     return Mix(out, dict(sizes), targets)
 
 

@@ -289,13 +289,13 @@ def _overlaps(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, t1 (a hash of the text), class_id, n_links and n_copies (long).
+    """One row per input row: key, t1 (a hash of the text), class_id, n_links, n_copies (long) and class_node.
 
     Documents are linked if the sets of their runs of five words have a Jaccard similarity of 0.8 or more,
     computed exactly on whole texts; a class is what links connect, named by its smallest key. `n_links`
     counts the other rows a row is linked to, `n_copies` the rows with an equal set, itself included. A text
     of one to four words is a set of one run; texts without words, missing ones too, are copies of each
-    other. A missing key sorts first and names a class null. Repeated rows are copies. An empty table
+    other. A missing key sorts first and names a class null; `class_node` (binary) tells such classes apart. Repeated rows are copies. An empty table
     gives no rows; other columns are not read.
 
     Copies are summed before anything is paired. Buckets and groups of any size are cut into blocks of
@@ -338,9 +338,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     counts = links.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     classes = components(links.where("b IS NOT NULL").select("a", "b"))
     classes = classes.join(nodes.select("node", "rep"), "node")
-    classes = classes.join(classes.groupBy("root").agg(F.min("rep").alias("class")), "root").select("node", "class")
+    classes = classes.join(classes.groupBy("root").agg(F.min("rep").alias("class")), "root").select("node", "class", "root")
     facts = nodes.select("node", "rep", "copies").join(classes, "node", "left").join(counts, "node", "left").select(
-        "node", F.coalesce("class", "rep").alias("class"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
+        "node", F.coalesce("class", "rep").alias("class"), F.coalesce("root", "node").alias("class_node"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
     out = signed.select("key", "unkeyed", "t1", "node").join(stored(facts, "near-facts"), "node")
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), "t1",
-                      F.when(F.col("class") > -(2**63), F.col("class")).alias("class_id"), "n_links", F.col("copies").alias("n_copies"))
+                      F.when(F.col("class") > -(2**63), F.col("class")).alias("class_id"), "n_links", F.col("copies").alias("n_copies"), "class_node")
