@@ -52,7 +52,8 @@ def references(docs: DataFrame, lang: str, text: str, common: int = COMMON) -> D
     counts = F.transform("top", lambda x: x.n.cast("double"))
     rest = F.col("words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
     return stored(sums.join(top, "ref_lang").join(classes, "ref_lang").select(
-        "ref_lang", "ref_classes", F.transform("top", lambda x: F.xxhash64(x.word)).alias("ref_hashes"),
+        "ref_lang", "ref_classes", F.map_from_entries(F.transform("top", lambda x, i: F.struct(
+            F.xxhash64(x.word), F.substring(F.lit(_MARKS), i + 1, F.lit(1))))).alias("ref_marks"),
         F.concat(counts, F.array(rest)).alias("ref_words")), "language-references")
 
 
@@ -75,26 +76,26 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     rows = rows.join(known, F.col("lang") == F.col("ref_lang"), "left").drop("ref_lang")
     rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words").cast("long")
+    rows = repeated_words(rows, "hashes", "repeats")
     names = list(CLASSES)
     space, symbol = (F.col("classes")[names.index(c)] for c in ("space", "symbol"))
     rows = rows.select(
-        "key", "text", "lang", "classes", "hashes", "ref_classes", "ref_hashes", "ref_words", n.alias("n_words"),
+        "key", "text", "lang", "classes", "hashes", "ref_classes", "ref_marks", "ref_words", n.alias("n_words"),
         (F.length("text") - space).cast("long").alias("word_chars"), symbol.cast("long").alias("n_symbols"),
         repeated_lines(F.split("text", "\n", -1)).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("hashes")).cast("long").alias("n_repeat_words"))
+        F.col("repeats").cast("long").alias("n_repeat_words"))
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     # each common word as one character, so that a histogram is a count of characters
-    marks = F.array_join(F.transform("hashes", lambda h: F.substring(
-        F.lit(_MARKS), F.array_position("ref_hashes", h).cast("int") + 1, F.lit(1))), "")
+    marks = F.array_join(F.transform("hashes", lambda h: F.coalesce(F.try_element_at("ref_marks", h), F.lit("-"))), "")
     every = F.length("marks").cast("double")
-    bins = [(every - F.length(F.replace("marks", F.lit(_MARKS[i + 1])))).cast("double") for i in range(COMMON)]
-    bins.append(every - F.length(F.translate("marks", _MARKS[0], "")))
+    bins = [(every - F.length(F.replace("marks", F.lit(_MARKS[i])))).cast("double") for i in range(COMMON)]
+    bins.append(every - F.length(F.translate("marks", "-", "")))
     guarded = (F.col("n_words") >= MIN_WORDS) & F.col("ref_words").isNotNull()
     rows = rows.withColumn("marks", F.when(guarded, marks)).drop("hashes").withColumn(
         "bins", F.slice(F.array(*bins), 1, F.size("ref_words") - 1)).withColumn(
         "bins", F.concat("bins", F.array(bins[-1])))
     rows = rows.select(
-        *[c for c in rows.columns if c not in ("classes", "marks", "bins", "ref_classes", "ref_hashes", "ref_words")],
+        *[c for c in rows.columns if c not in ("classes", "marks", "bins", "ref_classes", "ref_marks", "ref_words")],
         F.when(guarded, js_distance(F.col("classes"), F.col("ref_classes"))).alias("class_distance"),
         F.when(guarded, js_distance(F.col("bins"), F.col("ref_words"))).alias("word_distance"))
     bound = BOUND + SLACK / F.sqrt("n_words")

@@ -35,23 +35,28 @@ def class_counts(df: DataFrame, text: str, out: str = "classes") -> DataFrame:
     return df.withColumn(out, F.array(*counts)).drop(*[f"rest{i}" for i in range(len(CLASSES))])
 
 
-def repeated_words(hashes: Column, width: int = 3) -> Column:
-    """Number of words in windows of `width` words that occur at least twice in the text.
+def repeated_words(df: DataFrame, hashes: str, out: str, width: int = 3) -> DataFrame:
+    """Adds the number of words in windows of `width` words that occur at least twice in the text.
 
-    Takes the array of word hashes; windows are compared by a 64-bit hash within one text only.
+    Takes an array of word hashes; windows are compared by a 64-bit hash within one text only. The upper
+    bits of a window's hash and its place share one number, so that sorting plain numbers brings equal
+    windows together; neighbours are then compared by the whole hash.
     """
-    def covered(windows: Column) -> Column:
-        ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return let(ordered, lambda s: F.size(F.array_distinct(F.flatten(F.transform(
-            F.filter(s, lambda x, i: (x.h == F.get(s, i - 1).h) | (x.h == F.get(s, i + 1).h)),
-            lambda x: F.array(*[x.i + k for k in range(width)]))))))
-
-    def count(h: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(h) - width),
-                              lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
-        return let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w)))
-
-    return let(hashes, lambda h: F.when(F.size(h) <= width, F.lit(0)).otherwise(count(h)))
+    n = F.size(hashes)
+    windows = F.when(n > width, F.transform(F.sequence(F.lit(0), n - width), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)])))
+    df = df.withColumn("windows_", windows)
+    df = df.withColumn("windows_", F.when(F.size(F.array_distinct("windows_")) < F.size("windows_"), F.col("windows_")))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.size("windows_").cast("long")))) - 1
+    df = df.withColumn("mask_", mask)
+    df = df.withColumn("order_", F.transform("windows_", lambda h, i: h.bitwiseAND(F.bitwise_not("mask_")).bitwiseOR(i.cast("long"))))
+    df = df.withColumn("order_", F.sort_array("order_"))
+
+    def window(x: Column) -> Column:
+        return F.get("windows_", x.bitwiseAND(F.col("mask_")).cast("int"))
+
+    twice = F.filter("order_", lambda x, i: (window(x) == window(F.get("order_", i - 1))) | (window(x) == window(F.get("order_", i + 1))))
+    covered = F.flatten(F.transform(twice, lambda x: let(x.bitwiseAND(F.col("mask_")), lambda p: F.array(*[p + k for k in range(width)]))))
+    return df.withColumn(out, F.coalesce(F.size(F.array_distinct(covered)), F.lit(0))).drop("windows_", "mask_", "order_")
 
 
 def repeated_lines(lines: Column) -> Column:
