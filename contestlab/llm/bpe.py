@@ -27,8 +27,7 @@ from contestlab.llm.common import whole
 from contestlab.llm.textstats import let
 
 _BASE = 0x0800              # character of rank 0; up to U+D7FF every character takes three bytes in UTF-8
-_MARK, _NONE = "", ""  # before an entry of the map; no merge, greater than every token
-_BUCKETS = 1 << 16
+_MARK = "\ue000"             # ends a finished state
 BLOCK = 32 << 20            # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
 
@@ -53,69 +52,101 @@ class Vocabulary:
         """Every way to put a token together from two others."""
         return [(t[:i], t[i:]) for t in self.ranks for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
 
-    def ambiguous(self, merges: list[tuple[bytes, bytes]]) -> set[str]:
-        """Symbols of tokens with two cuts that share a part, so that places of different cuts can overlap."""
+    def exceptions(self, merges: list[tuple[bytes, bytes]]) -> dict[bytes, bytes]:
+        """Tokens whose places cannot simply be merged all at once, with a sign for the reason.
+
+        Ambiguous ones (2) have two cuts that share a part, so that places of different cuts can overlap.
+        Early ones (1, with both reasons 3) are part of a token of lower rank, so that a merge may make a pair that goes first.
+        """
         if len(self.ranks) > 0xD800 - _BASE or any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("the vocabulary needs all single bytes and at most 53,248 tokens")
-        rights, lefts = defaultdict(set), defaultdict(set)
+        rights, lefts, early = defaultdict(set), defaultdict(set), set()
         for a, b in merges:
             rights[a + b].add(b)
             lefts[a + b].add(a)
-        return {self.symbol(t) for t in rights if len(rights[t]) > 1 and rights[t] & lefts[t]}
+            early |= {t for t in (a, b) if self.ranks[t] > self.ranks[a + b]}
+        ambiguous = {t for t in rights if len(rights[t]) > 1 and rights[t] & lefts[t]}
+        return {t: b"%d" % ((t in early) + 2 * (t in ambiguous)) for t in early | ambiguous}
 
 
-def rank_map(vocabulary: Vocabulary, merges: list[tuple[bytes, bytes]]) -> Column:
-    """The merges as a literal array of buckets: each a text of entries mark, pair, merged symbol.
+@dataclass(frozen=True)
+class RankMap:
+    """The merges as two literals: a perfect hash of the pairs, packed so tightly that it stays in a core's cache.
 
-    A bucket begins with the symbol for no merge in the third place, where a failed search looks.
+    A pair belongs to a group; the group's byte in `turns` is hashed with the pair to its slot of
+    `slots`, which holds the pair, its token and the token's sign, 10 bytes together. A pair without a merge
+    finds another pair there.
     """
-    buckets = [["  " + _NONE] for _ in range(_BUCKETS)]
-    for a, b in merges:
-        pair = vocabulary.symbol(a) + vocabulary.symbol(b)
-        buckets[xxhash.xxh64_intdigest(pair.encode(), 42) % _BUCKETS].append(_MARK + pair + vocabulary.symbol(a + b))
-    return F.split(F.lit("\n".join("".join(b) for b in buckets)), "\n")
 
+    turns: bytes
+    slots: bytes
 
-def encode_word(symbols: Column, table: Column, ambiguous: set[str]) -> Column:
+    @classmethod
+    def of(cls, vocabulary: Vocabulary, merges: list[tuple[bytes, bytes]]) -> RankMap:
+        size = max(1024, 1 << (len(merges) * 6 // 5).bit_length())
+        signs = vocabulary.exceptions(merges)
+        groups: list[list[tuple[bytes, bytes]]] = [[] for _ in range(size // 4)]
+        for a, b in merges:
+            pair = (vocabulary.symbol(a) + vocabulary.symbol(b)).encode()
+            groups[xxhash.xxh64_intdigest(pair, 42) % len(groups)].append((pair, vocabulary.symbol(a + b).encode() + signs.get(a + b, b"0")))
+        turns, slots = bytearray(len(groups)), [b"-" * 10] * size
+        taken = [False] * size
+        for g in sorted(range(len(groups)), key=lambda g: -len(groups[g])):
+            for turn in range(256):
+                at = [xxhash.xxh64_intdigest(bytes([turn]), xxhash.xxh64_intdigest(pair, 42)) % size for pair, _ in groups[g]]
+                if len(set(at)) == len(at) and not any(taken[x] for x in at):
+                    break
+            else:
+                raise ValueError("no place for a group of merges")
+            turns[g] = turn
+            for x, (pair, token) in zip(at, groups[g], strict=True):
+                taken[x], slots[x] = True, pair + token
+        return cls(bytes(turns), b"".join(slots))
+
+    def tokens(self, pairs: Column, turns: Column, slots: Column) -> Column:
+        """The merged symbol of every pair of an array with its sign, or null. The literals come bound, see `encode_word`."""
+        def slot(pair: Column) -> Column:
+            group = F.pmod(F.xxhash64(pair), F.lit(len(self.turns))).cast("int")
+            return F.pmod(F.xxhash64(pair, F.substring(turns, group + 1, F.lit(1))), F.lit(len(self.slots) // 10)).cast("int") * 10
+
+        return F.zip_with(pairs, F.transform(pairs, slot), lambda p, at: F.when(
+            F.substring(slots, at + 1, F.lit(6)).cast("string") == p, F.substring(slots, at + 7, F.lit(4)).cast("string")))
+
+
+def encode_word(symbols: Column, table: RankMap) -> Column:
     """The merges folded over a word, given as one symbol per byte.
 
     The rule is: merge the pair of the lowest rank, of several the leftmost. All places of that pair are
-    merged at once, unless other pairs give the same token. Should this make a pair of lower rank, the
-    step is taken back and the leftmost place merged alone.
+    merged at once, but only the leftmost if other pairs give the same token or if the merges make a
+    pair of lower rank.
     """
-    def merged(pair: Column) -> Column:
-        bucket = F.get(table, F.pmod(F.xxhash64(pair), F.lit(_BUCKETS)).cast("int"))
-        return F.substring(bucket, F.instr(bucket, F.concat(F.lit(_MARK), pair)) + 3, F.lit(1))
-
-    def state(now: Column, before: Column, token: Column, at: Column, many: Column) -> Column:
-        return F.struct(now.alias("now"), before.alias("before"), token.alias("token"), at.cast("int").alias("at"), many.alias("many"))
+    def pairs_of(state: Column) -> Column:
+        raw = state.cast("binary")
+        return F.transform(F.sequence(F.lit(0), (F.octet_length(state) / 3).cast("int") - 2),
+                           lambda i: F.substring(raw, 3 * i + 1, F.lit(6)).cast("string"))
 
-    def once(text: Column, token: Column, at: Column) -> Column:
-        return F.concat(F.substring(text, F.lit(1), at - 1), token, F.substring(text, at + 2, F.length(text)))
+    def step(state: Column, tokens_of) -> Column:
+        return let(pairs_of(state), lambda p: let(tokens_of(p), lambda t: let(F.array_min(t), lambda best: F.when(
+            best.isNull(), F.concat(state, F.lit(_MARK))).otherwise(let(first(t, best), lambda at: merge(state, p, t, best, at, tokens_of))))))
 
-    def step(s: Column) -> Column:
-        raw = F.encode(s.now, "UTF-8")
-        pairs = F.transform(F.sequence(F.lit(0), F.length(s.now) - 2),
-                            lambda i: F.decode(F.substring(raw, 3 * i + 1, F.lit(6)), "UTF-8"))
-        return let(pairs, lambda p: let(F.transform(p, merged), lambda m: let(F.array_min(m), lambda best: chosen(s, p, m, best))))
+    def first(tokens: Column, best: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).eqNullSafe(best))[0]
 
-    def chosen(s: Column, pairs: Column, tokens: Column, best: Column) -> Column:
-        back = state(once(s.before, s.token, s["at"]), s.before, s.token, s["at"], F.lit(False))
-        end = state(F.concat(s.now, F.lit(_MARK)), s.before, s.token, s["at"], F.lit(False))
-        on = let(F.array_position(tokens, best).cast("int"), lambda at: let(
-            F.when(best.isin(*sorted(ambiguous)) & other(pairs, tokens, best, F.get(pairs, at - 1)), once(s.now, best, at))
-            .otherwise(F.replace(s.now, F.get(pairs, at - 1), best)),
-            lambda new: state(new, s.now, best, at, F.length(new) < F.length(s.now) - 1)))
-        return F.when(s.many & (best < s.token), back).when(best == _NONE, end).otherwise(on)
+    def merge(state: Column, pairs: Column, tokens: Column, best: Column, at: Column, tokens_of) -> Column:
+        pair, symbol, sign = F.get(pairs, at), F.substring(best, F.lit(1), F.lit(1)), F.substring(best, F.lit(2), F.lit(1))
+        others = F.exists(F.zip_with(pairs, tokens, lambda p, t: (t == best) & (p != pair)), lambda x: x)
+        several = lambda new: F.octet_length(new) + 3 < F.octet_length(state)
+        new = let(F.replace(state, pair, symbol), lambda new: F.when((sign == "0") | ~several(new), new).when(
+            ~(((sign >= "2") & others) | (F.array_min(tokens_of(pairs_of(new))) < best)), new))
+        return F.coalesce(new, F.concat(F.substring(state, F.lit(1), at), symbol, F.substring(state, at + 3, F.length(state))))
 
-    def other(pairs: Column, tokens: Column, best: Column, pair: Column) -> Column:
-        return F.exists(F.arrays_zip(pairs.alias("pair"), tokens.alias("token")), lambda x: (x["token"] == best) & (x["pair"] != pair))
+    def fold(turns: Column, slots: Column) -> Column:
+        tokens_of = lambda pairs: table.tokens(pairs, turns, slots)
+        steps = F.sequence(F.lit(1), F.greatest(F.length(symbols), F.lit(1)))
+        done = lambda s: (F.octet_length(s) <= 3) | F.endswith(s, F.lit(_MARK))
+        return F.rtrim(F.aggregate(steps, symbols, lambda s, _: F.when(done(s), s).otherwise(step(s, tokens_of))), F.lit(_MARK))
 
-    # a step merges, takes one back or ends the word: fewer than two for every byte
-    steps = F.sequence(F.lit(1), F.greatest(2 * F.length(symbols), F.lit(1)))
-    start = state(symbols, symbols, F.lit(""), F.lit(0), F.lit(False))
-    done = lambda s: (F.length(s.now) <= 1) | F.endswith(s.now, F.lit(_MARK))
-    return F.rtrim(F.aggregate(steps, start, lambda s, _: F.when(done(s), s).otherwise(step(s)), lambda s: s.now), F.lit(_MARK))
+    return let(F.lit(table.turns), lambda turns: let(F.lit(table.slots), lambda slots: fold(turns, slots)))
 
 
 _CUT = pa.schema([("word", pa.string()), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
@@ -196,12 +227,11 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc
     no rows; other columns are not read. A task holds one block: `BLOCK` characters, or one document.
     """
     merges = vocabulary.merges()
-    ambiguous = vocabulary.ambiguous(merges)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))
     cut = rows.mapInArrow(_cutter(vocabulary), "word string, key long, unkeyed boolean, places array<int>")
     word = F.col("word")
-    done = cut.withColumn("word", F.when(F.length(word) > 1, encode_word(word, rank_map(vocabulary, merges), ambiguous)).otherwise(word))
+    done = cut.withColumn("word", F.when(F.length(word) > 1, encode_word(word, RankMap.of(vocabulary, merges))).otherwise(word))
     out = done.mapInArrow(_joiner(vocabulary, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
                           + (", ids string" if with_ids else ""))
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), *out.columns[2:])
