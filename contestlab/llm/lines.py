@@ -14,18 +14,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contestlab.llm.common import discard, stored, whole, wide_hash
+from contestlab.llm.common import BLANKS, discard, stored, whole, wide_hash
 
 MIN_CHARS = 10
 FAN = 3
-_STRIP = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
-_BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def line_key(line: Column) -> Column:
     """The line without blanks at its ends, A-Z in lower case; other letters as they are."""
-    return F.translate(F.btrim(line, F.lit(_BLANKS)), _UPPER, _LOWER)
+    return F.translate(F.btrim(line, F.lit(BLANKS)), _UPPER, _LOWER)
 
 
 class LineRuns:

@@ -15,7 +15,7 @@ COMMON = 24            # words of a language in its histogram; all other words a
 MIN_WORDS = 50         # below, histograms say nothing
 MIN_REFERENCE = 5_000  # words that a language must have for a reference of its own
 BOUND, SLACK = 0.24, 1.2  # a text of n words may be BOUND + SLACK / sqrt(n) away from its language
-_MARKS = "".join(chr(0x4E00 + i) for i in range(256))  # one character per common word, to count them by
+_MARKS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"  # one character per common word, to count them by
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -36,13 +36,11 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def references(docs: DataFrame, lang: str, text: str, common: int = COMMON) -> DataFrame:
-    """One row per language with enough words: class counts, and its most frequent words with their counts.
+    """One row per language with enough words: its most frequent words with their counts, and that of all others.
 
     Words are counted on the map side first; each task passes on only its most frequent words per language.
     """
     docs = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("ref_lang"), whole(F.col(text)).alias("text"))
-    classes = class_counts(docs, "text").groupBy("ref_lang").agg(
-        F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("ref_classes"))
     words = stored(docs.select("ref_lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("ref_lang", "word").agg(
         F.count(F.lit(1)).alias("n")), "word-counts")
     rank = F.row_number().over(Window.partitionBy("ref_lang").orderBy(F.desc("n"), "word"))
@@ -51,14 +49,14 @@ def references(docs: DataFrame, lang: str, text: str, common: int = COMMON) -> D
     sums = words.groupBy("ref_lang").agg(F.sum("n").alias("words")).where(F.col("words") >= MIN_REFERENCE)
     counts = F.transform("top", lambda x: x.n.cast("double"))
     rest = F.col("words") - F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-    return stored(sums.join(top, "ref_lang").join(classes, "ref_lang").select(
-        "ref_lang", "ref_classes", F.map_from_entries(F.transform("top", lambda x, i: F.struct(
+    return stored(sums.join(top, "ref_lang").select(
+        "ref_lang", F.map_from_entries(F.transform("top", lambda x, i: F.struct(
             F.xxhash64(x.word), F.substring(F.lit(_MARKS), i + 1, F.lit(1))))).alias("ref_marks"),
         F.concat(counts, F.array(rest)).alias("ref_words")), "language-references")
 
 
 def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per input row: key, text, lang and the columns
+    """One row per input row: key, lang and the columns
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, class_distance,
     word_distance (double, null where a guard holds), kept.
@@ -72,32 +70,28 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     """
     docs = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"), F.col(lang).alias("lang"))
     known = references(docs, "lang", "text")
-    rows = class_counts(docs, "text").withColumn("words", words_of(F.col("text")))
+    rows = class_counts(docs, "text").withColumn("hashes", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
     rows = rows.join(known, F.col("lang") == F.col("ref_lang"), "left").drop("ref_lang")
-    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    n = F.size("words").cast("long")
-    rows = repeated_words(rows, "hashes", "repeats")
-    names = list(CLASSES)
-    space, symbol = (F.col("classes")[names.index(c)] for c in ("space", "symbol"))
-    rows = rows.select(
-        "key", "text", "lang", "classes", "hashes", "ref_classes", "ref_marks", "ref_words", n.alias("n_words"),
-        (F.length("text") - space).cast("long").alias("word_chars"), symbol.cast("long").alias("n_symbols"),
-        repeated_lines(F.split("text", "\n", -1)).cast("long").alias("n_dup_lines"),
-        F.col("repeats").cast("long").alias("n_repeat_words"))
-    rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     # each common word as one character, so that a histogram is a count of characters
+    n = F.size("hashes").cast("long")
     marks = F.array_join(F.transform("hashes", lambda h: F.coalesce(F.try_element_at("ref_marks", h), F.lit("-"))), "")
-    every = F.length("marks").cast("double")
-    bins = [(every - F.length(F.replace("marks", F.lit(_MARKS[i])))).cast("double") for i in range(COMMON)]
-    bins.append(every - F.length(F.translate("marks", "-", "")))
-    guarded = (F.col("n_words") >= MIN_WORDS) & F.col("ref_words").isNotNull()
-    rows = rows.withColumn("marks", F.when(guarded, marks)).drop("hashes").withColumn(
-        "bins", F.slice(F.array(*bins), 1, F.size("ref_words") - 1)).withColumn(
-        "bins", F.concat("bins", F.array(bins[-1])))
-    rows = rows.select(
-        *[c for c in rows.columns if c not in ("classes", "marks", "bins", "ref_classes", "ref_marks", "ref_words")],
-        F.when(guarded, js_distance(F.col("classes"), F.col("ref_classes"))).alias("class_distance"),
-        F.when(guarded, js_distance(F.col("bins"), F.col("ref_words"))).alias("word_distance"))
+    rows = repeated_words(rows, "hashes", "repeats").withColumn("marks", F.when((n >= MIN_WORDS) & F.col("ref_words").isNotNull(), marks))
+    common = [(F.length("marks") - F.length(F.replace("marks", F.lit(m)))).cast("double") for m in _MARKS[:COMMON]]
+    others = (F.length("marks") - F.length(F.replace("marks", F.lit("-"), F.lit("")))).cast("double")
+    bins = F.concat(F.slice(F.array(*common), F.lit(1), F.size("ref_words") - 1), F.array(others))
+    space, symbol = (F.col("classes")[list(CLASSES).index(c)] for c in ("space", "symbol"))
+    rows = stored(rows.select(
+        "key", "lang", "classes", n.alias("n_words"), (F.length("text") - space).cast("long").alias("word_chars"),
+        symbol.cast("long").alias("n_symbols"), repeated_lines(F.split("text", "\n", -1)).cast("long").alias("n_dup_lines"),
+        F.col("repeats").cast("long").alias("n_repeat_words"),
+        F.when(F.col("marks").isNotNull(), js_distance(bins, F.col("ref_words"))).alias("word_distance")), "quality-rows")
+
+    by_class = rows.groupBy(F.col("lang").alias("ref_lang")).agg(
+        F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("ref_classes"))
+    rows = rows.join(by_class, F.col("lang") == F.col("ref_lang"), "left")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = rows.withColumn("base_failed", failed).withColumn(
+        "class_distance", F.when(F.col("word_distance").isNotNull(), js_distance(F.col("classes"), F.col("ref_classes"))))
     bound = BOUND + SLACK / F.sqrt("n_words")
-    far = F.greatest(F.coalesce("class_distance", F.lit(0.0)), F.coalesce("word_distance", F.lit(0.0))) > bound
-    return rows.withColumn("kept", ~(F.col("base_failed") | F.coalesce(far, F.lit(False))))
+    far = F.coalesce(F.greatest("class_distance", "word_distance") > bound, F.lit(False))
+    return rows.withColumn("kept", ~(F.col("base_failed") | far)).drop("classes", "ref_lang", "ref_classes")

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contestlab.llm.common import SPACE
+from contestlab.llm.common import BLANKS, SPACE
 
 # Character classes in the order in which they are taken out of the text.
 CLASSES = {
     "lower": "[a-z]+", "space": SPACE + "+", "upper": "[A-Z]+", "symbol": r"[#*$%&|<>]+", "digit": "[0-9]+",
-    "mark": r"[\x00-\x7F]+", "other": r"(?s).+",
+    "mark": r"[\x00-\x7F]+", "other": None,
 }
 
 
@@ -22,13 +22,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """Maximal runs of characters that are not blanks."""
-    return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(BLANKS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
 
 
 def class_counts(df: DataFrame, text: str, out: str = "classes") -> DataFrame:
     """An array of code points per class. Each class is cut out of what the ones before it left, so the texts shrink."""
     rest, counts = F.col(text), []
     for i, pattern in enumerate(CLASSES.values()):
+        if pattern is None:  # all that is left
+            counts.append(F.length(rest).cast("double"))
+            break
         df = df.withColumn(f"rest{i}", F.regexp_replace(rest, pattern, ""))
         counts.append((F.length(rest) - F.length(f"rest{i}")).cast("double"))
         rest = F.col(f"rest{i}")
