@@ -76,8 +76,11 @@ def is_long(text: bytes) -> bool:
     return len(text) >= 4 * LEAST or len(text) >= LEAST <= len(text.decode(errors="ignore"))
 
 
-def select(texts: list[bytes], table: np.ndarray) -> list[np.ndarray]:
-    """Places of the features of each text: the popular ones, or every window of a text too short to choose from."""
+def select(texts: list[bytes], table: np.ndarray, always: bool = True) -> list[np.ndarray]:
+    """Places of the features of each text: the popular ones, or every window of a text too short to choose from.
+
+    A text that repeats itself closely may have no popular one; then the most popular ones are taken, if `always`.
+    """
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     ranks = table[levels(data)]
     ends = np.cumsum([len(t) for t in texts])
@@ -94,7 +97,7 @@ def select(texts: list[bytes], table: np.ndarray) -> list[np.ndarray]:
             continue
         mine = popular[first:first + features]
         at = np.flatnonzero(mine >= POPULAR)
-        out.append(at if len(at) else np.array([np.argmax(mine)]))
+        out.append(at if len(at) or not always else np.flatnonzero(mine == mine.max()))
     return out
 
 
@@ -172,7 +175,8 @@ def edited_text(text: str, following: str) -> str:
 def compare(texts: list[str], table: np.ndarray) -> list[tuple]:
     """For each text but the last, against its edited version and against the text that follows."""
     raw = [t.encode() for t in texts]
-    places = select(raw, table)
+    popular = select(raw, table, always=False)
+    places = [at if len(at) else select([r], table)[0] for r, at in zip(raw, popular, strict=True)]
     chains = [filters(r, at) for r, at in zip(raw, places, strict=True)]
     edits, tails, keeps = [], [], []
     for t, r, following in zip(texts, raw, texts[1:]):
@@ -187,7 +191,7 @@ def compare(texts: list[str], table: np.ndarray) -> list[tuple]:
     for i, (edited, keep, at) in enumerate(zip(edits, keeps, _tail_places(tails, keeps, table), strict=True)):
         if keep:
             edge = keep - (WINDOW + REACH - 1)
-            old = places[i][places[i] <= edge]
+            old = popular[i][popular[i] <= edge]
             new = at + keep - LEAST + 1
             at = np.concatenate([old, new[new > edge]])
             if not len(at):
@@ -201,7 +205,7 @@ def compare(texts: list[str], table: np.ndarray) -> list[tuple]:
 def _tail_places(tails: list[bytes], keeps: list[int], table: np.ndarray) -> list[np.ndarray]:
     """Places of popular features in the ends of edited texts, by the rule of long texts where the whole text is long."""
     out = []
-    for t, keep, at in zip(tails, keeps, select(tails, table), strict=True):
+    for t, keep, at in zip(tails, keeps, select(tails, table, always=False), strict=True):
         if keep and not is_long(t):  # judged as part of a long text
             ranks = table[levels(np.frombuffer(t, dtype=np.uint8))]
             at = np.flatnonzero(popularity(ranks, np.ones(max(0, len(ranks) - REACH + 1), dtype=bool)) >= POPULAR)

@@ -1,14 +1,13 @@
 """Secret scan: three fixed patterns, and tokens that look random rather than like an identifier.
 
 Two character Markov models are trained from samples that the fixed patterns label: the random
-model from the values they find, the identifier model from the long words of documents where they find
-nothing. A token is a secret when its log-likelihood ratio per character is high enough.
+model from the values they find, the identifier model from the tokens of identifier form in documents
+where they find nothing. A token is a secret when its log-likelihood ratio per character is high enough.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab.llm.common import stored, whole
@@ -22,10 +21,11 @@ KINDS = ("assign", "access", "hex")
 
 #: Maximal runs of token characters of at least 20, the candidates of the models.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-#: Words the identifier model learns from: 8 characters or more.
-LONG_WORD = r"[A-Za-z0-9+/_=-]{8,}"
+#: Tokens labelled as ordinary: 8 characters or more, letters in parts joined by _ / or -, digits only at the end of a part.
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9_/-]{8})[A-Za-z]+[0-9]{0,4}(?:[_/-][A-Za-z]*[0-9]{0,4})*(?![A-Za-z0-9+/_=-])"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 UNIFORM = 0.3  # share of the uniform model in the random one
+BACK_OFF = 5.0  # weight of single characters in the identifier model
 MARGIN = 0.7  # nats per character
 LEAST_PAIRS = 1000  # a model of fewer character pairs is not used
 
@@ -67,11 +67,10 @@ def train(rows: DataFrame) -> Column | None:
     `rows` has arrays `random` and `ordinary` of sample tokens. Counts are summed over all rows; the
     table has one number per pair of the alphabet, whatever the size of the corpus. The random model is
     blended with the uniform one, as secrets come in more alphabets than the samples have; the
-    identifier model is smoothed by one count per pair. None where either model has too few pairs.
+    identifier model backs off to its single characters. None where either model has too few pairs.
     """
     size = len(ALPHABET)
-    counts = [[0.0] * (size * size), [1.0] * (size * size)]
-    seen = [0, 0]
+    counts = np.zeros((2, size, size))
     samples = F.array(F.struct(F.lit(0).alias("model"), F.col("random").alias("tokens")),
                       F.struct(F.lit(1).alias("model"), F.col("ordinary").alias("tokens")))
     pairs = (rows.select(F.explode(samples).alias("s")).select("s.model", F.explode("s.tokens").alias("token"))
@@ -82,15 +81,14 @@ def train(rows: DataFrame) -> Column | None:
     for r in pairs.collect():  # at most two models times the pairs of the alphabet
         a, b = ALPHABET.find(r.pair[0]), ALPHABET.find(r.pair[1])
         if a >= 0 and b >= 0:
-            counts[r.model][a * size + b] += r.n
-            seen[r.model] += r.n
-    if min(seen) < LEAST_PAIRS:
+            counts[r.model, a, b] += r.n
+    if counts.sum(axis=(1, 2)).min() < LEAST_PAIRS:
         return None
-    ratio = []
-    for a in range(size):
-        drawn, named = (m[a * size:(a + 1) * size] for m in counts)
-        ratio += [math.log((1 - UNIFORM) * x / max(sum(drawn), 1) + UNIFORM / size) - math.log(y / sum(named))
-                  for x, y in zip(drawn, named, strict=True)]
+    after = counts.sum(axis=2, keepdims=True)
+    drawn = (1 - UNIFORM) * counts[0] / np.maximum(after[0], 1) + UNIFORM / size
+    single = counts[1].sum(axis=0) + 0.5
+    named = (counts[1] + BACK_OFF * single / single.sum()) / (after[1] + BACK_OFF)
+    ratio = np.log(drawn / named).ravel().tolist()
     return F.array(*[F.lit(round(x, 6)) for x in ratio])
 
 
@@ -103,7 +101,7 @@ def likelihood_ratio(token: Column, table: Column) -> Column:
                            lambda a, b: F.get(table, (a - 1) * size + b - 1))
         return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / (F.size(c) - 1)
 
-    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    places = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1))))
     return let(F.filter(places, lambda p: p > 0), total)
 
 
@@ -126,7 +124,7 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: fl
     tokens = F.filter(matches_at(t, TOKEN), lambda x: x.value.rlike("[0-9]") & x.value.rlike("[A-Za-z]"))
     free = F.filter(_named(tokens, "random", 3), lambda x: ~F.exists("base", lambda b: (b.start < x.end) & (x.start < b.end)))
     rows = rows.select("key", "base", free.alias("free"), F.transform("base", lambda b: b.value).alias("random"),
-                       F.when(F.size("base") == 0, F.regexp_extract_all("text", F.lit(LONG_WORD), F.lit(0))).alias("ordinary"))
+                       F.when(F.size("base") == 0, F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("ordinary"))
     samples = rows.select("random", "ordinary")
     found = stored(rows.select("key", "base", "free"), "secret-candidates")
     table = train(samples)
