@@ -17,7 +17,9 @@ import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -152,6 +154,14 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
 _CUT = pa.schema([("word", pa.string()), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
 
 
+class _Places(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 def _cutter(vocabulary: Vocabulary):
     """Rows of distinct words of a block, then rows of its texts as places among them."""
     ranks, split = vocabulary.ranks, regex.compile(vocabulary.pattern).findall
@@ -163,16 +173,18 @@ def _cutter(vocabulary: Vocabulary):
         return chr(_BASE + rank) if rank is not None else raw.decode("latin-1").translate(of_byte)
 
     def block(texts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-        rows = [(k, u, [known.setdefault(w, len(known)) for w in split(t)]) for k, u, t in texts]
+        known = _Places()
+        rows = [(k, u, list(map(known.__getitem__, split(t)))) for k, u, t in texts]
         words = list(map(symbols, known))
         for at in range(0, len(words), 20 * _ROWS):
             part = words[at:at + 20 * _ROWS]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.nulls(len(part), f.type) for f in list(_CUT)[1:]]], schema=_CUT)
         for at in range(0, len(rows), _ROWS):
             keys, unkeyed, places = zip(*rows[at:at + _ROWS], strict=True)
+            ends = np.cumsum([0, *map(len, places)], dtype=np.int32)
+            flat = np.fromiter(chain.from_iterable(places), dtype=np.int32, count=ends[-1])
             yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(unkeyed, pa.bool_()),
-                                              pa.array(places, pa.list_(pa.int32()))], schema=_CUT)
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], schema=_CUT)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -195,28 +207,46 @@ def _joiner(vocabulary: Vocabulary, with_ids: bool):
     names = {chr(_BASE + rank): str(rank) for rank in vocabulary.ranks.values()}
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list[tuple[int, str, bytes]] = []
-        open_block = False  # whether the words of a block are still coming
+        sizes: list[int] = []  # of the words of the open block: tokens, ids as text, bytes
+        ids: list[str] = []
+        raw: list[bytes] = []
+        in_words = False
         for batch in batches:
-            out = []
-            for word, key, unkeyed, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if word is not None:
-                    if not open_block:
-                        words, open_block = [], True
-                    words.append((len(word), " ".join(map(names.__getitem__, word)), b"".join(map(tokens.__getitem__, word))))
+            word, key, unkeyed, places = batch.columns
+            n_words = len(word) - word.null_count
+            # a batch may end one block and begin the next: runs of words and of texts alternate
+            for is_text, start, stop in _runs(word.is_null().to_numpy(zero_copy_only=False) if n_words else np.ones(len(word), dtype=bool)):
+                if not is_text:
+                    if not in_words:
+                        sizes, ids, raw, in_words = [], [], [], True
+                    for w in word.slice(start, stop - start).to_pylist():
+                        sizes.append(len(w))
+                        ids.append(" ".join(map(names.__getitem__, w)))
+                        raw.append(b"".join(map(tokens.__getitem__, w)))
                     continue
-                open_block = False
-                parts = [words[i] for i in places]
-                ids = " ".join([p[1] for p in parts])
-                out.append((key, unkeyed, sum(p[0] for p in parts), hashlib.sha256(ids.encode()).hexdigest(),
-                            hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest(), *([ids] if with_ids else [])))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=columns)
+                in_words = False
+                part, size = places.slice(start, stop - start), np.array(sizes or [0], dtype=np.int64)
+                flat, ends = part.flatten().to_numpy(), np.concatenate([[0], np.cumsum(part.value_lengths().to_numpy())])
+                out = []
+                for a, b in zip(ends, ends[1:], strict=False):
+                    at = flat[a:b]
+                    count, at = int(size[at].sum()), at.tolist()
+                    shown = " ".join(map(ids.__getitem__, at))
+                    decoded = hashlib.sha256(b"".join(map(raw.__getitem__, at))).hexdigest()
+                    out.append((count, hashlib.sha256(shown.encode()).hexdigest(), decoded, *([shown] if with_ids else [])))
+                yield pa.RecordBatch.from_arrays([key.slice(start, stop - start), unkeyed.slice(start, stop - start),
+                                                  *[pa.array(c) for c in zip(*out, strict=True)]], names=columns)
 
     columns = ["key", "unkeyed", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
     return join
 
 
+def _runs(flags: np.ndarray) -> Iterator[tuple[bool, int, int]]:
+    """Runs of equal flags: the flag, where it starts and where it stops."""
+    edges = [0, *(np.flatnonzero(np.diff(flags)) + 1).tolist(), len(flags)]
+    return ((bool(flags[a]), a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a)
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", text: str = "text",
                      with_ids: bool = False) -> DataFrame:
     """One row per input row: key (long), n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids joined by blanks.

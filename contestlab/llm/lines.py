@@ -88,13 +88,22 @@ def _batches(docs: DataFrame, key: str, batches: int) -> list[Column]:
 
 def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                 batches: int = 4, fan: int = FAN) -> DataFrame:
-    """One row per input row: key, text hash pair, `n_lines`, `n_dropped` and `kept`, the text that stays.
+    """One row per input row: key, `n_lines`, `n_dropped` and `kept`, the text that stays.
 
     A line whose stripped, lower-cased key has at least `min_chars` code points stays only in the
     document with the smallest key that holds it, there as often as it occurs. A missing or empty
     text is one empty line. Rows with a missing key sort before all others and count as one document,
     as do rows that share a key; equal rows get equal results. An empty table gives no rows. Columns
     other than key and text are not read.
+    """
+    rows = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    marks = repeats(docs, key=key, text=text, min_chars=min_chars, batches=batches, fan=fan)
+    return without(rows, marks, key="key", text="text").drop("text")
+
+
+def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
+            batches: int = 4, fan: int = FAN) -> DataFrame:
+    """Columns key_, t1_ (a hash of the text) and flags: a text of one character per line, 1 where the line goes.
 
     The documents come in `batches` consecutive ranges of the key, so a line is dropped if a run
     holds it or if the batch itself has a smaller holder. Batches and levels bound what a step
@@ -125,7 +134,10 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min
         parts.append(stored(_dropped(lines, verdicts), "line-dropped"))
         discard(lines, held, new, verdicts)
     runs.close()
-    return _kept(docs, reduce(DataFrame.unionByName, parts))
+    gone = reduce(DataFrame.unionByName, parts)
+    gap = lambda p, i: F.repeat(F.lit("0"), p - F.when(i > 0, F.get("gone", i - 1)).otherwise(-1) - 1)
+    flags = F.array_join(F.transform("gone", lambda p, i: F.concat(gap(p, i), F.lit("1"))), "")
+    return gone.select(F.col("key").alias("key_"), F.col("t1").alias("t1_"), flags.alias("flags"))
 
 
 def _dropped(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -142,16 +154,13 @@ def _dropped(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
     return gone.groupBy("key", "t1").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 
-def _kept(batch: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The texts without their dropped lines. Positions become a string of flags, read in constant time."""
-    flags = F.encode(F.array_join(F.transform(
-        "gone", lambda p, i: F.concat(F.repeat(F.lit("0"), p - F.when(i > 0, F.get("gone", i - 1)).otherwise(-1) - 1), F.lit("1"))), ""), "UTF-8")
-    # equal keys and texts are equal lines: one verdict serves all repeats of a row
-    marks = dropped.select(F.col("key").alias("key_"), F.col("t1").alias("t1_"), flags.alias("flags"))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda x, i: F.substring(F.col("flags"), i + 1, F.lit(1)) != F.encode(F.lit("1"), "UTF-8"))
-    joined = batch.join(marks, batch.key.eqNullSafe(F.col("key_")) & (F.col("t1") == F.col("t1_")), "left")
+def without(docs: DataFrame, marks: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of the documents, and n_lines, n_dropped and kept by the marks of their key and text."""
+    own, flags = whole(docs[text]), marks["flags"]
+    lines, signs = F.split(own, "\n", -1), flags.cast("binary")  # read in constant time; beyond its end a line stays
+    kept = F.filter(lines, lambda x, i: F.substring(signs, i + 1, F.lit(1)) != F.lit(b"1"))
+    joined = docs.join(marks, docs[key].eqNullSafe(marks["key_"]) & (F.xxhash64(F.lit(1), own) == marks["t1_"]), "left")
     return joined.select(
-        "key", "t1", F.size(lines).cast("long").alias("n_lines"),
-        F.when(F.col("flags").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
-        F.when(F.col("flags").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept"))
+        *[docs[c] for c in docs.columns], F.size(lines).cast("long").alias("n_lines"),
+        F.when(flags.isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
+        F.when(flags.isNull(), own).otherwise(F.array_join(kept, "\n")).alias("kept"))
