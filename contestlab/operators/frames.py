@@ -110,7 +110,8 @@ def first_n(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
 
 
 def last_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    """The last rows, in the order of the table."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
 
 
 def frequency(df: DataFrame, *cols: str) -> DataFrame:
@@ -162,7 +163,7 @@ def _narrowed(counts: DataFrame, group: Sequence[str], cells: int, direct_rows:
         counts.alias("l").join(total.alias("r"), same_keys("l", "r", group), "left")
         .select("l.*", "r._total", F.lit(0).cast("long").alias("_below"))
     )
-    for _ in range(8):
+    while True:  # every round keeps fewer values, down to equal ones
         spans = work.groupBy(*group).agg(
             F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_distinct"))
         staged = (

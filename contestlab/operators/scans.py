@@ -8,7 +8,8 @@ large groups are cut into consecutive blocks of about `block_rows` rows:
 * each block gets one carry row with the totals of everything before it, and
 * copies of the last `reach` rows before it,
 
-so that the same window expressions, run per block, give the values of the whole group.
+so that the same window expressions, run per block, give the values of the whole group. Text is cut
+along its bytes, six at a time. Cutting goes on until no block is too large or its rows are all alike.
 Block totals come from a map-side aggregate, and every table of blocks has at most
 2 * rows / block_rows rows.
 """
@@ -16,6 +17,7 @@ Block totals come from a map-side aggregate, and every table of blocks has at mo
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,8 @@ from contestlab.session import pinned
 BLOCK_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 
-_MAX_ROUNDS = 8
+_CELLS = 64      # shares into which one round cuts a large block
+_TEXT_BYTES = 6  # bytes of a text in one number, which a double holds exactly
 _MISSING = -2.0**62  # a missing order value sorts first
 _CARRY, _HALO, _OWN = 0, 1, 2
 
@@ -39,68 +42,76 @@ def _same(left: str, right: str, cols: Sequence[str]) -> Column:
 
 
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).first()  # a top-1, no second shuffle
+    return largest["n"] if largest else 0
 
 
 def _leads_of(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Numbers that grow with the order: one per order column, up to the first text column."""
+    """Numbers that grow with the order: one per number or date, one per six bytes of a text."""
+    texts = [c for c in order if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    longest = df.agg(*[F.max(F.octet_length(c)) for c in texts]).first() if texts else ()
+    length = dict(zip(texts, longest, strict=True))
     leads = []
     for c in order:
         kind = df.schema[c].dataType
-        if isinstance(kind, T.DateType):
+        if c in length:
+            raw = F.col(c).cast("binary")
+            for at in range(0, max(length[c] or 0, 1), _TEXT_BYTES):
+                # a shorter text is filled up with zeros: its bytes come first, as in Spark's order
+                part = F.rpad(F.hex(F.substring(raw, at + 1, _TEXT_BYTES)), 2 * _TEXT_BYTES, "0")
+                leads.append(F.conv(part, 16, 10).cast("double"))
+        elif isinstance(kind, T.DateType):
             leads.append(F.unix_date(c).cast("double"))
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             leads.append(F.unix_micros(F.col(c).cast("timestamp")).cast("double"))
-        elif isinstance(kind, T.NumericType):
+        elif isinstance(kind, (T.NumericType, T.BooleanType)):
             leads.append(F.col(c).cast("double"))
         else:
-            break
-    if not leads:
-        raise TypeError(f"pass leads=: a large group cannot be cut along the text column {order[0]}")
+            raise TypeError(f"pass leads=: a large group cannot be cut along {c} of type {kind.simpleString()}")
     return leads
 
 
 def _cut(df: DataFrame, group: Sequence[str], leads: Sequence[Column], block_rows: int) -> tuple[DataFrame, list[str]]:
     """Cut the large groups into consecutive blocks; returns the frame and the block columns.
 
-    Each round lays a histogram of equal-width cells over the first lead that still varies in a
-    large block and merges neighbouring cells up to `block_rows`. A cell that is too large by
-    itself (one hot day, say) is cut again in the next round, along the next lead if need be.
+    Each round takes the first lead that still varies in a large block, cuts the block at about
+    equal shares of its rows, and merges neighbouring cells up to `block_rows`. A cell that is too
+    large by itself (one hot day, say) is cut again in the next round, along the next lead if need be.
     Block number 0 marks rows whose group needed no cut.
     """
     names = [f"_lead{i}" for i in range(len(leads))]
     work = df.withColumns({n: F.coalesce(lead.cast("double"), F.lit(_MISSING)) for n, lead in zip(names, leads)})
+    work = pinned(work)  # read several times in every round
     blocks: list[str] = []
-    for level in range(_MAX_ROUNDS):
+    for level in count():  # every round splits each large block, so it ends when the blocks fit or hold equal rows
         keys = [*group, *blocks]
-        spans = [f for n in names for f in (F.min(n).alias(f"{n}_lo"), F.max(n).alias(f"{n}_hi"))]
         candidates = work.filter(F.col(blocks[-1]) > 0) if blocks else work
-        sizes = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *spans)
-        pick = width_of = low = None
-        for n in names:
-            lo, hi = F.col(f"{n}_lo"), F.col(f"{n}_hi")
-            varies = hi > lo
-            cells = F.greatest(F.lit(1024), F.lit(64) * F.ceil(F.col("n") / F.lit(block_rows)))
-            width = F.when((hi - lo < cells) & (hi - lo >= 1), F.lit(1.0)).otherwise((hi - lo) / cells)
-            pick = F.when(varies, F.lit(n)) if pick is None else pick.when(varies, F.lit(n))
-            low = F.when(varies, lo) if low is None else low.when(varies, lo)
-            width_of = F.when(varies, width) if width_of is None else width_of.when(varies, width)
-        large = pinned(
-            sizes.filter(F.col("n") > block_rows * (2 if level else 1))
-            .select(*keys, pick.alias("_pick"), low.alias("_low"), width_of.alias("_width"))
-            .filter(F.col("_pick").isNotNull())
-        )  # at most rows / block_rows rows
-        if large.isEmpty():
+        sizes = candidates.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), *[f(n).alias(f"{n}_{a}") for n in names for f, a in ((F.min, "lo"), (F.max, "hi"))])
+        pick = F.lit(None).cast("string")
+        for n in reversed(names):
+            pick = F.when(F.col(f"{n}_hi") > F.col(f"{n}_lo"), F.lit(n)).otherwise(pick)
+        large = pinned(sizes.filter(F.col("n") > block_rows * (2 if level else 1)).select(*keys, pick.alias("_pick"))
+                       .filter(F.col("_pick").isNotNull()))  # at most rows / block_rows rows
+        n_large = large.count()
+        if not n_large:
             break
         lead = F.lit(None).cast("double")
         for n in reversed(names):
             lead = F.when(F.col("_pick") == n, F.col(f"l.{n}")).otherwise(lead)
-        cell = F.floor((lead - F.col("_low")) / F.col("_width"))
         staged = (
             work.alias("l")
-            .join(F.broadcast(large).alias("r"), _same("l", "r", keys), "left")
-            .select("l.*", F.when(F.col("_pick").isNotNull(), cell).alias("_cell"))
+            .join((F.broadcast(large) if n_large <= BROADCAST_ROWS else large).alias("r"), _same("l", "r", keys), "left")
+            .select("l.*", lead.alias("_at"))
+        )
+        marks = pinned(staged.filter(F.col("_at").isNotNull()).groupBy(*keys).agg(
+            F.percentile_approx("_at", [i / _CELLS for i in range(1, _CELLS)], 10 * _CELLS).alias("_marks")))
+        # a value that is a mark has a cell of its own, so that a value of many rows stands alone
+        cell = 2 * F.size(F.filter("r._marks", lambda m: m < F.col("l._at"))) + F.array_contains("r._marks", F.col("l._at")).cast("int")
+        staged = (
+            staged.alias("l")
+            .join((F.broadcast(marks) if n_large <= BROADCAST_ROWS // _CELLS else marks).alias("r"), _same("l", "r", keys), "left")
+            .select("l.*", cell.alias("_cell")).drop("_at")
         )
         before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
         cuts = pinned(
@@ -111,10 +122,10 @@ def _cut(df: DataFrame, group: Sequence[str], leads: Sequence[Column], block_row
             .withColumn("_block", 2 * (F.floor(F.col("_upto") / F.lit(block_rows)) + 1)
                         + (F.col("n") > block_rows).cast("int"))
             .drop("n", "_upto")
-        )
-        if cuts.count() <= BROADCAST_ROWS:
+        )  # at most 2 * _CELLS rows per large block
+        if n_large <= BROADCAST_ROWS // (2 * _CELLS):
             cuts = F.broadcast(cuts)
-        work = (
+        work = pinned(
             staged.alias("l")
             .join(cuts.alias("r"), _same("l", "r", [*keys, "_cell"]), "left")
             .select("l.*", F.coalesce(F.col("r._block"), F.lit(0)).alias(f"_block{level}"))
@@ -165,9 +176,8 @@ def ordered_scan(
     `prefix`: name -> number; the running sum up to and including the row, missing values skipped.
     `carry_last`: name -> value; the last known value up to and including the row.
     `compute`: window -> named window columns, with frames that look back at most `reach` rows.
-    `order` must be total inside a group. A large group is cut along its number and date columns;
-    for a text order pass `leads`, numbers that grow with it. `block_rows=None` skips the count,
-    for groups known to be small.
+    `order` must be total inside a group. A large group is cut along the order's columns, or along
+    `leads`, numbers that grow with it. `block_rows=None` skips the count, for groups known to be small.
     """
     prefix, carry_last = dict(prefix or {}), dict(carry_last or {})
     work = df
@@ -182,9 +192,11 @@ def ordered_scan(
     if whole:
         window = Window.partitionBy(*group).orderBy(*order)
     else:
-        cut, blocks = _cut(work, group, leads or _leads_of(df, order), block_rows)
-        work = _with_carries(cut, group, blocks, order, list(prefix), list(carry_last), reach)
-        window = Window.partitionBy(*group, *blocks).orderBy("_kind", *order)
+        work, blocks = _cut(work, group, leads or _leads_of(df, order), block_rows)
+        whole = not blocks  # the rows of each large group are all alike
+        if not whole:
+            work = _with_carries(work, group, blocks, order, list(prefix), list(carry_last), reach)
+        window = Window.partitionBy(*group, *blocks).orderBy(*([] if whole else ["_kind"]), *order)
 
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {k: F.coalesce(F.sum(f"_s_{k}").over(running), F.lit(0)) for k in prefix}
@@ -259,11 +271,11 @@ def dense_rank_in(df: DataFrame, group: Sequence[str], value: str, name: str, *,
         rank = F.dense_rank().over(Window.partitionBy(*group).orderBy(by))
         return df.withColumn(name, F.when(known, rank))
     distinct = df.select(*group, value).filter(known).distinct()
+    ranked = record_number(distinct, [value], name, group=group, block_rows=block_rows)
     if descending:
-        distinct = distinct.withColumn("_v", -F.col(value))
-    else:
-        distinct = distinct.withColumn("_v", F.col(value))
-    ranked = record_number(distinct, ["_v"], name, group=group, block_rows=block_rows).drop("_v")
+        sizes = distinct.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+        ranked = ranked.alias("l").join(sizes.alias("r"), _same("l", "r", group)).select(
+            *[F.col(f"l.{c}") for c in (*group, value)], (F.col("_size") + 1 - F.col(f"l.{name}")).alias(name))
     ranked = ranked.withColumn(name, F.col(name).cast("int"))
     return (
         df.alias("l").join(ranked.alias("r"), _same("l", "r", [*group, value]), "left")

@@ -1,19 +1,20 @@
 """Per-side features of a ledger of matches.
 
 A ledger has one row per match: contest_id, day, season (a whole number), home, away, winner and
-optionally round_no. `sides` unfolds it to one row per side, with the points won.
+optionally round_no and league. `sides` unfolds it to one row per side, with the points won. Sides,
+places and prior seasons of different leagues are kept apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contestlab.functions import points, rate
 from contestlab.operators.frames import prior_period
 from contestlab.operators.scans import BLOCK_ROWS, BROADCAST_ROWS, dense_rank_in, ordered_scan
-from contestlab.session import pinned
 
 # Points per round of a title contender and of a relegation candidate, points
 # credited to a side without a previous season, games in the recent form, games the literal
@@ -24,7 +25,13 @@ DEFAULT_PRIOR_POINTS = 40
 FORM_GAMES = 5
 LITERAL_FORM_LAG = 4
 
-GROUP = ["team", "season"]
+def group_of(df: DataFrame) -> list[str]:
+    """Columns that tell the seasons of the sides apart."""
+    return [*_league_of(df), "team", "season"]
+
+
+def _league_of(df: DataFrame) -> list[str]:
+    return ["league"] if "league" in df.columns else []
 
 
 def sides(ledger: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -33,7 +40,7 @@ def sides(ledger: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.struct(F.col("home").alias("team"), F.lit(1).alias("is_home")),
         F.struct(F.col("away").alias("team"), F.lit(0).alias("is_home")),
     )
-    extra = [c for c in ("round_no", *keep) if c in ledger.columns]
+    extra = [c for c in ("round_no", "league", *keep) if c in ledger.columns]
     return (
         ledger.select("contest_id", "day", "season", "winner", *extra, F.explode(pair).alias("_side"))
         .select("contest_id", "day", "season", "_side.team", "_side.is_home", "winner", *extra)
@@ -41,13 +48,15 @@ def sides(ledger: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def game_order(df: DataFrame) -> list[str]:
-    return ["round_no"] if "round_no" in df.columns else ["day", "contest_id"]
+def game_order(df: DataFrame, mode: str = "intended") -> list[str]:
+    """Games of a side in the order they were played; literal mode puts the round first, so that a
+    postponed match comes before games that were played earlier."""
+    return [*(["round_no"] if mode == "literal" and "round_no" in df.columns else []), "day", "contest_id"]
 
 
-def _same_side(left: str, right: str) -> Column:
+def _same_side(group: Sequence[str]) -> Column:
     """Plain equality, so that the join uses the shuffle of the side windows. Sides have a name."""
-    return (F.col(f"{left}.team") == F.col(f"{right}.team")) & (F.col(f"{left}.season") == F.col(f"{right}.season"))
+    return reduce(lambda a, b: a & b, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in group])
 
 
 def _known(c: str) -> Column:
@@ -70,7 +79,7 @@ def side_scan(df: DataFrame, *, games: int = FORM_GAMES, mode: str = "intended",
         return {"_recent": F.coalesce(F.sum("pts").over(frame), F.lit(0))}
 
     scanned = ordered_scan(
-        df, GROUP, order or game_order(df),
+        df, group_of(df), order or game_order(df, mode),
         prefix={"seq": F.lit(1), "_total": F.col("pts"), "_missing": F.col("pts").isNull().cast("int")},
         reach=max(games, LITERAL_FORM_LAG), compute=recent, block_rows=block_rows,
         sized_by=sized_by)
@@ -125,7 +134,7 @@ def season_totals(df: DataFrame, order: Sequence[str] | None = None) -> DataFram
     missing = F.col("pts").isNull().cast("int")
     last_pts = F.max_by(F.struct("pts"), at)["pts"]
     known_before = F.sum(missing) - last_pts.isNull().cast("int") == 0
-    return df.groupBy(*GROUP).agg(
+    return df.groupBy(*group_of(df)).agg(
         F.sum(_known("pts")).cast("int").alias("season_points"),
         F.max(at).alias("last_game"),
         F.when((F.count(F.lit(1)) > 1) & known_before,
@@ -136,9 +145,9 @@ def season_totals(df: DataFrame, order: Sequence[str] | None = None) -> DataFram
 def season_end(scanned: DataFrame, mode: str = "intended", order: Sequence[str] | None = None) -> DataFrame:
     """Mark the last game of each side's season. Literal mode marks every game that the side
     entered with as many points as the last one, and leaves unknown totals unmarked."""
-    order = list(order or game_order(scanned))
+    order = list(order or game_order(scanned, mode))
     ends = season_totals(scanned, order)
-    joined = scanned.alias("l").join(ends.alias("r"), _same_side("l", "r"), "left")
+    joined = scanned.alias("l").join(ends.alias("r"), _same_side(group_of(scanned)), "left")
     if mode == "literal":
         flag = (F.col("l.points_before") == F.col("r.before_last")).cast("int")
     else:
@@ -154,34 +163,36 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     Intended: best is 1, among all sides of the season, by their totals at the end of the day
     ("after") or before it ("before"). Every side holds a place from the first day, with 0 points.
     """
+    by_day = [*_league_of(scanned), "season", "day"]
     if mode == "literal":
-        return dense_rank_in(scanned, ["season", "day"], "running_points", "standing", block_rows=block_rows,
-                             sized_by=sized_by)
+        return dense_rank_in(scanned, by_day, "running_points", "standing", block_rows=block_rows, sized_by=sized_by)
 
-    places = side_places(scanned, as_of)
-    return scanned.alias("l").join(places.alias("r"), _same_side("l", "r"), "left").select(
-        "l.*", F.try_element_at("r.places", F.col("l.day")).alias("standing"))
+    counted = scanned if "running_points" in scanned.columns else side_scan(scanned, block_rows=block_rows, sized_by=sized_by)
+    day = Window.partitionBy(*group_of(counted), "day")  # the games of one side on one day
+    own = F.max("running_points").over(day) if as_of == "after" else F.min(F.col("running_points") - _known("pts")).over(day)
+    keys = [*by_day, "_value"]
+    joined = counted.withColumn("_value", own).join(day_places(scanned, as_of), keys, "left")
+    return joined.select(*scanned.columns, "standing")
 
 
-def side_places(df: DataFrame, as_of: str = "before") -> DataFrame:
-    """League places per side and season: team, season, places (match day -> place).
-
-    A map holds at most one entry per day of a season, and keeps the table joinable with the side
-    rows on (team, season) alone."""
-    own = "_after" if as_of == "after" else "_before"
+def day_places(df: DataFrame, as_of: str = "before") -> DataFrame:
+    """Places by total: season, day, _value (a total that some side has at that time) and its standing."""
     shift = 0 if as_of == "after" else 1
-    daily = df.groupBy("team", "season", "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
-    by_day = Window.partitionBy("team", "season").orderBy("day")  # at most one row per day of a season
+    group, league = group_of(df), _league_of(df)
+    daily = df.groupBy(*group, "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
+    by_day = Window.partitionBy(*group).orderBy("day")  # at most one row per day of a season
     history = daily.withColumns({
         "_after": F.sum("_won").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).cast("int"),
         "_previous": F.lag("day").over(by_day),
         "_next": F.lead("day").over(by_day),
-    }).withColumn("_before", F.col("_after") - F.col("_won"))
-    spans = pinned(df.groupBy("season").agg(F.min("day").alias("_first"), F.max("day").alias("_last")))
-    if spans.count() <= BROADCAST_ROWS:
-        seasonal = history.join(F.broadcast(spans), "season")
+    })
+    seasons = [*league, "season"]
+    spans = df.groupBy(*seasons).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
+    known = spans.limit(BROADCAST_ROWS + 1).collect()  # one row per season, and the list is bounded
+    if len(known) <= BROADCAST_ROWS:
+        seasonal = history.join(F.broadcast(df.sparkSession.createDataFrame(known, spans.schema)), seasons)
     else:  # the repartitioning keeps the steps below from running on one task per season
-        seasonal = history.join(spans, "season").repartition("season", "team")
+        seasonal = history.join(spans, seasons).repartition(*seasons, "team")
     # Stretches of days over which a side's total stands still: from a match day on, and with 0
     # points from the first day of the season to the day before the side's first match.
     held = F.struct(
@@ -191,19 +202,15 @@ def side_places(df: DataFrame, as_of: str = "before") -> DataFrame:
         F.lit(0).alias("_value"), F.date_sub("_first", shift).alias("_from"), F.date_sub("day", 1).alias("_to"))
     stretch = F.array(held, F.when(F.col("_previous").isNull(), opening))
     taken = (
-        seasonal.select("season", F.explode(stretch).alias("_s"))
+        seasonal.select(*seasons, F.explode(stretch).alias("_s"))
         .filter(F.col("_s._from") <= F.col("_s._to"))
-        .select("season", "_s.*").distinct()
-        .select("season", "_value", F.explode(F.sequence("_from", "_to")).alias("_day"))
-        .select("season", "_value", F.date_add("_day", shift).alias("day")).distinct()
+        .select(*seasons, "_s.*").distinct()
+        .select(*seasons, "_value", F.explode(F.sequence("_from", "_to")).alias("_day"))
+        .select(*seasons, "_value", F.date_add("_day", shift).alias("day")).distinct()
     )
     # v distinct totals take about v * v / 6 games, so a day has at most sqrt(6 * rows) of them:
     # some two million in 10^12 rows, which one task can rank.
-    ranked = dense_rank_in(taken, ["season", "day"], "_value", "standing", descending=True, block_rows=None)
-    placed = history.select("team", "season", "day", F.col(own).alias("_value")).join(
-        ranked, ["season", "day", "_value"])
-    return placed.groupBy("team", "season").agg(
-        F.map_from_entries(F.collect_list(F.struct("day", "standing"))).alias("places"))
+    return dense_rank_in(taken, [*seasons, "day"], "_value", "standing", descending=True, block_rows=None)
 
 
 def prior_season_points(scanned: DataFrame, mode: str = "intended", order: Sequence[str] | None = None) -> DataFrame:
@@ -213,11 +220,11 @@ def prior_season_points(scanned: DataFrame, mode: str = "intended", order: Seque
     miss the points of the last games."""
     if mode == "literal":
         marked = season_end(scanned, "literal", order).filter(F.col("season_end") == 1)
-        totals = marked.groupBy(*GROUP).agg(
+        totals = marked.groupBy(*group_of(marked)).agg(
             F.min_by(F.coalesce("running_points", F.lit(0)), F.struct("day", "contest_id")).alias("season_points"))
     else:
         totals = season_totals(scanned, order)
-    return prior_period(totals, ["team"], "season", "season_points", "prior_year")
+    return prior_period(totals, [*_league_of(totals), "team"], "season", "season_points", "prior_year")
 
 
 def fold_sides(df: DataFrame, cols: Mapping[str, str] | Sequence[str], home: str = "ht_", away: str = "at_") -> DataFrame:

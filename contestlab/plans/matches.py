@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
-    DEFAULT_PRIOR_POINTS, FORM_GAMES, GROUP, game_order, prior_season_points, race_flags, side_places, side_scan, sides,
-    standing)
+    DEFAULT_PRIOR_POINTS, FORM_GAMES, game_order, group_of, prior_season_points, race_flags, side_scan, sides, standing)
 
 FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
@@ -22,7 +21,8 @@ def ledger_of(fixtures: DataFrame) -> DataFrame:
     """Ledger columns of a fixture table."""
     return fixtures.select(
         F.col("match_id").alias("contest_id"), "day", F.col("season_start").alias("season"),
-        F.col("home_team").alias("home"), F.col("away_team").alias("away"), "winner", "round_no")
+        F.col("home_team").alias("home"), F.col("away_team").alias("away"), "winner", "round_no",
+        F.col("title").alias("league"))
 
 
 def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None = None, *,
@@ -34,18 +34,15 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     literal = mode == "literal"
     as_of = as_of or ("after" if literal else "before")
     rows = sides(ledger, keep=["home", "away"])
-    order = game_order(rows)
+    order, group = game_order(rows, mode), group_of(rows)
     options = {"games": games, "mode": mode, "order": order, "block_rows": block_rows}
     # Facts per side and season are joined on the keys of the side windows: one shuffle serves both.
     if literal:
         scanned = side_scan(rows, **options)
-        scanned = scanned.join(prior_season_points(scanned, mode, order), GROUP, "left")
-        featured = standing(race_flags(scanned, as_of=as_of), mode, block_rows=block_rows, sized_by=rows)
+        scanned = scanned.join(prior_season_points(scanned, mode, order), group, "left")
     else:
-        facts = side_places(rows, as_of).join(prior_season_points(rows, mode, order), GROUP, "left")
-        placed = rows.join(facts, GROUP, "left").withColumn(
-            "standing", F.try_element_at("places", F.col("day"))).drop("places")
-        featured = race_flags(side_scan(placed, sized_by=rows, **options), as_of=as_of)
+        scanned = side_scan(rows.join(prior_season_points(rows, mode, order), group, "left"), sized_by=rows, **options)
+    featured = standing(race_flags(scanned, as_of=as_of), mode, as_of, block_rows=block_rows, sized_by=rows)
     featured = featured.withColumn("was_promo", F.col("prior_year").isNull().cast("int")).withColumn(
         "prior_year", F.coalesce("prior_year", F.lit(DEFAULT_PRIOR_POINTS)))
     if literal:
@@ -58,7 +55,8 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     for prefix, short, cond in (("ht_", "h_", at_home), ("at_", "a_", ~at_home)):
         for c in FEATURES:
             parts.append(F.max(F.when(cond, F.col(c))).alias((short if c in long_names else prefix) + c))
-    return featured.groupBy("contest_id", "day", "season", "winner", "home", "away").agg(*parts)
+    league = [c for c in ("league",) if c in rows.columns]
+    return featured.groupBy("contest_id", "day", "season", "winner", "home", "away", *league).agg(*parts)
 
 
 TRAINING_COLUMNS = [

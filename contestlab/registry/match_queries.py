@@ -46,17 +46,17 @@ def _form_literal(spark, sf_dir):
 
 def standing_sql(as_of: str) -> str:
     """Places of all sides of a season on every match day, by totals up to (or before) the day."""
-    reach = "<=" if as_of == "after" else "<"
+    last = "CURRENT ROW" if as_of == "after" else "1 PRECEDING"
     return views.SCANNED + f""",
-members AS (SELECT DISTINCT season, team FROM sides),
-days AS (SELECT DISTINCT season, day FROM sides),
-daily AS (SELECT season, team, day, SUM(COALESCE(pts, 0)) AS won FROM sides GROUP BY season, team, day),
-totals AS (
-  SELECT m.season, m.team, d.day, COALESCE(SUM(w.won), 0) AS total
-  FROM members m JOIN days d ON d.season = m.season
-  LEFT JOIN daily w ON w.season = m.season AND w.team = m.team AND w.day {reach} d.day
-  GROUP BY m.season, m.team, d.day),
-places AS (
+daily AS MATERIALIZED (SELECT season, team, day, SUM(COALESCE(pts, 0)) AS won FROM sides GROUP BY season, team, day),
+grid AS (
+  SELECT m.season, m.team, d.day FROM (SELECT DISTINCT season, team FROM daily) m
+  JOIN (SELECT DISTINCT season, day FROM daily) d ON d.season = m.season),
+totals AS MATERIALIZED (
+  SELECT g.season, g.team, g.day, COALESCE(SUM(w.won) OVER (PARTITION BY g.season, g.team ORDER BY g.day
+    ROWS BETWEEN UNBOUNDED PRECEDING AND {last}), 0) AS total
+  FROM grid g LEFT JOIN daily w ON w.season = g.season AND w.team = g.team AND w.day = g.day),
+places AS MATERIALIZED (
   SELECT season, team, day, CAST(DENSE_RANK() OVER (PARTITION BY season, day ORDER BY total DESC) AS INTEGER) AS standing
   FROM totals)"""
 
@@ -171,7 +171,7 @@ def features_sql(mode: str) -> str:
         place = "p.season = s.season AND p.day = s.day AND p.team = s.team"
         before, rank, winner = "s.points_before", "p.standing", "s.winner"
     return ", ".join(parts) + f""",
-featured AS (
+featured AS MATERIALIZED (
   SELECT s.contest_id, s.day, s.season, s.team, s.is_home, {winner}, s.seq, {before} AS points_before, s.form,
     CASE WHEN {title} THEN 1 ELSE 0 END AS in_title_race,
     CASE WHEN {relegation} THEN 1 ELSE 0 END AS in_relegation_race,
@@ -179,15 +179,15 @@ featured AS (
     CASE WHEN y.prior_year IS NULL THEN 1 ELSE 0 END AS was_promo
   FROM scanned s LEFT JOIN places p ON {place}
   LEFT JOIN prior y ON y.team = s.team AND y.season = s.season),
-features AS (
-  SELECT h.contest_id, h.day, h.season, h.winner, h.seq AS round_no, h.team AS home, a.team AS away,
-    h.points_before AS ht_points_before, h.form AS ht_form, h.in_title_race AS ht_in_title_race,
-    h.in_relegation_race AS ht_in_relegation_race, h.standing AS ht_standing,
-    h.prior_year AS h_prior_year, h.was_promo AS h_was_promo,
-    a.points_before AS at_points_before, a.form AS at_form, a.in_title_race AS at_in_title_race,
-    a.in_relegation_race AS at_in_relegation_race, a.standing AS at_standing,
-    a.prior_year AS a_prior_year, a.was_promo AS a_was_promo
-  FROM featured h JOIN featured a ON a.contest_id = h.contest_id AND a.is_home = 0 WHERE h.is_home = 1)"""
+features AS MATERIALIZED (
+  SELECT contest_id, day, season, winner, {folded("seq", "round_no", "")}, {folded("team", "home", "")}, {folded("team", "away", "", 0)},
+    {", ".join(folded(c, c, "ht_") + ", " + folded(c, c, "at_", 0) for c in matches.FEATURES[:5])},
+    {", ".join(folded(c, c, "h_") + ", " + folded(c, c, "a_", 0) for c in matches.FEATURES[5:])}
+  FROM featured GROUP BY contest_id, day, season, winner)"""
+
+
+def folded(column: str, name: str, prefix: str, side: int = 1) -> str:
+    return f"MAX(CASE WHEN is_home = {side} THEN {column} END) AS {prefix}{name}"
 
 
 @query("match_features", f"WITH {features_sql('intended')} SELECT * FROM features")
@@ -195,6 +195,26 @@ def match_features(spark, sf_dir):
     return matches.match_features(views.ledger(spark, sf_dir))
 
 
+def two_leagues_sql() -> str:
+    """The same of a ledger of two leagues: a season of a league is a season of its own, ten times the year plus the league."""
+    sql = features_sql("intended")
+    for old, new in (("SELECT contest_id, day, season, home, away, home_goals",
+                      "SELECT contest_id, day, CAST(season * 10 + contest_id % 2 AS INTEGER) AS season, home, away, home_goals"),
+                     ("season + 1 AS season", "season + 10 AS season")):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+@query("match_features_rounds", f"""WITH {two_leagues_sql()} SELECT * REPLACE (CAST(season // 10 AS INTEGER) AS season,
+    CAST(contest_id % 38 + 1 AS INTEGER) AS round_no), CAST(contest_id % 2 AS INTEGER) AS league FROM features""")
+def _features_rounds(spark, sf_dir):
+    """Two leagues with rounds that are not played in the order of their numbers."""
+    games = views.ledger(spark, sf_dir).withColumns({
+        "league": (F.col("contest_id") % 2).cast("int"), "round_no": (F.col("contest_id") % 38 + 1).cast("int")})
+    return matches.match_features(games)
+
+
 @query("match_features_literal", f"WITH {features_sql('literal')} SELECT * FROM features")
 def _features_literal(spark, sf_dir):
     return matches.match_features(views.ledger(spark, sf_dir), "literal")

@@ -61,7 +61,7 @@ def lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LEDGER = """
-ledger AS (
+ledger AS MATERIALIZED (
   SELECT contest_id, day, season, home, away, home_goals, away_goals,
          CASE WHEN home_goals > away_goals THEN 'Home' WHEN home_goals < away_goals THEN 'Away'
               WHEN home_goals = away_goals THEN 'Draw' END AS winner
@@ -77,7 +77,7 @@ ledger AS (
     FROM orders) AS base)"""
 
 SIDES = LEDGER + """,
-sides AS (
+sides AS MATERIALIZED (
   SELECT contest_id, day, season, home AS team, 1 AS is_home, winner,
          CASE winner WHEN 'Home' THEN 3 WHEN 'Draw' THEN 1 WHEN 'Away' THEN 0 END AS pts FROM ledger
   UNION ALL
@@ -86,7 +86,7 @@ sides AS (
 
 # Running values of a side, an unplayed match leaving the total unchanged.
 SCANNED = SIDES + """,
-scanned AS (
+scanned AS MATERIALIZED (
   SELECT *,
     CAST(ROW_NUMBER() OVER w AS INTEGER) AS seq,
     CAST(COALESCE(SUM(pts) OVER (w ROWS UNBOUNDED PRECEDING), 0) AS INTEGER) AS running_points,

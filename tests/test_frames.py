@@ -63,7 +63,7 @@ def test_union_order_and_counts(spark, small):
     both = frames.union_all(small, small.select(F.col("n").alias("m"), "k"))
     assert both.columns == ["k", "n", "t", "m"] and both.count() == 8
     assert [r.n for r in frames.first_n(small, 2, [F.col("n").asc_nulls_last()]).collect()] == [1, 2]
-    assert [r.n for r in frames.last_n(small, 2, ["n"]).collect()] == [3, 2]
+    assert [r.n for r in frames.last_n(small, 2, ["n"]).collect()] == [2, 3]
     assert rows(frames.frequency(small, "k")) == sorted([("a", 2), ("b", 1), (None, 1)], key=repr)
 
 

@@ -72,3 +72,36 @@ def test_locf_golden(spark, block_rows):
     assert got == ["d1", "d1", "d1", "d2", "d2", None, "x"]
     literal = locf(df, ["day"], ["page"], ["row"], mode="literal", block_rows=block_rows)
     assert literal.count() == 6
+
+
+@pytest.fixture(scope="module")
+def names(spark):
+    """Texts with long common prefixes, missing ones and ties, almost all in one group."""
+    rng = random.Random(11)
+    texts = [None, "", "a"] + ["common prefix of some length / " + "x" * (i % 9) + str(i % 50) for i in range(60)] + ["\u00e9t\u00e9", "z" * 70]
+    data = [("hot" if i % 9 else "b", rng.choice(texts), i, rng.choice([1, None])) for i in range(400)]
+    return spark.createDataFrame(data, "g string, t string, id long, v int").repartition(4).cache()
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_text_orders_are_cut_like_any_other(names, descending):
+    def run(block_rows):
+        scanned = ordered_scan(names, ["g"], ["t", "id"], prefix={"no": F.lit(1)}, carry_last={"last": F.col("v")}, block_rows=block_rows)
+        ranked = dense_rank_in(names, ["g"], "t", "rank", descending=descending, block_rows=block_rows // 4)
+        places = {r.id: r["rank"] for r in ranked.collect()}
+        return sorted(((r.g, r.t, r.id, r["last"], r.no, places[r.id]) for r in scanned.collect()), key=repr)
+
+    want = run(2_000_000)
+    assert run(80) == want
+    by_group = {}
+    for g, t, i, v, no, rank in want:
+        by_group.setdefault(g, []).append(((t is not None, (t or "").encode(), i), no, rank, t))
+    for part in by_group.values():
+        assert [no for _, no, _, _ in sorted(part)] == list(range(1, len(part) + 1))
+        order = sorted({t.encode() for *_, t in part if t is not None}, reverse=descending)
+        assert all(rank == (None if t is None else order.index(t.encode()) + 1) for _, _, rank, t in part)
+
+
+def test_equal_rows_end_the_cutting(spark):
+    same = spark.createDataFrame([("g", "t", 1)] * 60, "g string, t string, id int")
+    assert sorted(r.rec_no for r in record_number(same, ["t", "id"], group=["g"], block_rows=10).collect()) == list(range(1, 61))

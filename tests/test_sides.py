@@ -141,3 +141,37 @@ def test_plan_has_no_cartesian_product_and_shares_the_side_shuffle(ledger):
     scan = ops.side_scan(ops.sides(ledger))._jdf.queryExecution().executedPlan().toString()
     assert scan.count("Exchange hashpartitioning") == 1
     assert "SortAggregate" not in matches.match_features(ledger)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_postponed_match_counts_when_it_is_played(spark):
+    games = spark.createDataFrame([
+        (1, date(2019, 4, 1), 2018, "a", "b", "Home", 1, "L"),  # round 1, played in April
+        (2, date(2018, 8, 8), 2018, "a", "c", "Draw", 2, "L"),
+        (3, date(2019, 4, 9), 2018, "c", "a", None, 3, "L"),
+    ], "contest_id long, day date, season int, home string, away string, winner string, round_no int, league string")
+    got = {r.contest_id: r for r in matches.match_features(games).collect()}
+    assert (got[2].ht_points_before, got[2].ht_form, got[2].round_no) == (None, 0, 2)
+    assert (got[1].ht_points_before, got[3].at_points_before, got[3].at_form) == (1, 4, 4)
+    literal = {r.contest_id: r for r in matches.match_features(games, "literal").collect()}
+    assert literal[2].ht_points_before == 3  # there the round comes first
+
+
+def test_leagues_are_kept_apart(spark):
+    games = spark.createDataFrame([
+        (1, date(2018, 8, 1), 2018, "a", "b", "Home", "one"), (2, date(2018, 8, 1), 2018, "x", "y", "Home", "two"),
+        (3, date(2018, 8, 9), 2018, "x", "y", "Home", "two"), (4, date(2018, 8, 20), 2018, "a", "b", "Home", "one"),
+        (5, date(2018, 8, 20), 2018, "x", "y", None, "two"), (6, date(2019, 8, 1), 2019, "a", "x", None, "two"),
+    ], "contest_id long, day date, season int, home string, away string, winner string, league string")
+    got = {r.contest_id: r for r in matches.match_features(games).collect()}
+    assert (got[4].ht_standing, got[4].at_standing) == (1, 2)  # not behind x, which has more points elsewhere
+    assert (got[6].h_was_promo, got[6].a_was_promo, got[6].a_prior_year) == (1, 0, 6)
+
+
+def test_match_features_run_few_jobs_while_the_plan_is_built(spark, ledger):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "match features")
+    plan = matches.match_features(ledger)._jdf.queryExecution().executedPlan().toString()
+    jobs = len(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 4
+    assert plan.count("Exchange hashpartitioning") <= 9
