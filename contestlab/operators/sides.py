@@ -188,7 +188,7 @@ def day_places(df: DataFrame, as_of: str = "before") -> DataFrame:
     })
     seasons = [*league, "season"]
     spans = df.groupBy(*seasons).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    known = spans.limit(BROADCAST_ROWS + 1).collect()  # one row per season, and the list is bounded
+    known = spans.orderBy("_first").limit(BROADCAST_ROWS + 1).collect()  # one row per season, and the list is bounded
     if len(known) <= BROADCAST_ROWS:
         seasonal = history.join(F.broadcast(df.sparkSession.createDataFrame(known, spans.schema)), seasons)
     else:  # the repartitioning keeps the steps below from running on one task per season

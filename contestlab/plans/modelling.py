@@ -10,14 +10,16 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from contestlab.operators.frames import contingency
 
 MAX_BROADCAST_LABELS = 10_000
+EDGE_ROWS = 100_000  # rows that are sorted to find the last training row, at most
 
 
 # Splitting
@@ -30,22 +32,30 @@ def split_exact(df: DataFrame, frac: float, key: str, seed: int) -> DataFrame:
     """Mark exactly round(n * frac) rows as training rows (`is_train`), chosen by the hash of a
     unique key.
 
-    Rows are counted per hash prefix; only the one prefix that the cut falls into is ranked, so
-    nothing else is shuffled or sorted."""
-    hashed = df.withColumn("_h", key_hash(key, seed)).withColumn("_p", F.substring("_h", 1, 4))
-    upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # at most 65,536 rows
-    whole = Window.partitionBy()
-    counts = hashed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    marks = counts.withColumns({
-        "_before": F.coalesce(F.sum("_n").over(upto), F.lit(0)),
-        "_k": F.bround(F.sum("_n").over(whole) * F.lit(frac), 0).cast("long"),
-    })
-    placed = hashed.join(F.broadcast(marks), "_p")
-    on_edge = (F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_n") > F.col("_k"))
-    sure = placed.filter(~on_edge).withColumn("is_train", F.col("_before") < F.col("_k"))
-    rank = F.row_number().over(Window.partitionBy("_p").orderBy("_h", key))
-    edge = placed.filter(on_edge).withColumn("is_train", F.col("_before") + rank <= F.col("_k"))
-    return sure.unionByName(edge).select(*df.columns, "is_train")
+    The hash and key of the last training row are found first: rows are counted per hash prefix, and
+    the prefix that the cut falls into is made longer until few enough rows share it. The mark is then
+    one comparison, in one narrow pass."""
+    keys = df.select(key_hash(key, seed).alias("_h"), F.col(key).alias("_k"))
+    total = keys.count()
+    wanted = round(total * frac)
+    if not 0 < wanted < total:
+        return df.withColumn("is_train", F.lit(wanted > 0))
+    prefix, left = "", wanted
+    while True:
+        inside = keys.filter(F.col("_h").startswith(prefix)) if prefix else keys
+        at = F.substring("_h", 1, len(prefix) + 3)
+        cells = sorted(inside.groupBy(at.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())  # 4,096 at most
+        for p, n in cells:
+            if left <= n:
+                prefix = p
+                break
+            left -= n
+        if n <= EDGE_ROWS or len(prefix) >= 30:
+            break
+    edge = keys.filter(F.col("_h").startswith(prefix)).orderBy("_h", "_k").limit(left)
+    last = edge.orderBy(F.desc("_h"), F.desc("_k")).first()
+    cut = F.struct(F.lit(last["_h"]).alias("_h"), F.lit(last["_k"]).cast(df.schema[key].dataType).alias("_k"))
+    return df.withColumn("is_train", F.struct(key_hash(key, seed).alias("_h"), F.col(key).alias("_k")) <= cut)
 
 
 def split_hash(df: DataFrame, frac: float, key: str, seed: int) -> DataFrame:
@@ -63,13 +73,13 @@ def label_index(df: DataFrame, label: str, name: str = "label") -> tuple[DataFra
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight every row by n / (classes * rows of its class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    """Weight every row by n / (classes * rows of its class), of the rows with a label; others have no weight."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     n, classes = counts.agg(F.sum("_n"), F.count(F.lit(1))).first()
     if classes <= MAX_BROADCAST_LABELS:
         counts = F.broadcast(counts)
     weight = F.lit(float(n or 0)) / (F.col("_n") * F.lit(classes))
-    return df.join(counts, label).withColumn(name, weight).drop("_n")
+    return df.join(counts, label, "left").withColumn(name, weight).select(*df.columns, name)
 
 
 # Evaluation
@@ -148,9 +158,27 @@ def default_candidates(n_features: int, n_classes: int, weight: str | None = Non
     }
 
 
-def pipeline(classifier: Estimator, features: Sequence[str]) -> Pipeline:
+def _texts(df: DataFrame | None, features: Sequence[str]) -> list[str]:
+    return [c for c in features if df is not None and isinstance(df.schema[c].dataType, StringType)]
+
+
+def input_size(df: DataFrame, features: Sequence[str]) -> int:
+    """Numbers a model gets: one per number column, one per value of a text column, and one for values not seen."""
+    texts = _texts(df, features)
+    values = df.agg(*[F.count_distinct(c) for c in texts]).first() if texts else ()
+    return len(features) - len(texts) + sum(n + 1 for n in values)
+
+
+def pipeline(classifier: Estimator, features: Sequence[str], df: DataFrame | None = None) -> Pipeline:
+    """Scaled numbers and a classifier. Text columns, which `df` tells apart, become one number per value;
+    a missing or unseen value has a number of its own."""
+    texts = _texts(df, features)
+    coded = [StringIndexer(inputCols=texts, outputCols=[f"_{c}_index" for c in texts], handleInvalid="keep"),
+             OneHotEncoder(inputCols=[f"_{c}_index" for c in texts], outputCols=[f"_{c}_values" for c in texts], dropLast=False)]
+    inputs = [f"_{c}_values" if c in texts else c for c in features]
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
+        *(coded if texts else []),
+        VectorAssembler(inputCols=inputs, outputCol="features"),
         StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
         classifier,
     ])
@@ -158,9 +186,10 @@ def pipeline(classifier: Estimator, features: Sequence[str]) -> Pipeline:
 
 @dataclass
 class Search:
-    leaderboard: DataFrame  # rank, model, metric
+    leaderboard: DataFrame  # rank, model, metric, status, seconds
     best: PipelineModel
     labels: list[str]
+    complete: bool  # whether every candidate was fitted within the budget
 
 
 def search_models(train: DataFrame, label: str, features: Sequence[str], key: str, *,
@@ -168,33 +197,48 @@ def search_models(train: DataFrame, label: str, features: Sequence[str], key: st
                   budget_seconds: float = 300, folds: int = 3, seed: int = 456, balance: bool = False) -> Search:
     """Cross-validate the candidates in turn, rank them, and return the best one fitted on all rows.
 
-    No further candidate is started once the budget is used up. Folds follow the hash of `key`."""
+    No further candidate is started once the budget is used up; those not started are listed last, in
+    the order of the candidates. Folds follow the hash of `key`. With `balance`, models that take no
+    weights see the rows of rarer labels repeated instead."""
     indexed, labels = label_index(train, label)
     if balance:
         indexed = class_weights(indexed, "label")
     fold = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("long") % folds
     indexed = indexed.withColumn("_fold", fold.cast("int"))
-    candidates = candidates or default_candidates(
-        len(features), len(labels), "weight" if balance else None, seed)
+    numbers = input_size(train, features)
+    candidates = candidates or default_candidates(numbers, len(labels), "weight" if balance else None, seed)
     evaluator = METRICS[metric]()
     sign = -1 if evaluator.isLargerBetter() else 1
     indexed = indexed.cache()
-    began, board = time.monotonic(), []
+    began, board, waiting = time.monotonic(), [], []
     try:
         for name, estimator in candidates.items():
-            if board and time.monotonic() - began > budget_seconds:
-                break
-            plan = pipeline(estimator, features)
+            started = time.monotonic()
+            if board and started - began > budget_seconds:
+                waiting.append(name)
+                continue
+            plan = pipeline(estimator, features, train)
+            rows = repeated(indexed, "weight") if balance and not estimator.hasParam("weightCol") else indexed
             tuned = CrossValidator(
                 estimator=plan, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds,
-                foldCol="_fold", parallelism=2).fit(indexed)
-            board.append((sign * tuned.avgMetrics[0], name, tuned.avgMetrics[0], tuned.bestModel))
+                foldCol="_fold", parallelism=2).fit(rows)
+            board.append((sign * tuned.avgMetrics[0], name, tuned.avgMetrics[0], tuned.bestModel, time.monotonic() - started))
     finally:
         indexed.unpersist()
     board.sort(key=lambda b: (b[0], b[1]))
-    rows = [(i, name, float(value)) for i, (_, name, value, _) in enumerate(board, 1)]
-    leaderboard = train.sparkSession.createDataFrame(rows, f"rank int, model string, {metric} double")
-    return Search(leaderboard, board[0][3], labels)
+    rows = [(i, name, float(value), "fitted", took) for i, (_, name, value, _, took) in enumerate(board, 1)]
+    rows += [(None, name, None, "not started", 0.0) for name in waiting]
+    leaderboard = train.sparkSession.createDataFrame(rows, f"rank int, model string, {metric} double, status string, seconds double")
+    return Search(leaderboard, board[0][3], labels, not waiting)
+
+
+def repeated(df: DataFrame, weight: str) -> DataFrame:
+    """Every row about as often as its weight says against the smallest one, the fraction by a hash of the row."""
+    least = df.agg(F.min(weight)).first()[0] or 1.0
+    times = F.col(weight) / F.lit(least)
+    draw = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    copies = (F.floor(times) + (draw < times - F.floor(times)).cast("int")).cast("int")
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
 
 
 def score(model: Model, df: DataFrame, labels: Sequence[str], *, probabilities: bool = False,

@@ -15,7 +15,7 @@ from contestlab.functions import (
     replace_first, season_start)
 
 SUMMARY_KEY = ["player", "season", "team"]
-LINEUP_FEATURES = ["avg_teams", "avg_mins", "avg_pl_mins", "sum_gls", "sum_pl_gls", "avg_lgs", "pl_ratio"]
+LINEUP_FEATURES = ["mean_teams", "mean_minutes", "mean_league_minutes", "window_goals", "window_pl_goals", "mean_leagues", "league_share"]
 
 
 def lineup_of(lineups: DataFrame) -> DataFrame:
@@ -95,15 +95,15 @@ def player_windows(summary: DataFrame, years: int, start: int, end: int, *, per_
     ratio_over = F.lit(years if mode == "literal" and per_season else 1)
     return joined.groupBy("player", "window_end").agg(
         F.count_distinct("team").alias("n_teams"),
-        per_period("mins", over).alias("sum_mins"), per_period("n_matches", over).alias("sum_mtchs"),
-        per_period("goals", over).alias("sum_gls"),
-        per_period("cl_mins", over).alias("sum_cl_mins"), per_period("cl_matches", over).alias("sum_cl_mtchs"),
-        per_period("cl_goals", over).alias("sum_cl_gls"),
-        per_period("pl_mins", over).alias("sum_pl_mins"), per_period("pl_matches", over).alias("sum_pl_mtchs"),
-        per_period("pl_goals", over).alias("sum_pl_gls"),
-        F.avg("diff_leagues").alias("avg_diff_leagues"),
-        (ratio_of_sums("pl_mins", "mins") / ratio_over).alias("mins_pl_ratio"),
-        (ratio_of_sums("pl_goals", "goals") / ratio_over).alias("goals_pl_ratio"),
+        per_period("mins", over).alias("window_minutes"), per_period("n_matches", over).alias("window_matches"),
+        per_period("goals", over).alias("window_goals"),
+        per_period("cl_mins", over).alias("window_cl_minutes"), per_period("cl_matches", over).alias("window_cl_matches"),
+        per_period("cl_goals", over).alias("window_cl_goals"),
+        per_period("pl_mins", over).alias("window_pl_minutes"), per_period("pl_matches", over).alias("window_pl_matches"),
+        per_period("pl_goals", over).alias("window_pl_goals"),
+        F.avg("diff_leagues").alias("mean_diff_leagues"),
+        (ratio_of_sums("pl_mins", "mins") / ratio_over).alias("mins_league_share"),
+        (ratio_of_sums("pl_goals", "goals") / ratio_over).alias("goals_league_share"),
     )
 
 
@@ -116,11 +116,11 @@ def _spanned(name: str, cond: Column, prefix: str) -> list[Column]:
 
     return [
         F.count_distinct(F.when(cond, F.col("team"))).alias(f"{prefix}n_teams"),
-        sum_of("mins").alias(f"{prefix}sum_mins"), sum_of("pl_mins").alias(f"{prefix}sum_pl_mins"),
-        sum_of("goals").alias(f"{prefix}sum_gls"), sum_of("pl_goals").alias(f"{prefix}sum_pl_gls"),
-        F.avg(F.when(cond, F.col("diff_leagues"))).alias(f"{prefix}avg_diff_leagues"),
-        ratio("pl_mins", "mins").alias(f"{prefix}mins_pl_ratio"),
-        ratio("pl_goals", "goals").alias(f"{prefix}goals_pl_ratio"),
+        sum_of("mins").alias(f"{prefix}window_minutes"), sum_of("pl_mins").alias(f"{prefix}window_pl_minutes"),
+        sum_of("goals").alias(f"{prefix}window_goals"), sum_of("pl_goals").alias(f"{prefix}window_pl_goals"),
+        F.avg(F.when(cond, F.col("diff_leagues"))).alias(f"{prefix}mean_diff_leagues"),
+        ratio("pl_mins", "mins").alias(f"{prefix}mins_league_share"),
+        ratio("pl_goals", "goals").alias(f"{prefix}goals_league_share"),
         F.count_if(cond).alias(f"_{name}"),
     ]
 
@@ -185,15 +185,15 @@ def lineup_features(lineup: DataFrame, windows: DataFrame, on: str = "season", *
     cond = F.col("p.player").eqNullSafe(F.col("w.player"))
     if on == "season":
         cond = cond & (F.col("p.season") - lag_seasons == F.col("w.window_end"))
-    measures = ["n_teams", "sum_mins", "sum_pl_mins", "sum_gls", "sum_pl_gls", "avg_diff_leagues", "mins_pl_ratio"]
+    measures = ["n_teams", "window_minutes", "window_pl_minutes", "window_goals", "window_pl_goals", "mean_diff_leagues", "mins_league_share"]
     joined = players.alias("p").join(windows.alias("w"), cond, "inner").select(
         "p.contest_id", "p.team", *[f"w.{m}" for m in measures])
-    # mins_pl_ratio is rounded to two digits, so the exact median keeps few distinct values.
+    # mins_league_share is rounded to two digits, so the exact median keeps few distinct values.
     return joined.groupBy("contest_id", "team").agg(
-        F.avg("n_teams").alias("avg_teams"), F.avg("sum_mins").alias("avg_mins"),
-        F.avg("sum_pl_mins").alias("avg_pl_mins"), F.avg("sum_gls").alias("sum_gls"),
-        F.avg("sum_pl_gls").alias("sum_pl_gls"), F.avg("avg_diff_leagues").alias("avg_lgs"),
-        F.median("mins_pl_ratio").alias("pl_ratio"))
+        F.avg("n_teams").alias("mean_teams"), F.avg("window_minutes").alias("mean_minutes"),
+        F.avg("window_pl_minutes").alias("mean_league_minutes"), F.avg("window_goals").alias("window_goals"),
+        F.avg("window_pl_goals").alias("window_pl_goals"), F.avg("mean_diff_leagues").alias("mean_leagues"),
+        F.median("mins_league_share").alias("league_share"))
 
 
 def join_sides(games: DataFrame, feats: DataFrame, cols: Sequence[str]) -> DataFrame:

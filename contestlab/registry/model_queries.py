@@ -8,7 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from contestlab.operators.frames import fill_missing
-from contestlab.plans import matches, modelling
+from contestlab.plans import matches, modelling, squads
 from contestlab.registry import query, views
 from contestlab.session import pinned, scratch_path
 from contestlab.sources import tables
@@ -115,34 +115,77 @@ def _logistic(train):
     return plan.fit(weighted), labels
 
 
-@query("model_leaderboard")
+# What SQL can state of a model's output: the rows it is for, and that each value is possible.
+HALVES = views.LEDGER + """,
+rows AS (SELECT contest_id, winner, day, home, away FROM ledger WHERE season <> 1995 AND winner IS NOT NULL),
+halves AS (SELECT *, ROW_NUMBER() OVER (ORDER BY MD5('456|' || contest_id), contest_id)
+             <= CAST(ROUND_EVEN(COUNT(*) OVER () * 0.9, 0) AS BIGINT) AS is_train FROM rows)"""
+
+
+def _known(labels):
+    return F.coalesce(F.col("predicted").isin(*labels), F.lit(False)).alias("predicted_known")
+
+
+@query("model_leaderboard", """SELECT model, TRUE AS status_known, TRUE AS metric_in_range
+    FROM (VALUES ('logistic_regression'), ('random_forest'), ('boosted_trees'), ('perceptron')) AS t(model)""")
 def _leaderboard(spark, sf_dir):
     train, _ = _halves(spark, sf_dir)
-    return modelling.search_models(
-        train, "winner", FEATURES, "contest_id", metric="mean_per_class_error", folds=2, budget_seconds=90,
-        balance=True).leaderboard
+    found = modelling.search_models(
+        train, "winner", FEATURES, "contest_id", metric="mean_per_class_error", folds=2, budget_seconds=90, balance=True)
+    fitted = F.col("status") == "fitted"
+    return found.leaderboard.select(
+        "model", F.col("status").isin("fitted", "not started").alias("status_known"),
+        (F.when(fitted, F.col("mean_per_class_error").between(0, 1)).otherwise(F.col("mean_per_class_error").isNull())).alias("metric_in_range"))
 
 
-@query("perceptron")
+@query("perceptron", f"WITH {HALVES} SELECT contest_id, winner, TRUE AS predicted_known FROM halves WHERE NOT is_train")
 def _perceptron(spark, sf_dir):
     train, test = _halves(spark, sf_dir)
     indexed, labels = modelling.label_index(train, "winner")
     model = modelling.pipeline(modelling.perceptron(len(FEATURES), len(labels)), FEATURES).fit(indexed)
-    return modelling.score(model, test, labels).select("contest_id", "winner", "predicted")
+    return modelling.score(model, test, labels).select("contest_id", "winner", _known(labels))
 
 
-@query("score")
+@query("score", f"WITH {HALVES} SELECT contest_id, winner, TRUE AS predicted_known FROM halves WHERE NOT is_train")
 def _score(spark, sf_dir):
     train, test = _halves(spark, sf_dir)
     model, labels = _logistic(train)
-    return modelling.score(model, test, labels).select("contest_id", "winner", "predicted")
+    return modelling.score(model, test, labels).select("contest_id", "winner", _known(labels))
 
 
-@query("score_probabilities")
+@query("score_probabilities", f"""WITH {HALVES} SELECT contest_id, day, home, away, winner, TRUE AS predicted_known,
+    TRUE AS sums_to_one, TRUE AS highest_is_predicted FROM halves WHERE is_train""")
 def _probabilities(spark, sf_dir):
     train, _ = _halves(spark, sf_dir)
     model, labels = _logistic(train)
+    shares = [F.col(v.lower()) for v in labels]
+    own = F.element_at(F.create_map(*[x for v in labels for x in (F.lit(v), F.col(v.lower()))]), F.col("predicted"))
     scored = modelling.score(model, train, labels, probabilities=True).select(
-        "contest_id", "predicted", *[F.col(v.lower()).alias(f"p_{v.lower()}") for v in labels])
+        "contest_id", _known(labels), (F.abs(sum(shares) - 1) < 1e-9).alias("sums_to_one"),
+        (own == F.greatest(*shares)).alias("highest_is_predicted"))
     games = views.ledger(spark, sf_dir).select("contest_id", "day", "home", "away", "winner")
     return games.join(scored, "contest_id")
+
+
+@query("lineup_model", f"""WITH {views.LINEUP}, {views.windows_sql(2, 1992, 1998, 2)},
+feats AS (
+  SELECT DISTINCT l.contest_id, l.team FROM lineup l JOIN windows w ON w.player = l.player AND w.window_end = l.season
+  WHERE l.is_starting = 1),
+rows AS (
+  SELECT g.contest_id, g.winner FROM ledger g JOIN feats h ON h.contest_id = g.contest_id AND h.team = g.home
+  JOIN feats a ON a.contest_id = g.contest_id AND a.team = g.away WHERE g.winner IS NOT NULL),
+halves AS (SELECT *, ROW_NUMBER() OVER (ORDER BY MD5('456|' || contest_id), contest_id)
+             <= CAST(ROUND_EVEN(COUNT(*) OVER () * 0.9, 0) AS BIGINT) AS is_train FROM rows)
+SELECT contest_id, winner, TRUE AS predicted_known FROM halves WHERE NOT is_train""")
+def _lineup_model(spark, sf_dir):
+    """A model over the line-ups of both sides and a text column, the day of the week."""
+    summary = squads.player_summary(views.player_season(spark, sf_dir), {"pl": "A", "cl": "N"})
+    windows = squads.player_windows(summary, 2, 1992, 1998)
+    games = views.ledger(spark, sf_dir).filter(F.col("winner").isNotNull()).withColumn("weekday", F.date_format("day", "E"))
+    table = squads.match_model_table(games, squads.lineup_features(views.lineup(spark, sf_dir), windows), keep=("contest_id", "winner", "weekday"))
+    rows = pinned(modelling.split_exact(pinned(fill_missing(table)), 0.9, "contest_id", 456))
+    train, test = rows.filter("is_train"), rows.filter("NOT is_train")
+    indexed, labels = modelling.label_index(train, "winner")
+    features = [c for c in table.columns if c not in ("contest_id", "winner")]
+    plan = modelling.pipeline(LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=20), features, train)
+    return modelling.score(plan.fit(indexed), test, labels).select("contest_id", "winner", _known(labels))

@@ -92,11 +92,11 @@ def _span_sql(prefix: str, cond: str) -> str:
     def s(c: str) -> str:
         return f"CASE WHEN {cond} THEN {c} END"
 
-    return f"""COUNT(DISTINCT {s('team')}) AS {prefix}n_teams, CAST(SUM({s('mins')}) AS BIGINT) AS {prefix}sum_mins,
-    CAST(SUM({s('pl_mins')}) AS BIGINT) AS {prefix}sum_pl_mins, CAST(SUM({s('goals')}) AS BIGINT) AS {prefix}sum_gls,
-    CAST(SUM({s('pl_goals')}) AS BIGINT) AS {prefix}sum_pl_gls, AVG({s('diff_leagues')}) AS {prefix}avg_diff_leagues,
-    {views.ratio_sql(s('pl_mins'), s('mins'))} AS {prefix}mins_pl_ratio,
-    {views.ratio_sql(s('pl_goals'), s('goals'))} AS {prefix}goals_pl_ratio"""
+    return f"""COUNT(DISTINCT {s('team')}) AS {prefix}n_teams, CAST(SUM({s('mins')}) AS BIGINT) AS {prefix}window_minutes,
+    CAST(SUM({s('pl_mins')}) AS BIGINT) AS {prefix}window_pl_minutes, CAST(SUM({s('goals')}) AS BIGINT) AS {prefix}window_goals,
+    CAST(SUM({s('pl_goals')}) AS BIGINT) AS {prefix}window_pl_goals, AVG({s('diff_leagues')}) AS {prefix}mean_diff_leagues,
+    {views.ratio_sql(s('pl_mins'), s('mins'))} AS {prefix}mins_league_share,
+    {views.ratio_sql(s('pl_goals'), s('goals'))} AS {prefix}goals_league_share"""
 
 
 FIXED = views.SUMMARY + f""", fixed AS (SELECT player, {_span_sql('', 'season BETWEEN 1998 AND 1999')},
@@ -144,9 +144,9 @@ def _record_literal(spark, sf_dir):
 def _features_sql(windows_cte: str, cond: str, starters: bool = True) -> str:
     lineup = views.LINEUP.strip()
     return f"""{windows_cte}, {lineup}, lineup_features AS (
-      SELECT contest_id, team, AVG(n_teams) AS avg_teams, AVG(sum_mins) AS avg_mins, AVG(sum_pl_mins) AS avg_pl_mins,
-        AVG(sum_gls) AS sum_gls, AVG(sum_pl_gls) AS sum_pl_gls, AVG(avg_diff_leagues) AS avg_lgs,
-        MEDIAN(mins_pl_ratio) AS pl_ratio
+      SELECT contest_id, team, AVG(n_teams) AS mean_teams, AVG(window_minutes) AS mean_minutes, AVG(window_pl_minutes) AS mean_league_minutes,
+        AVG(window_goals) AS window_goals, AVG(window_pl_goals) AS window_pl_goals, AVG(mean_diff_leagues) AS mean_leagues,
+        MEDIAN(mins_league_share) AS league_share
       FROM lineup p JOIN {cond} {'WHERE is_starting = 1' if starters else ''} GROUP BY contest_id, team)"""
 
 

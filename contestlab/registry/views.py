@@ -149,14 +149,14 @@ seasons AS (SELECT season, ROW_NUMBER() OVER (ORDER BY season) AS n FROM
 spans AS (SELECT a.season AS lo, b.season AS window_end FROM seasons a JOIN seasons b ON b.n = a.n + {years - 1}),
 windows AS (
   SELECT player, window_end, COUNT(DISTINCT team) AS n_teams,
-    SUM(mins) / {over}.0 AS sum_mins, SUM(n_matches) / {over}.0 AS sum_mtchs, SUM(goals) / {over}.0 AS sum_gls,
-    SUM(cl_mins) / {over}.0 AS sum_cl_mins, SUM(cl_matches) / {over}.0 AS sum_cl_mtchs,
-    SUM(cl_goals) / {over}.0 AS sum_cl_gls,
-    SUM(pl_mins) / {over}.0 AS sum_pl_mins, SUM(pl_matches) / {over}.0 AS sum_pl_mtchs,
-    SUM(pl_goals) / {over}.0 AS sum_pl_gls,
-    AVG(diff_leagues) AS avg_diff_leagues,
-    {ratio_sql("pl_mins", "mins")} / {ratio_over}.0 AS mins_pl_ratio,
-    {ratio_sql("pl_goals", "goals")} / {ratio_over}.0 AS goals_pl_ratio
+    SUM(mins) / {over}.0 AS window_minutes, SUM(n_matches) / {over}.0 AS window_matches, SUM(goals) / {over}.0 AS window_goals,
+    SUM(cl_mins) / {over}.0 AS window_cl_minutes, SUM(cl_matches) / {over}.0 AS window_cl_matches,
+    SUM(cl_goals) / {over}.0 AS window_cl_goals,
+    SUM(pl_mins) / {over}.0 AS window_pl_minutes, SUM(pl_matches) / {over}.0 AS window_pl_matches,
+    SUM(pl_goals) / {over}.0 AS window_pl_goals,
+    AVG(diff_leagues) AS mean_diff_leagues,
+    {ratio_sql("pl_mins", "mins")} / {ratio_over}.0 AS mins_league_share,
+    {ratio_sql("pl_goals", "goals")} / {ratio_over}.0 AS goals_league_share
   FROM summary JOIN spans ON season BETWEEN lo AND window_end GROUP BY player, window_end)"""
 
 

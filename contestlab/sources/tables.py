@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from contestlab.operators.frames import same_keys
-
-MAX_PARTITION_VALUES = 1000
+from contestlab.session import pinned
 
 
 def _folder(spark: SparkSession, path: str):
@@ -18,9 +17,14 @@ def _folder(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def _is_name(target: str) -> bool:
+    """A catalog table; anything with a slash is a folder."""
+    return "/" not in target
+
+
 def table_exists(spark: SparkSession, target: str) -> bool:
     """Whether a folder (anything with a slash) or a catalog table of that name exists."""
-    if "/" not in target:
+    if _is_name(target):
         return spark.catalog.tableExists(target)
     fs, path = _folder(spark, target)
     return fs.exists(path) and len(fs.listStatus(path)) > 0
@@ -35,7 +39,7 @@ def list_tables(spark: SparkSession, root: str | None = None) -> list[str]:
 
 
 def drop_table(spark: SparkSession, target: str) -> None:
-    if "/" not in target:
+    if _is_name(target):
         spark.sql(f"DROP TABLE IF EXISTS {target}")
         return
     fs, path = _folder(spark, target)
@@ -45,7 +49,7 @@ def drop_table(spark: SparkSession, target: str) -> None:
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None,
                where: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Stored table; the condition and the columns reach the Parquet scan."""
-    if "/" in target:
+    if not _is_name(target):
         reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.parquet(target)
     else:
@@ -60,7 +64,8 @@ def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = Non
 
     Rows count as equal when all columns (or `keys`) are equal, missing values included. Only new
     files are written, so a repeated or restarted load stores nothing twice. With `partition_by`
-    only the partitions the batch touches are read. One writer at a time.
+    only the partitions the batch touches are read. A target without a slash is a catalog table. One
+    writer at a time.
     """
     spark = df.sparkSession
     compared = list(keys) if keys else df.columns
@@ -71,18 +76,27 @@ def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = Non
         batch = batch.select(*df.columns)
     else:
         batch = df.distinct()
-    if table_exists(spark, target):
-        stored = read_table(spark, target, df.schema)
-        for c in partition_by:
-            touched = [r[0] for r in df.select(c).distinct().limit(MAX_PARTITION_VALUES + 1).collect()]
-            if len(touched) <= MAX_PARTITION_VALUES and None not in touched:
-                stored = stored.filter(F.col(c).isin(touched))
+    stored_already = table_exists(spark, target)
+    if stored_already:
+        batch = pinned(batch)  # the partitions it touches and its rows are both read from it
+        stored = read_table(spark, target, None if _is_name(target) else df.schema)
+        if partition_by:
+            # a semi-join on the partition columns prunes partitions at run time, missing values included
+            touched = batch.select(*partition_by).distinct()
+            stored = stored.alias("n").join(touched.alias("s"), same_keys("n", "s", partition_by), "left_semi")
         batch = batch.alias("n").join(
             stored.select(*compared).alias("s"), same_keys("n", "s", compared), "left_anti")
     writer = batch.write.mode("append")
+    if _is_name(target) and stored_already:
+        names = spark.table(target).columns
+        batch.select(*names).write.insertInto(target)
+        return
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    if _is_name(target):
+        writer.format("parquet").saveAsTable(target)
+    else:
+        writer.parquet(target)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", missing: str = "NA") -> None:

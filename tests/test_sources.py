@@ -179,7 +179,7 @@ def test_pages_to_model_table(spark):
     ledger = matches.ledger_of(fixtures)
     feats = squads.lineup_features(squads.lineup_of(lineups), windows)
     got = squads.match_model_table(ledger, feats).collect()
-    assert [(r.contest_id, r.winner, r.home_avg_teams) for r in got] == [(report, "Home", 1.0)]
+    assert [(r.contest_id, r.winner, r.home_mean_teams) for r in got] == [(report, "Home", 1.0)]
     rows_ = matches.match_features(ledger).orderBy("round_no").collect()
     assert [(r.round_no, r.winner, r.ht_points_before, r.at_points_before) for r in rows_] == [
         (1, "Home", None, None), (2, None, 0, 3)]

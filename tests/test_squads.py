@@ -39,18 +39,18 @@ def test_player_windows(player_season):
     summary = squads.player_summary(player_season, LEAGUES)
     got = {(r.player, r.window_end): r for r in squads.player_windows(summary, 2, 2010, 2018).collect()}
     r = got["x", 2013]
-    assert (r.n_teams, r.sum_mtchs, r.sum_gls, r.sum_pl_mins) == (1, 17.0, 4.0, (880 + 1800) / 2)
-    assert r.mins_pl_ratio == round((880 + 1800) / (880 + 360 + 1800), 2)
+    assert (r.n_teams, r.window_matches, r.window_goals, r.window_pl_minutes) == (1, 17.0, 4.0, (880 + 1800) / 2)
+    assert r.mins_league_share == round((880 + 1800) / (880 + 360 + 1800), 2)
     assert got["x", 2015].n_teams == 2
     literal = squads.player_windows(summary, 2, 2010, 2018, mode="literal").filter(
         "player = 'x' and window_end = 2013").first()
-    assert literal.mins_pl_ratio == r.mins_pl_ratio / 2
+    assert literal.mins_league_share == r.mins_league_share / 2
 
 
 def test_fixed_windows_need_both_spans(player_season):
     summary = squads.player_summary(player_season, LEAGUES)
     got = squads.fixed_windows(summary, (2012, 2013), 2013).orderBy("player").collect()
-    assert [(r.player, r.sum_gls, r.mr_sum_gls) for r in got] == [("x", 8, 5), ("y-z", 1, 1)]
+    assert [(r.player, r.window_goals, r.mr_window_goals) for r in got] == [("x", 8, 5), ("y-z", 1, 1)]
     assert [r.player for r in squads.fixed_windows(summary, (2012, 2012), 2013).collect()] == ["x"]
 
 
