@@ -36,9 +36,8 @@ def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date |
 
     Day and round are given once for the rows that follow. Literal mode compares days as texts,
     reads scores by position and puts `literal_path` into the report address of every league."""
-    of_page = pages.select("page_id", "url").join(
-        worklist.select("url", "season_start", "season_end", "title", "path"), "url")
-    rows = html.tables_by_shape(html.html_tables(pages), min_rows=2)
+    of_page = worklist.select("url", "season_start", "season_end", "title", "path")
+    rows = html.tables_by_shape(html.html_tables(pages, with_url=True), min_rows=2).repartition("page_id")
     named = blank_to_null(html.name_columns(rows, FIXTURE_COLUMNS))
     at = ["page_id", "table_no"]
     seeded = named.withColumn("round", F.when(F.col("row_no") == 1, FIRST_ROUND).otherwise(F.col("round")))
@@ -49,7 +48,7 @@ def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date |
     })
     filled = locf(parsed, ["day", "round_no"], at, ["row_no"], block_rows=None)
     goals = filled.filter(F.col("dash") == "-").withColumn("_s", fn.parse_score("score", mode))
-    joined = goals.join(of_page, "page_id")
+    joined = goals.join(of_page, "url")
     path = F.lit(literal_path) if mode == "literal" else F.col("path")
     out = joined.select(
         "day", "kickoff", "home_team", "dash", "away_team", "score",
@@ -66,11 +65,10 @@ def lineups_from_pages(pages: DataFrame, fixtures: DataFrame, *, base: str = BAS
     """Line-ups of the match pages that hold exactly two line-up tables."""
     games = fixtures.select(
         F.col("match_id").alias("url"), "home_team", "away_team", "season_id").distinct()
-    of_page = pages.select("page_id", "url").join(games, "url")
-    rows = html.tables_by_shape(html.html_tables(pages), min_rows=11, max_rows=21)
+    rows = html.tables_by_shape(html.html_tables(pages, with_url=True), min_rows=11, max_rows=21).repartition("page_id")
     named = html.name_columns(html.require_tables(rows, 2), LINEUP_COLUMNS)
     flagged = html.flag_after_marker(named, F.col("subbed_time").startswith("Sub"), "is_starting")
-    players = flagged.filter(F.col("number") != BENCH).join(of_page, "page_id")
+    players = flagged.filter(F.col("number") != BENCH).join(games, "url")
     team = F.when(F.col("nth") == 1, F.col("home_team")).otherwise(F.col("away_team"))
     out = players.select(
         "number",
@@ -91,16 +89,15 @@ def _distinct_players(lineups: DataFrame, base: str) -> DataFrame:
 
 def biographies_from_pages(pages: DataFrame, lineups: DataFrame, *, base: str = BASE) -> DataFrame:
     """One row per player, team and season with what the player's page tells; NULL where it does not."""
-    rows = html.tables_by_shape(html.html_tables(pages), min_rows=6, max_rows=10, n_cols=2)
+    rows = html.tables_by_shape(html.html_tables(pages, with_url=True), min_rows=6, max_rows=10, n_cols=2).repartition("page_id")
     named = html.name_columns(rows, ["label", "info"])
     is_born = F.col("label") == BORN
     named = named.withColumn("_born", html.marker_row(is_born)).filter(
         (F.col("_born") == 1) | ((F.col("n_rows") >= 9) & F.col("_born").isNotNull()))
     info = fn.strip_punct(fn.strip_control("info"))
-    sliced = html.slice_after_marker(named, is_born, info, BIOGRAPHY_POSITIONS)
+    sliced = html.slice_after_marker(named, is_born, info, BIOGRAPHY_POSITIONS, group=("page_id", "table_no", "url"))
     facts = (
-        sliced.join(pages.select("page_id", "url"), "page_id")
-        .groupBy("url").agg(F.min_by(F.struct(*BIOGRAPHY_POSITIONS), F.struct("page_id", "table_no")).alias("b"))
+        sliced.groupBy("url").agg(F.min_by(F.struct(*BIOGRAPHY_POSITIONS), F.struct("page_id", "table_no")).alias("b"))
         .select(F.col("url").alias("player_link"), "b.*")
     )
     out = _distinct_players(lineups, base).alias("p").join(
@@ -118,11 +115,10 @@ def biographies_from_pages(pages: DataFrame, lineups: DataFrame, *, base: str =
 def season_stats_from_pages(pages: DataFrame, lineups: DataFrame, *, base: str = BASE) -> DataFrame:
     """Season statistics of the players' pages; a page without them adds nothing."""
     players = _distinct_players(lineups, base).select("player_slug", "player_link").distinct()
-    rows = html.tables_by_shape(html.html_tables(pages), min_rows=1, n_cols=12)
+    rows = html.tables_by_shape(html.html_tables(pages, with_url=True), min_rows=1, n_cols=12)
     named = html.name_columns(rows, SEASON_COLUMNS)
     counts = [c for c in SEASON_COLUMNS[4:]]
-    joined = named.join(pages.select("page_id", F.col("url").alias("player_link")), "page_id").join(
-        players, "player_link")
+    joined = named.withColumnRenamed("url", "player_link").join(players, "player_link")
     return joined.withColumns(
         {"league": fn.strip_punct(fn.strip_control("league")), "player_name": F.col("player_slug")}
         | {c: F.col(c).try_cast("int") for c in counts}

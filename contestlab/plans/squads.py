@@ -30,8 +30,8 @@ def player_season_of(statistics: DataFrame, mode: str = "intended") -> DataFrame
     of which the summary then replaces only the first."""
     name = F.col("player_name") if mode == "literal" else normalise_name("player_name")
     return statistics.select(
-        name.alias("player"), season_start("season").alias("season"), "team", "league",
-        "matches", "goals", "starts", "sub_in", "sub_out")
+        name.alias("player"), "player_link", F.col("season").alias("season_id"), season_start("season").alias("season"),
+        "team", "league", "matches", "goals", "starts", "sub_in", "sub_out")
 
 
 def split_measures(df: DataFrame, by: Sequence[str], measures: Mapping[str, str | Column],
@@ -46,20 +46,31 @@ def split_measures(df: DataFrame, by: Sequence[str], measures: Mapping[str, str
 
 def player_summary(player_season: DataFrame, leagues: Mapping[str, str], mode: str = "intended") -> DataFrame:
     """Per player, season and team: leagues played in, minutes, matches and goals, in total and
-    per league of `leagues` (prefix -> league).
+    per league of `leagues` (prefix -> league). Where the table tells them, the player's link and the
+    full season label keep namesakes and seasons apart.
 
-    Literal mode loses the league measures of hyphenated names, whose spellings differ there."""
+    Literal mode loses the league measures of hyphenated names, whose spellings differ there, and one
+    missing value makes a sum 0."""
+    literal = mode == "literal"
     minutes = minutes_played("starts", "sub_in", "sub_out")
     measures = {"mins": minutes, "matches": F.col("matches"), "goals": F.col("goals")}
-    sums = [F.sum(c).alias(n) for n, c in measures.items()]
+
+    def total(value: Column, cond: Column | None = None) -> Column:
+        kept = value if cond is None else F.when(cond, value)
+        if not literal:
+            return F.sum(kept)
+        gaps = F.count_if(value.isNull() if cond is None else cond & value.isNull())
+        return F.when(gaps == 0, F.sum(kept))
+
+    sums = [total(c).alias(n) for n, c in measures.items()]
     for prefix, league in leagues.items():
-        sums += [F.coalesce(F.sum(F.when(F.col("league") == league, c)), F.lit(0)).alias(f"{prefix}_{n}")
-                 for n, c in measures.items()]
+        sums += [F.coalesce(total(c, F.col("league") == league), F.lit(0)).alias(f"{prefix}_{n}") for n, c in measures.items()]
+    key = [*SUMMARY_KEY, *[c for c in ("player_link", "season_id") if c in player_season.columns]]
     out = (
-        player_season.groupBy(*SUMMARY_KEY).agg(n_distinct("league").alias("diff_leagues"), *sums)
+        player_season.groupBy(*key).agg(n_distinct("league").alias("diff_leagues"), *sums)
         .withColumnRenamed("matches", "n_matches").na.fill(0, ["mins", "n_matches", "goals"])
     )
-    if mode == "literal":
+    if literal:
         split = [f"{p}_{n}" for p in leagues for n in measures]
         hyphen = F.col("player").cast("string").contains("-")
         out = out.withColumns({c: F.when(hyphen, F.lit(0)).otherwise(F.col(c)) for c in split})

@@ -39,6 +39,32 @@ def _summary_literal(spark, sf_dir):
     return squads.player_summary(named, LEAGUES, "literal")
 
 
+# Goals are missing where the line number is 6, minutes where substitutions are.
+GAPPY = views.PLAYER_SEASON.replace("CAST(CAST(l_quantity AS BIGINT) % 4 AS INTEGER) AS goals",
+                                    "CASE WHEN l_linenumber <> 6 THEN CAST(CAST(l_quantity AS BIGINT) % 4 AS INTEGER) END AS goals")
+
+
+def _gappy_sum(value: str, cond: str = "TRUE") -> str:
+    return (f"CAST(CASE WHEN COUNT(CASE WHEN {cond} AND {value} IS NULL THEN 1 END) > 0 THEN 0 "
+            f"ELSE COALESCE(SUM(CASE WHEN {cond} THEN {value} END), 0) END AS BIGINT)")
+
+
+@query("player_summary_literal_gaps", f"""WITH {GAPPY}, minutes AS (
+    SELECT *, (starts - sub_out) * 90 + sub_in * 20 + sub_out * 70 AS mins FROM player_season)
+    SELECT CAST(player AS VARCHAR) AS player, season, team, COUNT(DISTINCT league) AS diff_leagues, {_gappy_sum("mins")} AS mins,
+    {_gappy_sum("matches")} AS n_matches, {_gappy_sum("goals")} AS goals,
+    {", ".join(f"{_gappy_sum(m, f'league = {chr(39)}{v}{chr(39)}')} AS {p}_{m}" for p, v in LEAGUES.items() for m in ("mins", "matches", "goals"))}
+    FROM minutes GROUP BY player, season, team""")
+def _summary_gaps(spark, sf_dir):
+    rows = table_with_lines(spark, sf_dir)
+    return squads.player_summary(rows, LEAGUES, "literal")
+
+
+def table_with_lines(spark, sf_dir):
+    seasons = views.player_season(spark, sf_dir)  # `matches` is the line number
+    return seasons.withColumn("goals", F.when(F.col("matches") != 6, F.col("goals")))
+
+
 @query("league_split_summary", f"""WITH {views.PLAYER_SEASON} SELECT player, season,
     CAST(SUM(matches) AS BIGINT) AS n, CAST(SUM(goals) AS BIGINT) AS goals,
     CAST(SUM(CASE WHEN league = 'A' THEN matches ELSE 0 END) AS BIGINT) AS pl_n,

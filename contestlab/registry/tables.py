@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contestlab.functions import count_where, missing_flag, n_distinct, sum_where, mean_where
 from contestlab.operators import checks, frames
 from contestlab.registry import query, views
 from contestlab.registry.views import table
-from contestlab.session import scratch_path
+from contestlab.session import pinned, scratch_path
 from contestlab.sources import tables
 
 LEDGER = f"WITH {views.LEDGER} "
@@ -37,6 +39,18 @@ def append_distinct(spark, sf_dir):
     return tables.read_table(spark, target, games.schema)
 
 
+@query("append_distinct_catalog", LEDGER + "SELECT DISTINCT season, home, away, winner FROM ledger")
+def append_distinct_catalog(spark, sf_dir):
+    """The same into a table of the catalog, known by its name."""
+    name = f"appended_{uuid.uuid4().hex}"
+    games = views.ledger(spark, sf_dir).select("season", "home", "away", "winner")
+    for batch in (games.filter(F.col("season") <= 1998), games.filter(F.col("season") >= 1997), games):
+        tables.append_distinct(batch, name, partition_by=["season"])
+    out = pinned(tables.read_table(spark, name).select("season", "home", "away", "winner"))
+    tables.drop_table(spark, name)
+    return out
+
+
 @query("csv_roundtrip", LEDGER + "SELECT * FROM ledger")
 def _csv(spark, sf_dir):
     path = scratch_path(spark, "csv")

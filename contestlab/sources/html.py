@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from contestlab.schemas import PAGE_ROWS
 
 
-def _reader():
+def _reader(with_url: bool = False, batch_cells: int = 20_000):
     """Batch function for `mapInArrow`. Everything it needs is defined inside, so that workers
     need no copy of this package."""
     import re
@@ -19,14 +19,50 @@ def _reader():
     hidden = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
     table_tag = re.compile(rf"<(/?)(table|tr|td|th|br)\b({inside})", re.I)
     any_tag = re.compile(rf"<[/!a-z]{inside}", re.I)
-    span = re.compile(r"""\bcolspan\s*=\s*["']?\s*(\d+)""", re.I)
+    spans = {name: re.compile(rf"""\b{name}\s*=\s*["']?\s*(\d+)""", re.I) for name in ("colspan", "rowspan")}
+    most_wide, most_deep = 1000, 65534  # limits of the HTML standard
 
     def end_cell(table):
         if table["cell"] is not None:
             text = unescape(any_tag.sub("", "".join(table["cell"]))).strip()
-            table["rows"][-1]["cells"] += [text] * table["span"]
+            table["rows"][-1]["cells"].append((text, *table["span"]))
             table["cell"] = None
 
+    def size_of(tag):
+        """Columns and rows that a cell spans; no rows (0) means all rows below."""
+        wide, deep = (spans[name].search(tag) for name in ("colspan", "rowspan"))
+        wide = min(max(int(wide[1][:6]), 1), most_wide) if wide else 1
+        deep = min(int(deep[1][:6]), most_deep) if deep else 1
+        return wide, deep or most_deep
+
+    def laid_out(rows):
+        """Rows of cell texts, spanning cells repeated to the right and below."""
+        above = {}  # column -> text and number of rows it still fills
+        for row in rows:
+            cells, own = [], iter(row["cells"])
+            waiting = next(own, None)
+            while waiting is not None or any(c >= len(cells) for c in above):
+                column = len(cells)
+                if column in above:
+                    text, left = above.pop(column)
+                    if left > 1:
+                        above[column] = (text, left - 1)
+                    cells.append(text)
+                elif waiting is None:
+                    cells.append(None)
+                else:
+                    text, wide, deep = waiting
+                    for c in range(column, column + wide):
+                        if c not in above:
+                            cells.append(text)
+                            if deep > 1:
+                                above[c] = (text, deep - 1)
+                        else:
+                            break
+                    waiting = next(own, None)
+            if cells:
+                yield {"cells": cells, "data": row["data"]}
+
     def tables_of(page):
         """Tables in order of their opening tags, each a list of rows of cell texts. A nested table
         is a table of its own; end tags of cells and rows may be missing."""
@@ -39,7 +75,7 @@ def _reader():
             at = tag.end()
             closing, name = tag[1], tag[2].lower()
             if name == "table" and not closing:
-                unclosed.append({"rows": [], "cell": None, "span": 1})
+                unclosed.append({"rows": [], "cell": None, "span": (1, 1)})
                 tables.append(unclosed[-1])
             elif table is None:
                 continue
@@ -55,8 +91,7 @@ def _reader():
                 if name == "tr" or not table["rows"]:
                     table["rows"].append({"cells": [], "data": False})
                 if name != "tr":
-                    wide = span.search(tag[3])
-                    table["span"] = max(1, int(wide[1])) if wide else 1
+                    table["span"] = size_of(tag[3])
                     table["cell"] = []
                     table["rows"][-1]["data"] |= name == "td"
         if unclosed and unclosed[-1]["cell"] is not None:
@@ -64,7 +99,7 @@ def _reader():
         for table in unclosed:
             end_cell(table)
         for number, table in enumerate(tables, 1):
-            rows = [r for r in table["rows"] if r["cells"]]
+            rows = list(laid_out(table["rows"]))
             if rows and not rows[0]["data"]:
                 rows = rows[1:]  # a first row of header cells names the columns
             width = max((len(r["cells"]) for r in rows), default=0)
@@ -73,28 +108,36 @@ def _reader():
     def read(batches):
         import pyarrow as pa
 
-        cells_type = pa.list_(pa.string())
+        names = ["page_id", "table_no", "row_no", "cells", "n_rows", *(["url"] if with_url else [])]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), *([pa.string()] if with_url else [])]
+
+        def flush(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
         for batch in batches:
-            pages, tables, numbers, sizes, cells = [], [], [], [], []
-            for page, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            held, size = [], 0  # a few thousand cells at a time, or one row
+            for page, html, *url in zip(*(c.to_pylist() for c in batch.columns)):
                 for table_no, rows in tables_of(html):
-                    pages += [page] * len(rows)
-                    tables += [table_no] * len(rows)
-                    numbers += range(1, len(rows) + 1)
-                    sizes += [len(rows)] * len(rows)
-                    cells += rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pages, pa.int64()), pa.array(tables, pa.int32()), pa.array(numbers, pa.int32()),
-                 pa.array(cells, cells_type), pa.array(sizes, pa.int32())],
-                names=["page_id", "table_no", "row_no", "cells", "n_rows"])
+                    for number, cells in enumerate(rows, 1):
+                        held.append((page, table_no, number, cells, len(rows), *url))
+                        size += len(cells)
+                        if size >= batch_cells:
+                            yield flush(held)
+                            held, size = [], 0
+            if held:
+                yield flush(held)
 
     return read
 
 
-def html_tables(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html) to (page_id, table_no, row_no, cells, n_rows). Spanning cells are
-    repeated and short rows padded to the width of their table; n_rows is the table's size."""
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(_reader(), PAGE_ROWS)
+def html_tables(pages: DataFrame, with_url: bool = False) -> DataFrame:
+    """(page_id, url, html) to (page_id, table_no, row_no, cells, n_rows) and, if asked for, url.
+
+    Spanning cells are repeated to the right and below, up to the limits of the HTML standard, and short
+    rows padded to the width of their table; n_rows is the table's size."""
+    schema = T.StructType([*PAGE_ROWS.fields, *([T.StructField("url", T.StringType())] if with_url else [])])
+    columns = [F.col("page_id").cast("long"), "html", *(["url"] if with_url else [])]
+    return pages.select(*columns).mapInArrow(_reader(with_url), schema)
 
 
 def tables_by_shape(rows: DataFrame, min_rows: int = 1, max_rows: int | None = None,

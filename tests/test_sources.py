@@ -236,7 +236,7 @@ def test_search_score_and_save(spark, separable):
     again = modelling.score(modelling.load_model(path), separable, found.labels)
     assert modelling.accuracy(again).first()[0] == 1.0
     one = modelling.search_models(separable, "winner", ["x"], "k", candidates=candidates, folds=2, budget_seconds=0)
-    assert one.leaderboard.count() == 1
+    assert one.leaderboard.filter("status = 'fitted'").count() == 1 and not one.complete
 
 
 def test_log_result_is_kept_once(spark):
@@ -246,3 +246,53 @@ def test_log_result_is_kept_once(spark):
         tables.log_result(result, target, "windows", day)
     assert rows(tables.read_table(spark, target, tables.MODEL_RESULT)) == [
         ("windows", 0.35, "2020-02-01"), ("windows", 0.35, "2020-02-03")]
+
+
+@pytest.mark.parametrize("page, wanted", [
+    ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", [["a", "b"], ["a", "c"]]),
+    ("<table><tr><td>a<td rowspan='3' colspan=2>b</tr><tr><td>c</tr><tr></tr><tr><td>d</table>",
+     [["a", "b", "b"], ["c", "b", "b"], [None, "b", "b"], ["d", None, None]]),
+    ("<table><tr><td rowspan=0>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr></table>", [["a", "b"], ["a", "c"], ["a", "d"]]),
+])
+def test_spanning_cells_are_repeated(spark, page, wanted):
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert [r.cells for r in html.html_tables(df).orderBy("row_no").collect()] == wanted
+
+
+def test_spans_are_clamped_and_the_address_comes_along(spark):
+    page = "<table><tr><td colspan=99999999>a</td></tr></table>"
+    row = html.html_tables(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), with_url=True).first()
+    assert len(row.cells) == 1000 and row.url == "u"
+
+
+def test_append_to_a_catalog_table(spark):
+    a, b = spark.createDataFrame([("a", 1), ("b", None)], "k string, p int"), spark.createDataFrame([("b", None), ("c", 1), ("c", 1)], "k string, p int")
+    for batch in (a, a, b):
+        tables.append_distinct(batch, "appended_rows", partition_by=["p"])
+    assert tables.table_exists(spark, "appended_rows")
+    assert rows(tables.read_table(spark, "appended_rows").select("k", "p")) == sorted([("a", 1), ("b", None), ("c", 1)], key=repr)
+    tables.drop_table(spark, "appended_rows")
+    assert not tables.table_exists(spark, "appended_rows")
+
+
+def test_rows_without_a_label_have_no_weight(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "y string")
+    assert rows(modelling.class_weights(df, "y")) == sorted([("a", 0.75), ("a", 0.75), ("b", 1.5), (None, None)], key=repr)
+
+
+def test_split_marks_the_exact_number(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    for frac in (0.0, 0.123, 0.5, 1.0):
+        assert modelling.split_exact(df, frac, "k", 1).filter("is_train").count() == round(1000 * frac)
+    plan = modelling.split_exact(df, 0.5, "k", 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Range") == 1
+
+
+def test_a_search_lists_what_it_did_not_start(spark):
+    df = spark.createDataFrame([(i, float(i % 5), "ab"[i % 2], "xy"[i % 3 > 0]) for i in range(60)], "k long, n double, y string, t string")
+    found = modelling.search_models(df, "y", ["n", "t"], "k", budget_seconds=0, folds=2, balance=True)
+    board = [(r["rank"], r.model, r.status) for r in found.leaderboard.collect()]
+    assert board[0] == (1, "logistic_regression", "fitted") and not found.complete
+    assert [b[2] for b in board[1:]] == ["not started"] * 3
+    unseen = spark.createDataFrame([(1, 0.0, "a", "new"), (2, 0.0, "a", None)], df.schema)
+    assert {r.predicted for r in modelling.score(found.best, unseen, found.labels).collect()} <= {"a", "b"}

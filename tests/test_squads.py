@@ -90,3 +90,22 @@ def test_lineup_features_and_model_table(spark, lineup, games, player_season):
     any_window = squads.lineup_features(lineup, windows, on="name", starters_only=False)
     assert any_window.filter("contest_id = 4").count() == 1
     assert squads.lineup_features(lineup, windows, lag_seasons=1).count() == 0
+
+
+def test_namesakes_stay_apart(spark):
+    data = [("A Name", link, label, "t", "Pr League", 1, 1, 1, 0, 0) for link, label in
+            (("/p/1", "2017"), ("/p/2", "2017"), ("/p/2", "2017/2018"))]
+    statistics = spark.createDataFrame(
+        data, "player_name string, player_link string, season string, team string, league string, matches int, goals int, starts int, sub_in int, sub_out int")
+    summary = squads.player_summary(squads.player_season_of(statistics), LEAGUES)
+    assert sorted((r.player_link, r.season_id, r.season, r.n_matches) for r in summary.collect()) == [
+        ("/p/1", "2017", 2017, 1), ("/p/2", "2017", 2017, 1), ("/p/2", "2017/2018", 2017, 1)]
+    assert [r.window_matches for r in squads.player_windows(summary, 1, 2010, 2018).collect()] == [3.0]
+
+
+def test_literal_sums_are_lost_to_one_missing_value(spark):
+    data = [("x", 2012, "t", "Pr League", 1, None, 1, 0, 0), ("x", 2012, "t", "Ch League", 2, 2, 2, 0, 0)]
+    df = spark.createDataFrame(data, "player string, season int, team string, league string, matches int, goals int, starts int, sub_in int, sub_out int")
+    literal, intended = (squads.player_summary(df, LEAGUES, m).first() for m in ("literal", "intended"))
+    assert (literal.goals, literal.pl_goals, literal.cl_goals, literal.n_matches) == (0, 0, 2, 3)
+    assert (intended.goals, intended.pl_goals, intended.cl_goals) == (2, 0, 2)
