@@ -135,10 +135,11 @@ def median_in(df: DataFrame, group: Sequence[str], value: str, name: str = "medi
     Equal values are counted before the shuffle. Groups with more than `direct_rows` distinct
     values are first narrowed: a histogram finds the cells holding the middle ranks, and only
     these values are kept, round by round."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
+    # a missing value counts as no row, but keeps its group
+    counts = df.groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count(value).alias("_n"))
     sizes = counts.groupBy(*group).agg(F.count(F.lit(1)).alias("_distinct"))
-    if (sizes.agg(F.max("_distinct")).first()[0] or 0) > direct_rows:
+    largest = sizes.orderBy(F.desc("_distinct")).first()
+    if largest and largest["_distinct"] > direct_rows:
         counts = _narrowed(counts, group, cells, direct_rows)
     else:
         counts = counts.withColumns({"_below": F.lit(0), "_total": F.lit(None).cast("long")})
@@ -149,11 +150,9 @@ def median_in(df: DataFrame, group: Sequence[str], value: str, name: str = "medi
         "_all": F.coalesce(F.col("_total"), F.sum("_n").over(whole)),
     })
     low, high = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
-    medians = ranked.groupBy(*group).agg(
+    return ranked.groupBy(*group).agg(
         ((F.min(F.when(F.col("_up_to") >= low, F.col("_v"))) +
           F.min(F.when(F.col("_up_to") >= high, F.col("_v")))) / 2).alias(name))
-    groups = df.select(*group).distinct()
-    return groups.alias("l").join(medians.alias("r"), same_keys("l", "r", group), "left").select("l.*", f"r.{name}")
 
 
 def _narrowed(counts: DataFrame, group: Sequence[str], cells: int, direct_rows: int) -> DataFrame:

@@ -96,11 +96,12 @@ def season_windows(df: DataFrame, years: int, start: int, end: int) -> DataFrame
 
 
 def player_windows(summary: DataFrame, years: int, start: int, end: int, *, per_season: bool = True,
-                   mode: str = "intended") -> DataFrame:
+                   mode: str = "intended", observed: DataFrame | None = None) -> DataFrame:
     """Player measures over each sliding season window, labelled by its last season.
 
+    `observed` tells which seasons occur; the table that was summed is the cheapest to read them from.
     `per_season` divides sums by the window length. Literal mode divides the rounded ratios too."""
-    windows = season_windows(summary, years, start, end)
+    windows = season_windows(summary if observed is None else observed, years, start, end)
     joined = summary.join(F.broadcast(windows), "season")  # bounded by the season range
     over = years if per_season else 1
     ratio_over = F.lit(years if mode == "literal" and per_season else 1)

@@ -180,7 +180,7 @@ SELECT contest_id, winner, TRUE AS predicted_known FROM halves WHERE NOT is_trai
 def _lineup_model(spark, sf_dir):
     """A model over the line-ups of both sides and a text column, the day of the week."""
     summary = squads.player_summary(views.player_season(spark, sf_dir), {"pl": "A", "cl": "N"})
-    windows = squads.player_windows(summary, 2, 1992, 1998)
+    windows = squads.player_windows(summary, 2, 1992, 1998, observed=views.player_season(spark, sf_dir))
     games = views.ledger(spark, sf_dir).filter(F.col("winner").isNotNull()).withColumn("weekday", F.date_format("day", "E"))
     table = squads.match_model_table(games, squads.lineup_features(views.lineup(spark, sf_dir), windows), keep=("contest_id", "winner", "weekday"))
     rows = pinned(modelling.split_exact(pinned(fill_missing(table)), 0.9, "contest_id", 456))

@@ -17,7 +17,8 @@ def summary(spark, sf_dir):
 
 
 def windows(spark, sf_dir, **options):
-    return squads.player_windows(summary(spark, sf_dir), YEARS, START, END, **options)
+    return squads.player_windows(
+        summary(spark, sf_dir), YEARS, START, END, observed=views.player_season(spark, sf_dir), **options)
 
 
 @query("player_summary", f"WITH {views.SUMMARY} SELECT * FROM summary")

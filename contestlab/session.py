@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording the Python call site of every expression costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -32,7 +36,15 @@ def _shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="contestlab-")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    """For a local session that names no folder: one for the process, removed at its end."""
+    path = tempfile.mkdtemp(prefix="contestlab-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
