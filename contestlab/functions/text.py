@@ -80,10 +80,14 @@ def report_id(base: ColumnOrName, start: ColumnOrName, end: ColumnOrName,
     )
 
 
+# Pieces of the addresses of player pages.
+PLAYER_PATH, PLAYER_SUFFIX = "player_summary", "/2/"
+
+
 def player_link(c: ColumnOrName, base: str) -> Column:
     """Address of a player page; a name spread over lines is cut at its first line."""
     name = F.replace(first_line(c), F.lit(" "), F.lit("-"))
-    return F.concat(F.lit(f"{base}/player_summary/"), name, F.lit("/2/"))
+    return F.concat(F.lit(f"{base}/{PLAYER_PATH}/"), name, F.lit(PLAYER_SUFFIX))
 
 
 def classify(c: ColumnOrName, rules: Sequence[tuple[str, Sequence[Sequence[str]]]],

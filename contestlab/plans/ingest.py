@@ -28,6 +28,7 @@ BENCH = "Substitutes"
 FIRST_ROUND = "1. Round"
 
 BASE = "https://example.org"
+REPORT_PATH = "report"  # fixed value: piece of the addresses of match reports
 
 
 def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date | Column | None = None,
@@ -54,7 +55,7 @@ def fixtures_from_pages(pages: DataFrame, worklist: DataFrame, *, as_of: date |
         "day", "kickoff", "home_team", "dash", "away_team", "score",
         fn.has_finished("day", as_of, mode).alias("has_finished"), "round_no", "_s.*",
         fn.season_label("season_start").alias("season_id"), "season_start", "season_end", "title",
-        fn.report_id(F.concat(F.lit(f"{base}/report/"), path, F.lit("-")), "season_start", "season_end",
+        fn.report_id(F.concat(F.lit(f"{base}/{REPORT_PATH}/"), path, F.lit("-")), "season_start", "season_end",
                      "home_team", "away_team").alias("match_id"),
         fn.winner("_s.ft_home", "_s.ft_away").alias("winner"),
         fn.goal_diff("_s.ft_home", "_s.ft_away").alias("diff"))

@@ -114,6 +114,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
         "multiLine", multi_line).option("escape", '"').csv(path)
 
 
+# Fixed value: piece of the addresses of season pages.
+SEASON_PATH = "all_matches"
+
+
 def season_worklist(spark: SparkSession, start: int, end: int, leagues: dict[str, str], base: str) -> DataFrame:
     """Addresses of the season pages from `start` up to seasons ending by `end`, per league
     (title -> path). Raises when the range is empty."""
@@ -124,7 +128,7 @@ def season_worklist(spark: SparkSession, start: int, end: int, leagues: dict[str
         spark.range(start, end).select(F.col("id").cast("int").alias("season_start"), F.explode(paths).alias("l"))
         .select(
             "season_start", (F.col("season_start") + 1).alias("season_end"), "l.title", "l.path",
-            F.concat_ws("", F.lit(f"{base}/all_matches/"), "l.path", F.lit("-"), F.col("season_start").cast("string"),
+            F.concat_ws("", F.lit(f"{base}/{SEASON_PATH}/"), "l.path", F.lit("-"), F.col("season_start").cast("string"),
                         F.lit("-"), (F.col("season_start") + 1).cast("string"), F.lit("/")).alias("url"))
     )
 

@@ -296,3 +296,12 @@ def test_a_search_lists_what_it_did_not_start(spark):
     assert [b[2] for b in board[1:]] == ["not started"] * 3
     unseen = spark.createDataFrame([(1, 0.0, "a", "new"), (2, 0.0, "a", None)], df.schema)
     assert {r.predicted for r in modelling.score(found.best, unseen, found.labels).collect()} <= {"a", "b"}
+
+
+def test_fixture_plan_reads_the_pages_once_and_shuffles_them_once(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "s1", "<table></table>")], schemas.PAGES).write.parquet(path)
+    work = spark.createDataFrame([("s1", 2017, 2018, "First", "one")], "url string, season_start int, season_end int, title string, path string")
+    plan = ingest.fixtures_from_pages(spark.read.parquet(path), work)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(page_id" in x]) == 1
