@@ -30,7 +30,7 @@ from contestlab.llm.textstats import let
 
 _BASE = 0x0800              # character of rank 0; up to U+D7FF every character takes three bytes in UTF-8
 _MARK = "\ue000"             # ends a finished state
-BLOCK = 32 << 20            # characters whose distinct words are encoded together, or one document
+BLOCK = 8 << 20             # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
 
 
@@ -106,13 +106,15 @@ class RankMap:
         return cls(bytes(turns), b"".join(slots))
 
     def tokens(self, pairs: Column, turns: Column, slots: Column) -> Column:
-        """The merged symbol of every pair of an array with its sign, or null. The literals come bound, see `encode_word`."""
+        """The merged symbol of every pair of an array with its sign, or null, all as bytes. The literals come bound, see `encode_word`."""
         def slot(pair: Column) -> Column:
-            group = F.pmod(F.xxhash64(pair), F.lit(len(self.turns))).cast("int")
-            return F.pmod(F.xxhash64(pair, F.substring(turns, group + 1, F.lit(1))), F.lit(len(self.slots) // 10)).cast("int") * 10
+            # both tables have a power of two of places
+            group = F.xxhash64(pair).bitwiseAND(F.lit(len(self.turns) - 1).cast("long")).cast("int")
+            place = F.xxhash64(pair, F.substring(turns, group + 1, F.lit(1)))
+            return place.bitwiseAND(F.lit(len(self.slots) // 10 - 1).cast("long")).cast("int") * 10
 
         return F.zip_with(pairs, F.transform(pairs, slot), lambda p, at: F.when(
-            F.substring(slots, at + 1, F.lit(6)).cast("string") == p, F.substring(slots, at + 7, F.lit(4)).cast("string")))
+            F.substring(slots, at + 1, F.lit(6)) == p, F.substring(slots, at + 7, F.lit(4))))
 
 
 def encode_word(symbols: Column, table: RankMap) -> Column:
@@ -125,7 +127,7 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
     def pairs_of(state: Column) -> Column:
         raw = state.cast("binary")
         return F.transform(F.sequence(F.lit(0), (F.octet_length(state) / 3).cast("int") - 2),
-                           lambda i: F.substring(raw, 3 * i + 1, F.lit(6)).cast("string"))
+                           lambda i: F.substring(raw, 3 * i + 1, F.lit(6)))
 
     def step(state: Column, tokens_of) -> Column:
         return let(pairs_of(state), lambda p: let(tokens_of(p), lambda t: let(F.array_min(t), lambda best: F.when(
@@ -135,10 +137,11 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
         return F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).eqNullSafe(best))[0]
 
     def merge(state: Column, pairs: Column, tokens: Column, best: Column, at: Column, tokens_of) -> Column:
-        pair, symbol, sign = F.get(pairs, at), F.substring(best, F.lit(1), F.lit(1)), F.substring(best, F.lit(2), F.lit(1))
+        pair, symbol = F.get(pairs, at), F.substring(best, F.lit(1), F.lit(3)).cast("string")
+        sign = F.substring(best, F.lit(4), F.lit(1)).cast("string")
         others = F.exists(F.zip_with(pairs, tokens, lambda p, t: (t == best) & (p != pair)), lambda x: x)
         several = lambda new: F.octet_length(new) + 3 < F.octet_length(state)
-        new = let(F.replace(state, pair, symbol), lambda new: F.when((sign == "0") | ~several(new), new).when(
+        new = let(F.replace(state, pair.cast("string"), symbol), lambda new: F.when((sign == "0") | ~several(new), new).when(
             ~(((sign >= "2") & others) | (F.array_min(tokens_of(pairs_of(new))) < best)), new))
         return F.coalesce(new, F.concat(F.substring(state, F.lit(1), at), symbol, F.substring(state, at + 3, F.length(state))))
 

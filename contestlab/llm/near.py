@@ -26,6 +26,7 @@ LEAST_DEPTH = 3
 RECALL = 0.99999
 PLAUSIBLE = 0.6    # estimated similarity under which a candidate is not a link: over five deviations below 0.8
 BLOCK = 500        # nodes compared with as many others in one step
+KNOWN_WORDS = 200_000  # whose hashes a task keeps
 _PORTION = 1 << 18  # words whose signatures are computed together
 
 _RNG = np.random.default_rng(20)
@@ -51,7 +52,7 @@ class Shingler:
         if not words:
             return np.zeros(0, dtype=np.uint64)
         known = self.known
-        if len(known) > 1_000_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         try:
             h = np.array([known[w] for w in words], dtype=np.uint64)
