@@ -25,7 +25,7 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contestlab.llm.common import whole
+from contestlab.llm.common import small_batches, whole
 from contestlab.llm.textstats import let
 
 _BASE = 0x0800              # character of rank 0; up to U+D7FF every character takes three bytes in UTF-8
@@ -259,6 +259,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc
     have equal ids, whatever block they fall into; repeated rows and keys are kept. An empty table gives
     no rows; other columns are not read. A task holds one block: `BLOCK` characters, or one document.
     """
+    small_batches(docs.sparkSession)
     merges = vocabulary.merges()
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))

@@ -22,6 +22,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1000  # texts sent to a Python worker at a time
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long rows: fewer of them per Arrow batch keep the buffers on both sides small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete stored tables that no later step reads."""
     for df in frames:

@@ -17,7 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from contestlab.llm.common import whole
+from contestlab.llm.common import small_batches, whole
 
 WINDOW = 64         # bytes of a feature
 REACH = 64          # features of a neighbourhood
@@ -225,6 +225,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ta
     a range is also sent to the range before. A task holds a megabyte of texts at a time, or one document.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     least = -(2**63)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from contestlab.llm.common import WORD, discard, stored, whole
+from contestlab.llm.common import WORD, discard, small_batches, stored, whole
 from contestlab.llm.graph import components
 
 WIDTH = 5          # words of a shingle
@@ -304,6 +304,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     The work in a bucket grows with the square of its different texts.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))

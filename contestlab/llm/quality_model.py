@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contestlab.llm.common import stored, whole
+from contestlab.llm.common import small_batches, stored, whole
 from contestlab.llm.textstats import CLASSES, class_counts, let, words_of
 
 FEATURES = 256        # random features
@@ -98,6 +98,7 @@ def fit(stats: DataFrame, labels: DataFrame, *, key: str, label: str, features:
     remainder is 3 calibrate, the others fit. Rows with a missing key or label are left out; a key
     labelled twice counts twice. Without labels of both kinds the score is their mean (0.5 without any).
     """
+    small_batches(stats.sparkSession)
     first = stats.select(F.size("stats").alias("n")).first()
     width = first.n if first else 1
     at = [F.col("stats")[i] for i in range(width)]

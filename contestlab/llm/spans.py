@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from contestlab.llm.common import discard, stored, whole
+from contestlab.llm.common import discard, small_batches, stored, whole
 
 SENTENCES = 2   # of a run, at least
 WORDS = 20      # of a run, at least
@@ -134,6 +134,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     Run hashes are combined before they are shuffled. Verdicts come back to the runs by a broadcast for
     the hashes that make up over a thousandth of all runs (a thousand at most), by a shuffle for the others.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))
     docs = docs.withColumn("t1", F.xxhash64(F.lit(1), "text"))
