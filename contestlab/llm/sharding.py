@@ -1,8 +1,9 @@
 """Balanced label propagation: linked documents move to their neighbours' shards, counts stay even.
 
-Documents with equal links are neighbours. Each round joins every document with the counts of its
-neighbours per shard and moves it towards the shard that holds most of them, as far as that shard
-has room. At the end documents without links fill what is left, so that every shard has its exact quota.
+Documents with equal links are neighbours, and a group of them is one unit. Large groups are placed first,
+by size. Each round then draws every other group to the shard that holds most of it, or, where that is
+full, to one with room, until no group moves. At the end documents without links fill what is left, so
+that every shard has its exact quota.
 """
 
 from __future__ import annotations
@@ -10,111 +11,157 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contestlab.llm.common import discard, stored
+from contestlab.llm.common import stored
 
-ROUNDS = 3
 _CELLS = 1024  # of the seeded order of movers, per shard
+_SPLIT = 256  # blocks in which a group over several shards is numbered, at least
 _BLOCK = 50_000  # rows that one window task numbers, about
 
 
-def _numbered(df: DataFrame, group: list[str], seeded: str, out: str, counts: int) -> DataFrame:
-    """Gapless numbers from 0 in each group in the order of `seeded`, block by block of that order."""
-    blocks = max(1, -(-counts // _BLOCK))
+def _numbered(df: DataFrame, group: list[str], seeded: str, out: str, counts: int,
+              least: int = 1, ties: tuple = ("key", "size", "crc")) -> DataFrame:
+    """Gapless numbers from 0 in each group in the order of `seeded`, block by block of that order, `least` blocks or more."""
+    blocks = max(least, -(-counts // _BLOCK))
     df = df.withColumn("block", F.floor((F.col(seeded).cast("double") + 2.0**63) / 2.0**64 * blocks).cast("long"))
     sizes = df.groupBy(*group, "block").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy(*group).orderBy("block")) - F.col("n")
     sizes = sizes.select(*group, "block", before.alias("before"))
-    rank = F.row_number().over(Window.partitionBy(*group, "block").orderBy(seeded, "key", "size", "crc")) - 1
+    rank = F.row_number().over(Window.partitionBy(*group, "block").orderBy(seeded, *ties)) - 1
     return df.withColumn("rank", rank).join(sizes, [*group, "block"]).withColumn(
         out, F.col("before") + F.col("rank")).drop("block", "rank", "before")
 
 
 def shard_documents(docs: DataFrame, key: Column, size: Column, crc: Column, link: Column, *, shards: int = 8,
-                    rounds: int = ROUNDS, seed: int = 7) -> DataFrame:
+                    rounds: int | None = None, seed: int = 7) -> DataFrame:
     """Rows key, size, crc, shard (0 to shards - 1) and slot, gapless from 0 in each shard.
 
-    Shard counts differ by one at most. Documents whose `link` is equal and not null are linked; a
-    round keeps a group together as long as one shard has room for it. A group larger than a
-    sixteenth of a shard moves in pieces (by seeded hash), so the largest groups, which no shard can
-    hold, fill shards one after the other. Rows with missing or equal keys are rows like all others;
+    Shard counts differ by one at most. Documents whose `link` is equal and not null are linked. A group
+    stays together if a shard has room for it when its turn comes: groups larger than a sixteenth of a shard
+    by size, then the others by rounds of propagation until no group moves (`rounds` at most, if given), and
+    what these leave by size again. A group that no shard has room for fills the roomiest shards one after the
+    other, so it is in as few as there can be. Rows with missing or equal keys are rows like all others;
     equal rows are interchangeable. An empty table gives no rows, and fewer documents than shards leave
     the last shards empty. Columns are expressions over `docs`; other columns are not read.
 
-    Each round shuffles only linked documents, as (link piece, shard) counts combined before the
-    shuffle. The driver sees sums per shard and cell of the seeded order, never documents or links.
+    Rounds handle one row per group, and documents are joined with the shard of their group once. The driver
+    sees sums per shard and cell of the seeded order, how many groups of each size the rounds left, the large
+    groups (32 a shard at most) and those that have to be split (fewer than shards besides the large ones).
     """
     seeded = F.xxhash64(F.lit(seed), key.cast("string"), crc)
-    rows = stored(docs.select(key.alias("key"), size.alias("size"), crc.alias("crc"), link.alias("link"),
-                              seeded.alias("seeded")), "shard-rows")
+    rows = docs.select(key.alias("key"), size.alias("size"), crc.alias("crc"), link.alias("link"), seeded.alias("seeded"))
+    rows = stored(rows.withColumn("shard", F.pmod(F.col("seeded"), F.lit(shards)).cast("int")), "shard-rows")
     total = rows.count()
-    cap = total // shards
-    piece = max(1, cap // 16)
-    linked_groups = stored(rows.where(F.col("link").isNotNull()).groupBy("link").agg(F.count(F.lit(1)).alias("n"))
-                           .where("n > 1"), "shard-groups")
-    # the broad side is split by AQE where one link is hot
-    tied = rows.join(linked_groups, "link", "left")
-    pieces = F.ceil(F.col("n") / F.lit(piece))
-    tied = tied.withColumn("piece", F.when(F.col("n").isNotNull(), F.pmod(F.shiftright("seeded", 20), pieces)))
-    tied = tied.withColumn("shard", F.pmod(F.col("seeded"), F.lit(shards)).cast("int"))
-    tied = stored(tied.withColumn("free", F.col("n").isNull()).drop("n"), "shard-tied")
-
-    state = tied.where(~F.col("free")).select("key", "size", "crc", "link", "piece", "seeded", "shard")
-    state = stored(state, "shard-state")
-    discard(linked_groups)
-    for turn in range(rounds):
-        state = _round(state, shards, cap, turn)
-    free = tied.where("free").select("key", "size", "crc", "seeded", "shard", F.lit(1).alias("last"))
-    placed = state.select("key", "size", "crc", "seeded", "shard", F.lit(0).alias("last")).unionByName(free)
-    return _filled(stored(placed, "shard-placed"), shards, total)
-
-
-def _round(state: DataFrame, shards: int, cap: int, turn: int) -> DataFrame:
-    """One round: every unit (a piece of a link) is drawn to the shard with most of its members, or,
-    where that is full, of its whole link; units are admitted in seeded order while there is room."""
-    unit = ["link", "piece"]
-    counts = state.groupBy(*unit, "shard").agg(F.count(F.lit(1)).alias("n"))
-    by_unit = counts.groupBy(*unit).agg(
-        F.max(F.struct("n", F.xxhash64(F.lit(turn), "link", "shard").alias("draw"), "shard")).alias("best"))
-    # pieces of one link are neighbours too: a whole piece follows the shard that holds most of its link
-    by_link = counts.groupBy("link", "shard").agg(F.sum("n").alias("n")).groupBy("link").agg(
-        F.max(F.struct("n", F.xxhash64(F.lit(turn), "link", "shard").alias("draw"), "shard")).alias("drawn"))
-    wishes = by_unit.join(by_link, "link").select(
-        *unit, F.when(F.lit(turn % 2 == 0), F.col("best.shard")).otherwise(F.col("drawn.shard")).alias("to"))
-    wishes = stored(wishes.withColumn("cell", F.pmod(F.xxhash64(F.lit(turn), *unit), F.lit(_CELLS)).cast("int")), "shard-wishes")
-    held = counts.join(wishes, unit).select(*unit, "shard", "n", "to", "cell")
-    moves = held.groupBy("shard", "to", "cell").agg(F.sum("n").alias("n")).collect()  # shards ** 2 * cells at most
-    admitted = _admitted(moves, shards, cap)
-    limit = F.get(F.array(*[F.lit(x) for x in admitted]), F.col("to"))
-    moved = state.join(wishes, unit).withColumn("shard", F.when(F.col("cell") < limit, F.col("to")).otherwise(F.col("shard")))
-    out = stored(moved.select("key", "size", "crc", "link", "piece", "seeded", "shard"), "shard-state")
-    discard(state, wishes)
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    votes = F.array(*[F.count(F.when(F.col("shard") == s, 1)) for s in range(shards)])
+    groups = stored(rows.where(F.col("link").isNotNull()).groupBy("link").agg(F.count(F.lit(1)).alias("n"), votes.alias("votes"))
+                    .where("n > 1").withColumn("seeded", F.xxhash64(F.lit(seed), "link")), "shard-groups")
+    large = F.col("n") > max(1, total // shards // 16)
+    parts = []  # link, shard, and the numbers of the documents that go there
+    for g in sorted(groups.where(large).select("link", "n", "seeded").collect(), key=lambda g: (-g.n, g.seeded)):
+        parts += [(g.link, *part) for part in _parts(g.n, room)]
+    settled, left = _propagated(groups.where(~large), room, rounds)
+    for g in left:
+        parts += [(g.link, *part) for part in _parts(g.n, room)]
+
+    kind = rows.schema["link"].dataType
+    known = _literal(docs, parts, ["link", "to", "first", "last", "whole"], [kind, "int", "long", "long", "boolean"])
+    columns = ["key", "size", "crc", "seeded"]
+    marked = rows.join(F.broadcast(known.where("whole OR first = 0").select("link", "to", "whole")), "link", "left")
+    kept = marked.where("whole").select(*columns, F.col("to").alias("shard"), F.lit(0).alias("last"))
+    cut = marked.where("NOT whole").select(*columns, "link")
+    cut = _numbered(cut, ["link"], "seeded", "at", max((p[3] for p in parts), default=0), _SPLIT)
+    cut = cut.join(F.broadcast(known.where("NOT whole").drop("whole")), "link").where("first <= at AND at < last")
+    cut = cut.select(*columns, F.col("to").alias("shard"), F.lit(0).alias("last"))
+    alone = marked.where("whole IS NULL AND link IS NULL").select(*columns, "shard", F.lit(1).alias("last"))
+    others = marked.where("whole IS NULL AND link IS NOT NULL").join(settled, "link", "left").select(
+        *columns, F.coalesce("settled", "shard").alias("shard"), F.when(F.col("settled").isNull(), 1).otherwise(0).alias("last"))
+    return _filled(stored(kept.unionByName(cut).unionByName(alone).unionByName(others), "shard-placed"), shards, total)
+
+
+def _literal(df: DataFrame, rows: list[tuple], names: list[str], kinds: list) -> DataFrame:
+    """A table of rows that the driver holds."""
+    made = [F.struct(*[F.lit(x).cast(k).alias(n) for x, n, k in zip(r, names, kinds, strict=True)])
+            for r in rows or [(None,) * len(names)]]
+    return df.sparkSession.range(1).select(F.inline(F.array(*made))).where(F.lit(bool(rows)))
+
+
+def _parts(n: int, room: list[int]) -> list[tuple[int, int, int, bool]]:
+    """Shards of a group of n, with the numbers of its documents there and whether it is whole; takes up their room.
+
+    The tightest shard that can hold what is left gets it; while there is none, the roomiest one is filled.
+    """
+    out, done = [], 0
+    while done < n:
+        fits = [s for s in range(len(room)) if room[s] >= n - done]
+        s = min(fits, key=lambda s: (room[s], s)) if fits else max(range(len(room)), key=lambda s: (room[s], -s))
+        take = min(n - done, room[s])
+        room[s] -= take
+        out.append((s, done, done + take, take == n))
+        done += take
     return out
 
 
-def _admitted(moves, shards: int, cap: int) -> list[int]:
-    """Per shard the number of cells, in order, whose units may come so that no shard exceeds its quota.
+def _propagated(groups: DataFrame, room: list[int], rounds: int | None) -> tuple[DataFrame, list]:
+    """Columns link and settled (a shard) of the groups that are placed whole, and the groups no shard can hold; takes up `room`.
 
-    All wishes are granted at first; a shard that would overflow takes fewer cells, which may keep
-    others from emptying, until all quotas hold.
+    Every round draws a group to the shard with most of its members; one refused before, or whose shard is
+    full, to a shard with room by a draw in proportion to the room left. Groups come in cells of the seeded order
+    while their shard has room. What the rounds leave is placed by size, as many of a size as a shard can hold.
     """
-    now = np.zeros(shards, dtype=np.int64)
-    flow = np.zeros((shards, shards, _CELLS + 1), dtype=np.int64)  # from, to, cells admitted -> documents
-    for m in moves:
-        now[m["shard"]] += m["n"]
-        if m["shard"] != m["to"]:
-            flow[m["shard"], m["to"], m["cell"] + 1] += m["n"]
-    flow = flow.cumsum(axis=2)
-    limit = np.full(shards, _CELLS)
-    while True:
-        moved = np.stack([flow[:, t, limit[t]] for t in range(shards)], axis=1)
-        load = now - moved.sum(axis=1) + moved.sum(axis=0)
-        over = [s for s in range(shards) if load[s] > cap and limit[s] > 0]
-        if not over:
-            return limit.tolist()
-        for s in over:
-            come = flow[:, s, :].sum(axis=0)
-            fits = int(np.searchsorted(come, come[limit[s]] - (load[s] - cap), side="right")) - 1
-            limit[s] = min(max(fits, 0), limit[s] - 1)
+    shards, turn, settled, waiting = len(room), 0, [], groups
+    while rounds is None or turn < rounds:
+        rooms = F.array(*[F.lit(x) for x in room])
+        ids = F.filter(F.array(*[F.lit(s) for s in range(shards)]), lambda s: F.get(rooms, s) >= F.col("n"))
+        drawn = lambda s: (F.pmod(F.xxhash64(F.lit(turn), "link", s), F.lit(1 << 30)) + 1) / float(1 << 30)
+        best = F.array_max(F.transform(ids, lambda s: F.struct(
+            (F.get("votes", s).cast("double") if turn == 0 else F.lit(0.0)).alias("n"),
+            (F.log(drawn(s)) / F.get(rooms, s)).alias("draw"), s.alias("to"))))
+        wishes = waiting.select("link", "n", "votes", "seeded", best["to"].alias("to"),
+                                F.pmod(F.xxhash64(F.lit(turn), F.lit(1), "link"), F.lit(_CELLS)).cast("int").alias("cell"))
+        wishes = stored(wishes, "shard-wishes")
+        asked = np.zeros((shards, _CELLS + 1), dtype=np.int64)  # documents that come with so many cells
+        for r in wishes.where("to IS NOT NULL").groupBy("to", "cell").agg(F.sum("n").alias("n")).collect():  # shards * cells at most
+            asked[r.to, r.cell + 1] = r.n
+        asked = asked.cumsum(axis=1)
+        limit = [int(np.searchsorted(asked[s], room[s], side="right")) - 1 for s in range(shards)]
+        moved = [int(asked[s, limit[s]]) for s in range(shards)]
+        comes = F.coalesce(F.col("cell") < F.get(F.array(*[F.lit(x) for x in limit]), F.col("to")), F.lit(False))
+        settled.append(wishes.where(comes).select("link", F.col("to").alias("settled")))
+        waiting = wishes.where(~comes).select("link", "n", "votes", "seeded")
+        room[:] = [room[s] - moved[s] for s in range(shards)]
+        turn += 1
+        if not any(moved):
+            break
+        if int(asked[:, -1].sum()) == sum(moved) and waiting.isEmpty():
+            return _union(settled), []
+
+    sizes = sorted(((r.n, r.k) for r in waiting.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+    if not sizes:
+        return _union(settled) if settled else groups.select("link", F.lit(0).alias("settled")), []
+    ranges = []  # size, shard, and the numbers of the groups that go there
+    for n, k in sizes:
+        at = 0
+        for s in sorted(range(shards), key=lambda s: (-room[s], s)):
+            take = min(k - at, room[s] // n)
+            if take:
+                ranges.append((n, s, at, at + take))
+                room[s] -= take * n
+                at += take
+    ranked = _numbered(waiting.select("link", F.col("n").alias("each"), "seeded"), ["each"], "seeded", "at", max(k for _, k in sizes), ties=("link",))
+    known = _literal(groups, ranges, ["n", "settled", "first", "until"], ["long", "int", "long", "long"])
+    inside = (F.col("each") == F.col("n")) & (F.col("first") <= F.col("at")) & (F.col("at") < F.col("until"))
+    ranked = ranked.join(F.broadcast(known), inside, "left").select("link", F.col("each").alias("n"), "seeded", "settled")
+    ranked = stored(ranked, "shard-by-size")
+    # the least of those left exceeds every room, and all documents fit: fewer than shards
+    left = sorted(ranked.where("settled IS NULL").select("link", "n", "seeded").collect(), key=lambda g: (-g.n, g.seeded))
+    return _union([*settled, ranked.where("settled IS NOT NULL").select("link", "settled")]), left
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def _filled(placed: DataFrame, shards: int, total: int) -> DataFrame:

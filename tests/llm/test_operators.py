@@ -227,6 +227,34 @@ def test_sharding(spark, docs, nothing, rounds):
     assert run(nothing).isEmpty() and run(docs.limit(3)).count() == 3
 
 
+def sharded(spark, groups, alone):
+    """Shards of the rows of each group, for groups of the given sizes and documents without links."""
+    edges = np.cumsum([0, *groups]).tolist()
+    group = F.expr(f"CASE WHEN id < {edges[-1]} THEN array_size(filter(array({', '.join(map(str, edges[1:]))}), e -> e <= id)) END")
+    df = spark.range(edges[-1] + alone).select("id", group.alias("g"))
+    out = sharding.shard_documents(df, F.col("id"), F.lit(1), F.crc32(F.col("id").cast("string")), F.col("g"))
+    rows = out.join(df, out.key == df.id).groupBy("g", "shard").agg(F.count("*").alias("n")).collect()
+    load, places = Counter(), defaultdict(set)
+    for r in rows:
+        load[r.shard] += r.n
+        if r.g is not None:
+            places[r.g].add(r.shard)
+    assert len(load) == 8 and max(load.values()) - min(load.values()) <= 1 and sum(load.values()) == edges[-1] + alone
+    return places
+
+
+def test_groups_are_in_the_least_number_of_shards(spark):
+    # a third of all rows, one group of nearly a shard, some over a sixteenth of one, and many of medium size
+    places = sharded(spark, [13333, 4500, *[500] * 6, *[280] * 10, *[90] * 60], 40000 - 13333 - 4500 - 3000 - 2800 - 5400)
+    assert len(places[0]) == 3 and all(len(places[g]) == 1 for g in range(1, 78))
+
+
+def test_full_shards_split_few_groups(spark):
+    sizes = [*[120] * 60, *[37] * 200, *[5] * 80]
+    places = sharded(spark, [5000, *sizes], 0)
+    assert len(places[0]) == 2 and sum(len(p) > 1 for g, p in places.items() if g) < 8
+
+
 # quality rules
 
 def test_quality_rules(docs, nothing):
