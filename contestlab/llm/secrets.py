@@ -2,7 +2,8 @@
 
 Two character Markov models are trained from samples that the fixed patterns label: the random
 model from the values they find, the identifier model from the tokens of identifier form in documents
-where they find nothing. A token is a secret when its log-likelihood ratio per character is high enough.
+where they find nothing. A token is a secret when its log-likelihood ratio is high enough: in total where it
+is short, per character where it is long.
 """
 
 from __future__ import annotations
@@ -19,14 +20,19 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex")
 
-#: Maximal runs of token characters of at least 20, the candidates of the models.
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-#: Tokens labelled as ordinary: 8 characters or more, letters in parts joined by _ / or -, digits only at the end of a part.
-ORDINARY = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9_/-]{8})[A-Za-z]+[0-9]{0,4}(?:[_/-][A-Za-z]*[0-9]{0,4})*(?![A-Za-z0-9+/_=-])"
+#: Maximal runs of token characters of at least so many, the candidates of the models; = only ends one, elsewhere it parts a name and its value.
+LEAST = 12
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}=*" % LEAST
+#: Tokens labelled as ordinary: 8 characters or more, letters in parts joined by _ / or -, digits only at the end of a part; plain numbers.
+ORDINARY = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9_/-]{8})"
+            r"(?:[A-Za-z]+[0-9]{0,4}(?:[_/-][A-Za-z]*[0-9]{0,4})*|[0-9]+(?:[_/-][0-9]+)*)(?![A-Za-z0-9+/_=-])")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 UNIFORM = 0.3  # share of the uniform model in the random one
 BACK_OFF = 5.0  # weight of single characters in the identifier model
+REPEAT = 0.2  # chance of the identifier model that a character is the one before again
 MARGIN = 0.7  # nats per character
+OWN = 2  # occurrences of an ordinary token with letters that do not count: neither it nor a copy of its document vouches for it
+FULL = 19  # character pairs; a shorter token needs the margin of so many
 LEAST_PAIRS = 1000  # a model of fewer character pairs is not used
 
 
@@ -67,7 +73,7 @@ def train(rows: DataFrame) -> Column | None:
     `rows` has arrays `random` and `ordinary` of sample tokens. Counts are summed over all rows; the
     table has one number per pair of the alphabet, whatever the size of the corpus. The random model is
     blended with the uniform one, as secrets come in more alphabets than the samples have; the
-    identifier model backs off to its single characters. None where either model has too few pairs.
+    identifier model backs off to its single characters and expects repeats. None where either model has too few pairs.
     """
     size = len(ALPHABET)
     counts = np.zeros((2, size, size))
@@ -75,7 +81,8 @@ def train(rows: DataFrame) -> Column | None:
                       F.struct(F.lit(1).alias("model"), F.col("ordinary").alias("tokens")))
     pairs = (rows.select(F.explode(samples).alias("s")).select("s.model", F.explode("s.tokens").alias("token"))
              .groupBy("model", "token").agg(F.count(F.lit(1)).alias("n"))  # a token is cut once, not once per use
-             .where(F.length("token") > 1)
+             .withColumn("n", F.col("n") - F.when((F.col("model") == 1) & F.col("token").rlike("[A-Za-z]"), OWN).otherwise(0))
+             .where((F.length("token") > 1) & (F.col("n") > 0))
              .select("model", "n", F.explode(_pairs(F.array("token"))).alias("pair"))
              .groupBy("model", "pair").agg(F.sum("n").alias("n")))
     for r in pairs.collect():  # at most two models times the pairs of the alphabet
@@ -88,21 +95,47 @@ def train(rows: DataFrame) -> Column | None:
     drawn = (1 - UNIFORM) * counts[0] / np.maximum(after[0], 1) + UNIFORM / size
     single = counts[1].sum(axis=0) + 0.5
     named = (counts[1] + BACK_OFF * single / single.sum()) / (after[1] + BACK_OFF)
+    named = (1 - REPEAT) * named + REPEAT * np.eye(size)
     ratio = np.log(drawn / named).ravel().tolist()
     return F.array(*[F.lit(round(x, 6)) for x in ratio])
 
 
-def likelihood_ratio(token: Column, table: Column) -> Column:
-    """Per character pair of the token."""
+def is_random(token: Column, table: Column, margin: float) -> Column:
+    """Whether the log-likelihood ratio of the token exceeds `margin` for each of its pairs, and of `FULL` pairs at least.
+
+    The different pairs alone must reach the margin of `FULL` pairs, as a pattern that repeats itself is
+    no evidence. Tokens without small letters are judged as if written in small ones.
+    """
     size = len(ALPHABET)
 
-    def total(c: Column) -> Column:
-        parts = F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1),
-                           lambda a, b: F.get(table, (a - 1) * size + b - 1))
-        return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / (F.size(c) - 1)
+    def total(pairs: Column) -> Column:
+        return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + F.get(table, x))
+
+    def judged(pairs: Column) -> Column:
+        enough = F.greatest(F.size(pairs), F.lit(FULL)) * F.lit(margin)
+        return (total(pairs) > enough) & (total(F.array_distinct(pairs)) > FULL * margin)
+
+    folded = F.when(token.rlike("[a-z]"), token).otherwise(F.lower(token))
+    places = let(folded, lambda t: F.transform(
+        F.sequence(F.lit(1), F.length(t)), lambda i: F.instr(F.lit(ALPHABET), F.substring(t, i, F.lit(1)))))
+    codes = let(places, lambda c: F.zip_with(
+        F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: (a - 1) * size + b - 1))
+    return let(codes, judged)
+
+
+def _uncovered(token: Column, base: Column) -> Column:
+    """The parts of a token of `LEAST` characters or more that no span covers; spans are sorted by start."""
+    def part(start: Column, end: Column) -> Column:
+        piece = F.struct(start.alias("start"), token.kind.alias("kind"), end.alias("end"), token["name"].alias("name"),
+                         F.substring(token.value, start - token.start + 1, end - start).alias("value"))
+        return F.when(end - start >= LEAST, F.array(piece)).otherwise(
+            F.array().cast("array<struct<start:int,kind:int,end:int,name:string,value:string>>"))
 
-    places = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1))))
-    return let(F.filter(places, lambda p: p > 0), total)
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,name:string,value:string>>")
+    touching = F.filter(base, lambda b: (b.start < token.end) & (token.start < b.end))
+    return F.aggregate(touching, F.struct(token.start.alias("at"), none.alias("parts")), lambda s, b: F.struct(
+        F.greatest(s["at"], b.end).alias("at"), F.concat(s["parts"], part(s["at"], b.start)).alias("parts")),
+        lambda s: F.concat(s["parts"], part(s["at"], token.end)))
 
 
 def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: float = MARGIN) -> DataFrame:
@@ -110,9 +143,10 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: fl
 
     Kinds 0 to 2 are the fixed patterns, leftmost and not overlapping within a kind, whatever the models
     say: assignments with a value of 6 characters or more, access keys of 20, hex runs of 24. Kind 3,
-    `random`, are maximal runs of 20 or more token characters with a letter and a digit that touch no
-    span of the first three and whose ratio exceeds `margin`. A missing text is an empty one; equal
-    texts get equal spans. An empty table gives no rows, and with too few samples no span of kind 3 is
+    `random`, are maximal runs of 12 or more token characters, or what spans of the first three leave of
+    them, whose ratio exceeds `margin` for each pair of characters, and that of 19 pairs in total. Plain
+    numbers are samples of the identifier model, as nothing tells a secret one from others. A missing
+    text is an empty one; equal texts get equal spans. An empty table gives no rows, and with too few samples no span of kind 3 is
     added. Other columns are not read. Repeated rows count as often in the samples as they occur.
     """
     docs = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
@@ -121,8 +155,8 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: fl
     base = F.array_sort(F.concat(_named(assign, "assign", 0), _named(matches_at(t, ACCESS), "access", 1),
                                  _named(matches_at(t, HEX), "hex", 2)))
     rows = docs.select("key", "text", base.alias("base"))
-    tokens = F.filter(matches_at(t, TOKEN), lambda x: x.value.rlike("[0-9]") & x.value.rlike("[A-Za-z]"))
-    free = F.filter(_named(tokens, "random", 3), lambda x: ~F.exists("base", lambda b: (b.start < x.end) & (x.start < b.end)))
+    tokens = _named(matches_at(t, TOKEN), "random", 3)
+    free = F.when(F.size("base") == 0, tokens).otherwise(F.flatten(F.transform(tokens, lambda x: _uncovered(x, F.col("base")))))
     rows = rows.select("key", "base", free.alias("free"), F.transform("base", lambda b: b.value).alias("random"),
                        F.when(F.size("base") == 0, F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("ordinary"))
     samples = rows.select("random", "ordinary")
@@ -130,7 +164,7 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: fl
     table = train(samples)
     if table is None:
         return found.select("key", F.col("base").alias("spans"))
-    more = F.filter("free", lambda x: likelihood_ratio(x.value, table) > margin)
+    more = F.filter("free", lambda x: is_random(x.value, table, margin))
     return found.select("key", F.when(F.size("free") == 0, F.col("base")).otherwise(
         F.array_sort(F.concat("base", more))).alias("spans"))
 

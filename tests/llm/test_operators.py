@@ -157,6 +157,20 @@ def test_secret_scan(spark, nothing):
     assert secrets.scan(nothing).isEmpty()
 
 
+def test_short_and_digit_free_secrets(spark):
+    rng = random.Random(10)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    hidden = ["qZ7xK2mP9vR4tW8y", "hQzXvKpWrTjYnLsBmGqD", "kR8vZq2Lx7Wm", "Xw7QpZr9TkLs4vNy"]
+    ordinary = ["-" * 30, "=-" * 15, "a" * 25, "4417467210607149", "2024-05-12-2024", "ABCD_EFGH_ABCD_EFGH"]
+    numbers = [f"{rng.randrange(10**15, 10**16)} and {rng.randrange(10**4)}-{rng.randrange(10**2):02}-{rng.randrange(10**4):04}" for _ in range(60)]
+    texts = [f"password={h[:20]} mid {h} end" for h in hexes] + [prose(80) + " abcd_efgh_abcd_efgh " + n for n in numbers]
+    texts += [f"see {h} there" for h in hidden[:3]] + [f"see {hidden[3]}{hexes[0][:30]} there"] + [f"see {x} there" for x in ordinary]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.key: r.spans for r in secrets.scan(df).collect()}
+    added = sorted(texts[i][s.start:s.end] for i, spans_ in got.items() for s in spans_ if s.kind == 3)
+    assert added == sorted(hidden) and all(s.value == texts[i][s.start:s.end] for i, spans_ in got.items() for s in spans_ if s.kind == 3)
+
+
 # fingerprints
 
 def test_levels_are_entropies():
