@@ -21,42 +21,81 @@ from contestlab.llm.common import discard, small_batches, stored, whole
 SENTENCES = 2   # of a run, at least
 WORDS = 20      # of a run, at least
 LONE = 40       # a sentence of so many words is a run of its own
-LONG = 24       # words; longer sentences are cut further
+REACH = 8       # of so many consecutive words one at least ends a sentence
+KNOWN_WORDS = 200_000  # whose hashes a task keeps
 _CUT = re.compile(r"[.!?,;:]+[\x20\t]+|\n+")
 _WORD = re.compile(r"\S+\s*")
+_COUNT = -1  # in place of an end: the start is the number of sentences
 _BATCH = 20_000  # rows of one output batch
+_known: dict[str, int] = {}
+
+
+def _hashed(words: list[str]) -> np.ndarray:
+    try:
+        return np.array([_known[w] for w in words], dtype=np.uint64)
+    except KeyError:
+        if len(_known) > KNOWN_WORDS:
+            _known.clear()
+        for w in words:
+            if w not in _known:
+                _known[w] = xxhash.xxh3_64_intdigest(w)
+        return np.array([_known[w] for w in words], dtype=np.uint64)
+
+
+def _cut(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Where the sentences end, the hash of each word in lower case, and where each word ends with its blanks."""
+    parts = _WORD.findall(text)
+    words = text.lower().split()
+    hashes = _hashed(words if len(words) == len(parts) else [p.rstrip().lower() for p in parts])
+    lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+    marks = {m.end() for m in _CUT.finditer(text)}
+    lead = len(text) - int(lengths.sum())
+    ends = lead + lengths.cumsum()
+    marked = np.zeros(len(parts), dtype=bool)
+    marked[np.searchsorted(ends, [m for m in marks if m > lead])] = True
+    if len(hashes) >= REACH:  # the first least hash of each window of words without a marked one
+        order = np.where(marked, np.uint64(0), (hashes >> np.uint64(32)) + np.uint64(1))
+        order = order << np.uint64(31) | np.arange(len(hashes), dtype=np.uint64)
+        width = 1
+        while width < REACH:
+            order = np.minimum(order[:-width], order[width:])
+            width *= 2
+        picked = np.zeros(len(parts), dtype=bool)
+        picked[(order & np.uint64((1 << 31) - 1)).astype(np.int64)] = True
+        marks.update(ends[picked & ~marked].tolist())
+    marks.add(len(text))
+    marks.discard(0)
+    return sorted(marks), hashes, ends
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence, with the blanks that follow it; they cover the whole text.
 
-    Clauses count as sentences, so that a passage inside longer sentences is found too. One of more than
-    `LONG` words is cut further, after words picked by their hash: equal passages are cut alike.
+    Sentences end at marks, and where `REACH` consecutive words have no mark, after the one of the least
+    hash: equal passages are cut alike, except for 15 words at most where they begin and end. So 51
+    words have 21 or more that are cut alike, wherever they lie.
     """
-    out, start = [], 0
-    for end in [m.end() for m in _CUT.finditer(text)] + [len(text)]:
-        if end > start:
-            if text.count(" ", start, end) >= LONG:
-                for m in _WORD.finditer(text, start, end):
-                    word = m[0].rstrip()
-                    if m.end() < end and xxhash.xxh32_intdigest(word.lower()) % 8 == 0:
-                        out.append((start, m.end()))
-                        start = m.end()
-            out.append((start, end))
-            start = end
-    return out
+    ends = _cut(text)[0]
+    return list(zip([0, *ends[:-1]], ends, strict=True)) if ends else []
 
 
 def runs(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]]]:
     """The runs that are first of their kind in the text, as start, end and 16-byte hash, and the spans of the others."""
-    at = sentences(text)
-    words = [text[a:b].split() for a, b in at]
-    at, words = [x for x, w in zip(at, words, strict=True) if w], [w for w in words if w]  # blank lines join nothing
+    return _found(text)[:2]
+
+
+def _found(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]], int]:
+    """The runs, and the number of sentences."""
+    ends, hashes, words = _cut(text)
+    upto = [0, *np.searchsorted(words, ends, side="right").tolist()]  # words that end within the sentences so far
+    if ends and len(words):
+        upto[-1] = len(words)
+    at, total = [], [0]
+    for k, (a, b) in enumerate(zip([0, *ends][:len(ends)], ends, strict=True)):
+        if upto[k + 1] > total[-1]:  # blank lines join nothing
+            at.append((a, b))
+            total.append(upto[k + 1])
     n = len(at)
-    hashes = [xxhash.xxh3_64_digest(" ".join(w).lower()) for w in words]
-    total = [0]
-    for w in words:
-        total.append(total[-1] + len(w))
 
     def enough(i: int, j: int) -> bool:  # sentences i to j - 1
         size = total[j] - total[i]
@@ -77,14 +116,15 @@ def runs(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]]
         if enough(i, j):
             found.add((i, j))
     seen, first, again = set(), [], []
+    raw = hashes.tobytes()
     for i, j in sorted(found):
-        h = xxhash.xxh3_128_digest(b"".join(hashes[i:j]))
+        h = xxhash.xxh3_128_digest(raw[8 * total[i]:8 * total[j]])
         if h in seen:
             again.append((at[i][0], at[j - 1][1]))
         else:
             seen.add(h)
             first.append((at[i][0], at[j - 1][1], h))
-    return first, again
+    return first, again, len(ends)
 
 
 def without(text: str, starts, ends) -> tuple[str, int]:
@@ -99,7 +139,7 @@ def without(text: str, starts, ends) -> tuple[str, int]:
 
 
 _RUNS = pa.schema([("key", pa.int64()), ("t1", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-                   ("h1", pa.int64()), ("h2", pa.int64()), ("again", pa.bool_())])
+                   ("h1", pa.int64()), ("h2", pa.int32()), ("again", pa.bool_())])
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,13 +152,14 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for key, t1, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            first, again = runs(text)
+            first, again, n = _found(text)
             for a, b, h in first:
                 rows.append((key, t1, a, b, int.from_bytes(h[:8], "little", signed=True),
-                             int.from_bytes(h[8:], "little", signed=True), False))
+                             int.from_bytes(h[8:12], "little", signed=True), False))
                 if len(rows) >= _BATCH:
                     yield flush()
             rows += [(key, t1, a, b, 0, 0, True) for a, b in again]
+            rows.append((key, t1, n, _COUNT, None, None, None))
     if rows:
         yield flush()
 
@@ -127,7 +168,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     """One row per input row: key (long), t1, n_sentences, n_removed (long) and kept, the text that stays.
 
     A run stays in the document with the smallest key that holds it, there at its first place. Sentences
-    (and clauses) end at a mark of .!?,;: followed by a blank, or at a line break; they are compared in lower case with single blanks. A missing key sorts first; rows that share a key count as
+    (and clauses) end at a mark of .!?,;: followed by a blank, at a line break, or after a picked word; they are compared in lower case with single blanks. A missing key sorts first; rows that share a key count as
     one document, equal rows get equal results. A missing or empty text has no sentences. An empty table
     gives no rows; other columns are not read.
 
@@ -139,7 +180,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
                        whole(F.col(text)).alias("text"))
     docs = docs.withColumn("t1", F.xxhash64(F.lit(1), "text"))
     found = stored(docs.select("key", "t1", "text").mapInArrow(
-        _emit, "key long, t1 long, start int, end int, h1 long, h2 long, again boolean"), "span-runs")
+        _emit, "key long, t1 long, start int, end int, h1 long, h2 int, again boolean"), "span-runs")
     fresh = found.where("NOT again")
     holders = fresh.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     holders = stored(holders, "span-holders")
@@ -150,7 +191,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     gone = gone.unionByName(
         marked.where("first IS NULL").drop("first").join(holders.where(F.col("n") <= few).drop("n"), ["h1", "h2"])
         .where("key > first").select("key", "t1", "start", "end"))
-    gone = gone.unionByName(found.where("again").select("key", "t1", "start", "end"))
+    gone = gone.unionByName(found.where("again OR again IS NULL").select("key", "t1", "start", "end"))
     spans = stored(gone.groupBy("key", "t1").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "span-gone")
     discard(found, holders)
 
@@ -158,13 +199,14 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         for batch in batches:
             kept, removed, count = [], [], []
             for t, gone in zip(batch.text, batch.spans, strict=True):
-                count.append(len(sentences(t)))
-                left, n = (t, 0) if gone is None else without(t, [s["start"] for s in gone], [s["end"] for s in gone])
+                count += [s["start"] for s in gone if s["end"] == _COUNT]
+                gone = [(s["start"], s["end"]) for s in gone if s["end"] != _COUNT]
+                left, n = without(t, *zip(*gone, strict=True)) if gone else (t, 0)
                 kept.append(left)
                 removed.append(n)
             yield pd.DataFrame({"key": batch.key, "unkeyed": batch.unkeyed, "t1": batch.t1, "n_sentences": count,
                                 "n_removed": removed, "kept": kept})
 
-    out = docs.join(spans, ["key", "t1"], "left").select("key", "unkeyed", "t1", "text", "spans").mapInPandas(
+    out = docs.join(spans, ["key", "t1"]).select("key", "unkeyed", "t1", "text", "spans").mapInPandas(
         cut, "key long, unkeyed boolean, t1 long, n_sentences long, n_removed long, kept string")
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), "t1", "n_sentences", "n_removed", "kept")

@@ -379,6 +379,20 @@ def test_a_planted_passage_goes_from_all_but_one(spark):
     assert all("".join(rows[i][1][a:b] for a, b in spans.sentences(rows[i][1])) == rows[i][1] for i in range(7))
 
 
+def test_passages_of_51_words_are_found_wherever_they_lie():
+    rng = random.Random(12)
+    plain = lambda n, gap=" ": gap.join(rng.choice(VOCAB) for _ in range(n))
+    for k in range(600):
+        gap = "\t" if k % 5 == 0 else " "
+        passage = plain(51, gap)
+        hosts = [gap.join([plain(rng.randint(3, 40), gap), passage, plain(rng.randint(3, 40), gap)]) for _ in range(2)]
+        places = []
+        for host in hosts:
+            start = host.index(passage)
+            places.append({h for a, b, h in spans.runs(host)[0] if a >= start and b <= start + len(passage) + 1})
+        assert places[0] & places[1], passage
+
+
 # quality classifier
 
 def test_classifier(spark, docs, nothing):
