@@ -27,7 +27,9 @@ BITS = 2048         # of one filter
 HASHES = 5          # bits set by one feature
 PER_FILTER = 128    # features of one filter
 LEVELS = 1000       # entropies are counted in so many steps
-LEAST = WINDOW + 2 * REACH - 2  # code points from which a text surely has 64 neighbourhoods, and POPULAR holds
+LEAST = WINDOW + 2 * REACH - 2  # bytes that decide whether a feature in them is popular
+LONG = 512          # code points from which a text has popular features
+BRIEF = 1024        # code points below which it has short features; in between it has both kinds, so that close lengths compare
 _CHUNK = 1 << 17    # bytes computed at a time
 _FLUSH = 1 << 20    # bytes of text compared at a time, or one document
 
@@ -73,7 +75,11 @@ def popularity(ranks: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def is_long(text: bytes) -> bool:
-    return len(text) >= 4 * LEAST or len(text) >= LEAST <= len(text.decode(errors="ignore"))
+    return _reaches(text, LONG)
+
+
+def _reaches(text: bytes, points: int) -> bool:
+    return len(text) >= 4 * points or len(text) >= points <= len(text.decode(errors="ignore"))
 
 
 def select(texts: list[bytes], table: np.ndarray, always: bool = True) -> list[np.ndarray]:
@@ -101,10 +107,16 @@ def select(texts: list[bytes], table: np.ndarray, always: bool = True) -> list[n
     return out
 
 
-def filters(text: bytes, places: np.ndarray) -> np.ndarray:
-    """Chained filters, one row of BITS each, of the distinct features in order."""
-    width = WINDOW if is_long(text) else SHORT
-    pieces = list(dict.fromkeys(text[p:p + width] for p in places.tolist()))
+def filters(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two chains of filters, one row of BITS each: of the popular features (at `places`), and of all short ones."""
+    popular = [text[p:p + WINDOW] for p in places.tolist()] if is_long(text) else []
+    n = 0 if _reaches(text, BRIEF) else max(len(text) - SHORT + 1, min(len(text), 1))
+    return _chain(popular), _chain([text[p:p + SHORT] for p in range(n)])
+
+
+def _chain(pieces: list[bytes]) -> np.ndarray:
+    """Chained filters of the distinct features in order."""
+    pieces = list(dict.fromkeys(pieces))
     if not pieces:
         return np.zeros((0, BITS), dtype=bool)
     hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), dtype="<u2").reshape(len(pieces), -1)
@@ -113,10 +125,16 @@ def filters(text: bytes, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """By the short features if both texts have them, else by the popular ones; 0 where they have no kind in common, 1 for empty texts."""
+    for kind in (1, 0):
+        if len(a[kind]) and len(b[kind]):
+            return _overlap(a[kind], b[kind])
+    return float(not any(len(x) for x in (*a, *b)))
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> float:
     """Mean over the shorter chain of each filter's best overlap: 0 for what chance gives, 1 where the smaller is within the other."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
     if (len(a), a.sum()) > (len(b), b.sum()):
         a, b = b, a
     x, y = a.sum(axis=1)[:, None], b.sum(axis=1)[None, :]
@@ -126,8 +144,10 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((score * x[:, 0]).sum() / x.sum())
 
 
-def shown(chain: np.ndarray) -> str:
-    return base64.b64encode(np.packbits(chain, axis=1).tobytes()).decode()
+def shown(chains: tuple[np.ndarray, np.ndarray]) -> str:
+    """The chain of popular features, and after a point that of short ones; empty without features."""
+    popular, short = (base64.b64encode(np.packbits(c, axis=1).tobytes()).decode() for c in chains)
+    return f"{popular}.{short}" if short else popular
 
 
 def rarity(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -218,7 +238,9 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ta
 
     The next document is the one with the next larger key, after the last the first; a missing key sorts
     first, rows that share a key are ordered by a hash of their text. A missing text is an empty one,
-    whose fingerprint is empty; it is alike (1) to empty texts only. A single document is its own
+    whose fingerprint is empty; it is alike (1) to empty texts only. Texts of less than 1024 code points are
+    compared by all their short features, others by popular ones, which texts from 512 on have; one below
+    512 and one of 1024 or more have nothing to compare (0). A single document is its own
     successor. An empty table gives no rows; other columns are not read.
 
     Documents are dealt into consecutive ranges of the key, a few per partition, and the first document of

@@ -198,6 +198,19 @@ def test_fingerprints(keyed, docs, nothing):
     assert digest.fingerprints(docs).count() == len(ROWS) and digest.fingerprints(nothing).isEmpty()
 
 
+def test_edited_texts_of_every_length_are_alike():
+    rng = random.Random(14)
+    table = np.random.default_rng(3).permutation(digest.LEVELS + 1).astype(np.int16)
+    text = prose(400, rng)
+    for n in [*range(150, 601), *range(601, 1400, 7)]:
+        for following in ("", "short", prose(20, rng)):
+            r = digest.compare([text[:n], following], table)[0]
+            assert r[0] == n and r[4] > 0.5, (n, following, r[4])
+    for n in (185, 505, 1020):  # a near copy on the other side of a bound
+        a, b = ((x, digest.filters(x, digest.select([x], table)[0])) for x in (text[:n].encode(), text[:n + 10].encode()))
+        assert digest.likeness(a[1], b[1]) > 0.6
+
+
 # lines
 
 def test_line_dedup(docs, nothing):
