@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contestlab.llm import bpe, digest, lines, mixing, near, quality_model, quality_rules, secrets, sharding, spans
+from contestlab.llm import bpe, digest, lines, mixing, near, quality_model, quality_rules, resample, search, secrets, sharding, spans, toxicity
 from contestlab.llm.common import WORD, documents, sha256, whole
 
 QUERIES: dict = {}
@@ -127,3 +127,67 @@ def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_duplicates")
 def near_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir)).select(F.col("key").alias("doc_id"), "class_id", "n_links", "n_copies")
+
+
+@query("op11_resample", r"""
+WITH k AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), x)) AS crc),
+w AS (SELECT row, own, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM (SELECT row, true AS own, coalesce(text, '') AS text FROM (SELECT row_number() OVER () AS row, text FROM documents)
+            UNION ALL SELECT 0, false, coalesce(text, '') FROM benchmark)),
+f AS MATERIALIZED (
+  SELECT row, own, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS feature FROM w),
+b AS MATERIALIZED (
+  SELECT feature, xor(4294967295, list_reduce(
+      list_transform(range(octet_length(encode(feature))), lambda i: ('0x' || substr(hex(encode(feature)), (2 * i + 1)::INT, 2))::BIGINT),
+      lambda a, x: xor(a >> 8, crc[1 + (xor(a, x) & 255)]), 4294967295)) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM f), k),
+n AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM f JOIN b USING (feature) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM n),
+m AS (SELECT row, count(*)::BIGINT AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+      FROM f JOIN b USING (feature) JOIN g USING (bucket) WHERE own GROUP BY row),
+d AS (SELECT doc_id, coalesce(len(w.w), 0)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM (SELECT doc_id, row_number() OVER () AS row FROM documents) JOIN w USING (row) LEFT JOIN m USING (row) WHERE own),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM d)
+SELECT doc_id, n_features, weight, score, n_words,
+  CASE WHEN n_words >= 20 AND place <= 25 * (SELECT count(*) FROM d WHERE n_words >= 20) // 100 THEN place END::BIGINT AS rank
+FROM r
+""")
+def resample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resample.resample(documents(spark, sf_dir), benchmark).select(
+        F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank", "n_words")
+
+
+@query("op12_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.classify(documents(spark, sf_dir), labels).withColumnRenamed("key", "doc_id")
+
+
+@query("op13_ranked_search", r"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS MATERIALIZED (SELECT doc_id, row, term, count(*)::BIGINT AS tf FROM w GROUP BY ALL),
+d AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM d),
+q AS MATERIALIZED (SELECT item_id, unnest(list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark),
+t AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+      FROM tf, c WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+s AS (SELECT item_id, tf.doc_id, row,
+        sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN tf USING (term) JOIN d USING (row), c GROUP BY item_id, tf.doc_id, row),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM r WHERE place <= 50
+""")
+def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return search.rank(documents(spark, sf_dir), items).select(
+        F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
