@@ -58,39 +58,101 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
     return df if columns is None else df.select(*columns)
 
 
+PRUNED = 5_000           # values of a partition column that are named in the read; beyond them its range is
+HASHES = 1_000_000       # rows of a batch whose hashes are broadcast, 8 bytes each
+BLOOM_BITS = 1 << 27     # 16 MB; a larger batch marks its hashes in so many bits
+BLOOM_ROWS = BLOOM_BITS // 8
+_PAGE_BITS = 8 * 4096    # bits that Spark's bitmap functions keep in one row
+
+
+def _partition_filter(batch: DataFrame, column: str) -> Column | None:
+    """Which values of a partition column the batch holds, in literals, so that other folders are not listed or read."""
+    kind = batch.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.BinaryType)):
+        return None
+    values = [r[0] for r in batch.select(column).distinct().limit(PRUNED + 1).collect()]
+    known, col = [v for v in values if v is not None], F.col(column)
+    if len(values) <= PRUNED:
+        inside = col.isin(known) if known else F.lit(False)
+        return inside | col.isNull() if len(known) < len(values) else inside
+    ends = batch.agg(F.min(column), F.max(column), F.count(F.when(col.isNull(), 1))).first()
+    inside = col.between(ends[0], ends[1])
+    return inside | col.isNull() if ends[2] else inside
+
+
+def _hash(cols: Sequence[str], schema: T.StructType) -> Column:
+    """64 bits of a row; equal rows have equal ones, 0.0 and -0.0 included."""
+    floats = (T.FloatType, T.DoubleType)
+    return F.xxhash64(*[F.col(c) + F.lit(0.0).cast(schema[c].dataType) if isinstance(schema[c].dataType, floats) else F.col(c) for c in cols])
+
+
+def _perhaps_in(stored: DataFrame, batch: DataFrame, compared: Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
+    """The stored rows whose hash the batch has, or in a large batch may have; the stored table is not shuffled for it.
+
+    Up to `HASHES` rows the hashes themselves are broadcast, up to `BLOOM_ROWS` a bitmap of `bits` bits, which
+    lets an eighth of the other rows pass at most. Beyond that all stored rows go on to the exact comparison.
+    """
+    n = batch.count()
+    if n > BLOOM_ROWS:
+        return stored
+    mine, its = _hash(compared, batch.schema), _hash(compared, stored.schema)
+    if n <= HASHES:
+        hashes = batch.select(mine.alias("_hash")).distinct()
+        return stored.join(F.broadcast(hashes), its == F.col("_hash"), "left_semi")
+    at = F.pmod(F.col("_hash"), F.lit(bits))
+    page, bit = F.floor(at / _PAGE_BITS), F.pmod(at, F.lit(_PAGE_BITS))
+    pages = batch.select(mine.alias("_hash")).groupBy(page.alias("_page")).agg(F.bitmap_construct_agg(bit).alias("_marks"))
+    marked = stored.withColumn("_hash", its).join(F.broadcast(pages), page == F.col("_page"))
+    byte = F.conv(F.hex(F.substring(F.col("_marks"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return marked.filter(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*stored.columns)
+
+
+def new_rows(df: DataFrame, target: str, keys: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The rows of `df`, each once, that an existing table does not hold yet. See `append_distinct`."""
+    spark = df.sparkSession
+    stored = read_table(spark, target, None if _is_name(target) else df.schema)
+    if _is_name(target):  # compared as they will be stored
+        df = df.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in df.columns])
+    compared = list(keys) if keys else df.columns
+    texts = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+    df = df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts})  # a folder's name cannot tell them apart
+    batch = pinned(_each_once(df, keys))  # its partitions, its hashes and its rows are all read from it
+    conditions = [_partition_filter(batch, c) for c in partition_by if c in compared]
+    for condition in conditions:
+        if condition is not None:
+            stored = stored.filter(condition)
+    known = _perhaps_in(stored.select(*compared), batch, compared)
+    return batch.alias("n").join(known.alias("s"), same_keys("n", "s", compared), "left_anti")
+
+
+def _each_once(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    rest = [c for c in df.columns if keys and c not in keys]
+    if not rest:
+        return df.distinct()
+    first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return first.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
 def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = None,
                     partition_by: Sequence[str] = ()) -> None:
     """Append the rows the table does not hold yet, each once; create the table if missing.
 
-    Rows count as equal when all columns (or `keys`) are equal, missing values included. Only new
-    files are written, so a repeated or restarted load stores nothing twice. With `partition_by`
-    only the partitions the batch touches are read. A target without a slash is a catalog table. One
-    writer at a time.
+    Rows count as equal when all columns (or `keys`) are equal, missing values included. Only new files are
+    written, so a repeated or restarted load stores nothing twice. Of a table that is partitioned by compared
+    columns only the partitions the batch has are read: its values are found first and become a filter of
+    the scan (above `PRUNED` values, their range does). If `keys` leave a partition column out, a key may be
+    stored in any partition and all are read. An empty text in a partition column is stored as a missing one. A target
+    without a slash is a catalog table. One writer at a time.
     """
     spark = df.sparkSession
-    compared = list(keys) if keys else df.columns
-    if keys:
-        rest = [c for c in df.columns if c not in keys]
-        batch = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
-            *keys, *[F.col(f"_row.{c}").alias(c) for c in rest]) if rest else df.distinct()
-        batch = batch.select(*df.columns)
+    if table_exists(spark, target):
+        batch = new_rows(df, target, keys, partition_by)
+        if _is_name(target):
+            batch.select(*spark.table(target).columns).write.insertInto(target)
+            return
     else:
-        batch = df.distinct()
-    stored_already = table_exists(spark, target)
-    if stored_already:
-        batch = pinned(batch)  # the partitions it touches and its rows are both read from it
-        stored = read_table(spark, target, None if _is_name(target) else df.schema)
-        if partition_by:
-            # a semi-join on the partition columns prunes partitions at run time, missing values included
-            touched = batch.select(*partition_by).distinct()
-            stored = stored.alias("n").join(touched.alias("s"), same_keys("n", "s", partition_by), "left_semi")
-        batch = batch.alias("n").join(
-            stored.select(*compared).alias("s"), same_keys("n", "s", compared), "left_anti")
+        batch = _each_once(df, keys)
     writer = batch.write.mode("append")
-    if _is_name(target) and stored_already:
-        names = spark.table(target).columns
-        batch.select(*names).write.insertInto(target)
-        return
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if _is_name(target):

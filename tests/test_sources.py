@@ -1,4 +1,6 @@
+import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -36,6 +38,70 @@ def test_append_by_key_and_partition(spark):
     assert "PartitionFilters: [isnotnull(season" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def test_append_reads_only_the_partitions_it_touches(spark):
+    target = scratch_path(spark, "t")
+    schema = "season int, league string, n int"
+    stored = spark.range(2000).select((F.col("id") % 20).cast("int").alias("season"), F.when(F.col("id") % 3 > 0, "x").alias("league"),
+                                      F.col("id").cast("int").alias("n"))
+    stored = stored.union(spark.createDataFrame([(None, None, 1), (None, "x", 2)], schema))
+    tables.append_distinct(stored, target, partition_by=["season", "league"])
+    batch = spark.createDataFrame([(3, "x", 43), (3, "x", -1), (None, None, 1), (None, "x", 3), (30, None, 1), (4, "", 24), (4, None, 24)], schema)
+    missing = tables.new_rows(batch, target, partition_by=["season", "league"])
+    assert rows(missing) == sorted([(3, "x", -1), (None, "x", 3), (30, None, 1)], key=repr)
+    plan = _plan(missing)
+    assert plan.count("FileScan") == 1
+    pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert re.search(r"season#\d+ IN \(", pruned) and "isnull(season" in pruned and "isnull(league" in pruned
+    (Path(target) / "season=12" / "league=x" / "part-unreadable.parquet").write_bytes(b"PAR1 no table PAR1")  # whoever reads it fails
+    for _ in range(2):
+        tables.append_distinct(batch, target, partition_by=["season", "league"])
+    others = F.col("season").isNull() | (F.col("season") != 12)
+    assert tables.read_table(spark, target, stored.schema, where=others).count() == 1905
+
+
+@pytest.mark.parametrize("limits", [{"PRUNED": 3}, {"HASHES": 0}, {"HASHES": 0, "BLOOM_ROWS": 0}, {"PRUNED": 3, "HASHES": 0}])
+def test_append_of_large_batches_stores_the_same(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(tables, name, value)
+    target = scratch_path(spark, "t")
+    schema = "season int, k string, v double"
+    old = [(i % 9, f"k{i}" if i % 5 else None, float(i)) for i in range(300)] + [(None, None, None), (1, "zero", 0.0), (1, "nan", float("nan"))]
+    new = [(i % 9, f"k{i}" if i % 5 else None, float(i)) for i in range(200, 500)] + [(None, None, None), (1, "zero", -0.0), (1, "nan", float("nan"))]
+    for batch in (old, new, new):
+        tables.append_distinct(spark.createDataFrame(batch, schema), target, partition_by=["season"])
+    got = tables.read_table(spark, target).count()
+    assert got == 503
+
+
+def test_bitmap_lets_all_known_and_few_other_rows_pass(spark, monkeypatch):
+    monkeypatch.setattr(tables, "HASHES", 0)
+    batch = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    stored = spark.range(500, 20_500).select(F.col("id").cast("string").alias("k"))
+    passed = {int(r.k) for r in tables._perhaps_in(stored, batch, ["k"], bits=1 << 16).collect()}
+    assert passed >= set(range(500, 1000)) and len(passed) < 1500
+
+
+def test_keys_without_the_partition_column_are_compared_everywhere(spark):
+    target = scratch_path(spark, "t")
+    one = spark.createDataFrame([(2018, "a"), (2019, "b")], "season int, k string")
+    tables.append_distinct(one, target, keys=["k"], partition_by=["season"])
+    tables.append_distinct(one.withColumn("season", F.col("season") + 1), target, keys=["k"], partition_by=["season"])
+    assert rows(tables.read_table(spark, target, one.schema).select("season", "k")) == [(2018, "a"), (2019, "b")]
+
+
+def test_catalog_append_compares_as_stored(spark):
+    tables.append_distinct(spark.createDataFrame([(1, "a"), (None, None)], "n long, t string"), "stored_as", partition_by=["t"])
+    try:
+        tables.append_distinct(spark.createDataFrame([("a", 1), ("", None), ("b", 2)], "t string, n int"), "stored_as", partition_by=["t"])
+        assert rows(tables.read_table(spark, "stored_as").select("n", "t")) == sorted([(1, "a"), (2, "b"), (None, None)], key=repr)
+    finally:
+        tables.drop_table(spark, "stored_as")
+
+
 def test_list_and_drop(spark):
     root = scratch_path(spark, "root")
     for name in ("x", "y"):
