@@ -8,15 +8,20 @@ large groups are cut into consecutive blocks of about `block_rows` rows:
 * each block gets one carry row with the totals of everything before it, and
 * copies of the last `reach` rows before it,
 
-so that the same window expressions, run per block, give the values of the whole group. Text is cut
-along its bytes, six at a time. Cutting goes on until no block is too large or its rows are all alike.
+so that the same window expressions, run per block, give the values of the whole group. Cutting follows
+Spark's order exactly: missing values come first, NaN last, whole numbers keep all their digits, and text is
+compared byte by byte. Every round looks only at the blocks that are still too large, finds the first
+order column that varies in each, and cuts along it; of texts it takes six bytes behind what all texts of the
+block begin with, however long that is. It ends when no block is too large or its rows are all alike.
 Block totals come from a map-side aggregate, and every table of blocks has at most
-2 * rows / block_rows rows.
+2 * rows / block_rows rows. The rows themselves are written once, before the first round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -27,9 +32,9 @@ from contestlab.session import pinned
 BLOCK_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 
-_CELLS = 64      # shares into which one round cuts a large block
-_TEXT_BYTES = 6  # bytes of a text in one number, which a double holds exactly
-_MISSING = -2.0**62  # a missing order value sorts first
+_CELLS = 64        # shares into which one round cuts a large block
+_TEXT_BYTES = 6    # bytes of a text in one number, beside their count, which a double holds exactly
+_SMALL_BITS = 12   # bits of a whole number that are left for a later round where a block's numbers lie far apart
 _CARRY, _HALO, _OWN = 0, 1, 2
 
 
@@ -46,92 +51,154 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     return largest["n"] if largest else 0
 
 
-def _leads_of(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Numbers that grow with the order: one per number or date, one per six bytes of a text."""
-    texts = [c for c in order if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    longest = df.agg(*[F.max(F.octet_length(c)) for c in texts]).first() if texts else ()
-    length = dict(zip(texts, longest, strict=True))
-    leads = []
-    for c in order:
-        kind = df.schema[c].dataType
-        if c in length:
-            raw = F.col(c).cast("binary")
-            for at in range(0, max(length[c] or 0, 1), _TEXT_BYTES):
-                # a shorter text is filled up with zeros: its bytes come first, as in Spark's order
-                part = F.rpad(F.hex(F.substring(raw, at + 1, _TEXT_BYTES)), 2 * _TEXT_BYTES, "0")
-                leads.append(F.conv(part, 16, 10).cast("double"))
-        elif isinstance(kind, T.DateType):
-            leads.append(F.unix_date(c).cast("double"))
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            leads.append(F.unix_micros(F.col(c).cast("timestamp")).cast("double"))
-        elif isinstance(kind, (T.NumericType, T.BooleanType)):
-            leads.append(F.col(c).cast("double"))
-        else:
-            raise TypeError(f"pass leads=: a large group cannot be cut along {c} of type {kind.simpleString()}")
-    return leads
+@dataclass(frozen=True)
+class _Key:
+    """A part of the order that is compared as a whole: whole numbers (`long`), `double` or `bytes`, none missing."""
 
+    kind: str
+    value: Column
 
-def _cut(df: DataFrame, group: Sequence[str], leads: Sequence[Column], block_rows: int) -> tuple[DataFrame, list[str]]:
+
+def _keys_of(df: DataFrame, order: Sequence[str]) -> list[_Key]:
+    """The order as keys, first things first; a missing value comes before all others."""
+    keys = []
+    for c in order:
+        kind, col = df.schema[c].dataType, F.col(c)
+        if df.schema[c].nullable:
+            keys.append(_Key("long", col.isNotNull().cast("long")))
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            keys.append(_Key("bytes", F.coalesce(col.cast("binary"), F.lit(b""))))
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            keys += _double_keys(col)
+        elif isinstance(kind, T.DecimalType):
+            keys += _decimal_keys(F.coalesce(col, F.lit(Decimal(0)).cast(kind)), kind)
+        else:
+            keys.append(_Key("long", F.coalesce(_whole_number(col, kind, c), F.lit(0).cast("long"))))
+    return keys
+
+
+def _lead_keys(lead: Column) -> list[_Key]:
+    return [_Key("long", lead.isNotNull().cast("long")), *_double_keys(lead)]
+
+
+def _double_keys(col: Column) -> list[_Key]:
+    number = F.coalesce(col.cast("double"), F.lit(0.0))
+    return [_Key("long", F.isnan(number).cast("long")), _Key("double", F.nanvl(number, F.lit(0.0)) + F.lit(0.0))]
+
+
+def _decimal_keys(col: Column, kind: T.DecimalType) -> list[_Key]:
+    """Digits of a decimal, 15 at a time; negative ones for a negative number."""
+    keys, edge = [], kind.precision - kind.scale
+    while not keys or edge > -kind.scale:
+        edge = max(edge - 15, -kind.scale)
+        unit = F.lit(Decimal(10**edge) if edge >= 0 else Decimal(1).scaleb(edge))
+        keys.append(_Key("long", F.call_function("div", col, unit)))
+        col = col % unit
+    return keys
+
+
+def _whole_number(col: Column, kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp"))
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return col.cast("long")
+    raise TypeError(f"pass leads=: a large group cannot be cut along {name} of type {kind.simpleString()}")
+
+
+def _common_bytes(low: Column, high: Column) -> Column:
+    """With how many equal bytes two values begin: the binary digits of the number, highest first."""
+    shortest = F.least(F.octet_length(low), F.octet_length(high))
+    return F.aggregate(F.array(*[F.lit(2**i) for i in range(30, -1, -1)]), F.lit(0), lambda n, more: F.when(
+        (n + more <= shortest) & (F.substring(low, F.lit(1), n + more) == F.substring(high, F.lit(1), n + more)), n + more).otherwise(n))
+
+
+def _plan_of(rows: DataFrame, keys: Sequence[str], order: Mapping[str, _Key]) -> DataFrame:
+    """Per block the first key that varies in it, and what its numbers are counted from."""
+    ends = rows.groupBy(*keys).agg(*[f(n).alias(f"{n}{a}") for n in order for f, a in ((F.min, "lo"), (F.max, "hi"))])
+    plan = F.lit(None).cast("struct<pick:string,base:bigint,shift:int>")
+    for n, key in reversed(order.items()):
+        low, high = F.col(f"{n}lo"), F.col(f"{n}hi")
+        base, shift = F.lit(0).cast("long"), F.lit(0)
+        if key.kind == "long":
+            wide = F.shiftright(high, _SMALL_BITS) - F.shiftright(low, _SMALL_BITS) >= 2**40  # their difference is no exact double
+            base, shift = low, F.when(wide, _SMALL_BITS).otherwise(0)
+        elif key.kind == "bytes":
+            base = _common_bytes(low, high).cast("long")
+        plan = F.when(low != high, F.struct(F.lit(n).alias("pick"), base.alias("base"), shift.alias("shift"))).otherwise(plan)
+    return ends.select(*keys, plan.alias("_plan")).filter(F.col("_plan").isNotNull()).select(*keys, "_plan.*")
+
+
+def _number_of(order: Mapping[str, _Key]) -> Column:
+    """What a row is cut by in its block, as a number that grows with the order."""
+    number = F.lit(None).cast("double")
+    for n, key in order.items():
+        value = F.col(n)
+        if key.kind == "long":
+            value = F.call_function("shiftright", value, F.col("shift")) - F.call_function("shiftright", F.col("base"), F.col("shift"))
+        elif key.kind == "bytes":
+            part = F.substring(value, (F.col("base") + 1).cast("int"), F.lit(_TEXT_BYTES))
+            # filled up with zeros; of two parts that are then alike the shorter one is first
+            value = F.conv(F.rpad(F.hex(part), 2 * _TEXT_BYTES, "0"), 16, 10).cast("double") * 8 + F.octet_length(part)
+        number = F.when(F.col("pick") == n, value.cast("double")).otherwise(number)
+    return number
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool) -> DataFrame:
+    """Rows with the columns of their block, which is looked up in the blocks' table if that is small."""
+    own = [c for c in right.columns if c not in keys]
+    right = F.broadcast(right) if small else right
+    return left.alias("l").join(right.alias("r"), _same("l", "r", keys), how).select("l.*", *[F.col(f"r.{c}") for c in own])
+
+
+def _cut(df: DataFrame, group: Sequence[str], order: Sequence[_Key], block_rows: int) -> tuple[DataFrame, list[str]]:
     """Cut the large groups into consecutive blocks; returns the frame and the block columns.
 
-    Each round takes the first lead that still varies in a large block, cuts the block at about
-    equal shares of its rows, and merges neighbouring cells up to `block_rows`. A cell that is too
-    large by itself (one hot day, say) is cut again in the next round, along the next lead if need be.
-    Block number 0 marks rows whose group needed no cut.
+    Each round cuts every large block at about equal shares of its rows and merges neighbouring cells up to
+    `block_rows`. A cell that is too large by itself (one hot day, say) is cut again in the next round, along the
+    next key if need be. Block number 0 marks rows whose group needed no cut.
     """
-    names = [f"_lead{i}" for i in range(len(leads))]
-    work = df.withColumns({n: F.coalesce(lead.cast("double"), F.lit(_MISSING)) for n, lead in zip(names, leads)})
-    work = pinned(work)  # read several times in every round
+    names = {f"_key{i}": key for i, key in enumerate(order)}
+    work = pinned(df.withColumns({n: key.value for n, key in names.items()}))  # read several times in every round
     blocks: list[str] = []
+    large = work.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block_rows).drop("n")
     for level in count():  # every round splits each large block, so it ends when the blocks fit or hold equal rows
         keys = [*group, *blocks]
-        candidates = work.filter(F.col(blocks[-1]) > 0) if blocks else work
-        sizes = candidates.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), *[f(n).alias(f"{n}_{a}") for n in names for f, a in ((F.min, "lo"), (F.max, "hi"))])
-        pick = F.lit(None).cast("string")
-        for n in reversed(names):
-            pick = F.when(F.col(f"{n}_hi") > F.col(f"{n}_lo"), F.lit(n)).otherwise(pick)
-        large = pinned(sizes.filter(F.col("n") > block_rows * (2 if level else 1)).select(*keys, pick.alias("_pick"))
-                       .filter(F.col("_pick").isNotNull()))  # at most rows / block_rows rows
+        large = pinned(large)  # at most rows / block_rows rows
         n_large = large.count()
         if not n_large:
             break
-        lead = F.lit(None).cast("double")
-        for n in reversed(names):
-            lead = F.when(F.col("_pick") == n, F.col(f"l.{n}")).otherwise(lead)
-        staged = (
-            work.alias("l")
-            .join((F.broadcast(large) if n_large <= BROADCAST_ROWS else large).alias("r"), _same("l", "r", keys), "left")
-            .select("l.*", lead.alias("_at"))
-        )
-        marks = pinned(staged.filter(F.col("_at").isNotNull()).groupBy(*keys).agg(
-            F.percentile_approx("_at", [i / _CELLS for i in range(1, _CELLS)], 10 * _CELLS).alias("_marks")))
+        small = n_large <= BROADCAST_ROWS // _CELLS
+        plan = pinned(_plan_of(_beside(work, large, keys, "inner", small), keys, names))
+        if plan.isEmpty():
+            break
+        at = _number_of(names)
+        marks = _beside(work, plan, keys, "inner", small).groupBy(*keys).agg(
+            F.percentile_approx(at, [i / _CELLS for i in range(1, _CELLS)], 10 * _CELLS).alias("marks"))
+        plan = pinned(_beside(plan, marks, keys, "inner", small))
         # a value that is a mark has a cell of its own, so that a value of many rows stands alone
-        cell = 2 * F.size(F.filter("r._marks", lambda m: m < F.col("l._at"))) + F.array_contains("r._marks", F.col("l._at")).cast("int")
-        staged = (
-            staged.alias("l")
-            .join((F.broadcast(marks) if n_large <= BROADCAST_ROWS // _CELLS else marks).alias("r"), _same("l", "r", keys), "left")
-            .select("l.*", cell.alias("_cell")).drop("_at")
-        )
+        cell = F.aggregate("marks", F.lit(0), lambda n, m: n + F.when(m < F.col("_at"), 2).when(m == F.col("_at"), 1).otherwise(0))
         before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        cuts = pinned(
-            staged.filter(F.col("_cell").isNotNull())
-            .groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("n"))
+        cuts = (
+            _beside(work, plan, keys, "inner", small).withColumn("_at", at)
+            .groupBy(*keys, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("_upto", F.coalesce(F.sum("n").over(before), F.lit(0)))
             # even numbers for merged cells, the odd one after them for a cell too large by itself
             .withColumn("_block", 2 * (F.floor(F.col("_upto") / F.lit(block_rows)) + 1)
                         + (F.col("n") > block_rows).cast("int"))
-            .drop("n", "_upto")
-        )  # at most 2 * _CELLS rows per large block
-        if n_large <= BROADCAST_ROWS // (2 * _CELLS):
-            cuts = F.broadcast(cuts)
-        work = pinned(
-            staged.alias("l")
-            .join(cuts.alias("r"), _same("l", "r", [*keys, "_cell"]), "left")
-            .select("l.*", F.coalesce(F.col("r._block"), F.lit(0)).alias(f"_block{level}"))
-            .drop("_cell")
         )
-        blocks.append(f"_block{level}")
+        cuts = pinned(cuts)  # at most 2 * _CELLS rows per large block
+        block = f"_block{level}"
+        places = cuts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_cell", "_block"))).alias("places"))
+        plan = pinned(_beside(plan, places, keys, "inner", small))
+        columns = work.columns
+        work = _beside(work, plan, keys, "left", small).withColumn("_at", at)
+        work = work.select(*columns, F.coalesce(F.element_at("places", cell), F.lit(0)).alias(block))
+        if not small:
+            work = pinned(work)
+        large = cuts.groupBy(*keys, F.col("_block").alias(block)).agg(F.sum("n").alias("n")).filter(F.col("n") > 2 * block_rows).drop("n")
+        blocks.append(block)
     return work.drop(*names), blocks
 
 
@@ -192,7 +259,8 @@ def ordered_scan(
     if whole:
         window = Window.partitionBy(*group).orderBy(*order)
     else:
-        work, blocks = _cut(work, group, leads or _leads_of(df, order), block_rows)
+        keys = [key for lead in leads for key in _lead_keys(lead)] if leads else _keys_of(df, order)
+        work, blocks = _cut(work, group, keys, block_rows)
         whole = not blocks  # the rows of each large group are all alike
         if not whole:
             work = _with_carries(work, group, blocks, order, list(prefix), list(carry_last), reach)

@@ -105,3 +105,68 @@ def test_text_orders_are_cut_like_any_other(names, descending):
 def test_equal_rows_end_the_cutting(spark):
     same = spark.createDataFrame([("g", "t", 1)] * 60, "g string, t string, id int")
     assert sorted(r.rec_no for r in record_number(same, ["t", "id"], group=["g"], block_rows=10).collect()) == list(range(1, 61))
+
+
+def _numbers(df, order, block_rows):
+    numbered = record_number(df, order, group=["g"], block_rows=block_rows)
+    return {r.id: r.rec_no for r in numbered.select("id", "rec_no").collect()}
+
+
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [None, -INF, -1e300, -9e18, -0.0, 0.0, 1.0, 2.0, 3.0, 1e300, INF, NAN]),
+    ("float", [None, -INF, -1.5, 0.0, 1.5, INF, NAN]),
+    ("bigint", [None, -2**63, -2**62 - 1, -2**62, -1, 0, 1, 2**53, 2**53 + 1, 2**53 + 2, 2**63 - 2, 2**63 - 1]),
+    ("string", [None, "", "\x00", "\x00\x00", "a", "a\x00", "a\x00b", "ab", "abcdef", "abcdef\x00", "abcdefg", "\u00e9", "\U0001f600"]),
+    ("binary", [None, b"", b"\x00", b"\x7f", b"\x80", b"\xff", b"\xff\xff"]),
+    ("boolean", [None, False, True]),
+    ("decimal(9,2)", [None, "-12.50", "-0.01", "0.00", "0.01", "12.49", "12.50"]),
+    ("decimal(38,20)", [None, "-123456789012345678.00000000000000000001", "-123456789012345678.00000000000000000000", "-0.5", "0",
+                        "0.00000000000000000001", "0.5", "999999999999999999.00000000000000000000", "999999999999999999.00000000000000000001"]),
+    ("timestamp", [None, "0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "9999-12-31 23:59:59.999998",
+                   "9999-12-31 23:59:59.999999"]),
+    ("date", [None, "0001-01-01", "1969-12-31", "1970-01-01", "9999-12-31"]),
+])
+def test_every_type_is_cut_in_the_order_of_sorting(spark, kind, values):
+    plain = isinstance(values[-1], (float, int, bytes)) or kind in ("string", "boolean")
+    rows = [(i, v if plain else (None if v is None else str(v)), "hot" if i % 7 else "b") for i, v in enumerate(values * 3)]
+    df = spark.createDataFrame(rows, f"id int, raw {kind if plain else 'string'}, g string").withColumn("v", F.col("raw").cast(kind)).repartition(3)
+    want = _numbers(df, ["v", "id"], None)
+    assert all(_numbers(df, ["v", "id"], block) == want for block in (1, 4))
+
+
+def test_missing_value_is_first_beside_very_small_numbers(spark):
+    df = spark.createDataFrame([("g", v, i) for i, v in enumerate([None, -1e300, -9e18, 1.0, 2.0, 3.0])], "g string, v double, id int")
+    assert _numbers(df, ["v"], 2) == _numbers(df, ["v"], None) == {i: i + 1 for i in range(6)}
+
+
+def test_long_texts_are_cut_by_few_columns(spark):
+    """100 KB of common beginning: one round finds where the texts part, whatever lies before."""
+    head = "passage " * 12_500
+    texts = [head + str(i * 37 % 200) for i in range(200)] + [head, head[:-1], "", None, head + "\x00"]
+    df = spark.createDataFrame([("hot", t, i) for i, t in enumerate(texts)], "g string, t string, id int").repartition(4)
+    want = {i: n for n, (_, _, i) in enumerate(sorted((t is not None, (t or "").encode(), i) for i, t in enumerate(texts)), 1)}
+    assert _numbers(df, ["t"], 20) == want
+
+
+def test_a_lead_may_be_missing(spark):
+    df = spark.createDataFrame([("g", None if i < 3 else i // 4, i) for i in range(40)], "g string, v int, id int")
+    got = record_number(df, ["v", "id"], group=["g"], leads=[F.col("v") * 2.5, F.col("id")], block_rows=3)
+    assert {r.id: r.rec_no for r in got.collect()} == {i: i + 1 for i in range(40)}
+
+
+def test_cutting_reads_the_rows_from_one_written_copy(spark, games):
+    """The rows are written once; a round adds tables with one row per block, not a copy of the rows."""
+    from contestlab.operators import scans
+
+    written = []
+    pinned = scans.pinned
+    try:
+        scans.pinned = lambda df: written.append(out := pinned(df)) or out
+        assert record_number(games, ["day", "id"], group=["team"], block_rows=50).count() == 3000
+    finally:
+        scans.pinned = pinned
+    sizes = [df.count() for df in written]
+    assert sizes[0] == 3000 and max(sizes[1:]) < 1500 and len(sizes) > 5
