@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contestlab.functions import points, rate
 from contestlab.operators.frames import prior_period
-from contestlab.operators.scans import BLOCK_ROWS, BROADCAST_ROWS, dense_rank_in, ordered_scan
+from contestlab.operators.scans import BLOCK_ROWS, dense_rank_in, largest_group, ordered_scan
+from contestlab.session import pinned
 
 # Points per round of a title contender and of a relegation candidate, points
 # credited to a side without a previous season, games in the recent form, games the literal
@@ -59,6 +60,13 @@ def _same_side(group: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in group])
 
 
+def fitting(df: DataFrame, block_rows: int | None) -> int | None:
+    """None where all rows of every season fit into a task, and with them those of any part of it: one count for many scans."""
+    if block_rows is None or largest_group(df.select(*_league_of(df), "season"), [*_league_of(df), "season"]) <= block_rows:
+        return None
+    return block_rows
+
+
 def _known(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
@@ -164,6 +172,7 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     ("after") or before it ("before"). Every side holds a place from the first day, with 0 points.
     """
     by_day = [*_league_of(scanned), "season", "day"]
+    block_rows = fitting(scanned if sized_by is None else sized_by, block_rows)
     if mode == "literal":
         return dense_rank_in(scanned, by_day, "running_points", "standing", block_rows=block_rows, sized_by=sized_by)
 
@@ -171,46 +180,93 @@ def standing(scanned: DataFrame, mode: str = "intended", as_of: str = "before",
     day = Window.partitionBy(*group_of(counted), "day")  # the games of one side on one day
     own = F.max("running_points").over(day) if as_of == "after" else F.min(F.col("running_points") - _known("pts")).over(day)
     keys = [*by_day, "_value"]
-    joined = counted.withColumn("_value", own).join(day_places(scanned, as_of), keys, "left")
-    return joined.select(*scanned.columns, "standing")
+    places = day_places(counted if sized_by is None else sized_by, as_of, block_rows=block_rows)
+    return counted.withColumn("_value", own).join(places, keys, "left").select(*scanned.columns, "standing")
 
 
-def day_places(df: DataFrame, as_of: str = "before") -> DataFrame:
-    """Places by total: season, day, _value (a total that some side has at that time) and its standing."""
-    shift = 0 if as_of == "after" else 1
-    group, league = group_of(df), _league_of(df)
-    daily = df.groupBy(*group, "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
+def day_places(df: DataFrame, as_of: str = "before", block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+    """Places by total: season, day, _value (the total of a side that plays on that day) and its standing.
+
+    A sweep over the changes of totals: a side's game day takes it from one total to another, and between changes the
+    number of sides with each total stands still. So there are at most two rows for a side's game day, however
+    many days and totals a season has. A season with more changes than `block_rows` is swept in stretches
+    of days; each begins with the number of sides per total as the ones before leave it. A stretch is at least
+    as long as its season has totals, so that these beginnings are no more rows than the changes.
+    """
+    group, seasons = group_of(df), [*_league_of(df), "season"]
+    daily = df.filter(F.col("day").isNotNull()).groupBy(*group, "day").agg(F.sum(_known("pts")).cast("int").alias("_won"))
     by_day = Window.partitionBy(*group).orderBy("day")  # at most one row per day of a season
     history = daily.withColumns({
-        "_after": F.sum("_won").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).cast("int"),
-        "_previous": F.lag("day").over(by_day),
-        "_next": F.lead("day").over(by_day),
-    })
-    seasons = [*league, "season"]
-    spans = df.groupBy(*seasons).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    known = spans.orderBy("_first").limit(BROADCAST_ROWS + 1).collect()  # one row per season, and the list is bounded
-    if len(known) <= BROADCAST_ROWS:
-        seasonal = history.join(F.broadcast(df.sparkSession.createDataFrame(known, spans.schema)), seasons)
-    else:  # the repartitioning keeps the steps below from running on one task per season
-        seasonal = history.join(spans, seasons).repartition(*seasons, "team")
-    # Stretches of days over which a side's total stands still: from a match day on, and with 0
-    # points from the first day of the season to the day before the side's first match.
-    held = F.struct(
-        F.col("_after").alias("_value"), F.col("day").alias("_from"),
-        F.coalesce(F.date_sub("_next", 1), F.col("_last")).alias("_to"))
-    opening = F.struct(
-        F.lit(0).alias("_value"), F.date_sub("_first", shift).alias("_from"), F.date_sub("day", 1).alias("_to"))
-    stretch = F.array(held, F.when(F.col("_previous").isNull(), opening))
-    taken = (
-        seasonal.select(*seasons, F.explode(stretch).alias("_s"))
-        .filter(F.col("_s._from") <= F.col("_s._to"))
-        .select(*seasons, "_s.*").distinct()
-        .select(*seasons, "_value", F.explode(F.sequence("_from", "_to")).alias("_day"))
-        .select(*seasons, "_value", F.date_add("_day", shift).alias("day")).distinct()
+        "_day": F.unix_date("day"), "_nth": F.row_number().over(by_day),
+        "_after": F.sum("_won").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).cast("int")})
+    before = F.col("_after") - F.col("_won")
+    after = as_of == "after"
+
+    def change(day: Column, value: Column, sides: int, asked: bool) -> Column:
+        return F.struct(day.alias("_day"), value.cast("int").alias("_value"), F.lit(sides).alias("_sides"), F.lit(asked).alias("_asked"))
+
+    opening = F.when(F.col("_nth") == 1, change(F.lit(None).cast("int"), F.lit(0), 1, False))  # before the first day
+    steps = F.array(change(F.col("_day"), before, -1, not after), change(F.col("_day"), F.col("_after"), 1, after), opening)
+    changes = (
+        history.select(*seasons, F.explode(steps).alias("_c")).filter(F.col("_c").isNotNull()).select(*seasons, "_c.*")
+        .groupBy(*seasons, "_day", "_value").agg(F.sum("_sides").cast("long").alias("_sides"), F.max("_asked").alias("_asked"))
+    )
+    if fitting(df, block_rows) is None:
+        stretches = changes.withColumn("_stretch", F.lit(0))
+    else:
+        stretches = _in_stretches(pinned(changes), seasons, block_rows)
+    kinds = {f.name: f.dataType.simpleString() for f in stretches.schema.fields}
+    out = ", ".join(f"{c} {kinds[c]}" for c in (*seasons, "_day", "_value")) + ", standing int"
+    swept = stretches.groupBy(*seasons, "_stretch").applyInPandas(_sweep(seasons, after), out)
+    return swept.withColumn("day", F.date_from_unix_date("_day")).select(*seasons, "day", "_value", "standing")
+
+
+def _in_stretches(changes: DataFrame, seasons: Sequence[str], block_rows: int) -> DataFrame:
+    """Changes with the number of their stretch of days, and what each stretch begins with as changes before its first day."""
+    by_season = changes.groupBy(*seasons).agg(F.approx_count_distinct("_value").alias("_totals"))
+    days = changes.filter(F.col("_day").isNotNull()).groupBy(*seasons, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*seasons).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # one row per day
+    length = F.greatest(F.lit(block_rows), F.col("_totals"))
+    days = days.join(by_season, seasons).withColumn("_stretch", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / length).cast("int"))
+    numbered = changes.join(days.select(*seasons, "_day", "_stretch"), [*seasons, "_day"], "left")  # none: what the season opens with
+    left = Window.partitionBy(*seasons, "_value").orderBy(F.asc_nulls_first("_stretch"))
+    ends = days.groupBy(*seasons).agg(F.max("_stretch").alias("_end"))
+    held = (
+        numbered.groupBy(*seasons, "_value", "_stretch").agg(F.sum("_sides").alias("_moved"))
+        .withColumns({"_held": F.sum("_moved").over(left.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("_stretch").over(left)})
+        .filter(F.col("_held") > 0).join(ends, seasons)
+        .withColumns({"_first": F.coalesce(F.col("_stretch") + 1, F.lit(0)), "_until": F.coalesce("_next", "_end")})
+        .filter(F.col("_first") <= F.col("_until"))
     )
-    # v distinct totals take about v * v / 6 games, so a day has at most sqrt(6 * rows) of them:
-    # some two million in 10^12 rows, which one task can rank.
-    return dense_rank_in(taken, [*seasons, "day"], "_value", "standing", descending=True, block_rows=None)
+    begins = held.select(*seasons, F.lit(None).cast("int").alias("_day"), "_value", F.col("_held").alias("_sides"), F.lit(False).alias("_asked"),
+                         F.explode(F.sequence("_first", "_until")).alias("_stretch"))
+    return numbered.filter(F.col("_stretch").isNotNull()).unionByName(begins)
+
+
+def _sweep(seasons: Sequence[str], after: bool):
+    """Function of one stretch: the place of every total that is asked for, by the sides per total on its day."""
+    import numpy as np
+    import pandas as pd
+
+    def places(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_day", na_position="first")
+        values, at = np.unique(rows["_value"].to_numpy(), return_inverse=True)
+        days, sides, asked = rows["_day"].fillna(-2**31).to_numpy(), rows["_sides"].to_numpy(), rows["_asked"].to_numpy(bool)
+        held, standing = np.zeros(len(values), np.int64), np.zeros(len(rows), np.int32)
+        starts = np.flatnonzero(np.diff(days, prepend=days[0] - 1))
+        for first, end in zip(starts, [*starts[1:], len(rows)]):
+            part, wanted = at[first:end], asked[first:end]
+            if after:
+                held[part] += sides[first:end]
+            if wanted.any():
+                taken = np.cumsum((held > 0)[::-1])[::-1]  # totals that are as high or higher
+                standing[first:end][wanted] = taken[part[wanted]]
+            if not after:
+                held[part] += sides[first:end]
+        out = rows[[*seasons, "_day", "_value"]].assign(standing=standing)[asked]
+        return out.astype({"_day": "int32"})
+
+    return places
 
 
 def prior_season_points(scanned: DataFrame, mode: str = "intended", order: Sequence[str] | None = None) -> DataFrame:

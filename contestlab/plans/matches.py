@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
-    DEFAULT_PRIOR_POINTS, FORM_GAMES, game_order, group_of, prior_season_points, race_flags, side_scan, sides, standing)
+    DEFAULT_PRIOR_POINTS, FORM_GAMES, fitting, game_order, group_of, prior_season_points, race_flags, side_scan, sides, standing)
 
 FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
@@ -35,6 +35,7 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     as_of = as_of or ("after" if literal else "before")
     rows = sides(ledger, keep=["home", "away"])
     order, group = game_order(rows, mode), group_of(rows)
+    block_rows = fitting(rows, block_rows)
     options = {"games": games, "mode": mode, "order": order, "block_rows": block_rows}
     # Facts per side and season are joined on the keys of the side windows: one shuffle serves both.
     if literal:

@@ -58,26 +58,31 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
     return df if columns is None else df.select(*columns)
 
 
-PRUNED = 5_000           # values of a partition column that are named in the read; beyond them its range is
+PRUNED = 5_000           # partitions whose values are named in the read; beyond them their range is
 HASHES = 1_000_000       # rows of a batch whose hashes are broadcast, 8 bytes each
 BLOOM_BITS = 1 << 27     # 16 MB; a larger batch marks its hashes in so many bits
 BLOOM_ROWS = BLOOM_BITS // 8
 _PAGE_BITS = 8 * 4096    # bits that Spark's bitmap functions keep in one row
 
 
-def _partition_filter(batch: DataFrame, column: str) -> Column | None:
-    """Which values of a partition column the batch holds, in literals, so that other folders are not listed or read."""
-    kind = batch.schema[column].dataType
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.BinaryType)):
-        return None
-    values = [r[0] for r in batch.select(column).distinct().limit(PRUNED + 1).collect()]
-    known, col = [v for v in values if v is not None], F.col(column)
-    if len(values) <= PRUNED:
-        inside = col.isin(known) if known else F.lit(False)
-        return inside | col.isNull() if len(known) < len(values) else inside
-    ends = batch.agg(F.min(column), F.max(column), F.count(F.when(col.isNull(), 1))).first()
-    inside = col.between(ends[0], ends[1])
-    return inside | col.isNull() if ends[2] else inside
+def _touched(batch: DataFrame, columns: Sequence[str]) -> tuple[list[Column], int]:
+    """Which values of the partition columns a batch has, in literals, so that other folders are not listed or read; and its rows."""
+    folders = batch.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).limit(PRUNED + 1).collect()
+    many = len(folders) > PRUNED
+    ends = batch.agg(F.count(F.lit(1)), *[f(c) for c in columns for f in (F.min, F.max, F.count)]).first() if many else None
+    n, conditions = ends[0] if many else sum(r["_n"] for r in folders), []
+    for i, c in enumerate(columns):
+        col = F.col(c)
+        if isinstance(batch.schema[c].dataType, (T.FloatType, T.DoubleType, T.BinaryType)):
+            continue
+        if many:
+            low, high, known = ends[3 * i + 1:3 * i + 4]
+            inside, missing = col.between(low, high), known < n
+        else:
+            values = {r[c] for r in folders}
+            inside, missing = col.isin([v for v in values if v is not None]), None in values
+        conditions.append(inside | col.isNull() if missing else inside)
+    return conditions, n
 
 
 def _hash(cols: Sequence[str], schema: T.StructType) -> Column:
@@ -86,18 +91,17 @@ def _hash(cols: Sequence[str], schema: T.StructType) -> Column:
     return F.xxhash64(*[F.col(c) + F.lit(0.0).cast(schema[c].dataType) if isinstance(schema[c].dataType, floats) else F.col(c) for c in cols])
 
 
-def _perhaps_in(stored: DataFrame, batch: DataFrame, compared: Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
-    """The stored rows whose hash the batch has, or in a large batch may have; the stored table is not shuffled for it.
+def _perhaps_in(stored: DataFrame, batch: DataFrame, n: int, compared: Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
+    """The stored rows whose hash the batch of n rows has, or in a large batch may have; the stored table is not shuffled for it.
 
     Up to `HASHES` rows the hashes themselves are broadcast, up to `BLOOM_ROWS` a bitmap of `bits` bits, which
     lets an eighth of the other rows pass at most. Beyond that all stored rows go on to the exact comparison.
     """
-    n = batch.count()
     if n > BLOOM_ROWS:
         return stored
     mine, its = _hash(compared, batch.schema), _hash(compared, stored.schema)
     if n <= HASHES:
-        hashes = batch.select(mine.alias("_hash")).distinct()
+        hashes = batch.select(mine.alias("_hash"))
         return stored.join(F.broadcast(hashes), its == F.col("_hash"), "left_semi")
     at = F.pmod(F.col("_hash"), F.lit(bits))
     page, bit = F.floor(at / _PAGE_BITS), F.pmod(at, F.lit(_PAGE_BITS))
@@ -117,11 +121,10 @@ def new_rows(df: DataFrame, target: str, keys: Sequence[str] | None = None, part
     texts = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
     df = df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts})  # a folder's name cannot tell them apart
     batch = pinned(_each_once(df, keys))  # its partitions, its hashes and its rows are all read from it
-    conditions = [_partition_filter(batch, c) for c in partition_by if c in compared]
+    conditions, n = _touched(batch, [c for c in partition_by if c in compared])
     for condition in conditions:
-        if condition is not None:
-            stored = stored.filter(condition)
-    known = _perhaps_in(stored.select(*compared), batch, compared)
+        stored = stored.filter(condition)
+    known = _perhaps_in(stored.select(*compared), batch, n, compared)
     return batch.alias("n").join(known.alias("s"), same_keys("n", "s", compared), "left_anti")
 
 
@@ -140,7 +143,7 @@ def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = Non
     Rows count as equal when all columns (or `keys`) are equal, missing values included. Only new files are
     written, so a repeated or restarted load stores nothing twice. Of a table that is partitioned by compared
     columns only the partitions the batch has are read: its values are found first and become a filter of
-    the scan (above `PRUNED` values, their range does). If `keys` leave a partition column out, a key may be
+    the scan (above `PRUNED` partitions, their range does). If `keys` leave a partition column out, a key may be
     stored in any partition and all are read. An empty text in a partition column is stored as a missing one. A target
     without a slash is a catalog table. One writer at a time.
     """
