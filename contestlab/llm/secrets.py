@@ -23,9 +23,11 @@ KINDS = ("assign", "access", "hex")
 #: Maximal runs of token characters of at least so many, the candidates of the models; = only ends one, elsewhere it parts a name and its value.
 LEAST = 12
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}=*" % LEAST
-#: Tokens labelled as ordinary: 8 characters or more, letters in parts joined by _ / or -, digits only at the end of a part; plain numbers.
-ORDINARY = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9_/-]{8})"
-            r"(?:[A-Za-z]+[0-9]{0,4}(?:[_/-][A-Za-z]*[0-9]{0,4})*|[0-9]+(?:[_/-][0-9]+)*)(?![A-Za-z0-9+/_=-])")
+#: Tokens labelled as ordinary have 8 characters or more: letters in parts joined by _ / or -, four digits at most and only at the end
+#: of a part, or plain numbers. The run is taken whole and its form is tested apart: a repeated group would make Java's matcher recurse.
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_/-]{8,}+(?![A-Za-z0-9+/_=-])"
+NAMED, NOT_NAMED = "^[A-Za-z]", "[0-9][A-Za-z]|[0-9]{5}"
+NUMBER, NOT_NUMBER = "^[0-9]", "[A-Za-z]|[_/-]{2}|[_/-]$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 UNIFORM = 0.3  # share of the uniform model in the random one
 BACK_OFF = 5.0  # weight of single characters in the identifier model
@@ -34,6 +36,8 @@ MARGIN = 0.7  # nats per character
 OWN = 2  # occurrences of an ordinary token with letters that do not count: neither it nor a copy of its document vouches for it
 FULL = 19  # character pairs; a shorter token needs the margin of so many
 LEAST_PAIRS = 1000  # a model of fewer character pairs is not used
+BLOCK = 256  # matches whose spans are gathered at a time
+CHARACTER = "(?s)."
 
 
 def matches_at(text: Column, pattern: str, value: int | None = None) -> Column:
@@ -43,17 +47,36 @@ def matches_at(text: Column, pattern: str, value: int | None = None) -> Column:
 
     def placed(f: Column) -> Column:
         gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(f)), lambda g: F.length(g))
-        steps = F.arrays_zip(f.alias("m"), gaps.alias("gap"), values.alias("value"))
-        none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-        return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), lambda s, x: F.struct(
-            (s["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(s["spans"], F.array(F.struct(
-                (s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + F.length(x["m"])).alias("end"),
-                x["value"].alias("value")))).alias("spans")), lambda s: s["spans"])
+        steps = F.transform(F.arrays_zip(f.alias("m"), gaps.alias("gap"), values.alias("value")), lambda x: F.struct(
+            x["gap"].alias("gap"), F.length(x["m"]).alias("length"), x["value"].alias("value")))
+        return let(steps, lambda s: F.when(F.size(s) <= BLOCK, _laid_out(s, F.lit(0))).otherwise(_in_blocks(s)))
 
     return let(found, lambda f: F.when(F.size(f) > 0, placed(f)))
 
 
+def _laid_out(steps: Column, start: Column) -> Column:
+    """Spans of matches, each with the gap before it and its length."""
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.aggregate(steps, F.struct(start.alias("at"), none.alias("spans")), lambda s, x: F.struct(
+        (s["at"] + x["gap"] + x["length"]).alias("at"),
+        F.concat(s["spans"], F.array(F.struct(
+            (s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["length"]).alias("end"),
+            x["value"].alias("value")))).alias("spans")), lambda s: s["spans"])
+
+
+def _in_blocks(steps: Column) -> Column:
+    """The same block by block: an array that grows by one is copied each time, so only short ones may grow."""
+    def started(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x["gap"] + x["length"]))
+        starts = F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda s, x: F.struct(
+            (s["at"] + x).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")), lambda s: s["all"])
+        return F.flatten(F.zip_with(blocks, starts, _laid_out))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")),
+                         lambda k: F.slice(steps, k * BLOCK + 1, F.lit(BLOCK)))
+    return let(blocks, started)
+
+
 def _named(spans: Column, kind: str, order: int) -> Column:
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,name:string,value:string>>")
     return F.coalesce(F.transform(spans, lambda x: F.struct(
@@ -61,10 +84,15 @@ def _named(spans: Column, kind: str, order: int) -> Column:
         x.value.alias("value"))), empty)
 
 
+def _is_ordinary(token: Column) -> Column:
+    return (token.rlike(NAMED) & ~token.rlike(NOT_NAMED)) | (token.rlike(NUMBER) & ~token.rlike(NOT_NUMBER))
+
+
 def _pairs(tokens: Column) -> Column:
     """The character pairs of tokens."""
-    return F.flatten(F.transform(tokens, lambda t: F.transform(
-        F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))))
+    characters = F.transform(tokens, lambda t: F.regexp_extract_all(t, F.lit(CHARACTER), F.lit(0)))
+    return F.flatten(F.transform(characters, lambda c: F.zip_with(
+        F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: F.concat(a, b))))
 
 
 def train(rows: DataFrame) -> Column | None:
@@ -117,7 +145,7 @@ def is_random(token: Column, table: Column, margin: float) -> Column:
 
     folded = F.when(token.rlike("[a-z]"), token).otherwise(F.lower(token))
     places = let(folded, lambda t: F.transform(
-        F.sequence(F.lit(1), F.length(t)), lambda i: F.instr(F.lit(ALPHABET), F.substring(t, i, F.lit(1)))))
+        F.regexp_extract_all(t, F.lit(CHARACTER), F.lit(0)), lambda c: F.instr(F.lit(ALPHABET), c)))
     codes = let(places, lambda c: F.zip_with(
         F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: (a - 1) * size + b - 1))
     return let(codes, judged)
@@ -158,7 +186,7 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", margin: fl
     tokens = _named(matches_at(t, TOKEN), "random", 3)
     free = F.when(F.size("base") == 0, tokens).otherwise(F.flatten(F.transform(tokens, lambda x: _uncovered(x, F.col("base")))))
     rows = rows.select("key", "base", free.alias("free"), F.transform("base", lambda b: b.value).alias("random"),
-                       F.when(F.size("base") == 0, F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("ordinary"))
+                       F.when(F.size("base") == 0, F.filter(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0)), _is_ordinary)).alias("ordinary"))
     samples = rows.select("random", "ordinary")
     found = stored(rows.select("key", "base", "free"), "secret-candidates")
     table = train(samples)

@@ -31,7 +31,6 @@ STEM = range(3, 9)     # code points of a stem; a word is one as well
 CANDIDATES = 50_000    # stems of toxic rows that are counted in clean ones, the most frequent first
 LEXICON = 256          # stems that are kept
 OWN_VOTER = 48         # of these, so many of the best have a voter of their own
-GAIN = 20.0            # least likelihood ratio statistic of a stem
 TIMES = (1, 2, 3)      # occurrences that a stem may ask for before it votes
 LINK = 0.002           # least conditional mutual information, in nats, of two voters that are linked
 ROUNDS = 8
@@ -121,9 +120,10 @@ def find_lexicon(rows: DataFrame) -> Lexicon:
     b = np.array([elsewhere.get(s, (0,) * len(TIMES)) for s in there], float).reshape(-1, len(TIMES))
     gain = _gain(a, n1, b, n0)
     best, names = gain.argmax(axis=1), list(there)
+    least_gain = 2 * np.log(max(len(names), 2))  # of so many stems that tell nothing, less than one reaches it by chance
     stems, least = [], []
     for i in sorted(range(len(names)), key=lambda i: (-gain[i].max(), -len(names[i]), names[i])):
-        if gain[i].max() < GAIN or len(stems) == LEXICON:
+        if gain[i].max() < least_gain or len(stems) == LEXICON:
             break
         bare = names[i].rstrip("=")
         if not any(bare.startswith(s.rstrip("=")) or s.startswith(bare) for s in stems):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -157,6 +158,30 @@ def test_secret_scan(spark, nothing):
     assert secrets.scan(nothing).isEmpty()
 
 
+def test_very_long_runs_neither_recurse_nor_stall(spark):
+    runs = ["-", "_", "/", "+", "=", "a", "A", "0", ".", "_b", "1-", "a1", "1a", "Z9_", "password", "token=", "AKIA", "f0", " ", "\n", "'"]
+    texts = ["see a" + (run * (10**6 // len(run))) + " end" for run in runs] + ["a" + "-" * 2000 + " end", "a" + "_b" * 20_000]
+    tokens = " ".join(f"name{i}_of_part" for i in range(100_000))
+    rng = random.Random(4)
+    mixed = [" ".join("".join(rng.choice("abcXYZ0189") for _ in range(16)) for _ in range(3000)) + " token=abcdef123"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, tokens, *mixed])], "doc_id long, text string").repartition(4)
+    began = time.time()
+    got = {r.key: r.spans for r in secrets.scan(df).collect()}
+    assert time.time() - began < 60
+    for i, text in enumerate([*texts, tokens, *mixed]):
+        assert [(x.start, x.kind, x.end, x.name) for x in got[i] if x.kind < 3] == base_spans(text)
+
+
+def test_spans_of_many_matches_equal_those_of_few(spark, monkeypatch):
+    text = " ".join(f"x{'y' * (i % 5)} token_{i:08d}" for i in range(700))
+    df = spark.createDataFrame([(text,)], "t string")
+    got = [tuple(x) for x in df.select(secrets.matches_at(F.col("t"), "token_[0-9]{8}").alias("m")).first().m]
+    assert got == [(m.start(), m.end(), m[0]) for m in re.finditer("token_[0-9]{8}", text)]
+    monkeypatch.setattr(secrets, "BLOCK", 7)
+    again = [tuple(x) for x in df.select(secrets.matches_at(F.col("t"), "token_[0-9]{8}").alias("m")).first().m]
+    assert again == got
+
+
 def test_short_and_digit_free_secrets(spark):
     rng = random.Random(10)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
