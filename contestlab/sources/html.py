@@ -9,9 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from contestlab.schemas import PAGE_ROWS
 
 
-def _reader(with_url: bool = False, batch_cells: int = 20_000):
+PAGE_CELLS = 250_000  # cells that the spans of a page may fill
+
+
+def _reader(with_url: bool = False, batch_cells: int = 20_000, page_cells: int = PAGE_CELLS):
     """Batch function for `mapInArrow`. Everything it needs is defined inside, so that workers
-    need no copy of this package."""
+    need no copy of this package.
+
+    A page is parsed into its own cells, which are no larger than the page. Rows with spans repeated are made one
+    at a time: a small table is laid out once, a large one twice, first for its size only."""
     import re
     from html import unescape
 
@@ -36,12 +42,12 @@ def _reader(with_url: bool = False, batch_cells: int = 20_000):
         return wide, deep or most_deep
 
     def laid_out(rows):
-        """Rows of cell texts, spanning cells repeated to the right and below."""
+        """Rows of cell texts, spanning cells repeated to the right and below, and whether they hold data cells."""
         above = {}  # column -> text and number of rows it still fills
         for row in rows:
-            cells, own = [], iter(row["cells"])
+            cells, own, last = [], iter(row["cells"]), max(above, default=-1)
             waiting = next(own, None)
-            while waiting is not None or any(c >= len(cells) for c in above):
+            while waiting is not None or len(cells) <= last:
                 column = len(cells)
                 if column in above:
                     text, left = above.pop(column)
@@ -61,7 +67,32 @@ def _reader(with_url: bool = False, batch_cells: int = 20_000):
                             break
                     waiting = next(own, None)
             if cells:
-                yield {"cells": cells, "data": row["data"]}
+                yield cells, row["data"]
+
+    def sized(rows, budget):
+        """Width and number of the rows after a first row of header cells, which names the columns; the cells of all; and the
+        rows themselves if they are few. Stops once they are more than the budget."""
+        width, number, cells, few, first = 0, 0, 0, [], True
+        for row, data in laid_out(rows):
+            cells += len(row)
+            if cells > budget:
+                return 0, 0, cells, None
+            if data or not first:
+                width, number = max(width, len(row)), number + 1
+                few = _more(few, row, cells)
+            first = False
+        return width, number, cells, few
+
+    def _more(few, row, cells):
+        if few is None or cells > batch_cells:
+            return None
+        few.append(row)
+        return few
+
+    def without_header(rows):
+        for i, (row, data) in enumerate(laid_out(rows)):
+            if data or i:
+                yield row
 
     def tables_of(page):
         """Tables in order of their opening tags, each a list of rows of cell texts. A nested table
@@ -98,12 +129,16 @@ def _reader(with_url: bool = False, batch_cells: int = 20_000):
             unclosed[-1]["cell"].append(page[at:])
         for table in unclosed:
             end_cell(table)
+        left = page_cells
         for number, table in enumerate(tables, 1):
-            rows = list(laid_out(table["rows"]))
-            if rows and not rows[0]["data"]:
-                rows = rows[1:]  # a first row of header cells names the columns
-            width = max((len(r["cells"]) for r in rows), default=0)
-            yield number, [r["cells"] + [None] * (width - len(r["cells"])) for r in rows]
+            own = sum(len(row["cells"]) for row in table["rows"])
+            width, n_rows, cells, rows = sized(table["rows"], max(left, own))
+            if cells > max(left, own):  # more than its page may fill: every cell once
+                for row in table["rows"]:
+                    row["cells"] = [(text, 1, 1) for text, _, _ in row["cells"]]
+                width, n_rows, cells, rows = sized(table["rows"], own)
+            left -= cells - own
+            yield number, width, n_rows, without_header(table["rows"]) if rows is None else rows
 
     def read(batches):
         import pyarrow as pa
@@ -117,10 +152,10 @@ def _reader(with_url: bool = False, batch_cells: int = 20_000):
         for batch in batches:
             held, size = [], 0  # a few thousand cells at a time, or one row
             for page, html, *url in zip(*(c.to_pylist() for c in batch.columns)):
-                for table_no, rows in tables_of(html):
+                for table_no, width, n_rows, rows in tables_of(html):
                     for number, cells in enumerate(rows, 1):
-                        held.append((page, table_no, number, cells, len(rows), *url))
-                        size += len(cells)
+                        held.append((page, table_no, number, cells + [None] * (width - len(cells)), n_rows, *url))
+                        size += width
                         if size >= batch_cells:
                             yield flush(held)
                             held, size = [], 0
@@ -130,14 +165,15 @@ def _reader(with_url: bool = False, batch_cells: int = 20_000):
     return read
 
 
-def html_tables(pages: DataFrame, with_url: bool = False) -> DataFrame:
+def html_tables(pages: DataFrame, with_url: bool = False, page_cells: int = PAGE_CELLS) -> DataFrame:
     """(page_id, url, html) to (page_id, table_no, row_no, cells, n_rows) and, if asked for, url.
 
     Spanning cells are repeated to the right and below, up to the limits of the HTML standard, and short
-    rows padded to the width of their table; n_rows is the table's size."""
+    rows padded to the width of their table; n_rows is the table's size. The spans of a page may add `page_cells` cells;
+    in a table that would go beyond, every cell stands once. Rows leave the task as they are laid out."""
     schema = T.StructType([*PAGE_ROWS.fields, *([T.StructField("url", T.StringType())] if with_url else [])])
     columns = [F.col("page_id").cast("long"), "html", *(["url"] if with_url else [])]
-    return pages.select(*columns).mapInArrow(_reader(with_url), schema)
+    return pages.select(*columns).mapInArrow(_reader(with_url, page_cells=page_cells), schema)
 
 
 def tables_by_shape(rows: DataFrame, min_rows: int = 1, max_rows: int | None = None,

@@ -371,3 +371,43 @@ def test_fixture_plan_reads_the_pages_once_and_shuffles_them_once(spark, tmp_pat
     plan = ingest.fixtures_from_pages(spark.read.parquet(path), work)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(page_id" in x]) == 1
+
+
+def _read(page, **options):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([page])], ["page_id", "html"])
+    yield from html._reader(**options)([batch])
+
+
+WIDE = "<table>" + "<tr>" + "<td colspan=1000 rowspan=65534>x</td>" * 1000 + "</tr>" + "<tr></tr>" * 6000 + "</table>"
+DEEP = "<table><tr><td rowspan=65534>x<td colspan=1000 rowspan=65534>y</tr>" + "<tr></tr>" * 6000 + "<tr><td>end</table>"
+
+
+@pytest.mark.parametrize("page", [WIDE, DEEP, WIDE + DEEP])
+def test_wide_spans_need_little_memory(page):
+    import tracemalloc
+
+    assert 50_000 < len(page) < 300_000
+    tracemalloc.start()
+    n = sum(b.num_rows for b in _read(page))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n > 0 and most < 200e6
+
+
+def test_spans_beyond_the_budget_are_not_repeated(spark):
+    page = table(["a", "b"]) + "<table><tr><td colspan=40>c<td>d</tr><tr><td>e</tr></table>" + table(["f"])
+    df = spark.createDataFrame([(1, "u", page)], schemas.PAGES)
+    full = [(r.table_no, r.cells, r.n_rows) for r in html.html_tables(df).orderBy("table_no", "row_no").collect()]
+    assert full == [(1, ["a", "b"], 1), (2, ["c"] * 40 + ["d"], 2), (2, ["e"] + [None] * 40, 2), (3, ["f"], 1)]
+    bare = [(r.table_no, r.cells, r.n_rows) for r in html.html_tables(df, page_cells=20).orderBy("table_no", "row_no").collect()]
+    assert bare == [(1, ["a", "b"], 1), (2, ["c", "d"], 2), (2, ["e", None], 2), (3, ["f"], 1)]
+
+
+def test_large_tables_are_streamed_like_small_ones():
+    page = "<table><tr><th>h<th>i</tr>" + "".join(f"<tr><td rowspan={1 + i % 3}>{i}<td>b{i}</tr>" for i in range(3000)) + "</table>"
+    small = [r for b in _read(page) for r in b.to_pylist()]
+    streamed = [r for b in _read(page, batch_cells=50) for r in b.to_pylist()]
+    assert small == streamed and {r["n_rows"] for r in small} == {len(small)} and len(small) == 3000
+    assert len({len(r["cells"]) for r in small}) == 1
