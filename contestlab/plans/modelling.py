@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,13 +14,18 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from contestlab.operators.frames import contingency
+from contestlab.plans.bayes import GaussianBayes
+from contestlab.session import pinned
+from contestlab.sources.tables import folder, list_tables
 
 MAX_BROADCAST_LABELS = 10_000
 EDGE_ROWS = 100_000  # rows that are sorted to find the last training row, at most
+CARD = "features array<struct<name:string,type:string>>, labels array<string>"
+PART_ROWS = 100_000  # rows of a partition that models are fitted on, about
 
 
 # Splitting
@@ -32,28 +38,29 @@ def split_exact(df: DataFrame, frac: float, key: str, seed: int) -> DataFrame:
     """Mark exactly round(n * frac) rows as training rows (`is_train`), chosen by the hash of a
     unique key.
 
-    The hash and key of the last training row are found first: rows are counted per hash prefix, and
-    the prefix that the cut falls into is made longer until few enough rows share it. The mark is then
-    one comparison, in one narrow pass."""
+    The input is read twice: rows are counted per hash prefix, 4,096 numbers that also tell n, and the rows of the
+    prefix that the cut falls into are written apart. There the hash and key of the last training row are found, by
+    longer prefixes while they are many. The mark is then one comparison, in one narrow pass."""
     keys = df.select(key_hash(key, seed).alias("_h"), F.col(key).alias("_k"))
-    total = keys.count()
-    wanted = round(total * frac)
-    if not 0 < wanted < total:
-        return df.withColumn("is_train", F.lit(wanted > 0))
-    prefix, left = "", wanted
+    prefix, left, edge = "", None, None
     while True:
-        inside = keys.filter(F.col("_h").startswith(prefix)) if prefix else keys
         at = F.substring("_h", 1, len(prefix) + 3)
-        cells = sorted(inside.groupBy(at.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())  # 4,096 at most
+        cells = sorted((keys if edge is None else edge).groupBy(at.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if left is None:
+            total = sum(n for _, n in cells)
+            left = round(total * frac)
+            if not 0 < left < total:
+                return df.withColumn("is_train", F.lit(left > 0))
         for p, n in cells:
             if left <= n:
                 prefix = p
                 break
             left -= n
+        edge = keys.filter(F.col("_h").startswith(prefix)) if edge is None else edge.filter(F.col("_h").startswith(prefix))
+        edge = pinned(edge)
         if n <= EDGE_ROWS or len(prefix) >= 30:
             break
-    edge = keys.filter(F.col("_h").startswith(prefix)).orderBy("_h", "_k").limit(left)
-    last = edge.orderBy(F.desc("_h"), F.desc("_k")).first()
+    last = edge.orderBy("_h", "_k").limit(left).orderBy(F.desc("_h"), F.desc("_k")).first()
     cut = F.struct(F.lit(last["_h"]).alias("_h"), F.lit(last["_k"]).cast(df.schema[key].dataType).alias("_k"))
     return df.withColumn("is_train", F.struct(key_hash(key, seed).alias("_h"), F.col(key).alias("_k")) <= cut)
 
@@ -172,6 +179,8 @@ def input_size(df: DataFrame, features: Sequence[str]) -> int:
 def pipeline(classifier: Estimator, features: Sequence[str], df: DataFrame | None = None) -> Pipeline:
     """Scaled numbers and a classifier. Text columns, which `df` tells apart, become one number per value;
     a missing or unseen value has a number of its own."""
+    if isinstance(classifier, GaussianBayes):  # reads the columns themselves
+        return Pipeline(stages=[classifier])
     texts = _texts(df, features)
     coded = [StringIndexer(inputCols=texts, outputCols=[f"_{c}_index" for c in texts], handleInvalid="keep"),
              OneHotEncoder(inputCols=[f"_{c}_index" for c in texts], outputCols=[f"_{c}_values" for c in texts], dropLast=False)]
@@ -186,54 +195,99 @@ def pipeline(classifier: Estimator, features: Sequence[str], df: DataFrame | Non
 
 @dataclass
 class Search:
-    leaderboard: DataFrame  # rank, model, metric, status, seconds
+    leaderboard: DataFrame  # rank, model, metric, status, round (the last one), rows (of its sample)
+    rounds: DataFrame       # round, rows, model, metric, kept
     best: PipelineModel
     labels: list[str]
-    complete: bool  # whether every candidate was fitted within the budget
+    complete: bool  # whether no round was left out
+
+
+@dataclass
+class Round:
+    """Candidates of a round and the share of all rows they are judged on."""
+
+    number: int
+    candidates: int
+    share: float
+
+
+def halving(candidates: int, rows: int, budget_rows: int | None = None, keep: int = 2) -> list[Round]:
+    """Rounds that end with at most `keep` candidates, each with `keep` times the rows of the one before.
+
+    The last round sees all rows, or as many as let all rounds together fit no more than `budget_rows` rows (a row counts
+    once for each candidate that it is fitted for); the first one no fewer than 1,000, or all."""
+    field = [candidates]
+    while field[-1] > keep:
+        field.append(-(-field[-1] // keep))
+    weights = [n * float(keep) ** (i - len(field) + 1) for i, n in enumerate(field)]
+    last = min(1.0, (budget_rows or float("inf")) / max(rows * sum(weights), 1))
+    least = min(1.0, 1000 / max(rows, 1))
+    return [Round(i + 1, n, min(1.0, max(last * float(keep) ** (i - len(field) + 1), least))) for i, n in enumerate(field)]
+
+
+def sample_number(key: str, seed: int) -> Column:
+    """A number from 0 up to 2^32 that only the key and the seed decide: rows below a bound are part of those below a higher one."""
+    return F.conv(F.substring(key_hash(key, seed), 9, 8), 16, 10).cast("long")
 
 
 def search_models(train: DataFrame, label: str, features: Sequence[str], key: str, *,
-                  candidates: Mapping[str, Estimator] | None = None, metric: str = "accuracy",
-                  budget_seconds: float = 300, folds: int = 3, seed: int = 456, balance: bool = False) -> Search:
-    """Cross-validate the candidates in turn, rank them, and return the best one fitted on all rows.
-
-    No further candidate is started once the budget is used up; those not started are listed last, in
-    the order of the candidates. Folds follow the hash of `key`. With `balance`, models that take no
-    weights see the rows of rarer labels repeated instead."""
-    indexed, labels = label_index(train, label)
+                  candidates: Mapping[str, Estimator] | None = None, metric: str = "accuracy", budget_rows: int | None = None,
+                  folds: int = 3, seed: int = 456, balance: bool = False, budget_seconds: float | None = None, keep: int = 2) -> Search:
+    """Rank the candidates by successive halving and return the best one fitted on all rows.
+
+    Every candidate is cross-validated on a sample; the better half is judged again on a sample twice as large, which holds the
+    first one, and so on (see `halving`). Samples and folds follow the hash of `key`, and rows are dealt into
+    partitions by it, so that the ranking is the same on any machine; of equal ones the first name wins. The budget is a number of rows.
+    Whoever wants a clock as well gives `budget_seconds`: no round after the first begins later than that. With
+    `balance`, models that take no weights see the rows of rarer labels repeated instead. Rows without a label are left out.
+    """
+    indexed, labels = label_index(train.filter(F.col(label).isNotNull()), label)
     if balance:
         indexed = class_weights(indexed, "label")
-    fold = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("long") % folds
-    indexed = indexed.withColumn("_fold", fold.cast("int"))
     numbers = input_size(train, features)
-    candidates = candidates or default_candidates(numbers, len(labels), "weight" if balance else None, seed)
+    candidates = dict(candidates or default_candidates(numbers, len(labels), "weight" if balance else None, seed))
+    fold = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("long") % folds
+    n = indexed.count()
+    indexed = indexed.withColumns({"_fold": fold.cast("int"), "_number": sample_number(key, seed)})
+    indexed = pinned(indexed.repartition(-(-n // PART_ROWS) or 1, key).sortWithinPartitions(key))
     evaluator = METRICS[metric]()
     sign = -1 if evaluator.isLargerBetter() else 1
-    indexed = indexed.cache()
-    began, board, waiting = time.monotonic(), [], []
-    try:
-        for name, estimator in candidates.items():
-            started = time.monotonic()
-            if board and started - began > budget_seconds:
-                waiting.append(name)
-                continue
-            plan = pipeline(estimator, features, train)
-            rows = repeated(indexed, "weight") if balance and not estimator.hasParam("weightCol") else indexed
+    began, board, found = time.monotonic(), [], {}
+    plan, alive = halving(len(candidates), n, budget_rows, keep), list(candidates)
+    for turn in plan:
+        if board and budget_seconds is not None and time.monotonic() - began > budget_seconds:
+            break
+        sample = indexed.filter(F.col("_number") < F.lit(int(turn.share * 2**32))).drop("_number")
+        judged = []
+        for name in alive:
+            estimator = candidates[name]
+            rows = repeated(sample, "weight") if balance and not estimator.hasParam("weightCol") else sample
             tuned = CrossValidator(
-                estimator=plan, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds,
+                estimator=pipeline(estimator, features, train), estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds,
                 foldCol="_fold", parallelism=2).fit(rows)
-            board.append((sign * tuned.avgMetrics[0], name, tuned.avgMetrics[0], tuned.bestModel, time.monotonic() - started))
-    finally:
-        indexed.unpersist()
-    board.sort(key=lambda b: (b[0], b[1]))
-    rows = [(i, name, float(value), "fitted", took) for i, (_, name, value, _, took) in enumerate(board, 1)]
-    rows += [(None, name, None, "not started", 0.0) for name in waiting]
-    leaderboard = train.sparkSession.createDataFrame(rows, f"rank int, model string, {metric} double, status string, seconds double")
-    return Search(leaderboard, board[0][3], labels, not waiting)
+            judged.append((sign * tuned.avgMetrics[0], name, tuned.avgMetrics[0]))
+        judged.sort()
+        size = sample.count()
+        last = turn is plan[-1]
+        alive = [name for _, name, _ in judged[:1 if last else -(-len(judged) // keep)]]
+        for _, name, value in judged:
+            board.append((turn.number, size, name, float(value), name in alive))
+            found[name] = (turn.number, size, float(value))
+    order = sorted(found, key=lambda name: (-found[name][0], sign * found[name][2], name))
+    winner = candidates[order[0]]
+    rows = indexed.drop("_fold", "_number")
+    best = pipeline(winner, features, train).fit(repeated(rows, "weight") if balance and not winner.hasParam("weightCol") else rows)
+    spark = train.sparkSession
+    leaderboard = spark.createDataFrame(
+        [(i, name, found[name][2], "fitted", found[name][0], found[name][1]) for i, name in enumerate(order, 1)],
+        f"rank int, model string, {metric} double, status string, round int, rows long")
+    rounds = spark.createDataFrame(board, f"round int, rows long, model string, {metric} double, kept boolean")
+    return Search(leaderboard, rounds, best, labels, board[-1][0] == len(plan))
 
 
 def repeated(df: DataFrame, weight: str) -> DataFrame:
-    """Every row about as often as its weight says against the smallest one, the fraction by a hash of the row."""
+    """Every row about as often as its weight says against the smallest one, the fraction by a hash of the row. Rows without a
+    weight are left out."""
     least = df.agg(F.min(weight)).first()[0] or 1.0
     times = F.col(weight) / F.lit(least)
     draw = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -250,14 +304,71 @@ def score(model: Model, df: DataFrame, labels: Sequence[str], *, probabilities:
     if probabilities:
         if "probability" not in scored.columns:
             raise ValueError("this model gives no class probabilities")
-        shares = vector_to_array("probability")
+        shares = F.col("probability")
+        if not isinstance(scored.schema["probability"].dataType, ArrayType):
+            shares = vector_to_array(shares)
         out |= {v.lower(): F.get(shares, F.lit(i)) for i, v in enumerate(labels)}
     return scored.withColumns(out).select(*df.columns, *out)
 
 
+# Storing
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+@dataclass
+class Stored:
+    """A model of a store with what it needs to be used: the columns it reads, their types and the order of its labels."""
+
+    version: int
+    model: PipelineModel
+    features: dict[str, str]
+    labels: list[str]
+
+    def score(self, df: DataFrame, **options) -> DataFrame:
+        """`score` by this model, after its columns have been found in the table with the types it was fitted on."""
+        there = dict(df.dtypes)
+        wrong = [f"{c} is {there.get(c, 'missing')}, not {t}" for c, t in self.features.items() if there.get(c) != t]
+        if wrong:
+            raise ValueError("the table does not fit the model: " + "; ".join(wrong))
+        return score(self.model, df, self.labels, **options)
+
+
+def _versions(spark: SparkSession, store: str) -> list[int]:
+    return sorted(int(n[8:]) for n in list_tables(spark, store) if n.startswith("version=") and n[8:].isdigit())
+
+
+def store_model(model: PipelineModel, store: str, train: DataFrame, features: Sequence[str], labels: Sequence[str]) -> int:
+    """Add a model to a store, a folder with one folder per version; returns the version.
+
+    The model and its card (columns, types, labels) are written beside the store and moved in as a whole, so that a reader
+    never sees a part; a version that another writer took meanwhile is passed over. Versions are never overwritten."""
+    spark = train.sparkSession
+    fs, root = folder(spark, store)
+    draft = f"{store.rstrip('/')}/_draft-{uuid.uuid4().hex}"
+    model.write().save(f"{draft}/model")
+    kinds = dict(train.dtypes)
+    card = [([(c, kinds[c]) for c in features], list(labels))]
+    spark.createDataFrame(card, CARD).coalesce(1).write.json(f"{draft}/card")
+    version = max(_versions(spark, store), default=0) + 1
+    while True:
+        target = folder(spark, f"{store.rstrip('/')}/version={version}")[1]
+        if not fs.exists(target) and fs.rename(folder(spark, draft)[1], target):
+            return version
+        version += 1
+
+
+def open_model(spark: SparkSession, store: str, version: int | None = None) -> Stored:
+    """The latest version of a store, or the one asked for."""
+    there = _versions(spark, store)
+    if not there or (version is not None and version not in there):
+        raise ValueError(f"{store} has no version {version or ''}".rstrip())
+    version = version or there[-1]
+    path = f"{store.rstrip('/')}/version={version}"
+    card = spark.read.schema(CARD).json(f"{path}/card").first()
+    return Stored(version, PipelineModel.load(f"{path}/model"), {f.name: f.type for f in card.features}, list(card.labels))

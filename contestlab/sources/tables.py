@@ -12,7 +12,8 @@ from contestlab.operators.frames import same_keys
 from contestlab.session import pinned
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
+    """File system and path of a folder, as the JVM knows them."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
@@ -26,7 +27,7 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     """Whether a folder (anything with a slash) or a catalog table of that name exists."""
     if _is_name(target):
         return spark.catalog.tableExists(target)
-    fs, path = _folder(spark, target)
+    fs, path = folder(spark, target)
     return fs.exists(path) and len(fs.listStatus(path)) > 0
 
 
@@ -34,7 +35,7 @@ def list_tables(spark: SparkSession, root: str | None = None) -> list[str]:
     """Names of the tables below a folder, or of the current catalog database."""
     if root is None:
         return sorted(t.name for t in spark.catalog.listTables())
-    fs, path = _folder(spark, root)
+    fs, path = folder(spark, root)
     return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
 
 
@@ -42,7 +43,7 @@ def drop_table(spark: SparkSession, target: str) -> None:
     if _is_name(target):
         spark.sql(f"DROP TABLE IF EXISTS {target}")
         return
-    fs, path = _folder(spark, target)
+    fs, path = folder(spark, target)
     fs.delete(path, True)
 
 
