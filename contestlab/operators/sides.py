@@ -283,7 +283,7 @@ def prior_season_points(scanned: DataFrame, mode: str = "intended", order: Seque
     return prior_period(totals, [*_league_of(totals), "team"], "season", "season_points", "prior_year")
 
 
-def fold_sides(df: DataFrame, cols: Mapping[str, str] | Sequence[str], home: str = "ht_", away: str = "at_") -> DataFrame:
+def fold_sides(df: DataFrame, cols: Mapping[str, str] | Sequence[str], home: str = "home_", away: str = "away_") -> DataFrame:
     """Both side rows of a match folded to one row, keyed by contest_id: one shuffle, no join."""
     names = cols if isinstance(cols, Mapping) else {c: c for c in cols}
     at_home = F.col("is_home") == 1

@@ -10,6 +10,7 @@ from contestlab.operators.scans import BLOCK_ROWS
 from contestlab.operators.sides import (
     DEFAULT_PRIOR_POINTS, FORM_GAMES, fitting, game_order, group_of, prior_season_points, race_flags, side_scan, sides, standing)
 
+SIDES = ("home", "away")
 FEATURES = ["points_before", "form", "in_title_race", "in_relegation_race", "standing", "prior_year", "was_promo"]
 
 
@@ -52,19 +53,14 @@ def match_features(ledger: DataFrame, mode: str = "intended", as_of: str | None
     # aggregate holds numbers only and stays a hash aggregate.
     at_home = F.col("is_home") == 1
     parts = [F.max(F.when(at_home, F.col("round_no" if "round_no" in rows.columns else "seq"))).alias("round_no")]
-    long_names = ("prior_year", "was_promo")
-    for prefix, short, cond in (("ht_", "h_", at_home), ("at_", "a_", ~at_home)):
-        for c in FEATURES:
-            parts.append(F.max(F.when(cond, F.col(c))).alias((short if c in long_names else prefix) + c))
+    for side, cond in zip(SIDES, (at_home, ~at_home)):
+        parts += [F.max(F.when(cond, F.col(c))).alias(f"{side}_{c}") for c in FEATURES]
     league = [c for c in ("league",) if c in rows.columns]
     return featured.groupBy("contest_id", "day", "season", "winner", "home", "away", *league).agg(*parts)
 
 
-TRAINING_COLUMNS = [
-    "winner", "round_no", "ht_points_before", "at_points_before", "h_prior_year", "a_prior_year",
-    "ht_form", "at_form", "ht_in_title_race", "at_in_title_race",
-    "ht_in_relegation_race", "at_in_relegation_race", "ht_standing", "at_standing",
-]
+# Whether a side was promoted only says why its points of the year before are the default.
+TRAINING_COLUMNS = ["winner", "round_no", *(f"{side}_{c}" for c in FEATURES if c != "was_promo" for side in SIDES)]
 
 
 def _played() -> Column:
@@ -83,7 +79,7 @@ def next_round(features: DataFrame, round_no: int, drop_seasons: Sequence[int] =
     """Unplayed matches of one round whose home side already has points."""
     kept = features.filter(~F.col("season").isin(*drop_seasons)) if drop_seasons else features
     return kept.filter(
-        ~_played() & (F.col("ht_points_before") != 0) & (F.col("round_no") == round_no)
+        ~_played() & (F.col("home_points_before") != 0) & (F.col("round_no") == round_no)
     ).select("contest_id", *[c for c in TRAINING_COLUMNS if c != "winner"])
 
 

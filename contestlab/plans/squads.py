@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from contestlab.functions import (
     count_where, mean_where, minutes_played, n_distinct, normalise_name, per_period, points, ratio_of_sums,
     replace_first, season_start)
+from contestlab.operators.joins import HOT_ROWS, salted_join
 
 SUMMARY_KEY = ["player", "season", "team"]
-LINEUP_FEATURES = ["mean_teams", "mean_minutes", "mean_league_minutes", "window_goals", "window_pl_goals", "mean_leagues", "league_share"]
 
 
 def lineup_of(lineups: DataFrame) -> DataFrame:
@@ -106,17 +107,16 @@ def player_windows(summary: DataFrame, years: int, start: int, end: int, *, per_
     over = years if per_season else 1
     ratio_over = F.lit(years if mode == "literal" and per_season else 1)
     return joined.groupBy("player", "window_end").agg(
-        F.count_distinct("team").alias("n_teams"),
-        per_period("mins", over).alias("window_minutes"), per_period("n_matches", over).alias("window_matches"),
-        per_period("goals", over).alias("window_goals"),
-        per_period("cl_mins", over).alias("window_cl_minutes"), per_period("cl_matches", over).alias("window_cl_matches"),
-        per_period("cl_goals", over).alias("window_cl_goals"),
-        per_period("pl_mins", over).alias("window_pl_minutes"), per_period("pl_matches", over).alias("window_pl_matches"),
-        per_period("pl_goals", over).alias("window_pl_goals"),
-        F.avg("diff_leagues").alias("mean_diff_leagues"),
-        (ratio_of_sums("pl_mins", "mins") / ratio_over).alias("mins_league_share"),
-        (ratio_of_sums("pl_goals", "goals") / ratio_over).alias("goals_league_share"),
-    )
+        F.count_distinct("team").alias("n_teams"), F.avg("diff_leagues").alias("mean_diff_leagues"),
+        *[per_period(c, over).alias(n) for n, c in _window_sums(summary).items()],
+        *[(ratio_of_sums(f"pl_{c}", c) / ratio_over).alias(f"{c}_league_share") for c in ("mins", "goals")])
+
+
+def _window_sums(summary: DataFrame) -> dict[str, str]:
+    """Names of the sums over a window, from the names of the summary's measures and of its leagues."""
+    prefixes = ["", *(c.removesuffix("mins") for c in summary.columns if c.endswith("_mins"))]
+    measures = {"minutes": "mins", "matches": "matches", "goals": "goals"}
+    return {f"window_{p}{n}": f"{p}{c}" if p or c != "matches" else "n_matches" for p in prefixes for n, c in measures.items()}
 
 
 def _spanned(name: str, cond: Column, prefix: str) -> list[Column]:
@@ -186,26 +186,25 @@ def player_record(lineup: DataFrame, ledger: DataFrame, mode: str = "intended")
 
 
 def lineup_features(lineup: DataFrame, windows: DataFrame, on: str = "season", *, starters_only: bool = True,
-                    lag_seasons: int = 0) -> DataFrame:
-    """Means of the players' window measures, and the median league share, per match and team.
+                    lag_seasons: int = 0, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """What the windows of its players tell of a line-up, per match and team (see `lineup_measures`).
 
     `on="season"`: the window ending `lag_seasons` before the season of the match.
     `on="name"`: every window of the player. `on="span"`: windows without a season, one per player.
+    A player with more than `hot_rows` rows is dealt to several tasks.
     """
     players = lineup.filter(F.col("is_starting") == 1) if starters_only else lineup
-    players = players.select("contest_id", "team", "player", "season")
-    cond = F.col("p.player").eqNullSafe(F.col("w.player"))
-    if on == "season":
-        cond = cond & (F.col("p.season") - lag_seasons == F.col("w.window_end"))
-    measures = ["n_teams", "window_minutes", "window_pl_minutes", "window_goals", "window_pl_goals", "mean_diff_leagues", "mins_league_share"]
-    joined = players.alias("p").join(windows.alias("w"), cond, "inner").select(
-        "p.contest_id", "p.team", *[f"w.{m}" for m in measures])
-    # mins_league_share is rounded to two digits, so the exact median keeps few distinct values.
-    return joined.groupBy("contest_id", "team").agg(
-        F.avg("n_teams").alias("mean_teams"), F.avg("window_minutes").alias("mean_minutes"),
-        F.avg("window_pl_minutes").alias("mean_league_minutes"), F.avg("window_goals").alias("window_goals"),
-        F.avg("window_pl_goals").alias("window_pl_goals"), F.avg("mean_diff_leagues").alias("mean_leagues"),
-        F.median("mins_league_share").alias("league_share"))
+    players = players.select("contest_id", "team", "player", (F.col("season") - lag_seasons).cast("int").alias("_season"))
+    keys = {"player": "player", **({"_season": "window_end"} if on == "season" else {})}
+    joined = salted_join(players, windows.drop(*({"window_end"} - set(keys.values()))), keys, hot_rows=hot_rows)
+    return joined.groupBy("contest_id", "team").agg(*[c.alias(n) for n, c in lineup_measures(windows).items()])
+
+
+def lineup_measures(windows: DataFrame) -> dict[str, Column]:
+    """What tells a line-up: the mean of every number of its players' windows, and of shares, which are rounded to
+    few values, the exact median."""
+    numbers = [f.name for f in windows.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ("player", "window_end")]
+    return {f"lineup_{c}": F.median(c) if c.endswith("_share") else F.avg(c) for c in numbers}
 
 
 def join_sides(games: DataFrame, feats: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -229,5 +228,5 @@ def join_sides(games: DataFrame, feats: DataFrame, cols: Sequence[str]) -> DataF
 def match_model_table(ledger: DataFrame, feats: DataFrame, keep: Sequence[str] = ("contest_id", "winner")) -> DataFrame:
     """Matches with the line-up features of both sides, prefixed home_ and away_."""
     games = ledger.select(*{c: None for c in ("contest_id", "home", "away", *keep)})
-    out = join_sides(games, feats, LINEUP_FEATURES)
-    return out.select(*keep, *[f"{s}_{c}" for s in ("home", "away") for c in LINEUP_FEATURES])
+    told = [c for c in feats.columns if c not in ("contest_id", "team")]
+    return join_sides(games, feats, told).select(*keep, *[f"{s}_{c}" for s in ("home", "away") for c in told])

@@ -148,7 +148,7 @@ def _prior(spark, sf_dir):
 
 
 @query("snapshot_join", f"""WITH {views.SCANNED} SELECT l.contest_id, l.winner,
-    h.points_before AS ht_points_before, h.form AS ht_form, a.points_before AS at_points_before, a.form AS at_form
+    h.points_before AS home_points_before, h.form AS home_form, a.points_before AS away_points_before, a.form AS away_form
     FROM ledger l LEFT JOIN scanned h ON h.contest_id = l.contest_id AND h.is_home = 1
     LEFT JOIN scanned a ON a.contest_id = l.contest_id AND a.is_home = 0""")
 def _snapshot(spark, sf_dir):
@@ -181,8 +181,7 @@ featured AS MATERIALIZED (
   LEFT JOIN prior y ON y.team = s.team AND y.season = s.season),
 features AS MATERIALIZED (
   SELECT contest_id, day, season, winner, {folded("seq", "round_no", "")}, {folded("team", "home", "")}, {folded("team", "away", "", 0)},
-    {", ".join(folded(c, c, "ht_") + ", " + folded(c, c, "at_", 0) for c in matches.FEATURES[:5])},
-    {", ".join(folded(c, c, "h_") + ", " + folded(c, c, "a_", 0) for c in matches.FEATURES[5:])}
+    {", ".join(folded(c, c, "home_") + ", " + folded(c, c, "away_", 0) for c in matches.FEATURES)}
   FROM featured GROUP BY contest_id, day, season, winner)"""
 
 
@@ -227,7 +226,7 @@ def _training(spark, sf_dir):
 
 
 @query("next_round", f"""WITH {features_sql('intended')} SELECT contest_id, {', '.join(matches.TRAINING_COLUMNS[1:])}
-    FROM features WHERE season <> 1995 AND winner IS NULL AND ht_points_before <> 0 AND round_no = 19""")
+    FROM features WHERE season <> 1995 AND winner IS NULL AND home_points_before <> 0 AND round_no = 19""")
 def _next_round(spark, sf_dir):
     return matches.next_round(matches.match_features(views.ledger(spark, sf_dir)), 19, drop_seasons=[1995])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from contestlab.functions import minutes_played, ratio_of_sums
@@ -168,21 +170,22 @@ def _record_literal(spark, sf_dir):
     return squads.player_record(views.lineup(spark, sf_dir), views.ledger(spark, sf_dir), "literal")
 
 
+def _told(windows_sql: str) -> dict[str, str]:
+    """Aggregates over a line-up by name, from the measures that the last table of the SQL names."""
+    names = re.findall(r"AS (\w+)\b(?!\))", windows_sql[windows_sql.rindex("SELECT player"):])
+    return {f"lineup_{c}": f"MEDIAN({c})" if c.endswith("_share") else f"AVG({c})" for c in names}
+
+
 def _features_sql(windows_cte: str, cond: str, starters: bool = True) -> str:
     lineup = views.LINEUP.strip()
+    told = ", ".join(f"ROUND({agg}, 6) AS {name}" for name, agg in _told(windows_cte).items())
     return f"""{windows_cte}, {lineup}, lineup_features AS (
-      SELECT contest_id, team, AVG(n_teams) AS mean_teams, AVG(window_minutes) AS mean_minutes, AVG(window_pl_minutes) AS mean_league_minutes,
-        AVG(window_goals) AS window_goals, AVG(window_pl_goals) AS window_pl_goals, AVG(mean_diff_leagues) AS mean_leagues,
-        MEDIAN(mins_league_share) AS league_share
+      SELECT contest_id, team, {told}
       FROM lineup p JOIN {cond} {'WHERE is_starting = 1' if starters else ''} GROUP BY contest_id, team)"""
 
 
-def _rounded(prefix: str = "") -> str:
-    return ", ".join(f"ROUND({prefix}{c}, 6) AS {prefix}{c}" for c in squads.LINEUP_FEATURES)
-
-
-def _round(df, cols):
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+def _round(df):
+    return df.withColumns({c: F.round(c, 6) for c in df.columns if "lineup_" in c})
 
 
 WINDOWS = views.windows_sql(YEARS, START, END, YEARS)
@@ -192,32 +195,32 @@ LAGGED = _features_sql(WINDOWS, "windows w ON w.player = p.player AND w.window_e
 BY_SPAN = _features_sql(FIXED, "fixed w ON w.player = p.player")
 
 
-@query("lineup_features", f"WITH {BY_SEASON} SELECT contest_id, team, {_rounded()} FROM lineup_features")
+@query("lineup_features", f"WITH {BY_SEASON} SELECT contest_id, team, * EXCLUDE (contest_id, team) FROM lineup_features")
 def lineup_features(spark, sf_dir):
     feats = squads.lineup_features(views.lineup(spark, sf_dir), windows(spark, sf_dir))
-    return _round(feats, squads.LINEUP_FEATURES)
+    return _round(feats)
 
 
-@query("lineup_features_lagged", f"WITH {LAGGED} SELECT contest_id, team, {_rounded()} FROM lineup_features")
+@query("lineup_features_lagged", f"WITH {LAGGED} SELECT contest_id, team, * EXCLUDE (contest_id, team) FROM lineup_features")
 def _lagged(spark, sf_dir):
     feats = squads.lineup_features(views.lineup(spark, sf_dir), windows(spark, sf_dir), lag_seasons=1)
-    return _round(feats, squads.LINEUP_FEATURES)
+    return _round(feats)
 
 
-@query("lineup_features_any_window", f"WITH {BY_NAME} SELECT contest_id, team, {_rounded()} FROM lineup_features")
+@query("lineup_features_any_window", f"WITH {BY_NAME} SELECT contest_id, team, * EXCLUDE (contest_id, team) FROM lineup_features")
 def _any_window(spark, sf_dir):
     feats = squads.lineup_features(
         views.lineup(spark, sf_dir), windows(spark, sf_dir), on="name", starters_only=False)
-    return _round(feats, squads.LINEUP_FEATURES)
+    return _round(feats)
 
 
-@query("lineup_features_span", f"WITH {BY_SPAN} SELECT contest_id, team, {_rounded()} FROM lineup_features")
+@query("lineup_features_span", f"WITH {BY_SPAN} SELECT contest_id, team, * EXCLUDE (contest_id, team) FROM lineup_features")
 def _span(spark, sf_dir):
     fixed = squads.fixed_windows(summary(spark, sf_dir), (1998, 1999), 1999)
-    return _round(squads.lineup_features(views.lineup(spark, sf_dir), fixed, on="span"), squads.LINEUP_FEATURES)
+    return _round(squads.lineup_features(views.lineup(spark, sf_dir), fixed, on="span"))
 
 
-SIDE_COLS = ", ".join(f"ROUND({s[0]}.{c}, 6) AS {s}_{c}" for s in ("home", "away") for c in squads.LINEUP_FEATURES)
+SIDE_COLS = ", ".join(f"{s[0]}.{c} AS {s}_{c}" for s in ("home", "away") for c in _told(WINDOWS))
 
 
 @query("match_model_table", f"""WITH {BY_SEASON} SELECT g.contest_id, g.winner, {SIDE_COLS} FROM ledger g
@@ -226,7 +229,7 @@ SIDE_COLS = ", ".join(f"ROUND({s[0]}.{c}, 6) AS {s}_{c}" for s in ("home", "away
 def match_model_table(spark, sf_dir):
     feats = squads.lineup_features(views.lineup(spark, sf_dir), windows(spark, sf_dir))
     out = squads.match_model_table(views.ledger(spark, sf_dir), feats)
-    return _round(out, [c for c in out.columns if c.startswith(("home_", "away_"))])
+    return _round(out)
 
 
 @query("join_home_away", f"""WITH {views.LINEUP}, n AS (SELECT contest_id, team, COUNT(*) AS players

@@ -68,6 +68,45 @@ def _delim(spark, sf_dir):
     return tables.read_csv(spark, path, people.schema, sep="~")
 
 
+# Texts that are hard to keep: markers of missing values, line breaks, separators, quotes, backslashes, blanks.
+HARD_TEXTS = """CASE c_custkey % 8 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN c_name || chr(10) || chr(13) || 'x'
+    WHEN 4 THEN '\\N' WHEN 5 THEN ' "' || c_name || '", ' WHEN 6 THEN c_name || '\\n\\' ELSE c_name END"""
+
+
+@query("csv_every_text", f"SELECT c_custkey, {HARD_TEXTS} AS note, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS balance FROM customer")
+def _csv_texts(spark, sf_dir):
+    path = scratch_path(spark, "texts")
+    kind, name = F.col("c_custkey") % 8, F.col("c_name")
+    note = (F.when(kind == 0, "NA").when(kind == 1, "").when(kind == 2, None).when(kind == 3, F.concat(name, F.lit("\n\rx")))
+            .when(kind == 4, "\\N").when(kind == 5, F.concat(F.lit(' "'), name, F.lit('", '))).when(kind == 6, F.concat(name, F.lit("\\n\\"))).otherwise(name))
+    people = table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal")).alias("balance"))
+    tables.write_csv(people, path)
+    return tables.read_csv(spark, path, people.schema)
+
+
+@query("tables_of_folder", """SELECT title, COUNT(*) AS n_rows FROM (VALUES ('first'), ('second')) AS t(title), orders
+    WHERE (title = 'first') = (o_orderkey % 2 = 1) GROUP BY title""")
+def _folder(spark, sf_dir):
+    """Tables below a folder by name and size, one of three dropped before."""
+    root = scratch_path(spark, "root")
+    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    for name, part in (("first", 1), ("second", 0), ("third", 1)):
+        tables.append_distinct(keys.filter(F.col("o_orderkey") % 2 == part), f"{root}/{name}")
+    tables.drop_table(spark, f"{root}/third")
+    sizes = [tables.read_table(spark, f"{root}/{n}").select(F.lit(n).alias("title")) for n in tables.list_tables(spark, root)]
+    return frames.union_all(*sizes).groupBy("title").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("append_distinct_folders", LEDGER + """SELECT DISTINCT CASE WHEN season > 1996 THEN season END AS season, winner, day FROM ledger""")
+def _append_folders(spark, sf_dir):
+    """Partitions by two columns with missing values, filled in batches that share some."""
+    target = scratch_path(spark, "folders")
+    games = views.ledger(spark, sf_dir).select(F.when(F.col("season") > 1996, F.col("season")).alias("season"), "winner", "day")
+    for batch in (games.filter("season IS NULL OR season < 1999"), games.filter("season IS NULL OR season > 1997"), games.filter("winner IS NULL")):
+        tables.append_distinct(batch, target, partition_by=["season", "winner"])
+    return tables.read_table(spark, target, games.schema)
+
+
 @query("season_worklist", LEDGER + """SELECT season AS season_start, season + 1 AS season_end, title,
       'https://example.org/all_matches/' || path || '-' || season || '-' || (season + 1) || '/' AS url, n_games
     FROM (SELECT season, COUNT(*) AS n_games FROM ledger GROUP BY season) AS s,
@@ -179,6 +218,16 @@ def _number(spark, sf_dir):
     return frames.record_number(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
 
 
+@query("record_number_texts", """SELECT o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_orderstatus
+    ORDER BY CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority || '/' || o_custkey END NULLS FIRST, o_orderkey) AS rec_no FROM orders""")
+def _number_texts(spark, sf_dir):
+    """Rows in the order of texts, some missing, of groups that are cut into blocks of 2,000 rows."""
+    text = F.concat_ws("/", "o_orderpriority", F.col("o_custkey").cast("string"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 7 > 0, text).alias("text"))
+    numbered = frames.record_number(rows, ["text", "o_orderkey"], group=["o_orderstatus"], block_rows=2_000)
+    return numbered.select("o_orderkey", "rec_no")
+
+
 @query("left_join_fixture", f"""WITH {views.LINEUP} SELECT l.contest_id, l.player, l.team, g.day, g.winner
     FROM lineup l LEFT JOIN (SELECT * FROM ledger WHERE season > 1996) g ON g.contest_id = l.contest_id""")
 def _left(spark, sf_dir):

@@ -165,19 +165,55 @@ def append_distinct(df: DataFrame, target: str, keys: Sequence[str] | None = Non
         writer.parquet(target)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", missing: str = "NA") -> None:
-    """Delimited text with a header, one part file per task. Missing values are written as
-    `missing`; name another marker where a text may read like it."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("nullValue", missing).option(
-        "emptyValue", '""').option("escape", '"').csv(path)
+# Delimited text. A backslash, a line break and a NUL inside a text are written as two characters, and a missing value as
+# \N, which no text can be then: files split at any line, and every text comes back.
+_MISSING = "\\N"
+_ESCAPES = {"\n": "\\n", "\r": "\\r", "\x00": "\\0"}
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", missing: str = "NA",
+def _texts_of(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def _escape(text: Column) -> Column:
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for char, written in _ESCAPES.items():
+        out = F.replace(out, F.lit(char), F.lit(written))
+    return out
+
+
+def _unescape(text: Column) -> Column:
+    """Between two backslashes written for one, the others begin an escape."""
+    def plain(part: Column) -> Column:
+        for char, written in _ESCAPES.items():
+            part = F.replace(part, F.lit(written), F.lit(char))
+        return part
+
+    parts = F.split(text, r"\\\\", -1)
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(F.transform(parts, plain), "\\")).otherwise(text)
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", missing: str | None = None) -> None:
+    """Delimited text with a header, one part file per task; all texts and times come back by `read_csv`.
+
+    For other programs name a marker of `missing` values, "NA" say: then texts are written as they are, quoted where
+    need be, and one that reads like the marker is missing when it comes back."""
+    if missing is None:
+        df = df.withColumns({c: _escape(F.col(c)) for c in _texts_of(df.schema)})
+    df.write.mode(mode).options(
+        header=True, sep=sep, nullValue=_MISSING if missing is None else missing, emptyValue='""', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_TIMES).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", missing: str | None = None,
              multi_line: bool = False) -> DataFrame:
-    """Delimited text as written by `write_csv`. With `multi_line` fields may hold line breaks, at
-    the price of one task per file."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).option("nullValue", missing).option(
-        "multiLine", multi_line).option("escape", '"').csv(path)
+    """Delimited text as written by `write_csv` with the same marker, or by other programs. With `multi_line`, which only
+    text with a marker needs, fields may hold line breaks, at the price of one task per file."""
+    df = spark.read.schema(schema).options(
+        header=True, sep=sep, nullValue=_MISSING if missing is None else missing, emptyValue="", escape='"', multiLine=multi_line,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_TIMES).csv(path)
+    return df.withColumns({c: _unescape(F.col(c)) for c in _texts_of(schema)}) if missing is None else df
 
 
 # Fixed value: piece of the addresses of season pages.

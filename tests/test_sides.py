@@ -103,9 +103,9 @@ def test_promoted_sides(ledger):
     assert feats.count() == 60
     second = feats.filter("season = 2019").collect()
     for r in second:
-        assert (r.h_was_promo, r.h_prior_year == 40) == ((1, True) if r.home in "gh" else (0, r.h_prior_year == 40))
-        assert r.a_was_promo == (1 if r.away in "gh" else 0)
-    assert {r.h_was_promo for r in feats.filter("season = 2018").collect()} == {1}
+        assert (r.home_was_promo, r.home_prior_year == 40) == ((1, True) if r.home in "gh" else (0, r.home_prior_year == 40))
+        assert r.away_was_promo == (1 if r.away in "gh" else 0)
+    assert {r.home_was_promo for r in feats.filter("season = 2018").collect()} == {1}
 
 
 @pytest.mark.parametrize("mode", ["intended", "literal"])
@@ -132,7 +132,7 @@ def test_training_and_next_round(ledger):
     assert train.count() == 24
     upcoming = matches.next_round(feats, 9, drop_seasons=[2018])
     assert "winner" not in upcoming.columns
-    assert upcoming.count() == feats.filter("season = 2019 and round_no = 9 and ht_points_before != 0").count() > 0
+    assert upcoming.count() == feats.filter("season = 2019 and round_no = 9 and home_points_before != 0").count() > 0
 
 
 def test_plan_has_no_cartesian_product_and_shares_the_side_shuffle(ledger):
@@ -150,10 +150,10 @@ def test_a_postponed_match_counts_when_it_is_played(spark):
         (3, date(2019, 4, 9), 2018, "c", "a", None, 3, "L"),
     ], "contest_id long, day date, season int, home string, away string, winner string, round_no int, league string")
     got = {r.contest_id: r for r in matches.match_features(games).collect()}
-    assert (got[2].ht_points_before, got[2].ht_form, got[2].round_no) == (None, 0, 2)
-    assert (got[1].ht_points_before, got[3].at_points_before, got[3].at_form) == (1, 4, 4)
+    assert (got[2].home_points_before, got[2].home_form, got[2].round_no) == (None, 0, 2)
+    assert (got[1].home_points_before, got[3].away_points_before, got[3].away_form) == (1, 4, 4)
     literal = {r.contest_id: r for r in matches.match_features(games, "literal").collect()}
-    assert literal[2].ht_points_before == 3  # there the round comes first
+    assert literal[2].home_points_before == 3  # there the round comes first
 
 
 def test_leagues_are_kept_apart(spark):
@@ -163,8 +163,8 @@ def test_leagues_are_kept_apart(spark):
         (5, date(2018, 8, 20), 2018, "x", "y", None, "two"), (6, date(2019, 8, 1), 2019, "a", "x", None, "two"),
     ], "contest_id long, day date, season int, home string, away string, winner string, league string")
     got = {r.contest_id: r for r in matches.match_features(games).collect()}
-    assert (got[4].ht_standing, got[4].at_standing) == (1, 2)  # not behind x, which has more points elsewhere
-    assert (got[6].h_was_promo, got[6].a_was_promo, got[6].a_prior_year) == (1, 0, 6)
+    assert (got[4].home_standing, got[4].away_standing) == (1, 2)  # not behind x, which has more points elsewhere
+    assert (got[6].home_was_promo, got[6].away_was_promo, got[6].away_prior_year) == (1, 0, 6)
 
 
 def test_match_features_run_few_jobs_while_the_plan_is_built(spark, ledger):

@@ -1,5 +1,5 @@
 import re
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -125,6 +125,35 @@ def test_delimited_roundtrip(spark, sep):
     assert rows(tables.read_csv(spark, path, df.schema, sep=sep, multi_line=True)) == rows(df)
 
 
+HARD = ["NA", "", None, "a\nb", "\r\n", "\n", "\\", "\\N", "\\n", "\\\\n", "\\\n", "\\\\\n", "\\0", "\x00", "a\x00\\", " x ", "\t", '"', '""', ',"', '"a,b"', "~", "#c",
+        "null", "\\N\\N", "é 日本 😀", "'", "x" * 20_000, "\u2028\x85", "\\\r", "NaN"]
+
+
+@pytest.mark.parametrize("sep", [",", "~", "\t"])
+def test_every_text_survives_the_defaults(spark, sep):
+    path = scratch_path(spark, "csv")
+    data = [(i, t, HARD[-1 - i], None if i % 3 else i / 7, datetime(2020, 1, 2, 3, 4, 5, 123456 + i), None if i % 2 else 10**15 + i) for i, t in enumerate(HARD)]
+    df = spark.createDataFrame(data, "i int, t string, u string, d double, at timestamp_ntz, n long").withColumn("z", F.col("at").cast("timestamp"))
+    tables.write_csv(df.repartition(2), path, sep=sep)
+    back = tables.read_csv(spark, path, df.schema, sep=sep)
+    assert rows(back) == rows(df)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:  # files are split between lines, as no field breaks one
+        parts = tables.read_csv(spark, path, df.schema, sep=sep)
+        assert parts.rdd.getNumPartitions() > 10 and rows(parts) == rows(df)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_marker_of_missing_values_is_for_other_programs(spark):
+    path = scratch_path(spark, "csv")
+    df = spark.createDataFrame([(1, "a\\n", 2.5), (2, None, None), (3, "", 0.0), (4, "NA", 1.0)], "i int, t string, d double")
+    tables.write_csv(df.coalesce(1), path, missing="NA")
+    text = next(Path(path).glob("part-*.csv")).read_text()
+    assert text == 'i,t,d\n1,a\\n,2.5\n2,NA,NA\n3,"",0.0\n4,NA,1.0\n'
+    assert rows(tables.read_csv(spark, path, df.schema, missing="NA")) == rows(df.withColumn("t", F.nullif("t", F.lit("NA"))))
+
+
 def test_worklist(spark):
     got = tables.season_worklist(spark, 2017, 2019, {"First": "one", "Second": "two"}, "https://example.org")
     assert rows(got.select("season_start", "season_end", "title")) == [
@@ -245,9 +274,9 @@ def test_pages_to_model_table(spark):
     ledger = matches.ledger_of(fixtures)
     feats = squads.lineup_features(squads.lineup_of(lineups), windows)
     got = squads.match_model_table(ledger, feats).collect()
-    assert [(r.contest_id, r.winner, r.home_mean_teams) for r in got] == [(report, "Home", 1.0)]
+    assert [(r.contest_id, r.winner, r.home_lineup_n_teams) for r in got] == [(report, "Home", 1.0)]
     rows_ = matches.match_features(ledger).orderBy("round_no").collect()
-    assert [(r.round_no, r.winner, r.ht_points_before, r.at_points_before) for r in rows_] == [
+    assert [(r.round_no, r.winner, r.home_points_before, r.away_points_before) for r in rows_] == [
         (1, "Home", None, None), (2, None, 0, 3)]
     literal = matches.match_features(ledger, "literal")
     assert rows(literal.select("round_no", "winner")) == [(1, "Home"), (2, "0")]
@@ -352,12 +381,12 @@ def test_split_marks_the_exact_number(spark):
     assert "Exchange" not in plan and plan.count("Range") == 1
 
 
-def test_a_search_lists_what_it_did_not_start(spark):
+def test_a_search_over_the_default_candidates(spark):
     df = spark.createDataFrame([(i, float(i % 5), "ab"[i % 2], "xy"[i % 3 > 0]) for i in range(60)], "k long, n double, y string, t string")
-    found = modelling.search_models(df, "y", ["n", "t"], "k", budget_seconds=0, folds=2, balance=True)
-    board = [(r["rank"], r.model, r.status) for r in found.leaderboard.collect()]
-    assert board[0] == (1, "logistic_regression", "fitted") and not found.complete
-    assert [b[2] for b in board[1:]] == ["not started"] * 3
+    found = modelling.search_models(df, "y", ["n", "t"], "k", folds=2, balance=True)
+    board = found.leaderboard.orderBy("rank").collect()
+    assert [r["rank"] for r in board] == [1, 2, 3, 4] and {r.status for r in board} == {"fitted"} and found.complete
+    assert {r.model for r in board} == {"logistic_regression", "random_forest", "boosted_trees", "perceptron"}
     unseen = spark.createDataFrame([(1, 0.0, "a", "new"), (2, 0.0, "a", None)], df.schema)
     assert {r.predicted for r in modelling.score(found.best, unseen, found.labels).collect()} <= {"a", "b"}
 

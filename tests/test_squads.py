@@ -86,7 +86,7 @@ def test_lineup_features_and_model_table(spark, lineup, games, player_season):
         (1, "t"), (1, "u"), (2, "t"), (3, "t")]
     table = squads.match_model_table(games, feats)
     assert [(r.contest_id, r.winner) for r in table.collect()] == [(1, "Home")]
-    assert len(table.columns) == 2 + 2 * len(squads.LINEUP_FEATURES)
+    assert len(table.columns) == 2 + 2 * 13
     any_window = squads.lineup_features(lineup, windows, on="name", starters_only=False)
     assert any_window.filter("contest_id = 4").count() == 1
     assert squads.lineup_features(lineup, windows, lag_seasons=1).count() == 0
