@@ -3,7 +3,11 @@
 A task cuts a block of texts into words and passes each distinct word on once; Spark's higher-order
 functions fold the ranked merges over the word's bytes, looking pairs up in a literal rank map; the
 next step in the same task puts the ids of each text together and decodes them again by concatenating
-the tokens' bytes. Nothing is shuffled.
+the tokens' bytes. No text is shuffled.
+
+Words that many blocks share are folded once, beforehand: those that a bounded sample of the texts holds most often become a
+small broadcast table, and a block folds only the words that it does not find there. What the sample holds decides
+how much work is saved, never a result.
 
 A state of the fold is a text with one character per token, of three bytes each, in the order of
 ranks. So the pair to merge next is the one with the smallest merged character, and all places of that
@@ -14,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -25,13 +29,16 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contestlab.llm.common import small_batches, whole
+from contestlab.llm.common import small_batches, stored, whole
 from contestlab.llm.textstats import let
 
 _BASE = 0x0800              # character of rank 0; up to U+D7FF every character takes three bytes in UTF-8
 _MARK = "\ue000"             # ends a finished state
 BLOCK = 8 << 20             # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
+SAMPLE = 128 << 20          # bytes of text, about, whose words may be folded beforehand
+COMMON = 1_000_000          # words that are, at most; with their ids they take some 50 MB
+_LONGEST = 24               # bytes of such a word
 
 
 @dataclass(frozen=True)
@@ -157,6 +164,50 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
 _CUT = pa.schema([("word", pa.string()), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
 
 
+def _symbols(vocabulary: Vocabulary):
+    """A word as the fold takes it: one symbol per byte, or the one symbol of a word that is a token and needs no merges."""
+    ranks, of_byte = vocabulary.ranks, {b: vocabulary.symbol(bytes([b])) for b in range(256)}
+
+    def symbols(word: str) -> str:
+        raw = word.encode()
+        rank = ranks.get(raw)
+        return chr(_BASE + rank) if rank is not None else raw.decode("latin-1").translate(of_byte)
+
+    return symbols
+
+
+def _counter(vocabulary: Vocabulary):
+    """Words of texts, those that need merges and are not long, and how often a task finds them."""
+    split, symbols = regex.compile(vocabulary.pattern).findall, _symbols(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found.update(split(text))
+        words = [(s, n) for w, n in found.items() if 1 < len(s := symbols(w)) <= _LONGEST]
+        for at in range(0, len(words), 20 * _ROWS):
+            part = words[at:at + 20 * _ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in part]), pa.array([n for _, n in part])], ["word", "n"])
+
+    return count
+
+
+def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample: int, most: int) -> DataFrame:
+    """word (its symbols) and folded, for at most `most` words that occur twice or more in about `sample` bytes of the texts."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    picked = rows.select("text") if size <= sample else rows.select("text").sample(sample / size, seed=17)
+    found = picked.mapInArrow(_counter(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = stored(found.where("n > 1"), "bpe-words")
+    least, kept = 2, 0
+    for r in sorted(found.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):  # one row per count
+        kept += r.words
+        if kept > most:
+            least = r.n + 1
+            break
+    return stored(found.where(F.col("n") >= least).select("word", encode_word(F.col("word"), table).alias("folded")), "bpe-folded")
+
+
 class _Places(dict):
     """Words numbered as they come."""
 
@@ -167,13 +218,7 @@ class _Places(dict):
 
 def _cutter(vocabulary: Vocabulary):
     """Rows of distinct words of a block, then rows of its texts as places among them."""
-    ranks, split = vocabulary.ranks, regex.compile(vocabulary.pattern).findall
-    of_byte = {b: vocabulary.symbol(bytes([b])) for b in range(256)}
-
-    def symbols(word: str) -> str:
-        raw = word.encode()
-        rank = ranks.get(raw)  # a word that is a token needs no merges
-        return chr(_BASE + rank) if rank is not None else raw.decode("latin-1").translate(of_byte)
+    split, symbols = regex.compile(vocabulary.pattern).findall, _symbols(vocabulary)
 
     def block(texts: list[tuple]) -> Iterator[pa.RecordBatch]:
         known = _Places()
@@ -251,21 +296,25 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[bool, int, int]]:
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", text: str = "text",
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, sample: int = SAMPLE, common: int = COMMON) -> DataFrame:
     """One row per input row: key (long), n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids joined by blanks.
 
     The hashes are of the decimal ids joined by one blank, and of the bytes that the ids decode to. A missing
     or empty text has no tokens. Special tokens are not known: their names are ordinary text. Equal texts
     have equal ids, whatever block they fall into; repeated rows and keys are kept. An empty table gives
     no rows; other columns are not read. A task holds one block: `BLOCK` characters, or one document.
+    Up to `common` words of a sample of about `sample` bytes are folded beforehand; any sample gives the same rows.
     """
     small_batches(docs.sparkSession)
     merges = vocabulary.merges()
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))
+    table = RankMap.of(vocabulary, merges)
+    known = F.broadcast(common_words(rows, vocabulary, table, sample, common))  # at most `common` words
     cut = rows.mapInArrow(_cutter(vocabulary), "word string, key long, unkeyed boolean, places array<int>")
-    word = F.col("word")
-    done = cut.withColumn("word", F.when(F.length(word) > 1, encode_word(word, RankMap.of(vocabulary, merges))).otherwise(word))
+    word, folded = F.col("word"), F.col("folded")
+    done = cut.join(known, "word", "left").select(  # looked up row by row, so the order stays
+        F.when(folded.isNotNull(), folded).when(F.length(word) > 1, encode_word(word, table)).otherwise(word).alias("word"), "key", "unkeyed", "places")
     out = done.mapInArrow(_joiner(vocabulary, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
                           + (", ids string" if with_ids else ""))
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), *out.columns[2:])

@@ -129,6 +129,9 @@ def test_bpe_equals_the_library(spark, docs, nothing):
         texts[" ".join(map(str, ids)), len(ids), sha(" ".join(map(str, ids))), sha(t)] += 1
     got = bpe.encode_documents(df, v, with_ids=True).collect()
     assert Counter((r.ids, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == texts
+    for options in ({"sample": 0, "common": 0}, {"sample": 20_000, "common": 40}):  # what is folded beforehand changes nothing
+        again = bpe.encode_documents(df, v, with_ids=True, **options).collect()
+        assert Counter((r.ids, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in again) == texts
     assert bpe.encode_documents(nothing, v).isEmpty()
 
 
