@@ -10,6 +10,9 @@ HOT_ROWS = 1_000_000  # rows of a key that one task takes
 MOST_KEYS = 1_000     # hot keys that are told apart
 TRACKED = 100_000     # keys that the sketch of counts follows: one with four rows in TRACKED is found for certain
 MOST_SALTS = 1_000
+BITS = 1 << 27        # of a bitmap of hashes: 16 MB
+BITMAP_ROWS = BITS // 8  # hashes that it tells apart from most others
+_PAGE_BITS = 8 * 4096    # bits that Spark's bitmap functions keep in one row
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
@@ -51,3 +54,20 @@ def salted_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], *, hot
         same = same & (F.col("l._salt") == F.col("r._salt"))
     mine = [c for c in left.columns if c not in ("_key", "_parts", "_salt")]
     return left.alias("l").join(right.alias("r"), same, how).select(*[F.col(f"l.{c}") for c in mine], *[F.col(f"r.{c}") for c in own])
+
+
+def bitmap(df: DataFrame, hashed: Column, bits: int = BITS) -> DataFrame:
+    """A bit for every 64-bit hash, in at most bits / 32,768 rows (page, marks)."""
+    at = F.pmod(hashed, F.lit(bits))
+    marks = F.bitmap_construct_agg(F.pmod(at, F.lit(_PAGE_BITS)))
+    return df.groupBy(F.floor(at / _PAGE_BITS).alias("page")).agg(marks.alias("marks"))
+
+
+def marked(df: DataFrame, pages: DataFrame, hashed: Column, bits: int = BITS) -> DataFrame:
+    """The rows whose hash has its bit in the bitmap, which is broadcast: all with a hash that was marked, and few others."""
+    at = F.pmod(F.col("_at"), F.lit(bits))
+    bit = F.pmod(at, F.lit(_PAGE_BITS))
+    beside = df.withColumn("_at", hashed).join(
+        F.broadcast(pages.select(F.col("page").alias("_page"), F.col("marks").alias("_marks"))), F.floor(at / _PAGE_BITS) == F.col("_page"))
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return beside.filter(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*df.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from contestlab.operators.frames import same_keys
+from contestlab.operators.joins import BITMAP_ROWS, BITS, bitmap, marked
 from contestlab.session import pinned
 
 
@@ -61,9 +62,6 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
 
 PRUNED = 5_000           # partitions whose values are named in the read; beyond them their range is
 HASHES = 1_000_000       # rows of a batch whose hashes are broadcast, 8 bytes each
-BLOOM_BITS = 1 << 27     # 16 MB; a larger batch marks its hashes in so many bits
-BLOOM_ROWS = BLOOM_BITS // 8
-_PAGE_BITS = 8 * 4096    # bits that Spark's bitmap functions keep in one row
 
 
 def _touched(batch: DataFrame, columns: Sequence[str]) -> tuple[list[Column], int]:
@@ -92,24 +90,16 @@ def _hash(cols: Sequence[str], schema: T.StructType) -> Column:
     return F.xxhash64(*[F.col(c) + F.lit(0.0).cast(schema[c].dataType) if isinstance(schema[c].dataType, floats) else F.col(c) for c in cols])
 
 
-def _perhaps_in(stored: DataFrame, batch: DataFrame, n: int, compared: Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
+def _perhaps_in(stored: DataFrame, batch: DataFrame, n: int, compared: Sequence[str], bits: int = BITS) -> DataFrame:
     """The stored rows whose hash the batch of n rows has, or in a large batch may have; the stored table is not shuffled for it.
 
-    Up to `HASHES` rows the hashes themselves are broadcast, up to `BLOOM_ROWS` a bitmap of `bits` bits, which
+    Up to `HASHES` rows the hashes themselves are broadcast, up to `BITMAP_ROWS` a bitmap of `bits` bits, which
     lets an eighth of the other rows pass at most. Beyond that all stored rows go on to the exact comparison.
     """
-    if n > BLOOM_ROWS:
-        return stored
     mine, its = _hash(compared, batch.schema), _hash(compared, stored.schema)
     if n <= HASHES:
-        hashes = batch.select(mine.alias("_hash"))
-        return stored.join(F.broadcast(hashes), its == F.col("_hash"), "left_semi")
-    at = F.pmod(F.col("_hash"), F.lit(bits))
-    page, bit = F.floor(at / _PAGE_BITS), F.pmod(at, F.lit(_PAGE_BITS))
-    pages = batch.select(mine.alias("_hash")).groupBy(page.alias("_page")).agg(F.bitmap_construct_agg(bit).alias("_marks"))
-    marked = stored.withColumn("_hash", its).join(F.broadcast(pages), page == F.col("_page"))
-    byte = F.conv(F.hex(F.substring(F.col("_marks"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return marked.filter(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*stored.columns)
+        return stored.join(F.broadcast(batch.select(mine.alias("_hash"))), its == F.col("_hash"), "left_semi")
+    return marked(stored, bitmap(batch, mine, bits), its, bits) if n <= BITMAP_ROWS else stored
 
 
 def new_rows(df: DataFrame, target: str, keys: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> DataFrame:

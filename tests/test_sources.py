@@ -63,7 +63,7 @@ def test_append_reads_only_the_partitions_it_touches(spark):
     assert tables.read_table(spark, target, stored.schema, where=others).count() == 1905
 
 
-@pytest.mark.parametrize("limits", [{"PRUNED": 3}, {"HASHES": 0}, {"HASHES": 0, "BLOOM_ROWS": 0}, {"PRUNED": 3, "HASHES": 0}])
+@pytest.mark.parametrize("limits", [{"PRUNED": 3}, {"HASHES": 0}, {"HASHES": 0, "BITMAP_ROWS": 0}, {"PRUNED": 3, "HASHES": 0}])
 def test_append_of_large_batches_stores_the_same(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(tables, name, value)
