@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from contestlab.llm.common import discard, small_batches, stored, whole
+from contestlab.operators.joins import BITMAP_ROWS, bitmap, marked as marked_rows
 
 SENTENCES = 2   # of a run, at least
 WORDS = 20      # of a run, at least
@@ -32,27 +33,28 @@ _known: dict[str, int] = {}
 
 def _hashed(words: list[str]) -> np.ndarray:
     try:
-        return np.array([_known[w] for w in words], dtype=np.uint64)
+        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
     except KeyError:
         if len(_known) > KNOWN_WORDS:
             _known.clear()
-        for w in words:
+        for w in set(words):
             if w not in _known:
                 _known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([_known[w] for w in words], dtype=np.uint64)
+        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
-def _cut(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _cut(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the sentences end, the hash of each word in lower case, and where each word ends with its blanks."""
     parts = _WORD.findall(text)
     words = text.lower().split()
     hashes = _hashed(words if len(words) == len(parts) else [p.rstrip().lower() for p in parts])
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-    marks = {m.end() for m in _CUT.finditer(text)}
     lead = len(text) - int(lengths.sum())
     ends = lead + lengths.cumsum()
+    marks = np.fromiter((m.end() for m in _CUT.finditer(text)), dtype=np.int64)
     marked = np.zeros(len(parts), dtype=bool)
-    marked[np.searchsorted(ends, [m for m in marks if m > lead])] = True
+    marked[np.searchsorted(ends, marks[marks > lead])] = True
+    cuts = [marks, [len(text)]]
     if len(hashes) >= REACH:  # the first least hash of each window of words without a marked one
         order = np.where(marked, np.uint64(0), (hashes >> np.uint64(32)) + np.uint64(1))
         order = order << np.uint64(31) | np.arange(len(hashes), dtype=np.uint64)
@@ -62,10 +64,9 @@ def _cut(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
             width *= 2
         picked = np.zeros(len(parts), dtype=bool)
         picked[(order & np.uint64((1 << 31) - 1)).astype(np.int64)] = True
-        marks.update(ends[picked & ~marked].tolist())
-    marks.add(len(text))
-    marks.discard(0)
-    return sorted(marks), hashes, ends
+        cuts.append(ends[picked & ~marked])
+    cuts = np.unique(np.concatenate(cuts).astype(np.int64))
+    return cuts[cuts > 0], hashes, ends
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -75,56 +76,42 @@ def sentences(text: str) -> list[tuple[int, int]]:
     hash: equal passages are cut alike, except for 15 words at most where they begin and end. So 51
     words have 21 or more that are cut alike, wherever they lie.
     """
-    ends = _cut(text)[0]
+    ends = _cut(text)[0].tolist()
     return list(zip([0, *ends[:-1]], ends, strict=True)) if ends else []
 
 
 def runs(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]]]:
     """The runs that are first of their kind in the text, as start, end and 16-byte hash, and the spans of the others."""
-    return _found(text)[:2]
+    starts, ends, hashes, first, _ = _found(text)
+    spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    return ([(*x, h) for x, h, own in zip(spans, hashes, first, strict=True) if own],
+            [x for x, own in zip(spans, first, strict=True) if not own])
 
 
-def _found(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]], int]:
-    """The runs, and the number of sentences."""
+def _found(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, int]:
+    """Of every run its start, end, hash and whether it is the first of its kind in the text; and the number of sentences."""
     ends, hashes, words = _cut(text)
-    upto = [0, *np.searchsorted(words, ends, side="right").tolist()]  # words that end within the sentences so far
-    if ends and len(words):
+    upto = np.searchsorted(words, ends, side="right")  # words that end within the sentences so far
+    if len(ends):
         upto[-1] = len(words)
-    at, total = [], [0]
-    for k, (a, b) in enumerate(zip([0, *ends][:len(ends)], ends, strict=True)):
-        if upto[k + 1] > total[-1]:  # blank lines join nothing
-            at.append((a, b))
-            total.append(upto[k + 1])
-    n = len(at)
-
-    def enough(i: int, j: int) -> bool:  # sentences i to j - 1
-        size = total[j] - total[i]
-        return size >= WORDS and (j - i >= SENTENCES or size >= LONE)
-
-    found, j = set(), 0
-    for i in range(n):  # the shortest run from i on: its end never moves back by more than one sentence
-        j = max(i + 1, j - 1)
-        while j < n and not enough(i, j):
-            j += 1
-        if enough(i, j):
-            found.add((i, j))
-    i = n
-    for j in range(n, 0, -1):  # the shortest run up to j
-        i = min(j - 1, i + 1)
-        while i > 0 and not enough(i, j):
-            i -= 1
-        if enough(i, j):
-            found.add((i, j))
-    seen, first, again = set(), [], []
-    raw = hashes.tobytes()
-    for i, j in sorted(found):
-        h = xxhash.xxh3_128_digest(raw[8 * total[i]:8 * total[j]])
-        if h in seen:
-            again.append((at[i][0], at[j - 1][1]))
-        else:
+    real = np.diff(upto, prepend=0) > 0  # blank lines join nothing
+    starts, stops, total = np.concatenate([[0], ends[:-1]])[real] if len(ends) else ends, ends[real], np.concatenate([[0], upto[real]])
+    n, at = len(stops), np.arange(len(total))
+    # The shortest run from each sentence on, and up to each: two sentences and `WORDS` words, or one of `LONE` words.
+    last = np.minimum(np.maximum(np.searchsorted(total, total + WORDS), at + SENTENCES), np.maximum(np.searchsorted(total, total + LONE), at + 1))
+    begin = np.maximum(np.minimum(np.searchsorted(total, total - WORDS, side="right") - 1, at - SENTENCES),
+                       np.minimum(np.searchsorted(total, total - LONE, side="right") - 1, at - 1))
+    pairs = np.unique(np.concatenate([(at * (n + 1) + last)[last <= n], (begin * (n + 1) + at)[begin >= 0]]))
+    i, j = pairs // (n + 1), pairs % (n + 1)
+    raw, digest = hashes.tobytes(), xxhash.xxh3_128_digest
+    found = [digest(raw[a:b]) for a, b in zip((8 * total[i]).tolist(), (8 * total[j]).tolist(), strict=True)]
+    first = np.ones(len(found), dtype=bool)
+    if len(set(found)) < len(found):
+        seen: set[bytes] = set()
+        for k, h in enumerate(found):
+            first[k] = h not in seen
             seen.add(h)
-            first.append((at[i][0], at[j - 1][1], h))
-    return first, again, len(ends)
+    return starts[i], stops[j - 1], found, first, len(ends)
 
 
 def without(text: str, starts, ends) -> tuple[str, int]:
@@ -143,24 +130,34 @@ _RUNS = pa.schema([("key", pa.int64()), ("t1", pa.int64()), ("start", pa.int32()
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
-
-    def flush():
-        cols = list(zip(*rows, strict=True))
-        rows.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RUNS, strict=True)], schema=_RUNS)
+    held: list[tuple] = []  # per text: key, t1, starts, ends, hashes, first, sentences
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        keys, t1s, starts, ends, hashes, first, counts = zip(*held, strict=True)
+        many = [len(x) for x in starts]
+        raw = np.frombuffer(b"".join(h for own in hashes for h in own), dtype="<i8").reshape(-1, 2)
+        own = np.concatenate(first)
+        again = np.concatenate([~own, np.zeros(len(held), dtype=bool)])  # a row for every run, and one for the text itself
+        none = np.concatenate([~own, np.ones(len(held), dtype=bool)])
+        text = np.concatenate([np.zeros(len(own), dtype=bool), np.ones(len(held), dtype=bool)])
+        pad = np.zeros(len(held), dtype=np.int64)
+        columns = [
+            np.concatenate([np.repeat(np.array(keys, dtype=np.int64), many), keys]), np.concatenate([np.repeat(np.array(t1s, dtype=np.int64), many), t1s]),
+            np.concatenate([*starts, counts]), np.concatenate([*ends, pad + _COUNT]),
+            np.concatenate([raw[:, 0], pad]), np.concatenate([raw[:, 1].astype(np.int32).astype(np.int64), pad])]
+        masks = [None, None, None, None, none, none]
+        arrays = [pa.array(c, f.type, mask=m) for c, f, m in zip(columns, _RUNS, masks, strict=False)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(again, pa.bool_(), mask=text)], schema=_RUNS)
 
     for batch in batches:
         for key, t1, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            first, again, n = _found(text)
-            for a, b, h in first:
-                rows.append((key, t1, a, b, int.from_bytes(h[:8], "little", signed=True),
-                             int.from_bytes(h[8:12], "little", signed=True), False))
-                if len(rows) >= _BATCH:
-                    yield flush()
-            rows += [(key, t1, a, b, 0, 0, True) for a, b in again]
-            rows.append((key, t1, n, _COUNT, None, None, None))
-    if rows:
+            held.append((key, t1, *_found(text)))
+            size += len(held[-1][2]) + 1
+            if size >= _BATCH:
+                yield flush()
+                held, size = [], 0
+    if held:
         yield flush()
 
 
@@ -172,7 +169,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     one document, equal rows get equal results. A missing or empty text has no sentences. An empty table
     gives no rows; other columns are not read.
 
-    Run hashes are combined before they are shuffled. Verdicts come back to the runs by a broadcast for
+    Run hashes are combined before they are shuffled, and a bitmap of those that occur twice keeps most others from being shuffled
+    again (if they are no more than it can tell apart). Verdicts come back to the runs by a broadcast for
     the hashes that make up over a thousandth of all runs (a thousand at most), by a shuffle for the others.
     """
     small_batches(docs.sparkSession)
@@ -184,7 +182,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     fresh = found.where("NOT again")
     holders = fresh.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     holders = stored(holders, "span-holders")
-    few = F.lit(fresh.count() / 1000)
+    if holders.count() <= BITMAP_ROWS:  # most runs occur once: they need not be shuffled again
+        fresh = marked_rows(fresh, bitmap(holders, F.col("h1")), F.col("h1"))
+    few = F.lit(found.count() / 1000)
     hot = F.broadcast(holders.where(F.col("n") > few).drop("n"))
     marked = fresh.join(hot, ["h1", "h2"], "left")
     gone = marked.where("key > first").select("key", "t1", "start", "end")
