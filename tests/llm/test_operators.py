@@ -310,6 +310,38 @@ def test_full_shards_split_few_groups(spark):
     assert len(places[0]) == 2 and sum(len(p) > 1 for g, p in places.items() if g) < 8
 
 
+def test_the_cut_falls_from_round_to_round(spark):
+    """Chains of groups: each document is linked by its text and by a chain to documents of other texts."""
+    rng = random.Random(12)
+    data = [(i, f"t{i // 3}", f"chain{i // 24}", None) for i in range(2400)] + [(2400 + i, f"alone{i}", None, None) for i in range(800)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "doc_id long, text string, chain string, other string").repartition(5)
+    report: list = []
+    out = sharding.shard_documents(df, F.col("doc_id"), F.lit(1), F.crc32("text"), F.array("text", "chain", "other"), report=report)
+    shard = {r.key: r.shard for r in out.collect()}
+    count = Counter(shard.values())
+    assert len(shard) == 3200 and set(count.values()) == {400}
+    links = defaultdict(list)
+    for i, text, chain, _ in data:
+        links[text].append(shard[i])
+        if chain:
+            links[chain].append(shard[i])
+    cut = sum(len(at) - max(Counter(at).values()) for at in links.values())
+    assert len(report) > 1 and all(a >= b for a, b in zip(report, report[1:])) and report[-1] < report[0] / 20
+    assert cut <= max(report[-1], 60)  # nearly all chains are whole, as the shards have room for them
+
+
+def test_a_document_follows_its_neighbours_where_they_have_moved(spark):
+    # a large group settles first; documents that share a second link with some of it are drawn to its shard
+    rows = [(i, "big", f"pair{i}" if i < 40 else None) for i in range(90)] + [(100 + i, f"own{i}", f"pair{i}") for i in range(40)]
+    rows += [(1000 + i, f"alone{i}", None) for i in range(1470)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, second string")
+    out = sharding.shard_documents(df, F.col("doc_id"), F.lit(1), F.crc32("text"), F.array("text", "second"))
+    shard = {r.key: r.shard for r in out.collect()}
+    home = {shard[i] for i in range(90)}
+    assert len(home) == 1 and {shard[100 + i] for i in range(40)} == home
+
+
 # quality rules
 
 def test_quality_rules(docs, nothing):
