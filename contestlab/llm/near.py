@@ -24,6 +24,8 @@ TENTHS = 8         # least similarity, in tenths
 TREES, DEPTH = 21, 6
 LEAST_DEPTH = 3
 RECALL = 0.99999
+LEAST_RECALL = 0.9999  # of the links of any one similarity
+ERROR = 0.04           # of an estimated similarity, a little over its standard deviation
 PLAUSIBLE = 0.6    # estimated similarity under which a candidate is not a link: over five deviations below 0.8
 BLOCK = 500        # nodes compared with as many others in one step
 KNOWN_WORDS = 200_000  # whose hashes a task keeps
@@ -220,20 +222,32 @@ def _edges_at(nodes: DataFrame, depth: int) -> DataFrame:
     return out
 
 
+def wanted_depth(links: dict[float, float], depth: int, recall: float = RECALL) -> int:
+    """The longest prefix, of `depth` at most, that finds the target share of all links and enough of each similarity.
+
+    Similarities are estimates, so the least one may be off by `ERROR`."""
+    lowest = max(min(links, default=1.0) - ERROR, TENTHS / 10)
+    for d in range(depth, LEAST_DEPTH, -1):
+        found = sum(n * found_share(s, d) for s, n in links.items())
+        if found >= recall * sum(links.values()) and found_share(lowest, d) >= LEAST_RECALL:
+            return d
+    return LEAST_DEPTH
+
+
 def candidate_groups(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
     """Columns node and root: groups of nodes that plausible candidates connect.
 
     Starts with whole tries. The similarities found, each divided by its chance to be found, tell how many
-    links there are; the prefix is cut to the longest one that would find the target share of them, and the
-    estimate is made again.
+    links there are; the prefix is cut to the longest one that would find the target share of them, and of every
+    hundredth of similarity that has any no less than `LEAST_RECALL`, so that one large group of close copies does not
+    decide for pairs that are just similar enough. Then the estimate is made again.
     """
     depth = DEPTH
     while True:
         edges = _edges_at(nodes, depth)
         seen = {r.bin / 100: r.n for r in edges.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
         links = {max(s, TENTHS / 10): n / found_share(s, depth) for s, n in seen.items() if s >= TENTHS / 10 - 0.04}
-        want = next((d for d in range(depth, LEAST_DEPTH, -1) if
-                     sum(n * found_share(s, d) for s, n in links.items()) >= recall * sum(links.values())), LEAST_DEPTH)
+        want = wanted_depth(links, depth, recall)
         if want == depth:
             return components(edges.where("a IS NOT NULL").select("a", "b"))
         discard(edges)

@@ -423,6 +423,30 @@ def test_prefixes_shorten_until_the_recall_is_met():
     assert all(near.found_share(s / 100, d) <= near.found_share(s / 100, d - 1) for s in range(80, 101) for d in range(2, 7))
 
 
+def test_a_large_group_does_not_decide_for_a_lone_pair():
+    close = {0.99: 5e7}
+    assert near.wanted_depth(close, near.DEPTH) == near.DEPTH
+    assert near.wanted_depth(close | {0.8: 1}, near.DEPTH) == 4 and near.found_share(0.8, 4) >= near.LEAST_RECALL > near.found_share(0.8, 5)
+    assert near.wanted_depth({0.8: 1}, near.DEPTH) == near.wanted_depth({0.8: 1e9}, 4) == 3 + (near.found_share(0.8, 4) >= near.RECALL)
+    assert near.wanted_depth({}, near.DEPTH) == near.DEPTH
+
+
+def test_a_pair_at_the_bound_beside_a_hot_group(spark, monkeypatch):
+    depths = []
+    monkeypatch.setattr(near, "_edges_at", lambda nodes, depth, f=near._edges_at: depths.append(depth) or f(nodes, depth))
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(words) for _ in range(400)]
+    pair = [rng.choice(words) for _ in range(300)]
+    other = list(pair)
+    for at in (30, 80, 130, 180, 230, 280):  # 30 of 296 runs of five words differ: a similarity of 266 / 326
+        other[at] = "changed"
+    rows = [(i, " ".join(base[:-1] + [f"end{i}"])) for i in range(120)] + [(500, " ".join(pair)), (501, " ".join(other))]
+    got = {r.key: (r.class_id, r.n_links) for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[500] == got[501] == (500, 1) and all(got[i] == (0, 119) for i in range(120))
+    assert depths[0] == near.DEPTH and depths[-1] <= 4
+
+
 # repeated spans
 
 def test_span_dedup(docs, nothing):
