@@ -23,35 +23,22 @@ SENTENCES = 2   # of a run, at least
 WORDS = 20      # of a run, at least
 LONE = 40       # a sentence of so many words is a run of its own
 REACH = 8       # of so many consecutive words one at least ends a sentence
-KNOWN_WORDS = 200_000  # whose hashes a task keeps
 _CUT = re.compile(r"[.!?,;:]+[\x20\t]+|\n+")
 _WORD = re.compile(r"\S+\s*")
 _COUNT = -1  # in place of an end: the start is the number of sentences
 _BATCH = 20_000  # rows of one output batch
-_known: dict[str, int] = {}
-
-
-def _hashed(words: list[str]) -> np.ndarray:
-    try:
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(_known) > KNOWN_WORDS:
-            _known.clear()
-        for w in set(words):
-            if w not in _known:
-                _known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
 def _cut(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the sentences end, the hash of each word in lower case, and where each word ends with its blanks."""
     parts = _WORD.findall(text)
     words = text.lower().split()
-    hashes = _hashed(words if len(words) == len(parts) else [p.rstrip().lower() for p in parts])
+    words = words if len(words) == len(parts) else [p.rstrip().lower() for p in parts]
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     lead = len(text) - int(lengths.sum())
     ends = lead + lengths.cumsum()
-    marks = np.fromiter((m.end() for m in _CUT.finditer(text)), dtype=np.int64)
+    marks = np.array([m.end() for m in _CUT.finditer(text)], dtype=np.int64)
     marked = np.zeros(len(parts), dtype=bool)
     marked[np.searchsorted(ends, marks[marks > lead])] = True
     cuts = [marks, [len(text)]]
@@ -88,8 +75,8 @@ def runs(text: str) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, int]]
             [x for x, own in zip(spans, first, strict=True) if not own])
 
 
-def _found(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, int]:
-    """Of every run its start, end, hash and whether it is the first of its kind in the text; and the number of sentences."""
+def _found(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Of every run its start, end, hash and whether it is the first of its kind in the text; and where the sentences end."""
     ends, hashes, words = _cut(text)
     upto = np.searchsorted(words, ends, side="right")  # words that end within the sentences so far
     if len(ends):
@@ -111,30 +98,32 @@ def _found(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray,
         for k, h in enumerate(found):
             first[k] = h not in seen
             seen.add(h)
-    return starts[i], stops[j - 1], found, first, len(ends)
+    return starts[i], stops[j - 1], found, first, ends
 
 
-def without(text: str, starts, ends) -> tuple[str, int]:
-    """The text without the given spans, and how many sentences went."""
-    at = sentences(text)
-    cover = np.zeros(len(text) + 1, dtype=np.int32)
-    np.add.at(cover, np.asarray(starts, dtype=np.int64), 1)
-    np.add.at(cover, np.asarray(ends, dtype=np.int64), -1)
-    gone = cover.cumsum() > 0
-    kept = [text[a:b] for a, b in at if not gone[a]]
-    return "".join(kept), len(at) - len(kept)
+def without(text: str, starts, stops, ends: np.ndarray | None = None) -> tuple[str, int]:
+    """The text without the given spans, and how many sentences went. `ends` says where they end, if known."""
+    ends = _cut(text)[0] if ends is None else ends
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    cover = np.zeros(len(ends) + 1, dtype=np.int64)
+    np.add.at(cover, np.searchsorted(begins, np.asarray(starts, dtype=np.int64)), 1)
+    np.add.at(cover, np.searchsorted(begins, np.asarray(stops, dtype=np.int64)), -1)
+    kept = cover.cumsum()[:-1] <= 0
+    edges = np.flatnonzero(np.diff(kept, prepend=False, append=False))  # where what stays begins and ends
+    bounds = np.concatenate([begins, [len(text)]])[edges].astype(np.int64).tolist()
+    return "".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True)), len(ends) - int(kept.sum())
 
 
 _RUNS = pa.schema([("key", pa.int64()), ("t1", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-                   ("h1", pa.int64()), ("h2", pa.int32()), ("again", pa.bool_())])
+                   ("h1", pa.int64()), ("h2", pa.int32()), ("again", pa.bool_()), ("ends", pa.list_(pa.int32()))])
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []  # per text: key, t1, starts, ends, hashes, first, sentences
+    held: list[tuple] = []  # per text: key, t1, starts and ends of runs, hashes, first, ends of sentences
     size = 0
 
     def flush() -> pa.RecordBatch:
-        keys, t1s, starts, ends, hashes, first, counts = zip(*held, strict=True)
+        keys, t1s, starts, ends, hashes, first, cuts = zip(*held, strict=True)
         many = [len(x) for x in starts]
         raw = np.frombuffer(b"".join(h for own in hashes for h in own), dtype="<i8").reshape(-1, 2)
         own = np.concatenate(first)
@@ -144,11 +133,13 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pad = np.zeros(len(held), dtype=np.int64)
         columns = [
             np.concatenate([np.repeat(np.array(keys, dtype=np.int64), many), keys]), np.concatenate([np.repeat(np.array(t1s, dtype=np.int64), many), t1s]),
-            np.concatenate([*starts, counts]), np.concatenate([*ends, pad + _COUNT]),
+            np.concatenate([*starts, [len(x) for x in cuts]]), np.concatenate([*ends, pad + _COUNT]),
             np.concatenate([raw[:, 0], pad]), np.concatenate([raw[:, 1].astype(np.int32).astype(np.int64), pad])]
         masks = [None, None, None, None, none, none]
         arrays = [pa.array(c, f.type, mask=m) for c, f, m in zip(columns, _RUNS, masks, strict=False)]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(again, pa.bool_(), mask=text)], schema=_RUNS)
+        offsets = np.cumsum(np.concatenate([np.zeros(len(own) + 1, dtype=np.int64), [len(x) for x in cuts]]))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(cuts), pa.int32()))
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(again, pa.bool_(), mask=text), lists], schema=_RUNS)
 
     for batch in batches:
         for key, t1, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -178,8 +169,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
                        whole(F.col(text)).alias("text"))
     docs = docs.withColumn("t1", F.xxhash64(F.lit(1), "text"))
     found = stored(docs.select("key", "t1", "text").mapInArrow(
-        _emit, "key long, t1 long, start int, end int, h1 long, h2 int, again boolean"), "span-runs")
-    fresh = found.where("NOT again")
+        _emit, "key long, t1 long, start int, end int, h1 long, h2 int, again boolean, ends array<int>"), "span-runs")
+    fresh = found.where("NOT again").drop("ends")
     holders = fresh.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     holders = stored(holders, "span-holders")
     if holders.count() <= BITMAP_ROWS:  # most runs occur once: they need not be shuffled again
@@ -191,22 +182,23 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     gone = gone.unionByName(
         marked.where("first IS NULL").drop("first").join(holders.where(F.col("n") <= few).drop("n"), ["h1", "h2"])
         .where("key > first").select("key", "t1", "start", "end"))
-    gone = gone.unionByName(found.where("again OR again IS NULL").select("key", "t1", "start", "end"))
-    spans = stored(gone.groupBy("key", "t1").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "span-gone")
+    gone = gone.unionByName(found.where("again OR again IS NULL").select("key", "t1", "start", "end", "ends"), allowMissingColumns=True)
+    spans = stored(gone.groupBy("key", "t1").agg(
+        F.collect_set(F.struct("start", "end")).alias("spans"), F.max(F.when(F.col("end") == _COUNT, F.col("ends"))).alias("ends")), "span-gone")
     discard(found, holders)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept, removed, count = [], [], []
-            for t, gone in zip(batch.text, batch.spans, strict=True):
-                count += [s["start"] for s in gone if s["end"] == _COUNT]
+            for t, gone, ends in zip(batch.text, batch.spans, batch.ends, strict=True):
                 gone = [(s["start"], s["end"]) for s in gone if s["end"] != _COUNT]
-                left, n = without(t, *zip(*gone, strict=True)) if gone else (t, 0)
+                left, n = without(t, *zip(*gone, strict=True), np.asarray(ends, dtype=np.int64)) if gone else (t, 0)
                 kept.append(left)
                 removed.append(n)
+                count.append(len(ends))
             yield pd.DataFrame({"key": batch.key, "unkeyed": batch.unkeyed, "t1": batch.t1, "n_sentences": count,
                                 "n_removed": removed, "kept": kept})
 
-    out = docs.join(spans, ["key", "t1"]).select("key", "unkeyed", "t1", "text", "spans").mapInPandas(
+    out = docs.join(spans, ["key", "t1"]).select("key", "unkeyed", "t1", "text", "spans", "ends").mapInPandas(
         cut, "key long, unkeyed boolean, t1 long, n_sentences long, n_removed long, kept string")
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), "t1", "n_sentences", "n_removed", "kept")
