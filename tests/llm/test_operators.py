@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on texts with nulls, empties, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -368,10 +369,16 @@ def test_distance_from_the_language(spark):
     speech = lambda n, vocab: " ".join(rng.choice(vocab[:8]) if rng.random() < 0.5 else rng.choice(vocab) for _ in range(n))
     rows = [(i, speech(150, VOCAB), "en") for i in range(60)]
     rows += [(100, " ".join(w.upper() + "!!" for w in speech(150, VOCAB).split()), "en"), (101, " ".join(w + "%%%" for w in speech(150, VOCAB).split()), "en"),
-             (102, "zz " * 0 + " ".join(f"q{rng.randrange(10**6)}" for _ in range(150)), "en"), (103, speech(150, VOCAB).upper(), None)]
+             (102, "zz " * 0 + " ".join(f"q{rng.randrange(10**6)}" for _ in range(150)), "en"), (103, speech(150, VOCAB).upper(), None),
+             (104, speech(150, VOCAB), None)]
+    other = [w[::-1] + "o" for w in VOCAB]
+    rows += [(200 + i, speech(150, other), "rare") for i in range(3)] + [(210, speech(150, other), None)]
     got = {r.key: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(got[i].kept for i in range(60)) and not any(got[i].kept for i in (100, 101, 102))
-    assert got[103].kept and got[103].word_distance is None  # no language, no verdict
+    assert not got[103].kept and got[104].kept and got[210].kept  # without a language: the nearest one judges
+    assert all(got[i].kept for i in (200, 201, 202)) and got[210].word_distance < 0.4 and got[210].lang is None
+    alone = quality_rules.judge(spark.createDataFrame([(1, speech(80, VOCAB), None)], "doc_id long, text string, lang string")).first()
+    assert alone.kept and alone.word_distance is None  # no language in the table
     p, q = np.array([3.0, 1, 0]), np.array([1.0, 1, 2])
     a, b = p / p.sum(), q / q.sum()
     kl = lambda x, m: sum(u * np.log2(u / v) for u, v in zip(x, m) if u)
@@ -379,6 +386,45 @@ def test_distance_from_the_language(spark):
     assert found == pytest.approx(np.sqrt((kl(a, (a + b) / 2) + kl(b, (a + b) / 2)) / 2))
 
 
+def test_verdicts_equal_plain_histograms(spark):
+    """Distances and verdicts of whole texts by counting in Python."""
+    rng = random.Random(31)
+    rows = []
+    for lang, vocab in (("en", VOCAB[:150]), ("de", [w + "en" for w in VOCAB[100:]])):
+        for i in range(25):
+            n = rng.choice([30, 55, 90, 200])
+            text = " ".join(rng.choice(vocab[:10]) if rng.random() < 0.4 else rng.choice(vocab) for _ in range(n))
+            rows.append((len(rows), text.upper() if i % 9 == 0 else text + "#$%" * (n // 2) if i % 11 == 0 else text, lang))
+    got = {r.key: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+
+    def classes(text):
+        kinds = [re.compile(p) for p in ("[a-z]", r"[\x20\x09-\x0D]", "[A-Z]", r"[#*$%&|<>]", "[0-9]", r"[\x00-\x7F]", ".")]
+        return Counter(next(i for i, k in enumerate(kinds) if k.match(c)) for c in text)
+
+    def distance(a, b):
+        out, n, m = 0.0, sum(a.values()), sum(b.values())
+        for x in {*a, *b}:
+            p, q = a[x] / n, b[x] / m
+            out += sum(u * np.log2(u / ((p + q) / 2)) for u in (p, q) if u) / 2
+        return math.sqrt(max(out, 0))
+
+    for lang in ("en", "de"):
+        own = [r for r in rows if r[2] == lang]
+        count = Counter(w for r in own for w in words(r[1]))
+        top = {w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:quality_rules.COMMON]}
+        binned = lambda text: Counter(w if w in top else None for w in words(text))
+        of_words, of_classes = sum((binned(r[1]) for r in own), Counter()), sum((classes(r[1]) for r in own), Counter())
+        for key, text, _ in own:
+            n, r = len(words(text)), got[key]
+            if n < quality_rules.MIN_WORDS:
+                assert r.base_failed and not r.kept and r.word_distance is None
+                continue
+            a, b = distance(binned(text), of_words), distance(classes(text), of_classes)
+            assert (r.word_distance, r.class_distance) == (pytest.approx(a, abs=1e-9), pytest.approx(b, abs=1e-9))
+            assert r.kept == (not r.base_failed and max(a, b) <= quality_rules.BOUND + quality_rules.SLACK / math.sqrt(n))
+    assert 5 < sum(not r.kept for r in got.values()) < 45
+
+
 # near duplicates
 
 def shingles(text):
