@@ -30,12 +30,15 @@ LEVELS = 1000       # entropies are counted in so many steps
 LEAST = WINDOW + 2 * REACH - 2  # bytes that decide whether a feature in them is popular
 LONG = 512          # code points from which a text has popular features
 BRIEF = 1024        # code points below which it has short features; in between it has both kinds, so that close lengths compare
+SAMPLED = 16        # of the short features of texts below LONG or from BRIEF on, one in so many is compared where nothing else can be
 _CHUNK = 1 << 17    # bytes computed at a time
 _FLUSH = 1 << 20    # bytes of text compared at a time, or one document
 
 _GAIN = np.zeros(WINDOW + 2, dtype=np.int64)  # n log2 n in fixed point, so that sums are exact
 _GAIN[1:] = np.round(np.arange(1, WINDOW + 2) * np.log2(np.arange(1, WINDOW + 2)) * 2**20).astype(np.int64)
 _STEP = np.diff(_GAIN)  # what one more equal byte adds
+_MIX = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+_SHIFTS = np.arange(HASHES, dtype=np.uint64) * np.uint64(11)  # 11 bits of a hash for each bit of a filter of 2,048
 _MOST = int(_GAIN[WINDOW])
 
 
@@ -107,11 +110,29 @@ def select(texts: list[bytes], table: np.ndarray, always: bool = True) -> list[n
     return out
 
 
-def filters(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two chains of filters, one row of BITS each: of the popular features (at `places`), and of all short ones."""
-    popular = [text[p:p + WINDOW] for p in places.tolist()] if is_long(text) else []
-    n = 0 if _reaches(text, BRIEF) else max(len(text) - SHORT + 1, min(len(text), 1))
-    return _chain(popular), _chain([text[p:p + SHORT] for p in range(n)])
+def filters(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three chains of filters, one row of BITS each: of the popular features (at `places`), of all short ones, and of sampled short ones."""
+    long, brief = is_long(text), not _reaches(text, BRIEF)
+    popular = [text[p:p + WINDOW] for p in places.tolist()] if long else []
+    n = max(len(text) - SHORT + 1, min(len(text), 1)) if brief else 0
+    sampled = _sampled(text) if long != brief else np.zeros(0, dtype=np.uint64)  # in between a text compares with both
+    return _chain(popular), _chain([text[p:p + SHORT] for p in range(n)]), _bits((sampled[:, None] >> _SHIFTS) & np.uint64(BITS - 1))
+
+
+def _sampled(text: bytes) -> np.ndarray:
+    """Hashes of the distinct short features that a hash picks, in order: of equal features in all texts or in none."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for at in range(0, len(text) - SHORT + 1, _CHUNK):
+        data = np.frombuffer(text, dtype=np.uint8, offset=at, count=min(_CHUNK + SHORT - 1, len(text) - at)).astype(np.uint64)
+        x = np.zeros(len(data) - SHORT + 1, dtype=np.uint64)
+        for k in range(SHORT):
+            x |= data[k:len(x) + k] << np.uint64(8 * k)
+        for factor in _MIX:
+            x *= factor
+            x ^= x >> np.uint64(32)
+        out.append(x[x >> np.uint64(55) < np.uint64(512 // SAMPLED)])
+    found = np.concatenate(out)
+    return found[np.sort(np.unique(found, return_index=True)[1])]
 
 
 def _chain(pieces: list[bytes]) -> np.ndarray:
@@ -120,14 +141,22 @@ def _chain(pieces: list[bytes]) -> np.ndarray:
     if not pieces:
         return np.zeros((0, BITS), dtype=bool)
     hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), dtype="<u2").reshape(len(pieces), -1)
-    out = np.zeros((-(-len(pieces) // PER_FILTER), BITS), dtype=bool)
-    out[np.arange(len(pieces))[:, None] // PER_FILTER, hashes[:, :HASHES] % BITS] = True
+    return _bits(hashes[:, :HASHES] % BITS)
+
+
+def _bits(places: np.ndarray) -> np.ndarray:
+    """Chained filters of features, each given by the places of its bits."""
+    out = np.zeros((-(-len(places) // PER_FILTER), BITS), dtype=bool)
+    out[np.arange(len(places))[:, None] // PER_FILTER, places] = True
     return out
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """By the short features if both texts have them, else by the popular ones; 0 where they have no kind in common, 1 for empty texts."""
-    for kind in (1, 0):
+Chains = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def likeness(a: Chains, b: Chains) -> float:
+    """By the short features if both texts have all of them, else by the popular ones, else by sampled short ones; 1 for empty texts."""
+    for kind in (1, 0, 2):
         if len(a[kind]) and len(b[kind]):
             return _overlap(a[kind], b[kind])
     return float(not any(len(x) for x in (*a, *b)))
@@ -144,10 +173,9 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> float:
     return float((score * x[:, 0]).sum() / x.sum())
 
 
-def shown(chains: tuple[np.ndarray, np.ndarray]) -> str:
-    """The chain of popular features, and after a point that of short ones; empty without features."""
-    popular, short = (base64.b64encode(np.packbits(c, axis=1).tobytes()).decode() for c in chains)
-    return f"{popular}.{short}" if short else popular
+def shown(chains: Chains) -> str:
+    """The chains parted by points, those of popular, of all short and of sampled features; points at the end and empty texts show nothing."""
+    return ".".join(base64.b64encode(np.packbits(c, axis=1).tobytes()).decode() for c in chains).rstrip(".")
 
 
 def rarity(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -240,7 +268,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ta
     first, rows that share a key are ordered by a hash of their text. A missing text is an empty one,
     whose fingerprint is empty; it is alike (1) to empty texts only. Texts of less than 1024 code points are
     compared by all their short features, others by popular ones, which texts from 512 on have; one below
-    512 and one of 1024 or more have nothing to compare (0). A single document is its own
+    512 and one of 1024 or more by a sixteenth of their short features, picked by a hash. A single document is its own
     successor. An empty table gives no rows; other columns are not read.
 
     Documents are dealt into consecutive ranges of the key, a few per partition, and the first document of

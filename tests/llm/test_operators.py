@@ -240,6 +240,18 @@ def test_edited_texts_of_every_length_are_alike():
         assert digest.likeness(a[1], b[1]) > 0.6
 
 
+def test_texts_of_unlike_length_share_a_kind():
+    rng = random.Random(15)
+    table = np.random.default_rng(3).permutation(digest.LEVELS + 1).astype(np.int16)
+    chains = lambda t: digest.filters(t.encode(), digest.select([t.encode()], table)[0])
+    long, other = prose(700, rng), "".join(rng.choice("klmnopqrst .") for _ in range(4000))
+    for n in (300, 400, 505, 511):
+        for at in (0, 700, 2000):
+            assert digest.likeness(chains(long[at:at + n]), chains(long)) > 0.5  # its features may lie in two filters of the long one
+        assert digest.likeness(chains(other[:n]), chains(long)) < 0.2
+    assert digest.likeness(chains(""), chains(long)) == 0 == digest.likeness(chains("abc"), chains(long))
+
+
 # lines
 
 def test_line_dedup(docs, nothing):

@@ -1,5 +1,7 @@
 """Whole operators against versions that use none of their functions."""
 
+import base64
+import math
 import os
 import re
 from collections import Counter
@@ -7,11 +9,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from contestlab.llm import quality_model, spans
-from tests.llm.test_operators import ROWS, SCHEMA, edited, prose
+from contestlab.llm import digest, quality_model, spans
+from tests.llm.test_operators import KEYED, ROWS, edited, prose
 
 # repeated spans, as their docstrings say
 
@@ -76,6 +77,79 @@ def test_span_dedup_equals_the_plain_version(spark):
     assert sum(r.n_removed for r in got) > 20
 
 
+# fingerprints, as their docstrings say
+
+
+def plain_levels(raw):
+    """Entropy steps of every window of 64 bytes."""
+    gain = [0] + [round(n * math.log2(n) * 2**20) for n in range(1, 65)]
+    return [(gain[64] - sum(gain[c] for c in Counter(raw[i:i + 64]).values())) * 1000 // gain[64] for i in range(len(raw) - 63)]
+
+
+def plain_chain(pieces):
+    """Bits of each filter of 128 features."""
+    pieces = list(dict.fromkeys(pieces))
+    bits = []
+    for at in range(0, len(pieces), 128):
+        own = set()
+        for p in pieces[at:at + 128]:
+            h = xxhash.xxh3_128_digest(p)
+            own |= {int.from_bytes(h[2 * k:2 * k + 2], "little") % 2048 for k in range(5)}
+        bits.append(own)
+    return bits
+
+
+def plain_print(text, rank):
+    raw, short = text.encode(), []
+    if len(text) < 1024:
+        short = [raw[i:i + 6] for i in range(max(len(raw) - 5, min(len(raw), 1)))]
+    if len(text) < 512:
+        return [], plain_chain(short)
+    ranks = [rank[x] for x in plain_levels(raw)]
+    won = Counter(min(range(i, i + 64), key=lambda k: (ranks[k], k)) for i in range(len(ranks) - 63))
+    chosen = sorted(i for i, n in won.items() if n >= 16) or sorted(i for i, n in won.items() if n == max(won.values()))
+    return plain_chain([raw[i:i + 64] for i in chosen]), plain_chain(short)
+
+
+def plain_likeness(a, b):
+    for kind in (1, 0):
+        x, y = sorted((a[kind], b[kind]), key=lambda c: (len(c), sum(map(len, c))))
+        if x and y:
+            score = 0
+            for own in x:
+                best = 0.0
+                for other in y:
+                    chance = len(own) * len(other) / 2048
+                    best = max(best, (len(own & other) - chance) / max(min(len(own), len(other)) - chance, 1e-9))
+                score += len(own) * min(best, 1)
+            return score / sum(map(len, x))
+    return None  # by sampled features, or empty
+
+
+def test_fingerprints_equal_the_plain_version(spark):
+    texts = [r[1] or "" for r in KEYED if len(r[1] or "") < 2500][:45]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    count = Counter(x for t in texts for x in plain_levels(t.encode()))
+    rank = {x: i for i, x in enumerate(sorted(range(1001), key=lambda x: (count[x], x)))}
+    got = {r.key: r for r in digest.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    shown = lambda c: [np.flatnonzero(np.unpackbits(np.frombuffer(f, np.uint8))).tolist() for f in c]
+    parts = lambda f: [[set(x) for x in shown([raw[i:i + 256] for i in range(0, len(raw), 256)])]
+                       for raw in (base64.b64decode(x) for x in (f.split(".") + ["", ""])[:2])]
+    prints = {t: plain_print(t, rank) for t in texts}
+    compared = 0
+    for i, t in enumerate(texts):
+        other = texts[(i + 1) % len(texts)]
+        n = len(t) // 4
+        changed = t[:len(t) - n] + other[:n]
+        edit = plain_print(changed, rank)
+        assert parts(got[i].fingerprint) == list(prints[t]) and parts(got[i].edited_fingerprint) == list(edit), i
+        for value, want in ((got[i].near_edited, plain_likeness(prints[t], edit)), (got[i].near_next, plain_likeness(prints[t], prints[other]))):
+            if want is not None:
+                compared += 1
+                assert value == pytest.approx(want, abs=1e-5), (i, len(t), len(other))
+    assert compared > 60
+
+
 # quality classifier
 
 
