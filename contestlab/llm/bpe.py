@@ -5,9 +5,9 @@ functions fold the ranked merges over the word's bytes, looking pairs up in a li
 next step in the same task puts the ids of each text together and decodes them again by concatenating
 the tokens' bytes. No text is shuffled.
 
-Words that many blocks share are folded once, beforehand: those that a bounded sample of the texts holds most often become a
-small broadcast table, and a block folds only the words that it does not find there. What the sample holds decides
-how much work is saved, never a result.
+The most frequent words of a bounded sample of the texts are folded once, beforehand, and both steps get the list of
+them; a block folds only the words that are not on it. What the sample holds decides how much work is saved,
+never a result.
 
 A state of the fold is a text with one character per token, of three bytes each, in the order of
 ranks. So the pair to merge next is the one with the smallest merged character, and all places of that
@@ -21,7 +21,7 @@ import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ _MARK = "\ue000"             # ends a finished state
 BLOCK = 8 << 20             # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
 SAMPLE = 128 << 20          # bytes of text, about, whose words may be folded beforehand
-COMMON = 1_000_000          # words that are, at most; with their ids they take some 50 MB
+COMMON = 300_000            # words that are, at most; with their ids they take some 50 MB in a task
 _LONGEST = 24               # bytes of such a word
 
 
@@ -193,8 +193,18 @@ def _counter(vocabulary: Vocabulary):
     return count
 
 
-def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample: int, most: int) -> DataFrame:
-    """word (its symbols) and folded, for at most `most` words that occur twice or more in about `sample` bytes of the texts."""
+@dataclass(frozen=True)
+class Known:
+    """Words that are folded beforehand, and for each the number of its tokens, its ids as text and its bytes."""
+
+    words: dict[str, int]
+    sizes: list[int]
+    ids: list[str]
+    raw: list[bytes]
+
+
+def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample: int, most: int) -> Known:
+    """At most `most` words, the most frequent of those that occur twice or more in about `sample` bytes of the texts."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     picked = rows.select("text") if size <= sample else rows.select("text").sample(sample / size, seed=17)
     found = picked.mapInArrow(_counter(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -205,7 +215,22 @@ def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample
         if kept > most:
             least = r.n + 1
             break
-    return stored(found.where(F.col("n") >= least).select("word", encode_word(F.col("word"), table).alias("folded")), "bpe-folded")
+    folded = found.where(F.col("n") >= least).select("word", encode_word(F.col("word"), table).alias("folded"))
+    of_symbol = {vocabulary.symbol(bytes([b])): bytes([b]) for b in range(256)}
+    tokens, names = _named(vocabulary)
+    words, sizes, ids, raw = {}, [], [], []
+    for r in folded.collect():
+        words[b"".join(map(of_symbol.__getitem__, r.word)).decode()] = len(sizes)
+        sizes.append(len(r.folded))
+        ids.append(" ".join(map(names.__getitem__, r.folded)))
+        raw.append(b"".join(map(tokens.__getitem__, r.folded)))
+    return Known(words, sizes, ids, raw)
+
+
+def _named(vocabulary: Vocabulary) -> tuple[dict[str, bytes], dict[str, str]]:
+    """Bytes and number of every token by its symbol."""
+    return ({chr(_BASE + rank): token for token, rank in vocabulary.ranks.items()},
+            {chr(_BASE + rank): str(rank) for rank in vocabulary.ranks.values()})
 
 
 class _Places(dict):
@@ -216,14 +241,14 @@ class _Places(dict):
         return place
 
 
-def _cutter(vocabulary: Vocabulary):
-    """Rows of distinct words of a block, then rows of its texts as places among them."""
+def _cutter(vocabulary: Vocabulary, before: dict[str, int]):
+    """Rows of distinct words of a block, without those known before, then rows of its texts as places among both."""
     split, symbols = regex.compile(vocabulary.pattern).findall, _symbols(vocabulary)
 
     def block(texts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        known = _Places()
+        known = _Places(before)
         rows = [(k, u, list(map(known.__getitem__, split(t)))) for k, u, t in texts]
-        words = list(map(symbols, known))
+        words = list(map(symbols, islice(known, len(before), None)))
         for at in range(0, len(words), 20 * _ROWS):
             part = words[at:at + 20 * _ROWS]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.nulls(len(part), f.type) for f in list(_CUT)[1:]]], schema=_CUT)
@@ -249,16 +274,13 @@ def _cutter(vocabulary: Vocabulary):
     return cut
 
 
-def _joiner(vocabulary: Vocabulary, with_ids: bool):
-    """The ids and the decoded bytes of each text, from the encoded words of its block."""
-    tokens = {chr(_BASE + rank): token for token, rank in vocabulary.ranks.items()}
-    names = {chr(_BASE + rank): str(rank) for rank in vocabulary.ranks.values()}
+def _joiner(vocabulary: Vocabulary, known: Known, with_ids: bool):
+    """The ids and the decoded bytes of each text, from the encoded words of its block and those known before."""
+    tokens, names = _named(vocabulary)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes: list[int] = []  # of the words of the open block: tokens, ids as text, bytes
-        ids: list[str] = []
-        raw: list[bytes] = []
-        in_words = False
+        sizes, ids, raw = list(known.sizes), list(known.ids), list(known.raw)  # of the words of the open block: tokens, ids as text, bytes
+        in_words, known_words = False, len(known.sizes)
         for batch in batches:
             word, key, unkeyed, places = batch.columns
             n_words = len(word) - word.null_count
@@ -266,7 +288,8 @@ def _joiner(vocabulary: Vocabulary, with_ids: bool):
             for is_text, start, stop in _runs(word.is_null().to_numpy(zero_copy_only=False) if n_words else np.ones(len(word), dtype=bool)):
                 if not is_text:
                     if not in_words:
-                        sizes, ids, raw, in_words = [], [], [], True
+                        del sizes[known_words:], ids[known_words:], raw[known_words:]
+                        in_words = True
                     for w in word.slice(start, stop - start).to_pylist():
                         sizes.append(len(w))
                         ids.append(" ".join(map(names.__getitem__, w)))
@@ -310,11 +333,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))
     table = RankMap.of(vocabulary, merges)
-    known = F.broadcast(common_words(rows, vocabulary, table, sample, common))  # at most `common` words
-    cut = rows.mapInArrow(_cutter(vocabulary), "word string, key long, unkeyed boolean, places array<int>")
-    word, folded = F.col("word"), F.col("folded")
-    done = cut.join(known, "word", "left").select(  # looked up row by row, so the order stays
-        F.when(folded.isNotNull(), folded).when(F.length(word) > 1, encode_word(word, table)).otherwise(word).alias("word"), "key", "unkeyed", "places")
-    out = done.mapInArrow(_joiner(vocabulary, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    known = common_words(rows, vocabulary, table, sample, common)
+    cut = rows.mapInArrow(_cutter(vocabulary, known.words), "word string, key long, unkeyed boolean, places array<int>")
+    word = F.col("word")
+    done = cut.withColumn("word", F.when(F.length(word) > 1, encode_word(word, table)).otherwise(word))
+    out = done.mapInArrow(_joiner(vocabulary, known, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
                           + (", ids string" if with_ids else ""))
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), *out.columns[2:])
