@@ -37,7 +37,7 @@ _MARK = "\ue000"             # ends a finished state
 BLOCK = 8 << 20             # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
 SAMPLE = 128 << 20          # bytes of text, about, whose words may be folded beforehand
-COMMON = 300_000            # words that are, at most; with their ids they take some 50 MB in a task
+COMMON = 100_000            # words that are, at most; with their ids they take some 40 MB in a Python worker
 _LONGEST = 24               # bytes of such a word
 
 
