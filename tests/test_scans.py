@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from contestlab.operators import scans
 from contestlab.operators.scans import dense_rank_in, locf, ordered_scan, record_number
 
 
@@ -170,3 +171,13 @@ def test_cutting_reads_the_rows_from_one_written_copy(spark, games):
         scans.pinned = pinned
     sizes = [df.count() for df in written]
     assert sizes[0] == 3000 and max(sizes[1:]) < 1500 and len(sizes) > 5
+
+
+def test_cells_are_found_by_halving(spark):
+    marks = [float(m) for m in sorted([i // 3 for i in range(40)] + [100] * 23)]
+    values = [-1.0, *[m / 2 for m in range(30)], 99.0, 100.0, 101.0, None]
+    df = spark.createDataFrame([(marks, v) for v in values], "marks array<double>, at double")
+    got = df.withColumn("cell", scans._cell_of(F.col("marks"), F.col("at")))
+    assert {r["at"]: r["cell"] for r in got.collect()} == {
+        v: 0 if v is None else sum(2 * (m < v) + (m == v) for m in marks) for v in values}
+    assert "aggregate(marks" not in got._jdf.queryExecution().analyzed().toString()  # no mark after mark
