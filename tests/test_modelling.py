@@ -4,11 +4,14 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassificationModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from contestlab.plans import modelling
 from contestlab.plans.bayes import GaussianBayes
+from contestlab.plans.network import Perceptron
 from contestlab.session import scratch_path
 from tests.conftest import rows
 
@@ -166,3 +169,29 @@ def test_store_keeps_versions_and_checks_tables(spark, games):
         modelling.open_model(spark, store, 9)
     folders = [s.getPath().getName() for s in modelling.folder(spark, store)[0].listStatus(modelling.folder(spark, store)[1])]
     assert sorted(folders) == ["version=1", "version=2"]
+
+
+def test_the_perceptron_descends_over_packed_rows_that_count_alike(spark):
+    draw = np.random.default_rng(7)
+    x, y = draw.normal(size=(41, 3)), draw.integers(0, 3, 41)
+    rows_of = [(Vectors.dense(v), float(c)) for v, c in zip(x, y)]
+    few, most = (spark.createDataFrame(part, ["scaled", "label"]).coalesce(1) for part in (rows_of[:2], rows_of[2:]))
+    data = few.union(most)
+    fit = modelling.perceptron(3, 3, hidden=(4,), epochs=0, rate=0.5, seed=5)
+    weights = fit.fit(data).weights.toArray()
+    for _ in range(6):
+        a, b, c, d = weights[:12].reshape(3, 4).T, weights[12:16], weights[16:28].reshape(4, 3).T, weights[28:]
+        inner = 1 / (1 + np.exp(-(x @ a.T + b)))
+        outer = np.exp(inner @ c.T + d)
+        delta = outer / outer.sum(axis=1, keepdims=True) - np.eye(3)[y]
+        back = delta @ c * inner * (1 - inner)
+        slopes = [(back.T @ x).T.ravel(), back.sum(axis=0), (delta.T @ inner).T.ravel(), delta.sum(axis=0)]
+        weights = weights - 0.5 * np.concatenate(slopes) / len(y)
+    model = fit.copy({fit.maxIter: 6}).fit(data)
+    assert isinstance(fit, Perceptron) and isinstance(model, MultilayerPerceptronClassificationModel)
+    assert model.getLayers() == [3, 4, 3]
+    np.testing.assert_allclose(model.weights.toArray(), weights, atol=1e-5)
+    path = scratch_path(spark, "network")
+    modelling.save_model(PipelineModel(stages=[model]), path)
+    kept = modelling.load_model(path).transform(data).select("prediction").collect()
+    assert kept == model.transform(data).select("prediction").collect()
