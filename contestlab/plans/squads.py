@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, NumericType
 
 from contestlab.functions import (
     count_where, mean_where, minutes_played, n_distinct, normalise_name, per_period, points, ratio_of_sums,
@@ -191,20 +191,59 @@ def lineup_features(lineup: DataFrame, windows: DataFrame, on: str = "season", *
 
     `on="season"`: the window ending `lag_seasons` before the season of the match.
     `on="name"`: every window of the player. `on="span"`: windows without a season, one per player.
-    A player with more than `hot_rows` rows is dealt to several tasks.
+    A player with more than `hot_rows` rows is dealt to several tasks. All windows of a player are merged into one row before
+    they meet the line-ups, and rows go to their line-up as they are: a task holds few of a line-up, so combining them
+    first would only sort them once more.
     """
     players = lineup.filter(F.col("is_starting") == 1) if starters_only else lineup
     players = players.select("contest_id", "team", "player", (F.col("season") - lag_seasons).cast("int").alias("_season"))
     keys = {"player": "player", **({"_season": "window_end"} if on == "season" else {})}
-    joined = salted_join(players, windows.drop(*({"window_end"} - set(keys.values()))), keys, hot_rows=hot_rows)
+    told = _merged_windows(windows) if on == "name" else windows.drop(*({"window_end"} - set(keys.values())))
+    joined = salted_join(players, told, keys, hot_rows=hot_rows).repartition("contest_id", "team")
+    if on == "name":
+        return _merged_measures(joined, windows)
     return joined.groupBy("contest_id", "team").agg(*[c.alias(n) for n, c in lineup_measures(windows).items()])
 
 
+def _merged_windows(windows: DataFrame) -> DataFrame:
+    """One row per player: of every measure the sum and number of its values, of shares the values themselves."""
+    return windows.groupBy("player").agg(*[part for c in _numbers(windows) for part in (
+        [F.collect_list(F.col(c).cast("double")).alias(f"_v_{c}")] if c.endswith("_share")
+        else [F.sum(_summed(windows, c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")])])
+
+
+def _merged_measures(joined: DataFrame, windows: DataFrame) -> DataFrame:
+    """`lineup_measures` of rows with merged windows."""
+    numbers = _numbers(windows)
+    shares = [c for c in numbers if c.endswith("_share")]
+    sums = joined.groupBy("contest_id", "team").agg(*[part for c in numbers for part in (
+        [F.sort_array(F.flatten(F.collect_list(f"_v_{c}"))).alias(f"_v_{c}")] if c in shares
+        else [F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(f"_s_{c}")])])
+
+    def measure(c: str) -> Column:
+        if c not in shares:
+            kind = windows.schema[c].dataType
+            mean = F.col(f"_s_{c}")
+            return mean.cast(DecimalType(min(kind.precision + 4, 38), min(kind.scale + 4, 38))) if isinstance(kind, DecimalType) else mean
+        values = F.col(f"_v_{c}")
+        low, high = (F.get(values, F.floor((F.size(values) - 1 + up) / 2).cast("int")) for up in (0, 1))
+        return low * 0.5 + high * 0.5
+
+    return sums.select("contest_id", "team", *[measure(c).alias(f"lineup_{c}") for c in numbers])
+
+
+def _summed(windows: DataFrame, c: str) -> Column:
+    return F.col(c) if isinstance(windows.schema[c].dataType, DecimalType) else F.col(c).cast("double")
+
+
+def _numbers(windows: DataFrame) -> list[str]:
+    return [f.name for f in windows.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ("player", "window_end")]
+
+
 def lineup_measures(windows: DataFrame) -> dict[str, Column]:
     """What tells a line-up: the mean of every number of its players' windows, and of shares, which are rounded to
     few values, the exact median."""
-    numbers = [f.name for f in windows.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ("player", "window_end")]
-    return {f"lineup_{c}": F.median(c) if c.endswith("_share") else F.avg(c) for c in numbers}
+    return {f"lineup_{c}": F.median(c) if c.endswith("_share") else F.avg(c) for c in _numbers(windows)}
 
 
 def join_sides(games: DataFrame, feats: DataFrame, cols: Sequence[str]) -> DataFrame:

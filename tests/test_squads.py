@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,19 @@ def test_literal_sums_are_lost_to_one_missing_value(spark):
     literal, intended = (squads.player_summary(df, LEAGUES, m).first() for m in ("literal", "intended"))
     assert (literal.goals, literal.pl_goals, literal.cl_goals, literal.n_matches) == (0, 0, 2, 3)
     assert (intended.goals, intended.pl_goals, intended.cl_goals) == (2, 0, 2)
+
+
+def test_all_windows_of_a_player_meet_its_line_ups_as_one_row(spark):
+    lineup = spark.createDataFrame([(k % 7, f"t{k % 2}", None if k % 11 == 0 else f"p{k % 5}", 2013, 1) for k in range(60)] + [(9, None, "p1", 2013, 1)],
+                                   "contest_id int, team string, player string, season int, is_starting int")
+    windows = spark.createDataFrame(
+        [(None if k % 6 == 5 else f"p{k % 6}", 2010 + k // 6, k % 4, None if k % 3 == 0 else k * 0.5, Decimal(k) / 4,
+          None if k % 4 == 0 else float("nan") if k == 7 else (k * 7 % 10) / 10, None) for k in range(24)],
+        "player string, window_end int, n int, mean double, whole decimal(10,2), a_share double, b_share double")
+    got = squads.lineup_features(lineup, windows, on="name")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RepartitionByExpression [contest_id") < plan.index("Join") < plan.rindex("Aggregate [player")
+    want = lineup.alias("l").join(windows.alias("w"), F.col("l.player").eqNullSafe(F.col("w.player"))).groupBy("contest_id", "team").agg(
+        *[c.alias(n) for n, c in squads.lineup_measures(windows).items()])
+    assert got.dtypes == want.dtypes
+    assert str(rows(got)) == str(rows(want))
