@@ -195,3 +195,14 @@ def test_the_perceptron_descends_over_packed_rows_that_count_alike(spark):
     modelling.save_model(PipelineModel(stages=[model]), path)
     kept = modelling.load_model(path).transform(data).select("prediction").collect()
     assert kept == model.transform(data).select("prediction").collect()
+
+
+def test_a_search_fits_no_more_models_than_it_judges(spark, games, monkeypatch):
+    fitted, plain = [], GaussianBayes._fit
+    monkeypatch.setattr(GaussianBayes, "_fit", lambda self, rows: fitted.append(rows.count()) or plain(self, rows))
+    found = modelling.search_models(games, "winner", FEATURES, "k", candidates={c: GaussianBayes(featuresCols=[c]) for c in FEATURES[:2]}, folds=3)
+    assert len(fitted) == 2 * 3 + 1 and fitted[-1] == games.count()  # every fold once, and the best on all rows
+    assert sum(fitted[:3]) == sum(fitted[3:6]) == 2 * games.count()
+    with pytest.raises(ValueError, match="fold"):
+        modelling.search_models(games.limit(1), "winner", FEATURES, "k", candidates={"a": GaussianBayes(featuresCols=["a"])})
+    assert found.complete
