@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 __all__ = [
     "POSITION_RULES", "classify", "contains_ci", "field_position", "first_line", "key_of",
     "normalise_name", "piece", "player_link", "replace_first", "report_id", "slug",
-    "strip_control", "strip_digits", "strip_punct",
+    "strip_control", "strip_digits", "strip_marks", "strip_punct",
 ]
 
 ColumnOrName = Column | str
@@ -36,6 +36,11 @@ def strip_digits(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), "[0-9]+", "")
 
 
+def strip_marks(c: ColumnOrName) -> Column:
+    """Control characters, marks and digits taken out at once."""
+    return F.regexp_replace(_col(c), r"[\r\n\t\p{P}0-9]+", "")
+
+
 def normalise_name(c: ColumnOrName) -> Column:
     """One spelling for both tables: hyphens to blanks, no marks or digits, single blanks."""
     spaced = F.regexp_replace(strip_control(c), "-", " ")
@@ -62,7 +67,7 @@ def piece(c: ColumnOrName, sep: str, i: int) -> Column:
 
 
 def first_line(c: ColumnOrName) -> Column:
-    return piece(c, "\n", 1)
+    return F.substring_index(_col(c), "\n", 1)
 
 
 def slug(c: ColumnOrName) -> Column:

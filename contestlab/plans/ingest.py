@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contestlab import functions as fn
 from contestlab.operators.frames import blank_to_null, same_keys
@@ -66,19 +66,37 @@ def lineups_from_pages(pages: DataFrame, fixtures: DataFrame, *, base: str = BAS
     """Line-ups of the match pages that hold exactly two line-up tables."""
     games = fixtures.select(
         F.col("match_id").alias("url"), "home_team", "away_team", "season_id").distinct()
-    rows = html.tables_by_shape(html.html_tables(pages, with_url=True), min_rows=11, max_rows=21).repartition("page_id")
-    named = html.name_columns(html.require_tables(rows, 2), LINEUP_COLUMNS)
-    flagged = html.flag_after_marker(named, F.col("subbed_time").startswith("Sub"), "is_starting")
-    players = flagged.filter(F.col("number") != BENCH).join(games, "url")
-    team = F.when(F.col("nth") == 1, F.col("home_team")).otherwise(F.col("away_team"))
-    out = players.select(
+    tables = html.table_columns(pages, LINEUP_COLUMNS, min_rows=11, max_rows=21, with_url=True).repartition("page_id")
+    # A table stays one row, with an array per column, up to the join: its windows, its sorts and its shuffles see no players.
+    number_of = F.expr("nullif(array_position(transform(subbed_time, x -> startswith(x, 'Sub')), true), 0)")
+    flagged = html.require_tables(tables, 2).withColumn("row_no", number_of)
+    flagged = flagged.withColumn("bench", html.marker_row(F.col("row_no").isNotNull()))
+    squads = flagged.join(games, "url")
+    # Equal rows have the same address and side. Where these belong to one table whose numbers differ, there are none.
+    same_side = Window.partitionBy("url")
+    count = F.when(F.col("nth") == 1, F.count_if(F.col("nth") == 1).over(same_side)).otherwise(
+        F.count_if(F.col("nth") == 2).over(same_side))
+    alone = (count == 1) & (F.size(F.array_distinct("number")) == F.size("number"))
+    squads = squads.select(
+        "number", "player", "subbed_time", "bench", "url", "season_id", alone.alias("alone"), (F.col("nth") == 1).alias("is_home"),
+        F.when(F.col("nth") == 1, F.col("home_team")).otherwise(F.col("away_team")).alias("team"))
+    once, more = (_players(squads.filter(c), base) for c in (F.col("alone"), ~F.col("alone")))
+    return once.unionByName(more.distinct())
+
+
+def _players(squads: DataFrame, base: str) -> DataFrame:
+    """Line-up rows of tables that hold an array per column."""
+    cells = F.arrays_zip("number", "player", "subbed_time")
+    rows = squads.select("bench", "url", "season_id", "is_home", "team", F.posexplode(cells).alias("at", "c")).select(
+        "*", "c.*").filter(F.col("number") != BENCH)
+    out = rows.select(
         "number",
-        fn.strip_digits(fn.strip_punct(fn.strip_control("player"))).alias("player"),
-        F.coalesce("subbed_time", F.lit(" ")).alias("subbed_time"), "is_starting",
-        team.alias("team"), F.when(F.col("nth") == 1, 1).otherwise(0).alias("is_home"),
+        fn.strip_marks("player").alias("player"),
+        F.coalesce("subbed_time", F.lit(" ")).alias("subbed_time"),
+        F.when(F.col("at") + 1 >= F.col("bench"), 0).otherwise(1).alias("is_starting"),
+        "team", F.col("is_home").cast("int").alias("is_home"),
         F.col("url").alias("match_id"), "season_id", fn.player_link("player", base).alias("player_link"))
-    return out.withColumn("player_key", fn.key_of("player", "team", "season_id")).select(
-        *LINEUP.fieldNames()).distinct()
+    return out.withColumn("player_key", fn.key_of("player", "team", "season_id")).select(*LINEUP.fieldNames())
 
 
 def _distinct_players(lineups: DataFrame, base: str) -> DataFrame:

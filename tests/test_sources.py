@@ -229,6 +229,32 @@ def test_lineups_golden(spark):
     assert r.player_key == "Ann ÓDea_Home T_2017/2018"
 
 
+def test_lineups_shuffle_and_sort_tables_not_players(spark):
+    """Rows of a table meet only after the join; repeated pages, page numbers, addresses, games and numbers give each row once."""
+    odd = table(*[["7", "Same", ""]] * 11, [" 8", "Two &amp; B "], ["Substitutes"] * 3, ["9", "Sub", "Sub"])
+    pages = spark.createDataFrame(
+        [(1, "m1", squad(13, 11) + squad(12, 11))] * 2 + [(2, "m2", odd + table(["x"]) + odd), (3, "m2", squad(12, 5) + odd)] +
+        [(4, "m3", odd), (4, "m4", table(["x"]) + odd.replace("7", "5")), (None, "m5", odd + odd), (None, "m6", odd), (6, None, odd + odd),
+         (7, "m7", odd + odd + odd), (8, "m8", None)], schemas.PAGES)
+    games = spark.createDataFrame([(f"m{i}", "H", "A", "2017/2018") for i in range(1, 9)] + [("m1", "H", "B", "2017/2018"), (None, "H", "A", "s")],
+                                  "match_id string, home_team string, away_team string, season_id string")
+    got = ingest.lineups_from_pages(pages, games)
+    by_row = html.tables_by_shape(html.html_tables(pages, with_url=True), 11, 21)
+    by_table = html.table_columns(pages, ["number", "player", "subbed_time"], 11, 21, with_url=True)
+    again = by_table.select("page_id", "table_no", F.posexplode(F.arrays_zip("number", "player", "subbed_time")), "n_rows", "url").select(
+        "page_id", "table_no", F.col("pos") + 1, F.array("col.number", "col.player", "col.subbed_time"), "n_rows", "url")
+    cells = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.get("cells", i))
+    assert rows(again) == rows(by_row.select("page_id", "table_no", "row_no", cells, "n_rows", "url")) and again.count() > 100
+    flat = html.flag_after_marker(html.name_columns(html.require_tables(by_row, 2), ingest.LINEUP_COLUMNS),
+                                  F.col("subbed_time").startswith("Sub"), "is_starting")
+    players = flat.filter("number != 'Substitutes'").join(games.withColumnRenamed("match_id", "url"), "url")
+    want = players.selectExpr("number", "is_starting", "if(nth = 1, home_team, away_team) team", "int(nth = 1) is_home", "url", "player").distinct()
+    assert rows(got.select("number", "is_starting", "team", "is_home", "match_id")) == rows(want.drop("player"))
+    assert {r.match_id for r in got.select("match_id").collect()} == {"m1", "m2", "m3", "m4", "m5", "m6"}
+    exploded, _, below = _plan(got).partition("Generate posexplode")
+    assert "Window" in below and "Window" not in exploded and "array<string>" in by_table.schema.simpleString()
+
+
 def test_biographies_and_statistics(spark):
     bio = table(["Born:", "12/05/1990"], ["Place:", "x"], ["Nationality:", "Spain"], ["Height:", "180 cm"],
                 ["Weight:", "75 kg"], ["Position:", "Left Back"], ["Foot:", "left"])
