@@ -9,9 +9,10 @@ The most frequent words of a bounded sample of the texts are folded once, before
 them; a block folds only the words that are not on it. What the sample holds decides how much work is saved,
 never a result.
 
-A state of the fold is a text with one character per token, of three bytes each, in the order of
-ranks. So the pair to merge next is the one with the smallest merged character, and all places of that
-pair are merged by one `replace`, from left to right.
+A state of the fold is an array of ranks. A round looks all pairs up in a table of displaced rows, two reads of an array for each,
+and merges the leftmost pair of the lowest rank. A long word would take as many rounds as it has tokens to merge. Its state is
+a text with one character per token, of three bytes each, in the order of ranks. So the pair to merge next is the one with
+the smallest merged character, and all places of that pair are merged by one `replace`, from left to right.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _ROWS = 2_000               # of an Arrow batch between the steps
 SAMPLE = 128 << 20          # bytes of text, about, whose words may be folded beforehand
 COMMON = 100_000            # words that are, at most; with their ids they take some 40 MB in a Python worker
 _LONGEST = 24               # bytes of such a word
+SHORT = 48                  # bytes of a word that is folded as an array, at most
+_OWNER = 32                 # bits of a slot below the rank that owns it
 
 
 @dataclass(frozen=True)
@@ -161,7 +164,53 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
     return let(F.lit(table.turns), lambda turns: let(F.lit(table.slots), lambda slots: fold(turns, slots)))
 
 
-_CUT = pa.schema([("word", pa.string()), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
+@dataclass(frozen=True)
+class Displaced:
+    """The merges as rows of ranks, a row for every left part, laid over each other: the token of a pair stands as far behind
+    the start of its left part's row as the right part's rank says, beside the rank that owns the place."""
+
+    starts: list[int]
+    slots: list[int]
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary, merges: list[tuple[bytes, bytes]]) -> Displaced:
+        ranks, rows = vocabulary.ranks, defaultdict(list)
+        for a, b in merges:
+            rows[ranks[a]].append((ranks[b], ranks[a + b]))
+        most = max(ranks.values()) + 1
+        size, rng = most + max(1024, 2 * len(merges)), np.random.default_rng(5)
+        starts, slots = np.zeros(most, dtype=np.int64), np.full(size, most << _OWNER, dtype=np.int64)
+        for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
+            rights, tokens = np.array(rows[a], dtype=np.int64).T
+            while True:  # half of the places stay free
+                start = int(rng.integers(-rights.min(), size - rights.max()))
+                if (slots[start + rights] == most << _OWNER).all():
+                    break
+            starts[a], slots[start + rights] = start, (a << _OWNER) + tokens
+        return cls(starts.tolist(), slots.tolist())
+
+    def fold(self, ranks: Column) -> Column:
+        """The ranks of a word's tokens from those of its bytes: the leftmost pair of the lowest rank is merged until no pair is a token."""
+        starts, slots = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in (self.starts, self.slots))
+
+        def token(a: Column, b: Column) -> Column:
+            # a place that another rank owns leaves bits above `_OWNER`
+            return F.get(slots, F.get(starts, a) + b).bitwiseXOR(F.shiftleft(a, _OWNER))
+
+        def merged(state: Column, tokens: Column, best: Column) -> Column:
+            at = F.array_position(tokens, best).cast("int")
+            return let(at, lambda at: F.concat(F.slice(state, F.lit(1), at - 1), F.array(best), F.slice(state, at + 2, F.size(state))))
+
+        def step(state: Column) -> Column:
+            return let(F.zip_with(state, F.slice(state, F.lit(2), F.size(state)), token), lambda tokens: let(F.array_min(tokens), lambda best: F.when(
+                best < F.lit(1 << _OWNER), merged(state, tokens, best)).otherwise(F.array_append(state, F.lit(-1).cast("long")))))
+
+        rounds = F.sequence(F.lit(1), F.size(ranks))
+        folded = F.aggregate(rounds, ranks, lambda s, _: F.when(F.element_at(s, -1) < 0, s).otherwise(step(s)))
+        return F.filter(folded, lambda x: x >= 0)
+
+
+_CUT = pa.schema([("word", pa.string()), ("ranks", pa.list_(pa.int64())), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
 
 
 def _symbols(vocabulary: Vocabulary):
@@ -176,19 +225,31 @@ def _symbols(vocabulary: Vocabulary):
     return symbols
 
 
+def _short(vocabulary: Vocabulary):
+    """Words of at most `SHORT` bytes as lists of the ranks of their bytes, or of the one rank of a word that is a token; others missing."""
+    ranks, of_byte = vocabulary.ranks, [vocabulary.ranks[bytes([b])] for b in range(256)]
+
+    def short(word: str) -> list[int] | None:
+        raw = word.encode()
+        rank = ranks.get(raw)
+        return [rank] if rank is not None else [of_byte[b] for b in raw] if len(raw) <= SHORT else None
+
+    return short
+
+
 def _counter(vocabulary: Vocabulary):
     """Words of texts, those that need merges and are not long, and how often a task finds them."""
-    split, symbols = regex.compile(vocabulary.pattern).findall, _symbols(vocabulary)
+    split, short = regex.compile(vocabulary.pattern).findall, _short(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 found.update(split(text))
-        words = [(s, n) for w, n in found.items() if 1 < len(s := symbols(w)) <= _LONGEST]
+        words = [(s, n) for w, n in found.items() if 1 < len(s := short(w) or ()) <= _LONGEST]
         for at in range(0, len(words), 20 * _ROWS):
             part = words[at:at + 20 * _ROWS]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in part]), pa.array([n for _, n in part])], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in part], _CUT.field("ranks").type), pa.array([n for _, n in part])], ["word", "n"])
 
     return count
 
@@ -203,11 +264,11 @@ class Known:
     raw: list[bytes]
 
 
-def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample: int, most: int) -> Known:
+def common_words(rows: DataFrame, vocabulary: Vocabulary, table: Displaced, sample: int, most: int) -> Known:
     """At most `most` words, the most frequent of those that occur twice or more in about `sample` bytes of the texts."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     picked = rows.select("text") if size <= sample else rows.select("text").sample(sample / size, seed=17)
-    found = picked.mapInArrow(_counter(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = picked.mapInArrow(_counter(vocabulary), "word array<long>, n long").groupBy("word").agg(F.sum("n").alias("n"))
     found = stored(found.where("n > 1"), "bpe-words")
     least, kept = 2, 0
     for r in sorted(found.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):  # one row per count
@@ -215,22 +276,20 @@ def common_words(rows: DataFrame, vocabulary: Vocabulary, table: RankMap, sample
         if kept > most:
             least = r.n + 1
             break
-    folded = found.where(F.col("n") >= least).select("word", encode_word(F.col("word"), table).alias("folded"))
-    of_symbol = {vocabulary.symbol(bytes([b])): bytes([b]) for b in range(256)}
+    folded = found.where(F.col("n") >= least).select("word", table.fold(F.col("word")).alias("folded"))
     tokens, names = _named(vocabulary)
     words, sizes, ids, raw = {}, [], [], []
     for r in folded.collect():
-        words[b"".join(map(of_symbol.__getitem__, r.word)).decode()] = len(sizes)
+        words[b"".join(map(tokens.__getitem__, r.word)).decode()] = len(sizes)
         sizes.append(len(r.folded))
         ids.append(" ".join(map(names.__getitem__, r.folded)))
         raw.append(b"".join(map(tokens.__getitem__, r.folded)))
     return Known(words, sizes, ids, raw)
 
 
-def _named(vocabulary: Vocabulary) -> tuple[dict[str, bytes], dict[str, str]]:
-    """Bytes and number of every token by its symbol."""
-    return ({chr(_BASE + rank): token for token, rank in vocabulary.ranks.items()},
-            {chr(_BASE + rank): str(rank) for rank in vocabulary.ranks.values()})
+def _named(vocabulary: Vocabulary) -> tuple[dict[int, bytes], dict[int, str]]:
+    """Bytes and number as text of every token by its rank."""
+    return {rank: token for token, rank in vocabulary.ranks.items()}, {rank: str(rank) for rank in vocabulary.ranks.values()}
 
 
 class _Places(dict):
@@ -243,20 +302,23 @@ class _Places(dict):
 
 def _cutter(vocabulary: Vocabulary, before: dict[str, int]):
     """Rows of distinct words of a block, without those known before, then rows of its texts as places among both."""
-    split, symbols = regex.compile(vocabulary.pattern).findall, _symbols(vocabulary)
+    split, short, symbols = regex.compile(vocabulary.pattern).findall, _short(vocabulary), _symbols(vocabulary)
 
     def block(texts: list[tuple]) -> Iterator[pa.RecordBatch]:
         known = _Places(before)
         rows = [(k, u, list(map(known.__getitem__, split(t)))) for k, u, t in texts]
-        words = list(map(symbols, islice(known, len(before), None)))
+        words = list(islice(known, len(before), None))
         for at in range(0, len(words), 20 * _ROWS):
             part = words[at:at + 20 * _ROWS]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.nulls(len(part), f.type) for f in list(_CUT)[1:]]], schema=_CUT)
+            ranks = list(map(short, part))
+            long = [symbols(w) if r is None else None for w, r in zip(part, ranks, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(long, pa.string()), pa.array(ranks, _CUT.field("ranks").type),
+                                              *[pa.nulls(len(part), f.type) for f in list(_CUT)[2:]]], schema=_CUT)
         for at in range(0, len(rows), _ROWS):
             keys, unkeyed, places = zip(*rows[at:at + _ROWS], strict=True)
             ends = np.cumsum([0, *map(len, places)], dtype=np.int32)
             flat = np.fromiter(chain.from_iterable(places), dtype=np.int32, count=ends[-1])
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(unkeyed, pa.bool_()),
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(keys), f.type) for f in list(_CUT)[:2]], pa.array(keys, pa.int64()), pa.array(unkeyed, pa.bool_()),
                                               pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], schema=_CUT)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,15 +344,16 @@ def _joiner(vocabulary: Vocabulary, known: Known, with_ids: bool):
         sizes, ids, raw = list(known.sizes), list(known.ids), list(known.raw)  # of the words of the open block: tokens, ids as text, bytes
         in_words, known_words = False, len(known.sizes)
         for batch in batches:
-            word, key, unkeyed, places = batch.columns
-            n_words = len(word) - word.null_count
+            word, ranks, key, unkeyed, places = batch.columns
+            n_words = key.null_count
             # a batch may end one block and begin the next: runs of words and of texts alternate
-            for is_text, start, stop in _runs(word.is_null().to_numpy(zero_copy_only=False) if n_words else np.ones(len(word), dtype=bool)):
+            for is_text, start, stop in _runs(key.is_valid().to_numpy(zero_copy_only=False) if n_words else np.ones(len(word), dtype=bool)):
                 if not is_text:
                     if not in_words:
                         del sizes[known_words:], ids[known_words:], raw[known_words:]
                         in_words = True
-                    for w in word.slice(start, stop - start).to_pylist():
+                    for w, long in zip(ranks.slice(start, stop - start).to_pylist(), word.slice(start, stop - start).to_pylist(), strict=True):
+                        w = w if long is None else [ord(c) - _BASE for c in long]
                         sizes.append(len(w))
                         ids.append(" ".join(map(names.__getitem__, w)))
                         raw.append(b"".join(map(tokens.__getitem__, w)))
@@ -332,11 +395,12 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc
     merges = vocabulary.merges()
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.col(key).isNull().alias("unkeyed"),
                        whole(F.col(text)).alias("text"))
-    table = RankMap.of(vocabulary, merges)
+    table = Displaced.of(vocabulary, merges)
     known = common_words(rows, vocabulary, table, sample, common)
-    cut = rows.mapInArrow(_cutter(vocabulary, known.words), "word string, key long, unkeyed boolean, places array<int>")
-    word = F.col("word")
-    done = cut.withColumn("word", F.when(F.length(word) > 1, encode_word(word, table)).otherwise(word))
+    cut = rows.mapInArrow(_cutter(vocabulary, known.words), "word string, ranks array<long>, key long, unkeyed boolean, places array<int>")
+    word, ranks = F.col("word"), F.col("ranks")
+    done = cut.withColumns({"word": F.when(F.length(word) > 1, encode_word(word, RankMap.of(vocabulary, merges))).otherwise(word),
+                            "ranks": F.when(F.size(ranks) > 1, table.fold(ranks)).otherwise(ranks)})
     out = done.mapInArrow(_joiner(vocabulary, known, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
                           + (", ids string" if with_ids else ""))
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), *out.columns[2:])
