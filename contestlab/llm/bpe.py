@@ -61,24 +61,28 @@ class Vocabulary:
         return chr(_BASE + self.ranks[token])
 
     def merges(self) -> list[tuple[bytes, bytes]]:
-        """Every way to put a token together from two others."""
-        return [(t[:i], t[i:]) for t in self.ranks for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        """The two parts that every longer token is put together from, where the merges of its own bytes come to it.
 
-    def exceptions(self, merges: list[tuple[bytes, bytes]]) -> dict[bytes, bytes]:
-        """Tokens whose places cannot simply be merged all at once, with a sign for the reason.
-
-        Ambiguous ones (2) have two cuts that share a part, so that places of different cuts can overlap.
-        Early ones (1, with both reasons 3) are part of a token of lower rank, so that a merge may make a pair that goes first.
+        Inside any word, the merges between two places that no merge has crossed are those of the bytes between them alone.
+        So a token comes from the one pair that its own bytes end in, and other ways to cut it never meet.
         """
+        return [pair for t in self.ranks if len(t) > 1 and (pair := self._parts(t))]
+
+    def _parts(self, token: bytes) -> tuple[bytes, bytes] | None:
+        ranks, none = self.ranks, float("inf")
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            rank, at = min((ranks.get(a + b, none), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == none:
+                return None
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return parts[0], parts[1]
+
+    def early(self, merges: list[tuple[bytes, bytes]]) -> set[bytes]:
+        """Tokens that are part of one of lower rank: a merge to them may make a pair that goes before their other places."""
         if len(self.ranks) > 0xD800 - _BASE or any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("the vocabulary needs all single bytes and at most 53,248 tokens")
-        rights, lefts, early = defaultdict(set), defaultdict(set), set()
-        for a, b in merges:
-            rights[a + b].add(b)
-            lefts[a + b].add(a)
-            early |= {t for t in (a, b) if self.ranks[t] > self.ranks[a + b]}
-        ambiguous = {t for t in rights if len(rights[t]) > 1 and rights[t] & lefts[t]}
-        return {t: b"%d" % ((t in early) + 2 * (t in ambiguous)) for t in early | ambiguous}
+        return {t for a, b in merges for t in (a, b) if self.ranks[t] > self.ranks[a + b]}
 
 
 @dataclass(frozen=True)
@@ -96,11 +100,11 @@ class RankMap:
     @classmethod
     def of(cls, vocabulary: Vocabulary, merges: list[tuple[bytes, bytes]]) -> RankMap:
         size = max(1024, 1 << (len(merges) * 6 // 5).bit_length())
-        signs = vocabulary.exceptions(merges)
+        early = vocabulary.early(merges)
         groups: list[list[tuple[bytes, bytes]]] = [[] for _ in range(size // 4)]
         for a, b in merges:
             pair = (vocabulary.symbol(a) + vocabulary.symbol(b)).encode()
-            groups[xxhash.xxh64_intdigest(pair, 42) % len(groups)].append((pair, vocabulary.symbol(a + b).encode() + signs.get(a + b, b"0")))
+            groups[xxhash.xxh64_intdigest(pair, 42) % len(groups)].append((pair, vocabulary.symbol(a + b).encode() + (b"1" if a + b in early else b"0")))
         turns, slots = bytearray(len(groups)), [b"-" * 10] * size
         taken = [False] * size
         for g in sorted(range(len(groups)), key=lambda g: -len(groups[g])):
@@ -131,8 +135,7 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
     """The merges folded over a word, given as one symbol per byte.
 
     The rule is: merge the pair of the lowest rank, of several the leftmost. All places of that pair are
-    merged at once, but only the leftmost if other pairs give the same token or if the merges make a
-    pair of lower rank.
+    merged at once, but only the leftmost if the token is part of one of lower rank.
     """
     def pairs_of(state: Column) -> Column:
         raw = state.cast("binary")
@@ -141,19 +144,15 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
 
     def step(state: Column, tokens_of) -> Column:
         return let(pairs_of(state), lambda p: let(tokens_of(p), lambda t: let(F.array_min(t), lambda best: F.when(
-            best.isNull(), F.concat(state, F.lit(_MARK))).otherwise(let(first(t, best), lambda at: merge(state, p, t, best, at, tokens_of))))))
+            best.isNull(), F.concat(state, F.lit(_MARK))).otherwise(let(first(t, best), lambda at: merge(state, F.get(p, at), best, at))))))
 
     def first(tokens: Column, best: Column) -> Column:
-        return F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).eqNullSafe(best))[0]
+        return F.array_position(tokens, best).cast("int") - 1
 
-    def merge(state: Column, pairs: Column, tokens: Column, best: Column, at: Column, tokens_of) -> Column:
-        pair, symbol = F.get(pairs, at), F.substring(best, F.lit(1), F.lit(3)).cast("string")
-        sign = F.substring(best, F.lit(4), F.lit(1)).cast("string")
-        others = F.exists(F.zip_with(pairs, tokens, lambda p, t: (t == best) & (p != pair)), lambda x: x)
-        several = lambda new: F.octet_length(new) + 3 < F.octet_length(state)
-        new = let(F.replace(state, pair.cast("string"), symbol), lambda new: F.when((sign == "0") | ~several(new), new).when(
-            ~(((sign >= "2") & others) | (F.array_min(tokens_of(pairs_of(new))) < best)), new))
-        return F.coalesce(new, F.concat(F.substring(state, F.lit(1), at), symbol, F.substring(state, at + 3, F.length(state))))
+    def merge(state: Column, pair: Column, best: Column, at: Column) -> Column:
+        symbol = F.substring(best, F.lit(1), F.lit(3)).cast("string")
+        return F.when(F.substring(best, F.lit(4), F.lit(1)).cast("string") == "0", F.replace(state, pair.cast("string"), symbol)).otherwise(
+            F.concat(F.substring(state, F.lit(1), at), symbol, F.substring(state, at + 3, F.length(state))))
 
     def fold(turns: Column, slots: Column) -> Column:
         tokens_of = lambda pairs: table.tokens(pairs, turns, slots)
@@ -164,6 +163,17 @@ def encode_word(symbols: Column, table: RankMap) -> Column:
     return let(F.lit(table.turns), lambda turns: let(F.lit(table.slots), lambda slots: fold(turns, slots)))
 
 
+def _fit(free: np.ndarray, rights: np.ndarray, rng: np.random.Generator) -> int | None:
+    """A start from which all places of a row are free: one of some random starts, else the first of all."""
+    low, high = -rights.min(), len(free) - rights.max()
+    for starts in (rng.integers(low, high, 500), np.arange(low, high)):
+        for right in rights:
+            starts = starts[free[starts + right]]
+        if len(starts):
+            return int(starts[0])
+    return None
+
+
 @dataclass(frozen=True)
 class Displaced:
     """The merges as rows of ranks, a row for every left part, laid over each other: the token of a pair stands as far behind
@@ -178,15 +188,17 @@ class Displaced:
         for a, b in merges:
             rows[ranks[a]].append((ranks[b], ranks[a + b]))
         most = max(ranks.values()) + 1
-        size, rng = most + max(1024, 2 * len(merges)), np.random.default_rng(5)
-        starts, slots = np.zeros(most, dtype=np.int64), np.full(size, most << _OWNER, dtype=np.int64)
+        free, rng = np.ones(most + max(1024, 2 * len(merges)), dtype=bool), np.random.default_rng(5)
+        starts, laid = np.zeros(most, dtype=np.int64), []
         for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
             rights, tokens = np.array(rows[a], dtype=np.int64).T
-            while True:  # half of the places stay free
-                start = int(rng.integers(-rights.min(), size - rights.max()))
-                if (slots[start + rights] == most << _OWNER).all():
-                    break
-            starts[a], slots[start + rights] = start, (a << _OWNER) + tokens
+            while (start := _fit(free, rights, rng)) is None:
+                free = np.append(free, np.ones(most, dtype=bool))  # room for any row
+            starts[a], free[start + rights] = start, False
+            laid.append((start + rights, (a << _OWNER) + tokens))
+        slots = np.full(len(free), most << _OWNER, dtype=np.int64)
+        for places, tokens in laid:
+            slots[places] = tokens
         return cls(starts.tolist(), slots.tolist())
 
     def fold(self, ranks: Column) -> Column:

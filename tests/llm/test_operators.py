@@ -136,6 +136,33 @@ def test_bpe_equals_the_library(spark, docs, nothing):
     assert bpe.encode_documents(nothing, v).isEmpty()
 
 
+def test_bpe_table_ends_where_rows_do_not_fit():
+    rights = [*range(16), *range(16, 256, 16)]  # two rows of these meet wherever they lie less than a row apart
+    tokens = [bytes([b]) for b in range(256)] + [bytes([a, b]) for a in range(256) for b in rights]
+    for v in (bpe.Vocabulary({t: i for i, t in enumerate(tokens)}, "."), queries.vocabulary()):
+        merges = v.merges()
+        assert {a + b for a, b in merges} == {t for t in v.ranks if len(t) > 1}
+        table, ranks = bpe.Displaced.of(v, merges), v.ranks
+        found = lambda a, b: table.slots[at] ^ (a << 32) if 0 <= (at := table.starts[a] + b) < len(table.slots) else 1 << 32  # noqa: E731, B023
+        assert all(found(ranks[a], ranks[b]) == ranks[a + b] for a, b in merges)
+        others = {(RNG.randrange(len(ranks)), RNG.randrange(len(ranks))) for _ in range(5000)} - {(ranks[a], ranks[b]) for a, b in merges}
+        assert all(found(a, b) >= 1 << 32 for a, b in others)
+
+
+def test_bpe_of_vocabularies_in_any_order(spark):
+    import tiktoken
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        longer = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))).encode() for _ in range(60)})
+        rng.shuffle(longer)  # parts may rank behind what they make, and some tokens are never made
+        v = bpe.Vocabulary({t: i for i, t in enumerate([bytes([b]) for b in range(256)] + longer)}, "[^ ]+| ")
+        enc = tiktoken.Encoding("own", pat_str=v.pattern, mergeable_ranks=v.ranks, special_tokens={})
+        texts = ["".join(rng.choice("aabbcc ") for _ in range(30)) for _ in range(60)] + ["".join(rng.choice("abc") for _ in range(150)) for _ in range(30)]
+        got = bpe.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), v, with_ids=True, sample=0).collect()
+        assert {r.key: r.ids for r in got} == {i: " ".join(map(str, enc.encode_ordinary(t))) for i, t in enumerate(texts)}
+
+
 # secrets
 
 BASE = [("assign", re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 6),
