@@ -21,7 +21,7 @@ import base64
 import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain, islice
 
 import numpy as np
@@ -38,7 +38,7 @@ _MARK = "\ue000"             # ends a finished state
 BLOCK = 8 << 20             # characters whose distinct words are encoded together, or one document
 _ROWS = 2_000               # of an Arrow batch between the steps
 SAMPLE = 128 << 20          # bytes of text, about, whose words may be folded beforehand
-COMMON = 100_000            # words that are, at most; with their ids they take some 40 MB in a Python worker
+COMMON = 300_000            # words that are, at most; each Python step holds only its half of what is known of them
 _LONGEST = 24               # bytes of such a word
 SHORT = 48                  # bytes of a word that is folded as an array, at most
 _OWNER = 32                 # bits of a slot below the rank that owns it
@@ -203,26 +203,26 @@ class Displaced:
 
     def fold(self, ranks: Column) -> Column:
         """The ranks of a word's tokens from those of its bytes: the leftmost pair of the lowest rank is merged until no pair is a token."""
-        starts, slots = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in (self.starts, self.slots))
+        starts, slots = (F.split(F.lit(",".join(map(str, x))), ",").cast(kind) for x, kind in ((self.starts, "array<int>"), (self.slots, "array<bigint>")))
 
         def token(a: Column, b: Column) -> Column:
             # a place that another rank owns leaves bits above `_OWNER`
-            return F.get(slots, F.get(starts, a) + b).bitwiseXOR(F.shiftleft(a, _OWNER))
+            return F.get(slots, F.get(starts, a) + b).bitwiseXOR(F.shiftleft(a.cast("long"), _OWNER))
 
         def merged(state: Column, tokens: Column, best: Column) -> Column:
             at = F.array_position(tokens, best).cast("int")
-            return let(at, lambda at: F.concat(F.slice(state, F.lit(1), at - 1), F.array(best), F.slice(state, at + 2, F.size(state))))
+            return let(at, lambda at: F.concat(F.slice(state, F.lit(1), at - 1), F.array(best.cast("int")), F.slice(state, at + 2, F.size(state))))
 
         def step(state: Column) -> Column:
             return let(F.zip_with(state, F.slice(state, F.lit(2), F.size(state)), token), lambda tokens: let(F.array_min(tokens), lambda best: F.when(
-                best < F.lit(1 << _OWNER), merged(state, tokens, best)).otherwise(F.array_append(state, F.lit(-1).cast("long")))))
+                best < F.lit(1 << _OWNER), merged(state, tokens, best)).otherwise(F.array_append(state, F.lit(-1)))))
 
         rounds = F.sequence(F.lit(1), F.size(ranks))
         folded = F.aggregate(rounds, ranks, lambda s, _: F.when(F.element_at(s, -1) < 0, s).otherwise(step(s)))
         return F.filter(folded, lambda x: x >= 0)
 
 
-_CUT = pa.schema([("word", pa.string()), ("ranks", pa.list_(pa.int64())), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
+_CUT = pa.schema([("word", pa.string()), ("ranks", pa.list_(pa.int32())), ("key", pa.int64()), ("unkeyed", pa.bool_()), ("places", pa.list_(pa.int32()))])
 
 
 def _symbols(vocabulary: Vocabulary):
@@ -280,7 +280,7 @@ def common_words(rows: DataFrame, vocabulary: Vocabulary, table: Displaced, samp
     """At most `most` words, the most frequent of those that occur twice or more in about `sample` bytes of the texts."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     picked = rows.select("text") if size <= sample else rows.select("text").sample(sample / size, seed=17)
-    found = picked.mapInArrow(_counter(vocabulary), "word array<long>, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = picked.mapInArrow(_counter(vocabulary), "word array<int>, n long").groupBy("word").agg(F.sum("n").alias("n"))
     found = stored(found.where("n > 1"), "bpe-words")
     least, kept = 2, 0
     for r in sorted(found.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):  # one row per count
@@ -291,11 +291,12 @@ def common_words(rows: DataFrame, vocabulary: Vocabulary, table: Displaced, samp
     folded = found.where(F.col("n") >= least).select("word", table.fold(F.col("word")).alias("folded"))
     tokens, names = _named(vocabulary)
     words, sizes, ids, raw = {}, [], [], []
-    for r in folded.collect():
-        words[b"".join(map(tokens.__getitem__, r.word)).decode()] = len(sizes)
-        sizes.append(len(r.folded))
-        ids.append(" ".join(map(names.__getitem__, r.folded)))
-        raw.append(b"".join(map(tokens.__getitem__, r.folded)))
+    for batch in folded.toArrow().to_batches(_ROWS):  # as rows of Python objects they would take some hundred MB
+        for before, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words[b"".join(map(tokens.__getitem__, before)).decode()] = len(sizes)
+            sizes.append(len(after))
+            ids.append(" ".join(map(names.__getitem__, after)))
+            raw.append(b"".join(map(tokens.__getitem__, after)))
     return Known(words, sizes, ids, raw)
 
 
@@ -409,10 +410,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc
                        whole(F.col(text)).alias("text"))
     table = Displaced.of(vocabulary, merges)
     known = common_words(rows, vocabulary, table, sample, common)
-    cut = rows.mapInArrow(_cutter(vocabulary, known.words), "word string, ranks array<long>, key long, unkeyed boolean, places array<int>")
+    cut = rows.mapInArrow(_cutter(vocabulary, known.words), "word string, ranks array<int>, key long, unkeyed boolean, places array<int>")
     word, ranks = F.col("word"), F.col("ranks")
     done = cut.withColumns({"word": F.when(F.length(word) > 1, encode_word(word, RankMap.of(vocabulary, merges))).otherwise(word),
                             "ranks": F.when(F.size(ranks) > 1, table.fold(ranks)).otherwise(ranks)})
-    out = done.mapInArrow(_joiner(vocabulary, known, with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    out = done.mapInArrow(_joiner(vocabulary, replace(known, words={}), with_ids), "key long, unkeyed boolean, n_tokens long, ids_sha256 string, decoded_sha256 string"
                           + (", ids string" if with_ids else ""))
     return out.select(F.when(~F.col("unkeyed"), F.col("key")).alias("key"), *out.columns[2:])
