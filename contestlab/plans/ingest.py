@@ -71,7 +71,8 @@ def lineups_from_pages(pages: DataFrame, fixtures: DataFrame, *, base: str = BAS
     number_of = F.expr("nullif(array_position(transform(subbed_time, x -> startswith(x, 'Sub')), true), 0)")
     flagged = html.require_tables(tables, 2).withColumn("row_no", number_of)
     flagged = flagged.withColumn("bench", html.marker_row(F.col("row_no").isNotNull()))
-    squads = flagged.join(games, "url")
+    # Both sides grow with the pages, whatever their estimates say of arrays and texts: neither is ever broadcast.
+    squads = flagged.join(games.hint("merge"), "url")
     # Equal rows have the same address and side. Where these belong to one table whose numbers differ, there are none.
     same_side = Window.partitionBy("url")
     count = F.when(F.col("nth") == 1, F.count_if(F.col("nth") == 1).over(same_side)).otherwise(

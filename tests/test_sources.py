@@ -255,6 +255,22 @@ def test_lineups_shuffle_and_sort_tables_not_players(spark):
     assert "Window" in below and "Window" not in exploded and "array<string>" in by_table.schema.simpleString()
 
 
+def test_lineups_are_never_broadcast(spark):
+    """The planner takes texts and arrays of stored tables for a few bytes, so that lists that grow with the pages looked small enough for
+    the driver."""
+    pages = spark.createDataFrame([(i, f"m{i}", squad(13, 11) + squad(12, 11)) for i in (1, 2)] + [(None, None, squad(13, 11) * 2)], schemas.PAGES)
+    games = spark.createDataFrame([(f"m{i}", "H", "A", "2017/2018") for i in (1, 1, 2)] + [(None, "H", "A", "s")],
+                                  "match_id string, home_team string, away_team string, season_id string")
+    stored = []
+    for df in (pages, games):
+        stored.append(scratch_path(spark, "t"))
+        df.write.parquet(stored[-1])
+    got = ingest.lineups_from_pages(*map(spark.read.parquet, stored))
+    plan = _plan(got)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert rows(got.groupBy("match_id", "is_home").count()) == [("m1", 0, 12), ("m1", 1, 13), ("m2", 0, 12), ("m2", 1, 13)]
+
+
 def test_biographies_and_statistics(spark):
     bio = table(["Born:", "12/05/1990"], ["Place:", "x"], ["Nationality:", "Spain"], ["Height:", "180 cm"],
                 ["Weight:", "75 kg"], ["Position:", "Left Back"], ["Foot:", "left"])
