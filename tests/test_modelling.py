@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from contestlab.plans import modelling
 from contestlab.plans.bayes import GaussianBayes
 from contestlab.plans.network import Perceptron
+from contestlab.registry import model_queries
 from contestlab.session import scratch_path
 from tests.conftest import rows
 
@@ -104,6 +105,27 @@ def test_search_is_the_same_however_the_rows_lie(games):
     assert modelling.accuracy(modelling.score(one.best, full, one.labels)).first()[0] > 0.6
 
 
+def test_every_candidate_is_judged_on_all_rows_where_no_budget_asks_for_less(spark, games, monkeypatch):
+    candidates = {name: GaussianBayes(featuresCols=list(name)) for name in ("abc", "a", "d", "cd", "b")}
+    found = modelling.search_models(games, "winner", FEATURES, "k", candidates=candidates, folds=2, halve=False)
+    assert rows(found.rounds.select("round", "rows", "kept")) == [(1, 2400, False)] * 4 + [(1, 2400, True)]
+    board = found.leaderboard.orderBy("rank").collect()
+    assert board[0].model == "abc" and [r.rows for r in board] == [2400] * 5 and found.complete
+    assert [r.accuracy for r in board] == sorted((r.accuracy for r in board), reverse=True)
+    for limit in ({"budget_rows": 10}, {"budget_seconds": 5}):
+        with pytest.raises(ValueError, match="budget"):
+            modelling.search_models(games, "winner", FEATURES, "k", candidates=candidates, halve=False, **limit)
+    # the query's own candidates, over its own rows
+    orders = spark.range(3000).selectExpr("id AS contest_id", "concat('T', id % 3) AS winner", *[f"(id * {i + 3}) % 7 AS {c}" for i, c in enumerate(model_queries.FEATURES)])
+    own = {name: GaussianBayes(featuresCols=model_queries.FEATURES[i:i + 2]) for i, name in enumerate("pqrs")}
+    searched = []
+    plain = modelling.search_models
+    monkeypatch.setattr(model_queries, "_halves", lambda *_: (orders, None))
+    monkeypatch.setattr(modelling, "search_models", lambda *a, **b: searched.append(plain(*a, candidates=own, **b)) or searched[-1])
+    assert rows(model_queries._leaderboard(spark, None)) == [(name, "fitted", True) for name in "pqrs"]
+    assert {r.rows for r in searched[0].leaderboard.collect()} == {3000} and searched[0].rounds.count() == 4
+
+
 def test_samples_of_later_rounds_hold_the_earlier_ones(games):
     number = modelling.sample_number("k", 456)
     got = games.select("k", (number < 2**31).alias("half"), (number < 2**30).alias("quarter")).collect()
